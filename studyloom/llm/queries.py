@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from studyloom.llm import bpe, mixing, neardup, simhash, urlfilter
+from studyloom.llm import bpe, mixing, mpeg, neardup, pii, simhash, urlfilter
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
+    "op2_pii": pii.op2_pii,
     "op3_fingerprints": simhash.op3_fingerprints,
     "op4_urlfilter": urlfilter.op4_urlfilter,
+    "op5_mpeg": mpeg.op5_mpeg,
     "op8_bpe": bpe.op8_bpe,
     "op10_neardup": neardup.op10_neardup,
 }
