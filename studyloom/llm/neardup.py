@@ -28,7 +28,7 @@ from studyloom.storage import staged
 
 BITS, SEED = 64, 42
 #: Fingerprints of a tree at most (two tiles), rows of a batch of shards on average, queries searched at once.
-TREE, BATCH_ROWS, QUERIES = 4096, 16384, 2048
+TREE, BATCH_ROWS, QUERIES = 4096, 16384, 512
 #: Shingles whose bits are counted at once.
 VOTES = 1 << 16
 
@@ -99,12 +99,13 @@ class Forest:
         order = np.argsort(keys, kind="stable")
         self.keys, self.child = keys[order], child[order]
 
-    def links(self, radius: int) -> tuple[np.ndarray, np.ndarray]:
-        """Index pairs (a, b), a < b, of one shard within the radius."""
-        out = []
+    def links(self, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Index pairs (a, b), a < b, of one shard within the radius: those of QUERIES fingerprints at a time, of
+        which each has at most as many as there are fingerprints in its ball (2,080 at radius 2)."""
         for i in range(0, len(self.fp), QUERIES):
             query = np.arange(i, min(i + QUERIES, len(self.fp)))
             node = self.root[query]
+            out = [np.empty((2, 0), dtype=np.int64)]
             while len(query):
                 d = np.bitwise_count(self.fp[query] ^ self.fp[node]).astype(np.int64)
                 hit = (d <= radius) & (query < node)
@@ -115,8 +116,18 @@ class Forest:
                 n = high - low
                 query = np.repeat(query, n)
                 node = self.child[np.repeat(low - np.cumsum(n) + n, n) + np.arange(len(query))]
-        a, b = np.hstack(out) if out else np.empty((2, 0), dtype=np.int64)
-        return a, b
+            yield tuple(np.hstack(out))
+
+    def groups(self, radius: int) -> np.ndarray:
+        """For each fingerprint the index of the least that a chain of links reaches. Links are folded into the
+        groups as they are found, so they are never held together."""
+        nodes = np.arange(len(self.fp))
+        rank = self.fp.view(np.int64)
+        to = nodes
+        for a, b in self.links(radius):
+            if len(a):
+                to = least_reached(len(nodes), np.r_[a, nodes], np.r_[b, to], rank)
+        return to
 
 
 def least_reached(n: int, a: np.ndarray, b: np.ndarray, rank: np.ndarray) -> np.ndarray:
@@ -137,10 +148,8 @@ def _search(radius: int):
     def search(pdf: pd.DataFrame) -> pd.DataFrame:
         shard = pdf.groupby(["block", "value", "i", "j"], sort=False).ngroup().to_numpy()
         fp = pdf["fp"].to_numpy().view(np.uint64)
-        forest = Forest(shard, fp)
-        a, b = forest.links(radius)
         signed = fp.view(np.int64)
-        to = signed[least_reached(len(fp), a, b, signed)]
+        to = signed[Forest(shard, fp).groups(radius)]
         out = pd.DataFrame({"a": signed, "b": to})
         return out[out.a != out.b].drop_duplicates()
 
