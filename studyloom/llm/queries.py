@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from studyloom.llm import bpe, mixing, mpeg, neardup, pii, simhash, urlfilter
+from studyloom.llm import bpe, mixing, mpeg, neardup, pii, simhash, toxicity, urlfilter
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_fingerprints": simhash.op3_fingerprints,
     "op4_urlfilter": urlfilter.op4_urlfilter,
     "op5_mpeg": mpeg.op5_mpeg,
+    "op6_toxicity": toxicity.op6_toxicity,
     "op8_bpe": bpe.op8_bpe,
     "op10_neardup": neardup.op10_neardup,
 }
