@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from studyloom.llm import bpe, mixing, mpeg, neardup, pii, simhash, toxicity, urlfilter
+from studyloom.llm import bpe, langid, mixing, mpeg, neardup, pii, simhash, toxicity, urlfilter
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_urlfilter": urlfilter.op4_urlfilter,
     "op5_mpeg": mpeg.op5_mpeg,
     "op6_toxicity": toxicity.op6_toxicity,
+    "op7_langid": langid.op7_langid,
     "op8_bpe": bpe.op8_bpe,
     "op10_neardup": neardup.op10_neardup,
 }
