@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from studyloom.llm import bpe, langid, mixing, mpeg, neardup, pii, simhash, toxicity, urlfilter
+from studyloom.llm import bpe, langid, lm, mixing, mpeg, neardup, pii, simhash, toxicity, urlfilter
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_toxicity": toxicity.op6_toxicity,
     "op7_langid": langid.op7_langid,
     "op8_bpe": bpe.op8_bpe,
+    "op9_lm": lm.op9_lm,
     "op10_neardup": neardup.op10_neardup,
 }
 
