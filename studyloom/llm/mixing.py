@@ -143,6 +143,22 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)).cast("long"), F.lit(0).cast("long"))
 
 
+def mixed(docs: DataFrame, text: str = "text", **how) -> DataFrame:
+    """docs with each row once for every copy of it that begins within the mix: none, one or more. Rows with one id,
+    source and size stand for each other: the copies that the mix takes of them are dealt out in the order of size
+    and text hash, so what is kept is the same in every run."""
+    sized = docs.withColumn("_size", word_count(F.col(text))).withColumn("_key", F.xxhash64("doc_id", "source", "_size"))
+    repeats = how.get("repeats", 2)
+    taken = mix(docs.select("doc_id", "source", word_count(F.col(text)).alias("size")), **how).where("copies > 0")
+    taken = taken.groupBy(F.xxhash64("doc_id", "source", "size").alias("_key")).agg(
+        *[F.sum((F.col("copies") >= c).cast("int")).alias(f"_rows{c}") for c in range(1, repeats + 1)]
+    )
+    sized = sized.withColumn("_at", F.row_number().over(W.partitionBy("_key").orderBy(F.xxhash64(text))))
+    copies = sum(((F.col("_at") <= F.col(f"_rows{c}")).cast("int") for c in range(1, repeats + 1)), F.lit(0))
+    taken = sized.join(taken, "_key").withColumn("_copies", copies).where("_copies > 0")
+    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+
+
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", word_count(F.col("text")).alias("size"))
     return mix(docs).select("doc_id", "size", "source_size", "target", "taken")
