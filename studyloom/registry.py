@@ -2,15 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from studyloom.plans import inventory
 
-from pyspark.sql import DataFrame, SparkSession
+_PLANS = (inventory,)
 
-Query = Callable[[SparkSession, str], DataFrame]
-
-QUERIES: dict[str, Query] = {}
-ORACLE_SQL: dict[str, str] = {}
-
-
-def FLAGSHIP(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/nation.parquet")
+QUERIES = {name: query for plan in _PLANS for name, query in plan.QUERIES.items()}
+ORACLE_SQL = {name: sql for plan in _PLANS for name, sql in plan.ORACLE_SQL.items()}
+FLAGSHIP = inventory.a04_study_summary
