@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from studyloom.plans import inventory
+from studyloom.plans import identity, inventory
 
-_PLANS = (inventory,)
+_PLANS = (inventory, identity)
 
 QUERIES = {name: query for plan in _PLANS for name, query in plan.QUERIES.items()}
 ORACLE_SQL = {name: sql for plan in _PLANS for name, sql in plan.ORACLE_SQL.items()}
