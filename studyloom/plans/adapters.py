@@ -32,7 +32,7 @@ SELECT 'src' || CAST(o_custkey % 7 AS STRING) || '/' || CAST(l_orderkey AS STRIN
        CASE WHEN l_discount > 0.045 THEN '0.5' ELSE '' END AS slice_thickness_raw,
        CASE WHEN l_quantity >= 41 THEN CAST(CAST(l_quantity AS INT) AS STRING) ELSE '' END AS number_of_frames_raw,
        'pix' || CAST(l_partkey % 4 AS STRING) AS payload,
-       CAST(l_extendedprice AS BIGINT) AS file_size
+       CAST(floor(l_extendedprice) AS BIGINT) AS file_size
 FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey JOIN {part} ON l_partkey = p_partkey
 """
 
