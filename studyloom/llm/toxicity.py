@@ -31,6 +31,8 @@ MIN_DOCS, MIN_RATIO = 4, 6.0
 CUTOFF = 0.7
 #: A word's beginning that may be a term, and how many words away a second person counts as near.
 STEM, NEAR = 4, 5
+#: Columns that scoring adds for itself.
+FEATURES, PROBABILITY, RAW, CALIBRATED = "_toxicity_features", "_toxicity_probability", "_toxicity_raw", "_toxicity_calibrated"
 
 # General insults and second-person words. Fixed values.
 INSULTS = (
@@ -108,7 +110,7 @@ def features(text: str, lexicon: dict[str, float]) -> list[float]:
 
 
 def with_features(docs: DataFrame, text: Column, lexicon: dict[str, float]) -> DataFrame:
-    """docs with ``features``, a vector. A null text is empty."""
+    """docs with the vector FEATURES. A null text is empty."""
     shared = docs.sparkSession.sparkContext.broadcast(lexicon)  # MAX_TERMS and the general insults at most
 
     @F.pandas_udf("array<double>")
@@ -116,7 +118,7 @@ def with_features(docs: DataFrame, text: Column, lexicon: dict[str, float]) -> D
         for texts in batches:
             yield pd.Series([features(t, shared.value) for t in texts], dtype=object)
 
-    return docs.withColumn("features", array_to_vector(dense(F.coalesce(text, F.lit("")))))
+    return docs.withColumn(FEATURES, array_to_vector(dense(F.coalesce(text, F.lit("")))))
 
 
 def labelled_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -163,9 +165,8 @@ class Model:
         if self.trees is None:
             return docs.withColumn("score", F.lit(self.rate))
         d = self.trees.transform(with_features(docs, text, self.lexicon))
-        d = d.withColumn("raw", vector_to_array("probability")[1])
-        d = self.curve.transform(d)
-        return d.withColumn("score", F.col("calibrated") * 0.99 + F.col("raw") * 0.01).select(*docs.columns, "score")
+        d = self.curve.transform(d.withColumn(RAW, vector_to_array(PROBABILITY)[1]))
+        return d.select(*docs.columns, (F.col(CALIBRATED) * 0.99 + F.col(RAW) * 0.01).alias("score"))
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> Model:
@@ -182,11 +183,12 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     of = lambda part: F.col("fold").isin(*part)
     lexicon = learn_lexicon(rows.where(of(parts[0])))
     known = with_features(rows.where(of({*parts[1], *parts[2]})), F.col("text"), lexicon)
-    known = staged(known.select("label", "fold", vector_to_array("features").alias("f")), "toxicity-features").withColumn("features", array_to_vector("f"))
+    known = staged(known.select("label", "fold", vector_to_array(FEATURES).alias("f")), "toxicity-features").withColumn(FEATURES, array_to_vector("f"))
     small = min(5, max(1, int(bad) // 10))
-    trees = GBTClassifier(maxIter=20, maxDepth=3, stepSize=0.2, minInstancesPerNode=small, seed=6, checkpointInterval=-1).fit(known.where(of(parts[1])))
-    raw = trees.transform(known.where(of(parts[2]))).select("label", vector_to_array("probability")[1].alias("raw"))
-    curve = IsotonicRegression(featuresCol="raw", labelCol="label", predictionCol="calibrated").fit(raw)
+    columns = {"featuresCol": FEATURES, "probabilityCol": PROBABILITY, "rawPredictionCol": "_toxicity_margin", "predictionCol": "_toxicity_class"}
+    trees = GBTClassifier(**columns, maxIter=20, maxDepth=3, stepSize=0.2, minInstancesPerNode=small, seed=6, checkpointInterval=-1).fit(known.where(of(parts[1])))
+    raw = trees.transform(known.where(of(parts[2]))).select("label", vector_to_array(PROBABILITY)[1].alias(RAW))
+    curve = IsotonicRegression(featuresCol=RAW, labelCol="label", predictionCol=CALIBRATED).fit(raw)
     return Model(lexicon, trees, curve, float(bad / n))
 
 
