@@ -25,12 +25,15 @@ BIN_ROWS, MAX_BINS, FAN = 512, 65536, 256
 LANES16, LANES32 = 0x0001000100010001, 0x0000FFFF0000FFFF
 
 
-def terms(text: Column) -> Column:
-    """array<struct<a, b>> of adjacent words, lower case; a lone word stands with the empty one."""
-    words = F.filter(F.split(lower_ascii(text), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+def words_of(text: Column) -> Column:
+    return F.filter(F.split(lower_ascii(text), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+
+
+def terms(words: Column) -> Column:
+    """array<struct<a, b>> of adjacent words; a lone word stands with the empty one, and no word makes no term."""
     after = F.concat(F.slice(words, F.lit(2), F.greatest(F.size(words) - 1, F.lit(0))), F.array(F.lit("")))
     pairs = F.arrays_zip(words.alias("a"), after.alias("b"))
-    return F.slice(pairs, F.lit(1), F.greatest(F.size(words) - 1, F.lit(1)))
+    return F.slice(pairs, F.lit(1), F.when(F.size(words) > 1, F.size(words) - 1).otherwise(F.size(words)))
 
 
 def _votes(term: Column) -> list[Column]:
@@ -44,7 +47,9 @@ def _votes(term: Column) -> list[Column]:
 
 def fingerprints(texts: DataFrame, keys: list[str]) -> DataFrame:
     """texts(*keys, text), keys unique and not null -> keys, hi, lo: two longs of 64 bits. No words: zeros."""
-    d = texts.select(*keys, F.posexplode_outer(terms(F.col("text"))).alias("pos", "t"))
+    # split once: a generator's own expression would be evaluated for each of its uses
+    d = texts.select(*keys, words_of(F.col("text")).alias("words"))
+    d = d.select(*keys, F.posexplode_outer(terms(F.col("words"))).alias("pos", "t"))
     d = d.select(
         *keys,
         F.floor(F.coalesce("pos", F.lit(0)) / CHUNK).alias("chunk"),
