@@ -157,7 +157,7 @@ def initials_match(name: Column, initials: Column) -> Column:
     """Whether Latin text begins with the first initial and has the others in order; two initials at least."""
     letters = F.regexp_replace(F.upper(name), "[^A-Z]", "")
     pattern = F.concat(F.lit("^"), F.array_join(F.split(F.upper(initials), ""), "[A-Z]*"))
-    return (F.length(initials) >= 2) & letters.rlike(pattern)
+    return (F.length(initials) >= 2) & F.rlike(letters, pattern)
 
 
 def match_key(hospital_number: Column, name: Column) -> Column:
