@@ -185,8 +185,9 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     known = with_features(rows.where(of({*parts[1], *parts[2]})), F.col("text"), lexicon)
     known = staged(known.select("label", "fold", vector_to_array(FEATURES).alias("f")), "toxicity-features").withColumn(FEATURES, array_to_vector("f"))
     small = min(5, max(1, int(bad) // 10))
-    columns = {"featuresCol": FEATURES, "probabilityCol": PROBABILITY, "rawPredictionCol": "_toxicity_margin", "predictionCol": "_toxicity_class"}
-    trees = GBTClassifier(**columns, maxIter=20, maxDepth=3, stepSize=0.2, minInstancesPerNode=small, seed=6, checkpointInterval=-1).fit(known.where(of(parts[1])))
+    trees = GBTClassifier(featuresCol=FEATURES, maxIter=20, maxDepth=3, stepSize=0.2, minInstancesPerNode=small, seed=6, checkpointInterval=-1)
+    trees.setPredictionCol("_toxicity_class").setProbabilityCol(PROBABILITY).setRawPredictionCol("_toxicity_margin")
+    trees = trees.fit(known.where(of(parts[1])))
     raw = trees.transform(known.where(of(parts[2]))).select("label", vector_to_array(PROBABILITY)[1].alias(RAW))
     curve = IsotonicRegression(featuresCol=RAW, labelCol="label", predictionCol=CALIBRATED).fit(raw)
     return Model(lexicon, trees, curve, float(bad / n))
