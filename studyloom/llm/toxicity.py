@@ -52,8 +52,10 @@ NAMES = (
 )
 
 _WORD = re.compile(r"[^\W\d_]+")
-_MIXED = re.compile(r"(?<![^\W_])[^\W\d_]+[0-9@$!|]+(?=[^\W\d_])[\w@$!|]*")
+_MIXED = re.compile(r"(?<![\w@$!|])[^\W\d_]*+[0-9@$!|]++[^\W\d_][\w@$!|]*+")
 _SPACED = re.compile(r"(?<!\w)(?:[^\W\d_][ .*_-]){3,}[^\W\d_](?!\w)")
+_GAPS = re.compile(r"[ .*_-]")
+_DRAWN = re.compile(r"([^\W\d_])\1{2,}")
 _SHOUTED = re.compile(r"\b[A-Z]{3,}\b")
 _PUNCTUATION = np.zeros(256, dtype=bool)
 _PUNCTUATION[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
@@ -73,7 +75,12 @@ def features(text: str, lexicon: dict[str, float]) -> list[float]:
     """In the order of NAMES. An empty text has zeros."""
     low = text.lower()
     words = _WORD.findall(low)
+    mixed = _MIXED.findall(low)
+    hidden = [m.translate(LEET) for m in mixed] + [_GAPS.sub("", m) for m in _SPACED.findall(low)]
+    hidden += [_DRAWN.sub(r"\1", w) for w in words if _DRAWN.search(w)] if _DRAWN.search(low) else []
+    hidden = [w for w in hidden if w in lexicon]
     count = Counter(words)
+    count.update(hidden)  # a disguised hit is a hit
     n = max(1, len(words))
     hits = {w: lexicon[w] for w in count if w in lexicon}
     stems = {w: lexicon[s] for w in count if (s := stem(w)) in lexicon}
@@ -83,9 +90,6 @@ def features(text: str, lexicon: dict[str, float]) -> list[float]:
         for i, w in enumerate(words):
             if w in hits and not SECOND_PERSON.isdisjoint(words[max(0, i - NEAR) : i + NEAR + 1]):
                 near += 1
-    mixed = _MIXED.findall(low)
-    hidden = sum(m.translate(LEET) in lexicon for m in mixed)
-    hidden += sum(re.sub(r"[ .*_-]", "", m) in lexicon for m in _SPACED.findall(low))
     data = np.frombuffer(text.encode(), dtype=np.uint8)
     size = max(1, len(data))
     upper = int(np.count_nonzero((data >= 65) & (data <= 90)))
@@ -103,7 +107,7 @@ def features(text: str, lexicon: dict[str, float]) -> list[float]:
         text.count("!") / n,
         text.count("?") / n,
         int(np.count_nonzero(_PUNCTUATION[data])) / size,
-        hidden / n,
+        len(hidden) / n,
         len(mixed) / n,
         math.log1p(len(words)),
     ]

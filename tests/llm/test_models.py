@@ -46,6 +46,9 @@ def test_toxicity(spark, documents):
 def test_toxicity_features():
     f = dict(zip(toxicity.NAMES, toxicity.features("YOU are an 1d1ot and i d i o t!! Idiot", {"idiot": 2.0}), strict=True))
     assert f["strongest"] == 2.0 and f["obfuscated"] > 0 and f["exclamations"] > 0 and f["shouted"] > 0
+    for text in ("you 1d1ot here", "you !diot here", "you i.d.i.o.t here", "you idiiiiot here", "you IDIOT here"):
+        assert toxicity.features(text, {"idiot": 2.0})[0] > 0, text
+    assert toxicity.features("you are a fine person, 3 times", {"idiot": 2.0})[0] == 0
     assert toxicity.features("", {"idiot": 2.0}) == [0.0] * len(toxicity.NAMES)
 
 
