@@ -54,11 +54,14 @@ def patient_inventory(nh: DataFrame) -> DataFrame:
     )
 
 
-def modal(df: DataFrame, keys: list[str], column: str) -> DataFrame:
-    """keys, column: its commonest value that is not empty, the least of equals."""
-    counted = df.where(F.col(column).isNotNull() & (F.col(column).cast("string") != "")).groupBy(*keys, column).agg(F.count(F.lit(1)).alias("n"))
-    best = F.min(F.struct((-F.col("n")).alias("n"), F.col(column).alias("v")))["v"]
-    return counted.groupBy(*keys).agg(best.alias(column))
+def common(column: str) -> Column:
+    """An aggregate: the commonest value that is neither null nor empty, the least of equals."""
+    return F.mode(F.when(F.col(column).cast("string") != "", F.col(column)), True)
+
+
+def modal(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """keys and the commonest value of each column, in one pass."""
+    return df.groupBy(*keys).agg(*[common(c).alias(c) for c in columns])
 
 
 def series_summary(nh: DataFrame) -> DataFrame:
@@ -96,7 +99,7 @@ def study_summary(series: DataFrame) -> DataFrame:
 def quality_warnings(nh: DataFrame, grain: str = "study_uid") -> DataFrame:
     """(grain, warning, n): several patient ids, several exam dates, none at all."""
     g = nh.groupBy(grain).agg(
-        F.count_distinct(F.when(F.col("patient_id") != "", F.col("patient_id"))).alias("ids"), F.count_distinct("exam_date").alias("dates")
+        F.size(F.collect_set(F.when(F.col("patient_id") != "", F.col("patient_id")))).cast("long").alias("ids"), F.size(F.collect_set("exam_date")).cast("long").alias("dates")
     )
     found = F.array_compact(
         F.array(
@@ -120,11 +123,12 @@ def unique_values(df: DataFrame, keys: list[str], columns: list[str]) -> DataFra
     aggs = []
     for c in columns:
         there = F.when(F.col(c) != "", F.col(c))
-        aggs += [F.min(there).alias(f"_{c}"), F.count_distinct(there).alias(f"n_{c}"), F.count(there).alias(f"held_{c}")]
+        aggs += [F.min(there).alias(f"_{c}"), (F.min(there) != F.max(there)).alias(f"more_{c}"), F.count(there).alias(f"held_{c}")]
     g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"), *aggs)
-    several = sum((F.when(F.col(f"n_{c}") > 1, 1).otherwise(0) for c in columns), F.lit(0)) > 0
-    none = sum((F.when(F.col(f"n_{c}") == 0, 1).otherwise(0) for c in columns), F.lit(0)) > 0
-    some = sum((F.when(F.col(f"held_{c}") < F.col("rows"), 1).otherwise(0) for c in columns), F.lit(0)) > 0
+    any_of = lambda test: sum((F.when(test(c), 1).otherwise(0) for c in columns), F.lit(0)) > 0
+    several = any_of(lambda c: F.col(f"more_{c}"))
+    none = any_of(lambda c: F.col(f"held_{c}") == 0)
+    some = any_of(lambda c: F.col(f"held_{c}") < F.col("rows"))
     status = F.when(several, "multiple_values").when(none, "missing_tag").when(some, "partial_missing").otherwise("ok")
     values = [F.when(several, "").otherwise(F.coalesce(f"_{c}", F.lit(""))).alias(c) for c in columns]
     return g.select(*keys, "rows", *values, status.alias("status"))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from studyloom.functions import dates
 from studyloom.operators.components import connected_components
-from studyloom.operators.headers import modal
+from studyloom.operators.headers import common
 
 #: Years by which an estimated birth year may differ.
 TOLERANCE = 1.25
@@ -22,23 +22,22 @@ TOLERANCE = 1.25
 def profiles(nh: DataFrame) -> DataFrame:
     """A row per patient id: modal name key, birth date and sex, median birth year by age, institutions, Studies,
     files, and conflicts within the id (several birth dates, several sexes)."""
-    known = nh.where("patient_id <> ''")
     year = dates.birth_year(F.col("suffix_age"), F.col("exam_date"))
-    base = known.groupBy("patient_id").agg(
-        F.count(F.lit(1)).alias("files"),
-        F.count_distinct("study_uid").alias("studies"),
-        F.array_sort(F.collect_set("institution_key")).alias("institutions"),
+    sex = F.when(F.col("sex") != "", F.col("sex"))
+    # one pass and one shuffle: modes instead of counts joined back, least and greatest instead of distinct counts
+    base = nh.where("patient_id <> ''").groupBy("patient_id").agg(
+        F.coalesce(common("name_key"), F.lit("")).alias("name_key"),
+        common("birth_date").alias("birth_date"),
+        F.coalesce(common("sex"), F.lit("")).alias("sex"),
         F.percentile(year, 0.5).alias("birth_year"),
-        F.count_distinct("birth_date").alias("_births"),
-        F.count_distinct(F.when(F.col("sex") != "", F.col("sex"))).alias("_sexes"),
+        F.array_sort(F.collect_set("institution_key")).alias("institutions"),
+        F.count_distinct("study_uid").alias("studies"),
+        F.count(F.lit(1)).alias("files"),
+        (F.min("birth_date") != F.max("birth_date")).alias("_births"),
+        (F.min(sex) != F.max(sex)).alias("_sexes"),
     )
-    for c in ("name_key", "birth_date", "sex"):
-        base = base.join(modal(known, ["patient_id"], c), "patient_id", "left")
-    conflicts = F.array_compact(F.array(F.when(F.col("_births") > 1, "multiple_birth_dates"), F.when(F.col("_sexes") > 1, "multiple_sexes")))
-    return base.select(
-        "patient_id", F.coalesce("name_key", F.lit("")).alias("name_key"), "birth_date", F.coalesce("sex", F.lit("")).alias("sex"), "birth_year",
-        "institutions", "studies", "files", F.array_join(conflicts, ",").alias("internal_conflicts"),
-    )
+    conflicts = F.array_compact(F.array(F.when(F.col("_births"), "multiple_birth_dates"), F.when(F.col("_sexes"), "multiple_sexes")))
+    return base.withColumn("internal_conflicts", F.array_join(conflicts, ",")).drop("_births", "_sexes")
 
 
 def relation(left: str = "l", right: str = "r") -> Column:
@@ -189,19 +188,20 @@ def subject_gate(nh: DataFrame, subject: str = "patient_id") -> DataFrame:
 
     Two Studies differ in a set of facts exactly if the subject's Studies have no value of it in common pair by pair;
     with at most one value per Study that is two distinct values, so no pair of Studies is formed."""
+    names = ("name_key", "birth_date", "sex")
+    some = {c: F.when(F.col(c).cast("string") != "", F.col(c)) for c in names}
     s = nh.where(F.col(subject) != "").groupBy(subject, "study_uid").agg(
-        *[F.min(F.when(F.col(c).cast("string") != "", F.col(c))).alias(c) for c in ("name_key", "birth_date", "sex")],
-        *[F.count_distinct(F.when(F.col(c).cast("string") != "", F.col(c))).alias(f"_{c}") for c in ("name_key", "birth_date", "sex")],
+        *[F.min(some[c]).alias(c) for c in names], *[(F.min(some[c]) != F.max(some[c])).alias(f"_{c}") for c in names]
     )
-    facts = sum((F.col(c).isNotNull().cast("int") for c in ("name_key", "birth_date", "sex")), F.lit(0))
-    split = (F.col("_name_key") > 1) | (F.col("_birth_date") > 1) | (F.col("_sex") > 1)
+    facts = sum((F.col(c).isNotNull().cast("int") for c in names), F.lit(0))
+    split = F.coalesce("_name_key", F.lit(False)) | F.coalesce("_birth_date", F.lit(False)) | F.coalesce("_sex", F.lit(False))
     g = s.groupBy(subject).agg(
         F.count(F.lit(1)).alias("studies"),
-        *[F.count_distinct(c).alias(f"n_{c}") for c in ("name_key", "birth_date", "sex")],
+        *[(F.min(c) != F.max(c)).alias(f"n_{c}") for c in names],
         F.bool_or(split).alias("split"),
         F.bool_or((facts < 2) | F.col("name_key").isNull()).alias("thin"),
     )
-    conflicts = F.array_compact(F.array(*[F.when(F.col(f"n_{c}") > 1, c) for c in ("name_key", "birth_date", "sex")], F.when(F.col("split"), "within_study")))
+    conflicts = F.array_compact(F.array(*[F.when(F.col(f"n_{c}"), c) for c in names], F.when(F.col("split"), "within_study")))
     status = F.when(F.size(conflicts) > 0, "conflict").when(F.col("thin"), "insufficient").otherwise("confirmed")
     return g.select(subject, "studies", status.alias("decision"), F.array_join(conflicts, ",").alias("conflicts"))
 

@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from studyloom.functions import dates, text
+from studyloom.operators.headers import common
 
 NA = "NA"
 
@@ -56,7 +57,7 @@ def stable(column: str, as_text: Column | None = None) -> Column:
     """An aggregate: the only value of a column, NA where there are several or none."""
     c = as_text if as_text is not None else F.col(column)
     some = F.when(c != "", c)
-    return F.when(F.count_distinct(some) == 1, F.min(some)).otherwise(NA)
+    return F.when(F.min(some) == F.max(some), F.min(some)).otherwise(NA)
 
 
 def series_report(nh: DataFrame, registry: DataFrame) -> DataFrame:
@@ -64,14 +65,13 @@ def series_report(nh: DataFrame, registry: DataFrame) -> DataFrame:
     first kind of date that the group has), subject by registry, period to surgery, and instances."""
     multi = F.coalesce(F.col("frames"), F.lit(1)) > 1
     d = nh.where("sop_uid <> '' AND study_uid <> '' AND series_uid <> ''").withColumn("instance", F.when(multi, F.col("sop_uid")).otherwise(""))
-    names = d.where("patient_name <> ''").groupBy("study_uid", "series_uid", "instance", "patient_name").agg(F.count(F.lit(1)).alias("n"))
-    names = names.groupBy("study_uid", "series_uid", "instance").agg(F.min(F.struct((-F.col("n")).alias("n"), "patient_name"))["patient_name"].alias("patient_name"))
+    kinds = lambda c: F.size(F.collect_set(c)).cast("long")  # noqa: E731  a handful in a group
     g = d.groupBy("study_uid", "series_uid", "instance").agg(
         F.coalesce(F.min("acquisition_date"), F.min("study_date")).alias("imaging_date"),
-        F.when(F.min("acquisition_date").isNotNull(), F.count_distinct("acquisition_date")).otherwise(F.count_distinct("study_date")).alias("dates"),
+        F.when(F.min("acquisition_date").isNotNull(), kinds("acquisition_date")).otherwise(kinds("study_date")).alias("dates"),
         stable("modality").alias("modality"), stable("series_description").alias("series_description"), F.count_distinct("sop_uid").alias("instances"),
-        F.max("frames").alias("frames"), F.min("screening").alias("screening"),
-    ).join(names, ["study_uid", "series_uid", "instance"], "left")
+        F.max("frames").alias("frames"), F.min("screening").alias("screening"), common("patient_name").alias("patient_name"),
+    )
     g = g.withColumn("name_key", text.bare_name(F.coalesce("patient_name", F.lit(""))))
     m = match_registry(g, registry, "name_key", "screening")
     period = F.coalesce(dates.period(F.col("imaging_date"), F.col("surgery_date")), F.lit(NA))

@@ -55,10 +55,7 @@ SELECT patient_key, CAST(sum(n) AS BIGINT) AS files, first(patient_name ORDER BY
 
 
 def a02_modal_values(spark, sf):
-    nh = _nh(spark, sf).where("patient_id <> ''")
-    out = nh.select("patient_id").distinct()
-    for c in ("birth_date", "sex", "institution_key"):
-        out = out.join(H.modal(nh, ["patient_id"], c), "patient_id", "left")
+    out = H.modal(_nh(spark, sf).where("patient_id <> ''"), ["patient_id"], ["birth_date", "sex", "institution_key"])
     return out.withColumn("birth_date", F.col("birth_date").cast("string"))
 
 

@@ -9,6 +9,7 @@ from studyloom.operators import identity as I
 from studyloom.operators import routing as R
 from studyloom.plans.adapters import hdr, oracle, registry, table
 from studyloom.plans.identity import PROFILES
+from studyloom.storage import staged
 
 
 def _profiles(spark, sf, keep="true"):
@@ -33,7 +34,7 @@ def e05_strong_matches(spark, sf):
 
 
 def e06_reroutes(spark, sf):
-    return R.reroutes(_profiles(spark, sf))
+    return R.reroutes(staged(_profiles(spark, sf), "reroute-profiles"))  # read six times
 
 
 E05 = f"WITH {SETS} SELECT * FROM sm"
