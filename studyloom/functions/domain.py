@@ -71,3 +71,32 @@ def is_header(prefix: Column, uids: list[Column], facts: list[Column], uids_need
     """Whether a file is an imaging header: its prefix, identifiers or enough other facts say so."""
     n = lambda cs: sum((F.when(c != "", 1).otherwise(0) for c in cs), F.lit(0))
     return prefix | (n(uids) >= uids_needed) | (n(facts) >= facts_needed)
+
+
+#: Display names of storage classes. Fixed values.
+SOP_CLASSES = {
+    "1.2.840.10008.5.1.4.1.1.2": "CT", "1.2.840.10008.5.1.4.1.1.4": "MR", "1.2.840.10008.5.1.4.1.1.7": "SC", "1.2.840.10008.5.1.4.1.1.12.1": "XA",
+    "1.2.840.10008.5.1.4.1.1.12.1.1": "Enhanced XA", "1.2.840.10008.5.1.4.1.1.13.1.1": "X-Ray 3D Angiographic",
+}
+
+
+def sop_class_name(uid: Column) -> Column:
+    out = uid
+    for key, name in SOP_CLASSES.items():
+        out = F.when(uid == key, name).otherwise(out)
+    return out
+
+
+def suffix_conflicts(sex_: Column, suffix_sex: Column, years: Column, suffix_years: Column) -> Column:
+    """Where a name's suffix contradicts the header: another sex, an age more than a year apart."""
+    return F.array_compact(
+        F.array(
+            F.when((sex_ != "") & (suffix_sex != "") & (sex_ != suffix_sex), "suffix_sex"),
+            F.when(F.abs(years - suffix_years) > 1, "suffix_age"),
+        )
+    )
+
+
+def screening_in_center(screening: Column, center_code: Column) -> Column:
+    """Whether a screening number begins with its center's code."""
+    return (center_code != "") & screening.startswith(F.concat(center_code, F.lit("-")))

@@ -1,12 +1,13 @@
 """Normalisers of identifiers, names and other text. Missing text is the empty string, as in all header data.
 
-Every function maps a Column to a Column and stays in generated code; ``nfkc`` and ``remap_uid`` are the exceptions,
-for which Spark has no built-in.
+Every function maps a Column to a Column and stays in generated code; ``nfkc`` and ``pinyin_initials`` are the
+exceptions, for which Spark has no built-in.
 """
 
 from __future__ import annotations
 
 import unicodedata
+from bisect import bisect_right
 
 import pandas as pd
 from pyspark.sql import Column
@@ -28,6 +29,26 @@ _FULL_WIDTH = "".join(chr(0xFEE0 + c) for c in range(0x21, 0x7F)) + "　"
 _ASCII = "".join(map(chr, range(0x21, 0x7F))) + " "
 
 
+# First GB 2312 codes of the level-1 characters by pinyin initial, and the code after the last. Fixed values.
+INITIAL_STARTS = (
+    ("A", 45217), ("B", 45253), ("C", 45761), ("D", 46318), ("E", 46826), ("F", 47010), ("G", 47297), ("H", 47614), ("J", 48119), ("K", 49062), ("L", 49324), ("M", 49896),
+    ("N", 50371), ("O", 50614), ("P", 50622), ("Q", 50906), ("R", 51387), ("S", 51446), ("T", 52218), ("W", 52698), ("X", 52980), ("Y", 53689), ("Z", 54481), ("", 55290),
+)
+
+
+@F.pandas_udf(T.StringType())
+def pinyin_initials(text: pd.Series) -> pd.Series:
+    """Pinyin initials of the common Chinese characters, which their standard code is ordered by; others have none."""
+    starts = [s for _, s in INITIAL_STARTS]
+
+    def one(c: str) -> str:
+        code = c.encode("gb2312", "ignore")
+        k = bisect_right(starts, int.from_bytes(code, "big")) - 1 if len(code) == 2 else -1
+        return INITIAL_STARTS[k][0] if k >= 0 else ""
+
+    return text.map(lambda x: "" if x is None else "".join(map(one, x)))
+
+
 @F.pandas_udf(T.StringType())
 def nfkc(text: pd.Series) -> pd.Series:
     """Full compatibility normalisation, for text beyond full-width forms."""
@@ -160,6 +181,11 @@ def initials_match(name: Column, initials: Column) -> Column:
     return (F.length(initials) >= 2) & F.rlike(letters, pattern)
 
 
+def chinese_matches_header(name: Column, header: Column) -> Column:
+    """Whether a Chinese name's initials fit a Latin header name."""
+    return initials_match(header, pinyin_initials(name))
+
+
 def match_key(hospital_number: Column, name: Column) -> Column:
     """The key by which a folder named after an id and a name is found."""
     return F.lower(F.regexp_replace(F.concat(clean(hospital_number), clean(name)), r"[\s_\-^.,]+", ""))

@@ -91,3 +91,26 @@ def run_status(results: DataFrame, group: str) -> DataFrame:
     )
     ended = F.when(F.col("copied") == 0, "failed").when((F.col("conflicts") > 0) | (F.col("rejected") > 0), "needs_attention").otherwise("complete")
     return g.withColumn("run_status", ended)
+
+
+def verify_candidates(files: DataFrame, expected: DataFrame) -> DataFrame:
+    """files(relative_path, study_uid, series_uid, sop_uid, file_size, modified) as read, expected(relative_path, the
+    same) as planned: status ok, source_file_missing, source_changed or uid_mismatch with the identifiers that differ."""
+    f, e = files.alias("f"), expected.alias("e")
+    d = e.join(f, F.col("e.relative_path") == F.col("f.relative_path"), "left")
+    differ = F.array_compact(F.array(*[F.when(F.col(f"e.{c}") != F.col(f"f.{c}"), c) for c in ("study_uid", "series_uid", "sop_uid")]))
+    changed = (F.col("e.file_size") != F.col("f.file_size")) | (F.col("e.modified") != F.col("f.modified"))
+    status = F.when(F.col("f.relative_path").isNull(), "source_file_missing").when(changed, "source_changed").when(F.size(differ) > 0, "uid_mismatch").otherwise("ok")
+    return d.select("e.relative_path", status.alias("status"), F.when(status == "uid_mismatch", F.array_join(differ, ",")).otherwise("").alias("differ"))
+
+
+def publish_status(verified: DataFrame, existing: DataFrame, execute: bool) -> DataFrame:
+    """verified(target, sha, problems), existing(target, sha) -> what a run does with each file: nothing where it did
+    not pass, a duplicate where the target has its bytes, a conflict where it has others, else it writes."""
+    e = existing.select("target", F.col("sha").alias("_sha"))
+    d = verified.join(e, "target", "left")
+    status = (
+        F.when(F.col("problems") != "", "verification_failed").when(F.col("_sha") == F.col("sha"), "duplicate_same").when(F.col("_sha").isNotNull(), "conflict")
+        .otherwise("written" if execute else "planned")
+    )
+    return d.withColumn("status", status).drop("_sha")

@@ -147,3 +147,29 @@ def exactly_one(patients: DataFrame, registry: DataFrame) -> DataFrame:
 def unmatched(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of left without a partner."""
     return left.join(right.select(*keys).distinct(), keys, "left_anti")
+
+
+def bind_manually(manual: DataFrame, registry: DataFrame, enrolled: DataFrame, sequence: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Confirmed bindings of Studies whose patients lack an id: manual(row, screening, name, study_uid, confirmed,
+    basis), registry(screening_key, name_key), enrolled(name_key) without id, sequence(study_uid, name_key, id).
+
+    -> (row, screening, study_uid) and exceptions (row, reason). Each side must have exactly one partner, names must
+    agree, and a Study or a screening number that several rows bind differently vetoes all of them."""
+    m = manual.withColumn("name_key", text.bare_name(F.col("name")))
+    reg = registry.where("screening_key <> ''").groupBy(F.col("screening_key").alias("screening")).agg(F.count(F.lit(1)).alias("n_reg"), F.min("name_key").alias("reg_name"))
+    enr = enrolled.groupBy("name_key").agg(F.count(F.lit(1)).alias("n_enr"))
+    seq = sequence.groupBy("study_uid").agg(F.count_distinct("name_key").alias("n_seq"), F.min("name_key").alias("seq_name"), F.max(F.col("id") != "").alias("has_id"))
+    d = m.join(reg, "screening", "left").join(enr, "name_key", "left").join(seq, "study_uid", "left")
+    alone = (
+        F.when(~F.col("confirmed"), "not_confirmed").when(F.col("basis") == "", "missing_basis").when(F.col("n_reg").isNull(), "screening_not_found").when(F.col("n_reg") > 1, "screening_not_unique")
+        .when(F.col("reg_name") != F.col("name_key"), "registry_name_mismatch").when(F.col("n_enr").isNull(), "enrolled_not_found").when(F.col("n_enr") > 1, "enrolled_not_unique")
+        .when(F.col("n_seq").isNull(), "study_not_found").when((F.col("n_seq") > 1) | (F.col("seq_name") != F.col("name_key")), "study_name_mismatch").when(F.col("has_id"), "study_has_id")
+    )
+    d = d.withColumn("reason", alone)
+    able = d.where("reason IS NULL")
+    studies = able.groupBy("study_uid").agg(F.count_distinct("screening").alias("_screenings"))
+    people = able.groupBy("name_key").agg(F.count_distinct("screening").alias("_bound"))
+    d = d.join(studies, "study_uid", "left").join(people, "name_key", "left")
+    reason = F.coalesce("reason", F.when((F.col("_screenings") > 1) | (F.col("_bound") > 1), "conflicting_bindings"))
+    d = d.select("row", "screening", "study_uid", reason.alias("reason"))
+    return d.where("reason IS NULL").drop("reason"), d.where("reason IS NOT NULL").select("row", "reason")

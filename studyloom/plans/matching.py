@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from studyloom.functions import text
+from studyloom.functions import dates, domain, text
+from studyloom.operators import files as P
 from studyloom.operators import headers as H
 from studyloom.operators import matching as M
 from studyloom.plans.adapters import hdr, oracle, registry, table
@@ -160,12 +161,65 @@ def j12_unmatched_subjects(spark, sf):
 J12 = """SELECT min(source_order) AS source_order, lower(replace(patient_name, ' ', '')) AS name_key FROM registry r
 WHERE NOT EXISTS (SELECT 1 FROM nh WHERE lower(replace(nh.patient_name, ' ', '')) = lower(replace(r.patient_name, ' ', ''))) GROUP BY center_name, patient_name, hospital_number, surgery_date, screening_number"""
 
+def j06_manual_exceptions(spark, sf):
+    r = _registry(spark, sf)[0]
+    nh = H.normalised(hdr(spark, sf))
+    k = F.col("source_order")
+    raw = registry(spark, sf)
+    manual = raw.where(k % 2 == 0).select(
+        k.alias("row"), F.when(k % 10 == 0, "99-H999").otherwise(F.col("screening_number")).alias("screening"), F.when(k % 14 == 0, "OTHER").otherwise(F.col("patient_name")).alias("name"),
+        F.concat(F.lit("1.2.826."), (k * 3).cast("string")).alias("study_uid"), (k % 22 != 0).alias("confirmed"), F.when(k % 26 == 0, "").otherwise("seen").alias("basis"),
+    )
+    enrolled = raw.where(k % 3 == 0).select(text.bare_name(F.col("patient_name")).alias("name_key"))
+    sequence = nh.select("study_uid", text.bare_name(F.col("patient_name")).alias("name_key"), F.col("patient_id").alias("id"))
+    return M.bind_manually(manual, r, enrolled, sequence)[1]
+
+
+J06 = """WITH m AS (SELECT source_order AS row, CASE WHEN source_order % 10 = 0 THEN '99-H999' ELSE screening_number END AS screening, CASE WHEN source_order % 14 = 0 THEN 'other' ELSE lower(replace(patient_name, ' ', '')) END AS nk,
+ '1.2.826.' || source_order * 3 AS study_uid, source_order % 22 <> 0 AS confirmed, source_order % 26 <> 0 AS based FROM registry WHERE source_order % 2 = 0),
+o AS (SELECT DISTINCT center_name, patient_name, hospital_number, surgery_date, screening_number FROM registry),
+g AS (SELECT screening_number AS screening, count(*) AS n, min(lower(replace(patient_name, ' ', ''))) AS nk FROM o GROUP BY 1),
+e AS (SELECT lower(replace(patient_name, ' ', '')) AS nk, count(*) AS n FROM registry WHERE source_order % 3 = 0 GROUP BY 1),
+q AS (SELECT study_uid, count(DISTINCT lower(replace(patient_name, ' ', ''))) AS n, min(lower(replace(patient_name, ' ', ''))) AS nk, bool_or(patient_id <> '') AS has_id FROM nh GROUP BY 1),
+a AS (SELECT m.*, CASE WHEN NOT confirmed THEN 'not_confirmed' WHEN NOT based THEN 'missing_basis' WHEN g.n IS NULL THEN 'screening_not_found' WHEN g.n > 1 THEN 'screening_not_unique' WHEN g.nk <> m.nk THEN 'registry_name_mismatch'
+ WHEN e.n IS NULL THEN 'enrolled_not_found' WHEN e.n > 1 THEN 'enrolled_not_unique' WHEN q.n IS NULL THEN 'study_not_found' WHEN q.n > 1 OR q.nk <> m.nk THEN 'study_name_mismatch' WHEN q.has_id THEN 'study_has_id' END AS reason
+ FROM m LEFT JOIN g USING (screening) LEFT JOIN e ON e.nk = m.nk LEFT JOIN q ON q.study_uid = m.study_uid)
+SELECT row, coalesce(reason, 'conflicting_bindings') AS reason FROM (SELECT *, count(DISTINCT CASE WHEN reason IS NULL THEN screening END) OVER (PARTITION BY study_uid) AS a, count(DISTINCT CASE WHEN reason IS NULL THEN screening END) OVER (PARTITION BY nk) AS b FROM a)
+WHERE reason IS NOT NULL OR a > 1 OR b > 1"""
+
+
+def f08_suffix_conflicts(spark, sf):
+    nh = H.normalised(hdr(spark, sf))
+    years = F.year("exam_date") - F.year("birth_date")
+    c = domain.suffix_conflicts(F.col("sex"), F.col("suffix_sex"), years, dates.age_years(F.col("suffix_age")))
+    return nh.select("relative_path", F.array_join(c, ",").alias("conflicts")).where("conflicts <> ''")
+
+
+F08 = """SELECT relative_path, concat_ws(',', CASE WHEN sex = 'F' AND suffix_sex = 'M' THEN 'suffix_sex' END, CASE WHEN abs(year(exam_date) - year(birth_date) - CASE WHEN suffix_age <> '' THEN 56 END) > 1 THEN 'suffix_age' END) AS conflicts
+FROM nh WHERE conflicts <> ''"""
+
+
+def v03_verified_candidates(spark, sf):
+    least = [F.min(c).alias(c) for c in ("study_uid", "series_uid", "sop_uid", "file_size")]
+    f = hdr(spark, sf).where("sop_uid <> ''").groupBy("relative_path").agg(*least).withColumn("modified", F.lit("t"))
+    k = F.col("file_size")
+    e = f.select("relative_path", F.when(k % 11 == 0, "1.9").otherwise(F.col("study_uid")).alias("study_uid"), "series_uid", F.when(k % 13 == 0, "1.8").otherwise(F.col("sop_uid")).alias("sop_uid"), F.when(k % 7 == 0, k + 1).otherwise(k).alias("file_size"), "modified")
+    got = P.verify_candidates(f.where("file_size % 5 <> 0"), e)
+    return got.groupBy("status", "differ").agg(F.count(F.lit(1)).alias("files"))
+
+
+V03 = """WITH f AS (SELECT relative_path, min(file_size) AS k FROM hdr WHERE sop_uid <> '' GROUP BY 1)
+SELECT CASE WHEN k % 5 = 0 THEN 'source_file_missing' WHEN k % 7 = 0 THEN 'source_changed' WHEN k % 11 = 0 OR k % 13 = 0 THEN 'uid_mismatch' ELSE 'ok' END AS status,
+CASE WHEN k % 5 = 0 OR k % 7 = 0 THEN '' ELSE concat_ws(',', CASE WHEN k % 11 = 0 THEN 'study_uid' END, CASE WHEN k % 13 = 0 THEN 'sop_uid' END) END AS differ, count(*) AS files FROM f GROUP BY ALL"""
+
 QUERIES = {
+    "j06_manual_exceptions": j06_manual_exceptions, "f08_suffix_conflicts": f08_suffix_conflicts, "v03_verified_candidates": v03_verified_candidates,
     "a10_center_report": a10_center_report, "a10_report_exceptions": a10_report_exceptions, "s15_registry_exceptions": s15_registry_exceptions, "w01_fill_down": w01_fill_down,
     "j03_center_resolution": j03_center_resolution, "j04_enrolled_studies": j04_enrolled_studies, "j04_enrolled_exceptions": j04_enrolled_exceptions, "j05_exactly_one": j05_exactly_one,
     "j12_unmatched_subjects": j12_unmatched_subjects,
 }
 ORACLE_SQL = {
+    "j06_manual_exceptions": oracle(J06, "nh", "registry"), "f08_suffix_conflicts": oracle(F08, "nh"), "v03_verified_candidates": oracle(V03, "hdr"),
     "a10_center_report": oracle(A10, "nh", "registry"), "a10_report_exceptions": oracle(A10X, "nh", "registry"), "s15_registry_exceptions": oracle(S15, "registry"), "w01_fill_down": oracle(W01, "registry"),
     "j03_center_resolution": oracle(J03, "registry"), "j04_enrolled_studies": oracle(J04, "nh"), "j04_enrolled_exceptions": oracle(J04X, "nh"), "j05_exactly_one": oracle(J05, "registry"),
     "j12_unmatched_subjects": oracle(J12, "nh", "registry"),

@@ -50,6 +50,12 @@ def test_initials(spark):
     assert [r[0] for r in d.select(text.initials_match(F.col("n"), F.col("i"))).collect()] == [True, False, False, True]
 
 
+def test_pinyin(spark):
+    assert values(spark, lambda c: text.pinyin_initials(c), ["王长平", "Aé啊", "", None]) == ["WCP", "A", "", ""]
+    d = spark.createDataFrame([("王长平", "WANG CHANGPING"), ("王长平", "WANG PINGCHANG")], "n string, h string")
+    assert [r[0] for r in d.select(text.chinese_matches_header(F.col("n"), F.col("h"))).collect()] == [True, False]
+
+
 def test_lists_and_guards(spark):
     assert values(spark, text.image_type, ["ncct_CTP x", "dsa CTTP", "scan"]) == ["CT+CTP", "DSA+CTP", "REVIEW"]
     d = spark.createDataFrame([("b、a", "c|a")], "x string, y string")
