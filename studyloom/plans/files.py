@@ -183,12 +183,16 @@ CASE WHEN contains(institution_raw, 'INST 3') THEN 1 ELSE 0 END AS n_aliases, ''
 
 
 def t03_code_name(spark, sf):
-    d = _elements(spark, sf).withColumn("code", F.concat(F.lit("E"), F.lpad(F.pmod(F.crc32(F.col("patient_id").cast("binary")), F.lit(1000000)).cast("string"), 6, "0")))
+    d = _elements(spark, sf).withColumn("code", F.concat(F.lit("E"), F.right("patient_id", F.lit(6))))
     out = X.by_code(F.col("elements"), F.col("code"), ["InstitutionName", "SeriesDescription", "PatientID"])
     text_of = F.array_join(F.transform(out, lambda e: F.concat_ws("=", F.concat(e["path"], F.lit("/"), e["tag"]), e["value"])), ";")
     return d.select("relative_path", text_of.alias("elements"))
 
 
+T03 = """SELECT relative_path, 'root/00100010=E' || right(patient_id, 6) || ';root/00100020=' || patient_id_raw || ';root/00100030=' || birth_date_raw || ';root/00080020=' || study_date_raw || ';root/00080030=101530;root/00080050=;root/0020000D=' || study_uid
+|| ';root/00080018=' || sop_uid || ';root/00081140[0]/00100010=E' || right(patient_id, 6) || ';root/00081140[0]/00081030=of ' || patient_name AS elements FROM nh WHERE sop_uid <> ''"""
+
+
 def t04_shift_and_scrub(spark, sf):
     d = _elements(spark, sf)
     out = X.shift_and_scrub(F.col("elements"), F.col("patient_id"), "salt", F.array("patient_name"), F.lit("CODE"))
@@ -224,5 +228,5 @@ QUERIES = {
 ORACLE_SQL = {
     "d01_duplicate_documents": D01, "d02_copy_status": oracle(D02, "nh"), "v06_run_status": oracle(V06, "nh"), "j08_rule_files": oracle(J08, "hdr"), "f05_rule_status": oracle(F05, "hdr"),
     "w07_group_veto": oracle(W07, "hdr"), "j10_located_studies": oracle(J10, "hdr"), "m01_study_upsert": oracle(M01, "nh"), "m03_scan_cache": M03, "m04_resume": M04,
-    "t02_remove_identity": oracle(T02, "hdr"), "t04_shift_and_scrub": oracle(T04, "nh"), "n37_remap_uids": oracle(N37, "hdr"), "k06_csv_guard": K06,
+    "t02_remove_identity": oracle(T02, "hdr"), "t03_code_name": oracle(T03, "nh"), "t04_shift_and_scrub": oracle(T04, "nh"), "n37_remap_uids": oracle(N37, "hdr"), "k06_csv_guard": K06,
 }
