@@ -6,6 +6,7 @@ reader prunes columns and pushes filters into it.
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -37,3 +38,10 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Lets Spark remove the shuffle files of finished jobs now: it does so as the driver's garbage is collected, which
+    a driver with room in its heap may put off until the next shuffle needs the disk."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
