@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 #: The words of a text: runs of anything but blank, tab, line feed, vertical tab, form feed and carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
-ARROW_ROWS = 1000
+ARROW_ROWS = 256
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
