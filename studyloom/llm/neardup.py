@@ -33,22 +33,28 @@ TREE, BATCH_ROWS, QUERIES = 4096, 16384, 512
 VOTES = 1 << 16
 
 
-def fingerprint(text: str, width: int = 3) -> int:
-    """64-bit SimHash of the text's word shingles, repeats included, as an unsigned integer; no words: 0."""
+def shingle_hashes(text: str, width: int) -> np.ndarray:
+    """Hashes of the text's word shingles, repeats included; a shorter text is one shingle, no words are none."""
     import xxhash
 
     digest = xxhash.xxh64_intdigest
     words = text.encode().lower().split()  # of bytes: A-Z only, and blank or \t to \r only
     if not words:
-        return 0
+        return np.empty(0, dtype="<u8")
     joined = b" ".join(words)
     if len(words) <= width:
-        hashes = np.array([digest(joined, SEED)], dtype="<u8")
-    else:
-        ends = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1) - 1
-        starts = np.concatenate([[0], ends[:-1] + 1]).tolist()
-        spans = zip(starts, ends[width - 1 :].tolist(), strict=False)
-        hashes = np.fromiter((digest(joined[a:b], SEED) for a, b in spans), dtype="<u8", count=len(words) - width + 1)
+        return np.array([digest(joined, SEED)], dtype="<u8")
+    ends = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1) - 1
+    starts = np.concatenate([[0], ends[:-1] + 1]).tolist()
+    spans = zip(starts, ends[width - 1 :].tolist(), strict=False)
+    return np.fromiter((digest(joined[a:b], SEED) for a, b in spans), dtype="<u8", count=len(words) - width + 1)
+
+
+def fingerprint(text: str, width: int = 3) -> int:
+    """64-bit SimHash of the text's word shingles, repeats included, as an unsigned integer; no words: 0."""
+    hashes = shingle_hashes(text, width)
+    if not len(hashes):
+        return 0
     votes = np.zeros(BITS, dtype=np.int64)
     for i in range(0, len(hashes), VOTES):
         part = hashes[i : i + VOTES].view(np.uint8).reshape(-1, 8)
@@ -210,8 +216,13 @@ def op10_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The documents of which no group has a smaller id; of repeated rows with one id and text, one stays."""
-    found = near_duplicates(fingerprinted(docs)).where(F.col("doc_id") != F.col("component_id"))
+    """The documents of which no group has a smaller id; of repeated rows with one id and text, one stays. Groups are
+    those of five-word shingles shared at 0.8 or more (``overlap``), not those of the fingerprints above."""
+    from studyloom.llm import overlap
+
+    placed = staged(overlap.with_components(overlap.sketched(docs)).select("doc.doc_id", "component"), "near-groups")
+    least = placed.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    found = placed.join(least, "component").where(F.col("doc_id") != F.col("component_id"))
     kept = docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
     same = W.partitionBy("doc_id", F.xxhash64("text")).orderBy("n_chars")
     return kept.withColumn("_nth", F.row_number().over(same)).where("_nth = 1").drop("_nth")

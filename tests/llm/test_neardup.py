@@ -88,3 +88,43 @@ def test_query_and_stage(spark, documents, awkward):
 
 def test_empty_table(spark, documents):
     assert N.op10_neardup(spark, documents([])).collect() == []
+
+
+def jaccard(a, b):
+    sets = [{tuple(t.lower().split()[i : i + 5]) for i in range(max(1, len(t.split()) - 4))} for t in (a, b)]
+    return len(sets[0] & sets[1]) / len(sets[0] | sets[1])
+
+
+def edited_copies():
+    """Texts of 60 words, copies with a few words changed at one or two places, and a chain of edits."""
+    rnd = random.Random(7)
+    out = []
+    for _ in range(12):
+        words = [f"w{rnd.randrange(5000)}" for _ in range(60)]
+        out.append(words)
+        for k in (1, 2, 3, 6, 12):
+            for _ in range(3):
+                at = rnd.randrange(60 - k)
+                out.append(words[:at] + [f"x{rnd.randrange(5000)}" for _ in range(k)] + words[at + k :])
+        for k in range(0, 20, 4):
+            words = [*words[:k], f"y{k}", *words[k + 1 :]]
+            out.append(words)
+    return [" ".join(w) for w in out]
+
+
+@pytest.mark.parametrize("leads", [2, 0])
+def test_stage_keeps_one_of_each_group_of_five_word_shingles(spark, documents, monkeypatch, leads):
+    from studyloom.llm import overlap
+
+    monkeypatch.setattr(overlap, "LEADS", leads)
+    monkeypatch.setattr(overlap, "PART_PAIRS", 4)
+    texts = edited_copies()
+    parent = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if parent[i] != parent[j] and jaccard(texts[i], texts[j]) >= 0.8:
+                a, b = sorted((parent[i], parent[j]))
+                parent = [a if p == b else p for p in parent]
+    folder = documents([(i, t, "en", "a", len(t)) for i, t in enumerate(texts)])
+    kept = sorted(r.doc_id for r in N.keep_one(spark.read.parquet(f"{folder}/documents.parquet")).collect())
+    assert kept == sorted(set(parent))
