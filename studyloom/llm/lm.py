@@ -5,8 +5,8 @@ the model needs of a word: its occurrences, the distinct words before it, and as
 many distinct words follow it once, twice and more often. Tasks write the words and the pairs as arrays sorted by
 hash, a file set per hash range, to the shared folder. Scoring workers memory-map those files.
 
-Pairs seen once are counted in all statistics but not stored: what they would hold of a context goes to the lower
-order (a cut-off of 1, as is usual for such models), which makes the model a quarter of the size.
+All pairs are stored. Those seen once, four fifths of them, are keys alone in arrays of their own: being there says
+their count.
 """
 
 from __future__ import annotations
@@ -31,7 +31,6 @@ from studyloom.storage import discard, new_path, release, staged
 END, START = np.uint64(0xD1B54A32D192ED03), np.uint64(0x8CB92BA72F3D8DD7)
 #: Tokens that a task combines at once; rows of one file set.
 COMBINED, PART_ROWS = 1 << 22, 1 << 20
-STORED_FROM = 2
 #: Texts that frequent words are looked for in, how many of those there may be, and classes that their pairs are dealt by.
 HOT_TEXTS, HOT_WORDS, SALTS = 2000, 1000, 64
 START_ID = np.array([START])
@@ -40,6 +39,7 @@ HIGH = np.uint64(0xFFFFFFFF00000000)
 UNIGRAM_DISCOUNT = 0.75
 WORDS = (("key", "<u8"), ("n", "<i8"), ("before", "<i8"), ("after", "<i8"), ("once", "<i8"), ("twice", "<i8"), ("more", "<i8"))
 PAIRS = (("key", "<u8"), ("n", "<i8"))
+ONCE = (("key", "<u8"),)
 
 
 def tokens(text: str) -> np.ndarray:
@@ -188,15 +188,27 @@ class Arrays:
     def find(self, keys: np.ndarray, wanted: tuple[str, ...]) -> list[np.ndarray]:
         """The wanted columns at sorted keys, 0 where a key is absent."""
         out = [np.zeros(len(keys), dtype=np.int64) for _ in wanted]
+        for part, place, at in self._hits(keys):
+            for column, name in zip(out, wanted, strict=True):
+                column[place] = part[name][at]
+        return out
+
+    def holds(self, keys: np.ndarray) -> np.ndarray:
+        """Whether each of the sorted keys is there."""
+        out = np.zeros(len(keys), dtype=bool)
+        for _, place, _ in self._hits(keys):
+            out[place] = True
+        return out
+
+    def _hits(self, keys: np.ndarray) -> Iterator[tuple[dict[str, np.ndarray], np.ndarray, np.ndarray]]:
+        """By file set: its columns, places of the sorted keys that it holds, and where it holds them."""
         cuts = np.searchsorted(keys >> np.uint64(1), self.firsts[1:], "left") if len(self.firsts) else []
         edges = [0, *cuts, len(keys)]
         for part, a, b in zip(self.parts, edges, edges[1:], strict=False):
             if a < b:
                 at = np.minimum(np.searchsorted(part["key"], keys[a:b]), len(part["key"]) - 1)
-                hit = part["key"][at] == keys[a:b]
-                for column, name in zip(out, wanted, strict=True):
-                    column[a:b][hit] = part[name][at[hit]]
-        return out
+                hit = np.flatnonzero(part["key"][at] == keys[a:b])
+                yield part, a + hit, at[hit]
 
 
 def _mapped(path: str, kind: str, size: int) -> np.ndarray:
@@ -217,6 +229,7 @@ class Model:
 
     words: tuple
     pairs: tuple
+    once: tuple
     tokens: int
     kinds: int
     pair_kinds: int
@@ -250,12 +263,13 @@ def learn(docs: DataFrame) -> Model:
             keys = pair_key(pdf.u.to_numpy().view(np.uint64), pdf.w.to_numpy().view(np.uint64))
             yield pd.DataFrame({"key": keys.view(np.int64), "n": pdf.n})
 
-    stored = staged(pairs.where(F.col("n") >= STORED_FROM).mapInPandas(hashed, "key long, n long"), "lm-stored")
+    stored = staged(pairs.mapInPandas(hashed, "key long, n long"), "lm-stored")
     discard(pairs)
     release(spark)
     return Model(
         tuple(write_arrays(words, WORDS, f"{path}/words")),
-        tuple(write_arrays(stored, PAIRS, f"{path}/pairs")),
+        tuple(write_arrays(stored.where("n > 1"), PAIRS, f"{path}/pairs")),
+        tuple(write_arrays(stored.where("n = 1"), ONCE, f"{path}/once")),
         n or 0, kinds or 0, pair_kinds or 0,
         discounts([often.get(k, 0) for k in range(1, 5)]),
     )
@@ -265,6 +279,7 @@ class Scorer:
     def __init__(self, model: Model):
         self.model = model
         self.words, self.pairs = Arrays(WORDS, list(model.words)), Arrays(PAIRS, list(model.pairs))
+        self.once = Arrays(ONCE, list(model.once))
 
     def score(self, texts: list[str]) -> pd.DataFrame:
         """n_tokens, n_known, base_score, score of each text, looked up together."""
@@ -282,12 +297,12 @@ class Scorer:
         seen = np.maximum(m.pair_kinds, 1)
         rest = UNIGRAM_DISCOUNT * m.kinds / seen if m.kinds else 1.0
         unigram = np.maximum(before - UNIGRAM_DISCOUNT, 0) / seen + rest / (m.kinds + 1)
-        # what a context leaves to it: the discounts of stored pairs, and all of those seen once, which are not stored
-        left = np.where(after > 0, (once + d2 * twice + d3 * more) / np.maximum(after, 1), 1.0)
+        # what a context leaves to it: the discounts of its pairs
+        left = np.where(after > 0, (d1 * once + d2 * twice + d3 * more) / np.maximum(after, 1), 1.0)
         pair = pair_key(kinds[ahead], w)
         keys, at = np.unique(pair, return_inverse=True)
-        c = self.pairs.find(keys, ("n",))[0][at].astype(np.float64)
-        c -= np.where(c > 2, d3, np.where(c == 2, d2, 0.0))
+        c = (self.pairs.find(keys, ("n",))[0] + self.once.holds(keys))[at].astype(np.float64)
+        c -= np.where(c > 2, d3, np.where(c == 2, d2, np.where(c == 1, d1, 0.0)))
         p = c / np.maximum(after[ahead], 1) + left[ahead] * unigram[which]
         base = np.log10((n + 0.1) / (m.tokens + 0.1 * (m.kinds + 1)))
         return pd.DataFrame(

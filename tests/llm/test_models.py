@@ -133,3 +133,32 @@ def test_lm_empty(spark, documents):
     assert lm.op9_lm(spark, documents([])).collect() == []
     got = lm.op9_lm(spark, documents([(12, "held out only", "en", "a", 0)])).collect()
     assert len(got) == 1 and got[0].score <= 0
+
+
+def all_pairs_scores(rows):
+    """Scores with every pair kept and discounted, pairs seen once included."""
+    split = lambda t: [w.lower() for w in t.split()] + [None]
+    held = lambda i: zlib.crc32(str(i).encode()) % 10 == 0
+    pair = Counter()
+    for i, t, *_ in rows:
+        if not held(i):
+            x = split(t)
+            pair.update(zip([0, *x[:-1]], x, strict=True))
+    d = lm.discounts([list(pair.values()).count(k) for k in (1, 2, 3, 4)])
+    kinds, out = len({w for _, w in pair}), {}
+    for i, t, *_ in rows:
+        x, score = split(t), 0.0
+        for u, w in zip([0, *x[:-1]], x, strict=True):
+            ahead = [c for (a, _), c in pair.items() if a == u]
+            lower = max(sum(b == w for _, b in pair) - 0.75, 0) / len(pair) + 0.75 * kinds / len(pair) / (kinds + 1)
+            c = pair.get((u, w), 0)
+            left = sum(d[min(a, 3) - 1] for a in ahead) / sum(ahead) if ahead else 1
+            score += math.log10(((c - d[min(c, 3) - 1]) / sum(ahead) if c else 0) + left * lower)
+        out[i] = round(score, 6)
+    return out
+
+
+def test_lm_keeps_pairs_seen_once(spark, documents):
+    rows = [(i, f"the cat {i % 7} sat on mat {i * i % 11} once{i} only{i} and a dog{i % 5}", "en", "a", 0) for i in range(30)]
+    got = {r.doc_id: round(r.score, 6) for r in lm.op9_lm(spark, documents(rows)).collect()}
+    assert got == all_pairs_scores(rows)
