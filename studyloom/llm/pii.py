@@ -3,7 +3,7 @@
 Transducers rewrite a text into a plainer one: look-alike characters become the ones they imitate, spelled digits
 become digits, and disguises of ``@`` and ``.`` become those. Each keeps for every output character the source span
 it came from. Identifiers are detected in the source, which gives the base spans, and again in the rewritten text,
-whose spans are mapped back and added where they hold something rewritten and meet no base span of their kind.
+whose spans are mapped back and added where they hold something rewritten and reach beyond any base span of their kind.
 """
 
 from __future__ import annotations
@@ -56,11 +56,13 @@ def _plain_characters() -> dict[int, str]:
 GLYPHS = _plain_characters()
 _DIGIT_WORDS = frozenset(DIGITS)
 _OPEN, _CLOSE = r"[\[({<]", r"[\])}>]"
+#: What follows a domain's first label up to its last, which is of letters: the text behind a spelled "at" is a domain.
+_REAL_DOT = r"(?:\.[A-Za-z0-9-]++)*\.[A-Za-z]{2,}(?![A-Za-z0-9-])"
 _WORDS = "|".join(sorted(DIGITS, key=len, reverse=True))
 #: One alternative for each transducer. A spelled digit counts beside another one, or beside a digit.
 _REWRITE = re.compile(
     rf"(?P<at>[ \t]*{_OPEN}[ \t]*(?:{AT})[ \t]*{_CLOSE}[ \t]*"
-    rf"|(?<=\w)[ \t_]+(?:at|arroba)[ \t_]+(?=[A-Za-z0-9-]+(?:[ \t_]+(?:dot|punto|punkt|point)[ \t_]+|[ \t]*{_OPEN}[ \t]*(?:{DOT})[ \t]*{_CLOSE}))"
+    rf"|(?<=\w)[ \t_]+(?:at|arroba)[ \t_]+(?=[A-Za-z0-9-]+(?:[ \t_]+(?:dot|punto|punkt|point)[ \t_]+|[ \t]*{_OPEN}[ \t]*(?:{DOT})[ \t]*{_CLOSE}|{_REAL_DOT}))"
     r"|(?<=\w)(?:[ \t]+@[ \t]*|[ \t]*@[ \t]+)(?=\w))"
     rf"|(?P<dot>[ \t]*{_OPEN}[ \t]*(?:{DOT})[ \t]*{_CLOSE}[ \t]*|(?<=[A-Za-z0-9])[ \t_]+(?:dot|punto|punkt|point)[ \t_]+(?=[A-Za-z0-9]))"
     rf"|(?P<digit>(?<![^\W_])(?:{_WORDS})(?![^\W_]))"
@@ -72,6 +74,7 @@ _REWRITE = re.compile(
 _SPELLED = re.compile(rf"(?<![^\W_])(?:{_WORDS})[ \t.,()_-]+(?:(?:{_WORDS})(?![^\W_])|[0-9])|[0-9][ \t.,()_-]*(?:{_WORDS})(?![^\W_])", re.IGNORECASE)
 _BRACKETED = re.compile(rf"{_OPEN}[ \t]*(?:{AT}|{DOT})[ \t]*{_CLOSE}", re.IGNORECASE)
 _PLAIN_DOT = re.compile(r"[ \t_](?:dot|punto|punkt|point)[ \t_]")
+_PLAIN_AT = re.compile(r"[ \t_](?:at|arroba)[ \t_]+[a-z0-9-]++\.")
 _MIXED = re.compile(r"[0-9][OolI][0-9]")
 _LETTERS = re.compile(r"[^\W\d_]+")
 _ODD = frozenset(map(chr, GLYPHS)) | frozenset("\xad\u200b\u200c\u200d\u200e\u200f\u2060\ufeff")
@@ -86,6 +89,8 @@ def _worth_rewriting(text: str) -> bool:
         return True
     if ("dot" in low or "punto" in low or "punkt" in low or "point" in low) and _PLAIN_DOT.search(low):
         return True
+    if "." in low and _PLAIN_AT.search(low):
+        return True
     if ("(" in low or "[" in low or "{" in low or "<" in low) and _BRACKETED.search(low):
         return True
     return not _DIGIT_WORDS.isdisjoint(_LETTERS.findall(low)) and bool(_SPELLED.search(low))
@@ -172,7 +177,7 @@ def find(text: str) -> list[tuple[int, int, int, bool]]:
     added = []
     for kind, a, b in detect(plain.text):
         start, end = plain.source(a, b)
-        if text[start:end] != plain.text[a:b] and not any(k == kind and s < end and start < e for k, s, e, _ in base):
+        if text[start:end] != plain.text[a:b] and not any(k == kind and s <= start and end <= e for k, s, e, _ in base):
             added.append((kind, start, end, False))
     return sorted(base + added)
 

@@ -75,3 +75,13 @@ def test_query(spark, documents, awkward):
 def test_masking(spark):
     d = spark.createDataFrame([("mail a@b.cd or x (at) y.zz now",), (None,), ("none",)], "text string")
     assert [r[0] for r in d.select(pii.masked(d.text, pii.spans(d.text))).collect()] == ["mail <EMAIL> or <EMAIL> now", None, "none"]
+
+
+def test_disguises_beside_plain_characters():
+    for text in ("jоhn@example.com", "jo​hn@example.com", "john@example.cоm", "john@mail.example[dot]com", "jane at example.com", "jane at mail.example.com"):
+        assert found(f"to {text} now") == [("email", text)], text
+    assert found("+49 30 1234567８") == [("phone", "+49 30 1234567８")]
+    for text in ("jоhn@example.com", "john@example.cоm", "+49 30 1234567８"):
+        rows = [dict(zip(("kind", "start", "end", "base"), s, strict=True)) for s in pii.find(text)]
+        assert any(r["base"] for r in rows) and pii._mask(text, rows) in ("<EMAIL>", "<PHONE>")
+    assert found("we met at noon. Then at 3.5 km, at 10.0.0.1") == []
