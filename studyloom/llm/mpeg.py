@@ -3,7 +3,8 @@
 The reader walks a stream frame by frame. It skips ID3v2 tags, resynchronises after damage by looking for a header
 whose successor is a header of the same kind, reads Xing, Info and VBRI tables, verifies the checksums of protected
 Layer III frames, and keeps exact durations (samples and rate, both integers) and the offset of every frame to seek
-by. The writer stores bytes losslessly, a unit of 576 to a protected frame's data area, behind a tag and a table.
+by. The writer stores bytes losslessly, a unit of 576 to a protected frame's data area, behind a tag and a table; an
+ID3v1 tag ends the stream, so that no reader takes payload bytes at its place for one.
 """
 
 from __future__ import annotations
@@ -225,7 +226,7 @@ def payload_of(data: bytes) -> bytes:
 
 
 def write(payload: bytes) -> bytes:
-    """A stream that holds a payload of whole units: a tag, a table, and a frame for each unit."""
+    """A stream that holds a payload of whole units: a tag, a table, a frame for each unit, and a closing tag."""
     title = b"\x03payload"
     text = b"TIT2" + bytes((0, 0, 0, len(title), 0, 0)) + title
     tag = b"ID3\x04\x00\x00" + bytes((0, 0, 0, len(text))) + text
@@ -234,7 +235,7 @@ def write(payload: bytes) -> bytes:
     frames[:, _DATA : _DATA + UNIT] = units
     toc = bytes(i * 256 // 100 for i in range(100))
     info = b"Info" + struct.pack(">III", 7, len(units), frames.size) + toc
-    return tag + bytes(_frame(info)) + frames.tobytes()
+    return tag + bytes(_frame(info)) + frames.tobytes() + b"TAG" + b"payload".ljust(124, b"\0") + b"\xff"
 
 
 def stored(data: bytes, s: Stream) -> bytes:

@@ -84,3 +84,10 @@ def test_query(spark, documents, awkward):
             want = (len((texts[r.doc_id] or "").encode()), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(media), hashlib.sha256(media).hexdigest())
             assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32, r.media_bytes, r.media_sha256) == want
     assert M.op5_mpeg(spark, documents([])).collect() == []
+
+
+@pytest.mark.parametrize("units", [1, 3])
+def test_tag_letters_in_the_payload(units):
+    payload = M.payload_of(b"a" * (576 * units - 70) + b"TAG" + b"b" * 60)
+    media = M.write(payload)
+    assert M.stored(media, M.read(media)) == payload
