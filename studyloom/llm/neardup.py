@@ -18,7 +18,6 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -216,13 +215,14 @@ def op10_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The documents of which no group has a smaller id; of repeated rows with one id and text, one stays. Groups are
-    those of five-word shingles shared at 0.8 or more (``overlap``), not those of the fingerprints above."""
+    """One row of each group of near copies: that of the smallest id, null ids last, then the smallest n_chars. Groups
+    are those of five-word shingles shared at 0.8 or more (``overlap``), not those of the fingerprints above.
+
+    Rows are chosen, not ids: of rows that repeat an id with different texts each stays or goes with its own group,
+    and of near copies without an id one stays only if no copy has one."""
     from studyloom.llm import overlap
 
-    placed = staged(overlap.with_components(overlap.sketched(docs)).select("doc.doc_id", "component"), "near-groups")
-    least = placed.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    found = placed.join(least, "component").where(F.col("doc_id") != F.col("component_id"))
-    kept = docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
-    same = W.partitionBy("doc_id", F.xxhash64("text")).orderBy("n_chars")
-    return kept.withColumn("_nth", F.row_number().over(same)).where("_nth = 1").drop("_nth")
+    rows = overlap.sketched(docs)
+    best = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "n_chars", "kind", "row")).alias("best")
+    kept = overlap.with_components(rows).groupBy("component").agg(best).select("best.row")
+    return rows.join(kept, "row").select("doc.*")

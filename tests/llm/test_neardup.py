@@ -128,3 +128,10 @@ def test_stage_keeps_one_of_each_group_of_five_word_shingles(spark, documents, m
     folder = documents([(i, t, "en", "a", len(t)) for i, t in enumerate(texts)])
     kept = sorted(r.doc_id for r in N.keep_one(spark.read.parquet(f"{folder}/documents.parquet")).collect())
     assert kept == sorted(set(parent))
+
+
+def test_stage_chooses_rows_and_not_ids(spark, documents):
+    a, b = (" ".join(f"{p}{i}" for i in range(30)) for p in "ab")
+    rows = [(1, a, "en", "s", 1), (2, a, "en", "s", 1), (2, b, "en", "s", 1), (None, a, "en", "s", 1), (None, "no id", "en", "s", 1), (None, "No ID", "en", "s", 2)]
+    kept = N.keep_one(spark.read.parquet(f"{documents(rows)}/documents.parquet")).collect()
+    assert {(r.doc_id, r.text) for r in kept} == {(1, a), (2, b), (None, "no id")} and len(kept) == 3
