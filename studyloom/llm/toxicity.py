@@ -25,8 +25,9 @@ from pyspark.sql import functions as F
 from studyloom.llm.common import crc_mod, small_batches, table
 from studyloom.storage import staged
 
-#: Labelled rows learned from at most (the first by hash of the id), and terms of the lexicon at most.
-MAX_LABELLED, MAX_TERMS = 20000, 4096
+#: Labelled rows learned from at most (the first by hash of the id).
+MAX_LABELLED = 20000
+#: Toxic rows that a term of the lexicon occurs in at least, and how many times commoner it is among them.
 MIN_DOCS, MIN_RATIO = 4, 6.0
 CUTOFF = 0.7
 #: A word's beginning that may be a term, and how many words away a second person counts as near.
@@ -115,7 +116,7 @@ def features(text: str, lexicon: dict[str, float]) -> list[float]:
 
 def with_features(docs: DataFrame, text: Column, lexicon: dict[str, float]) -> DataFrame:
     """docs with the vector FEATURES. A null text is empty."""
-    shared = docs.sparkSession.sparkContext.broadcast(lexicon)  # MAX_TERMS and the general insults at most
+    shared = docs.sparkSession.sparkContext.broadcast(lexicon)  # bounded with the labelled rows, see learn_lexicon
 
     @F.pandas_udf("array<double>")
     def dense(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -136,7 +137,8 @@ def labelled_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def learn_lexicon(rows: DataFrame) -> dict[str, float]:
-    """rows(text, label) -> weight by term: the log of how much commoner among toxic rows. At most MAX_TERMS learned."""
+    """rows(text, label) -> weight by term: the log of how much commoner among toxic rows. Every term that stands out
+    is taken; half of MAX_LABELLED rows bound them, as each is in MIN_DOCS of these at least."""
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -144,7 +146,8 @@ def learn_lexicon(rows: DataFrame) -> dict[str, float]:
             for text, label in zip(pdf.text, pdf.label, strict=True):
                 by_label[label].update(terms(text))
             for label, c in by_label.items():
-                yield pd.DataFrame({"term": list(c), "label": label, "n": list(c.values())})
+                if c:  # of an empty frame Arrow can't tell that terms are strings
+                    yield pd.DataFrame({"term": pd.Series(list(c), dtype=object), "label": label, "n": list(c.values())})
 
     total = {r.label: r["count"] for r in rows.groupBy("label").count().collect()}
     if len(total) < 2:
@@ -153,8 +156,7 @@ def learn_lexicon(rows: DataFrame) -> dict[str, float]:
     found = rows.select("text", "label").mapInPandas(counted, "term string, label double, n long").groupBy("term").agg(*sums)
     ratio = (F.col("bad") + 0.5) / (total[1.0] + 1) / ((F.col("good") + 0.5) / (total[0.0] + 1))
     found = found.withColumn("ratio", ratio).where((F.col("bad") >= MIN_DOCS) & (F.col("ratio") >= MIN_RATIO))
-    best = found.orderBy(F.desc(F.col("bad") * F.log("ratio")), "term").limit(MAX_TERMS)
-    return {w: 1.0 for w in INSULTS} | {r.term: math.log(r.ratio) for r in best.collect()}
+    return {w: 1.0 for w in INSULTS} | {r.term: math.log(r.ratio) for r in found.collect()}
 
 
 @dataclass
@@ -198,10 +200,14 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labels of rows whose crc32 modulo 3 is 1 are held out; documents without a label are scored like the others."""
+    """Every document with its score. Labels of rows whose crc32 modulo 3 is 1 are held out.
+
+    Documents without a label, with a null or empty text or with a null id are scored like the others; repeated rows
+    get equal scores; labels that are null or neither 0 nor 1 do not count; without labels of both kinds the score is
+    their rate (0 without any); an empty table gives an empty result."""
     small_batches(spark)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    labels = table(spark, sf_dir, "labels")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
     model = learn(docs, labels.where(crc_mod(F.col("doc_id"), 3) != 1))
     out = model.score(docs, F.col("text"))
     return out.select(
@@ -210,6 +216,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that the model does not reject, all their columns as they are."""
+    """The documents that the model does not reject, all their columns as they are, whatever their names.
+
+    Nulls, repeated rows and empty tables as in ``op6_toxicity``: a null text is scored as an empty one, each repeated
+    row stays or goes with its text, and no documents give no documents."""
     model = learn(docs, labels.where(crc_mod(F.col("doc_id"), 3) != 1))
-    return model.score(docs, F.col("text")).where(F.col("score") < CUTOFF).drop("score")
+    rows = docs.select(F.struct("*").alias("doc"), F.col("text"))
+    return model.score(rows, F.col("text")).where(F.col("score") < CUTOFF).select("doc.*")

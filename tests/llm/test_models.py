@@ -52,6 +52,31 @@ def test_toxicity_features():
     assert toxicity.features("", {"idiot": 2.0}) == [0.0] * len(toxicity.NAMES)
 
 
+def test_toxicity_batches_of_one_label_and_without_words(spark):
+    rows = spark.createDataFrame([("you zorkhead", 1.0)] * 9 + [("123 !!", 1.0), ("", 0.0)] + [("the maps", 0.0)] * 9, "text string, label double")
+    want = {"zorkhead", "you"} | set(toxicity.INSULTS)
+    for parts in (1, 12, 211):  # with 211, most batches hold one label or nothing
+        assert want <= set(toxicity.learn_lexicon(rows.repartition(parts)))
+    assert set(toxicity.learn_lexicon(rows.where("text IN ('123 !!', '')"))) == set(toxicity.INSULTS)
+
+
+def test_toxicity_awkward_rows_and_clashing_columns(spark, documents, awkward):
+    toxic = set(range(0, 240, 5))
+    rows = corpus(toxic=toxic) + [(1000 + r[0] if r[0] is not None else None, *r[1:]) for r in awkward]
+    folder = documents(rows)
+    documents([(i, 1, int(i in toxic)) for i in range(240)], "doc_id long, quality int, toxic int", "labels")
+    got = toxicity.op6_toxicity(spark, folder).collect()
+    assert len(got) == len(rows) and all(0 <= r.score <= 1 for r in got)
+    assert len({r.score for r in got if r.doc_id == 1005}) == 1 and sum(r.doc_id == 1005 for r in got) == 3
+    by_text = {r.doc_id: r.score for r in got}
+    assert by_text[1000] == by_text[1001] == by_text[1002]  # null, empty and blank texts
+    docs = spark.read.parquet(f"{folder}/documents.parquet").selectExpr("*", "doc_id AS score", "text AS doc", "7 AS toxic", "8 AS label", "9 AS fold", "doc_id AS _toxicity_raw")
+    kept = toxicity.keep_clean(docs, spark.read.parquet(f"{folder}/labels.parquet")).collect()
+    assert len(kept) == len(rows) - len(toxic)
+    assert all(r.score == r.doc_id == r._toxicity_raw and r.doc == r.text and (r.toxic, r.label, r.fold) == (7, 8, 9) for r in kept)
+    assert toxicity.keep_clean(docs.limit(0), spark.read.parquet(f"{folder}/labels.parquet")).collect() == []
+
+
 @pytest.mark.parametrize("labels", [[], [(1, 1, 0), (2, 1, 0)], [(1, 1, 1)]])
 def test_toxicity_without_both_labels(spark, documents, awkward, labels):
     folder = documents(awkward)
