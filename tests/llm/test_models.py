@@ -4,7 +4,7 @@ import math
 import random
 import re
 import zlib
-from collections import Counter, defaultdict
+from collections import Counter
 
 import pytest
 
@@ -117,73 +117,107 @@ def test_langid_nothing_to_learn(spark, documents):
 
 
 def plain_scores(rows):
-    split = lambda t: re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) + [None]
+    """An uncut interpolated modified Kneser-Ney trigram model over dictionaries."""
+    split = lambda t: re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) + [1]
     held = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 10 == 0
-    count, pair = Counter(), Counter()
-    for i, t, *_ in rows:
-        if not held(i):
-            x = split(t)
-            count.update(x)
-            pair.update(zip([0, *x[:-1]], x, strict=True))
-    n, kinds, pairs = sum(count.values()), len(count), len(pair)
-    before, after, often = Counter(), Counter(), defaultdict(lambda: [0, 0, 0])
-    for (u, w), c in pair.items():
-        before[w] += 1
-        after[u] += c
-        often[u][min(c, 3) - 1] += 1
-    how_often = Counter(pair.values())
-    d = lm.discounts([how_often[k] for k in (1, 2, 3, 4)])
+    grams = lambda x: list(zip([0, 0, *x], [0, *x], x, strict=False))
+    c3 = Counter(g for i, t, *_ in rows if not held(i) for g in grams(split(t)))
+    count = Counter()
+    for (_, _, w), c in c3.items():
+        count[w] += c
+    c2, c1 = Counter(), Counter()
+    for (u, v, w), c in c3.items():
+        c2[v, w] += c if v == 0 else 1
+    for _, w in c2:
+        c1[w] += 1
+    levels = []
+    for counts in (c1, c2, c3):
+        often = Counter(counts.values())
+        d = lm.discounts([often[k] for k in (1, 2, 3, 4)])
+        totals, left = Counter(), Counter()
+        for gram, c in counts.items():
+            context = gram[:-1] if isinstance(gram, tuple) else ()
+            totals[context] += c
+            left[context] += d[min(c, 3) - 1]
+        levels.append((counts, d, totals, left))
+    n, kinds = sum(count.values()), len(count)
+
+    def p(gram):
+        if not gram:
+            return 1 / (kinds + 1)
+        counts, d, totals, left = levels[len(gram) - 1]
+        lower, c = p(gram[1:]), counts.get(gram if len(gram) > 1 else gram[0], 0)
+        if not totals[gram[:-1]]:
+            return lower
+        return ((c - d[min(c, 3) - 1] if c else 0) + left[gram[:-1]] * lower) / totals[gram[:-1]]
+
     out = []
     for i, t, *_ in rows:
-        x, base, score = split(t), 0.0, 0.0
-        for u, w in zip([0, *x[:-1]], x, strict=True):
-            base += math.log10((count[w] + 0.1) / (n + 0.1 * (kinds + 1)))
-            lower = max(before[w] - 0.75, 0) / pairs + 0.75 * kinds / pairs / (kinds + 1)
-            c, o = pair.get((u, w), 0), often.get(u, [0, 0, 0])
-            left = (o[0] + d[1] * o[1] + d[2] * o[2]) / after[u] if after[u] else 1
-            score += math.log10(((c - d[min(c, 3) - 1]) / after[u] if c > 1 else 0) + left * lower)
+        x = split(t)
+        base = sum(math.log10((count[w] + 0.1) / (n + 0.1 * (kinds + 1))) for w in x)
+        score = sum(math.log10(p(g)) for g in grams(x))
         out.append((i is None, i or 0, held(i), len(x), sum(count[w] > 0 for w in x), n, round(base, 6), round(score, 6)))
     return sorted(out)
 
 
-@pytest.mark.parametrize("part_rows", [1 << 20, 7])
-def test_lm(spark, documents, awkward, monkeypatch, part_rows):
-    monkeypatch.setattr(lm, "PART_ROWS", part_rows)
+@pytest.mark.parametrize("part_tokens, combined", [(1 << 21, 1 << 22), (60, 1 << 22), (400, 33)])
+def test_lm(spark, documents, awkward, monkeypatch, part_tokens, combined):
+    """With small parts, frequent words, frequent pairs and the start of texts are dealt to several."""
+    monkeypatch.setattr(lm, "PART_TOKENS", part_tokens)
+    monkeypatch.setattr(lm, "COMBINED", combined)
+    monkeypatch.setattr(lm, "NOTED", 1)
+    monkeypatch.setattr(lm, "STRIDE", lm.WINDOW)
     rows = corpus(60) + [(r[0] + 1000 if r[0] is not None else None, *r[1:]) for r in awkward]
-    got = lm.op9_lm(spark, documents(rows)).collect()
+    rows += [(2000 + i, f"the cat {i % 7} sat on mat {i * i % 11} once{i} only{i} and a dog{i % 5}", "en", "a", 0) for i in range(30)]
+    folder = documents(rows)
+    deal = lm.survey(spark.read.parquet(f"{folder}/documents.parquet").where("text IS NOT NULL"))
+    assert (deal.parts == 1) == (part_tokens > 1000) and (deal.parts == 1 or len(deal.words) and (part_tokens > 60 or len(deal.pairs)))
+    got = lm.op9_lm(spark, folder).collect()
     assert sorted((r.doc_id is None, r.doc_id or 0, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 6)) for r in got) == plain_scores(rows)
 
 
+def test_lm_shares_sum_to_one(spark):
+    docs = spark.createDataFrame([(t,) for t in ("a b a b c", "b a c", "a", "c c b a")], "text string")
+    scorer = lm.Scorer(lm.learn(docs))
+    for context in ("", "a", "a b", "zz", "b zz"):
+        whole = scorer.score([context])["score"][0]
+        longer = [scorer.score([f"{context} {w}"]) for w in ("a", "b", "c", "unseen")]
+        # what a text without its end has, from the shares of its end
+        ends = []
+        for w, s in zip(("a", "b", "c", "unseen"), longer, strict=True):
+            ends.append(10 ** (s["score"][0] - end_of(scorer, f"{context} {w}")))
+        assert abs(sum(ends) + 10**whole - 10 ** (whole - end_of(scorer, context))) < 1e-9
+
+
+def end_of(scorer, text):
+    """log10 of the end's share after a text: by a model of the same arrays, from the difference that the end makes."""
+    m = scorer.model
+    u, v = ([lm.START, lm.START, *lm.tokens(text)[:-1]])[-2:]
+    u, v, w = (lm.np.array([x], dtype=lm.np.uint64) for x in (u, v, lm.END))
+    c = scorer._find(1, m.deal.part(u, v, w), lm.mix(u, v, w), 1)[:, 0]
+    after = scorer._find(2, m.deal.part(u, v, w), lm.mix(u, v), 4)
+    a = scorer._find(3, scorer._home(v), lm.mix(v, w), 1)[:, 0]
+    follow = scorer._find(0, scorer._home(v), v, 6)[:, 2:]
+    p1 = lm._discounted(lm.np.array([m.before_end]), m.discounts[0]) / m.pair_kinds + m.rest / (m.kinds + 1)
+    p2 = lm._discounted(a, m.discounts[1]) / max(follow[0, 0], 1) + lm._left(follow, m.discounts[1]) * p1
+    p3 = lm._discounted(c, m.discounts[2]) / max(after[0, 0], 1) + lm._left(after, m.discounts[2]) * p2
+    return math.log10(p3[0])
+
+
+def test_lm_table():
+    rnd = lm.np.random.default_rng(3)
+    for n in (0, 1, 31, 33, 5000):
+        keys = rnd.integers(0, 1 << 64, n, dtype=lm.np.uint64)
+        values = rnd.integers(0, 300, (n, 2))
+        data, sizes = lm.Table.to_bytes(keys, values)
+        t, end = lm.Table.from_bytes(lm.np.frombuffer(data, dtype=lm.np.uint8), 0, *sizes)
+        assert end == len(data)
+        asked = lm.np.concatenate([keys, rnd.integers(0, 1 << 64, 1000, dtype=lm.np.uint64)])
+        hit, rows = t.find(asked)
+        assert hit.tolist() == list(range(n)) and rows.tolist() == values.tolist()
+
+
 def test_lm_empty(spark, documents):
     assert lm.op9_lm(spark, documents([])).collect() == []
     got = lm.op9_lm(spark, documents([(12, "held out only", "en", "a", 0)])).collect()
     assert len(got) == 1 and got[0].score <= 0
-
-
-def all_pairs_scores(rows):
-    """Scores with every pair kept and discounted, pairs seen once included."""
-    split = lambda t: [w.lower() for w in t.split()] + [None]
-    held = lambda i: zlib.crc32(str(i).encode()) % 10 == 0
-    pair = Counter()
-    for i, t, *_ in rows:
-        if not held(i):
-            x = split(t)
-            pair.update(zip([0, *x[:-1]], x, strict=True))
-    d = lm.discounts([list(pair.values()).count(k) for k in (1, 2, 3, 4)])
-    kinds, out = len({w for _, w in pair}), {}
-    for i, t, *_ in rows:
-        x, score = split(t), 0.0
-        for u, w in zip([0, *x[:-1]], x, strict=True):
-            ahead = [c for (a, _), c in pair.items() if a == u]
-            lower = max(sum(b == w for _, b in pair) - 0.75, 0) / len(pair) + 0.75 * kinds / len(pair) / (kinds + 1)
-            c = pair.get((u, w), 0)
-            left = sum(d[min(a, 3) - 1] for a in ahead) / sum(ahead) if ahead else 1
-            score += math.log10(((c - d[min(c, 3) - 1]) / sum(ahead) if c else 0) + left * lower)
-        out[i] = round(score, 6)
-    return out
-
-
-def test_lm_keeps_pairs_seen_once(spark, documents):
-    rows = [(i, f"the cat {i % 7} sat on mat {i * i % 11} once{i} only{i} and a dog{i % 5}", "en", "a", 0) for i in range(30)]
-    got = {r.doc_id: round(r.score, 6) for r in lm.op9_lm(spark, documents(rows)).collect()}
-    assert got == all_pairs_scores(rows)
