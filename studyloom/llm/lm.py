@@ -138,8 +138,14 @@ def _runs(*columns) -> np.ndarray:
     return np.flatnonzero(new)
 
 
+def _planes(x: np.ndarray) -> bytes:
+    """An array's first bytes, then its second bytes and so on, which compresses better."""
+    return x.view(np.uint8).reshape(len(x), x.itemsize).T.tobytes()
+
+
 def _packed(vocabulary: np.ndarray, v: np.ndarray, u: np.ndarray, w: np.ndarray, n: np.ndarray) -> bytes:
-    """Trigrams of ids in a vocabulary, sorted by v, as compressed bytes with the part of the vocabulary they use."""
+    """Trigrams of ids in a sorted vocabulary, sorted by v and u, as compressed bytes with the part of the vocabulary
+    that they use."""
     import zstandard
 
     used = np.zeros(len(vocabulary), dtype=bool)
@@ -151,26 +157,31 @@ def _packed(vocabulary: np.ndarray, v: np.ndarray, u: np.ndarray, w: np.ndarray,
     first = _runs(v)
     lengths = np.diff(np.r_[first, len(v)]).astype("<u4")
     head = np.array([len(own), len(v), len(first)], dtype="<u4")
-    columns = [head, vocabulary[own].astype("<u8"), to[v[first]], lengths, to[u].astype(kind), to[w].astype(kind), n.astype("<u4")]
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(c.tobytes() for c in columns))
+    steps = np.diff(vocabulary[own].astype("<u8"), prepend=np.uint64(0))
+    u_steps = np.diff(to[u].astype(kind), prepend=np.zeros(1, dtype=kind))
+    columns = [steps, to[v[first]], lengths, u_steps, to[w].astype(kind), n.astype("<u4")]
+    return zstandard.ZstdCompressor(level=1).compress(head.tobytes() + b"".join(map(_planes, columns)))
 
 
 def _unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """vocabulary, v, u, w, n of ``_packed``."""
     import zstandard
 
-    data, at = zstandard.ZstdDecompressor().decompress(blob), 0
+    data = zstandard.ZstdDecompressor().decompress(blob)
+    own, rows, runs = np.frombuffer(data, dtype="<u4", count=3).tolist()
+    at = 12
 
     def take(kind: str, size: int) -> np.ndarray:
         nonlocal at
-        out = np.frombuffer(data, dtype=kind, count=size, offset=at)
-        at += out.nbytes
-        return out
+        width = np.dtype(kind).itemsize
+        planes = np.frombuffer(data, dtype=np.uint8, count=size * width, offset=at)
+        at += size * width
+        return np.ascontiguousarray(planes.reshape(width, size).T).view(kind).reshape(size)
 
-    own, rows, runs = take("<u4", 3).tolist()
     kind = "<u2" if own <= 1 << 16 else "<u4"
-    vocabulary, first, lengths = take("<u8", own), take("<u4", runs), take("<u4", runs)
-    return vocabulary, np.repeat(first, lengths), take(kind, rows), take(kind, rows), take("<u4", rows)
+    steps, first, lengths = take("<u8", own), take("<u4", runs), take("<u4", runs)
+    u_steps, w, n = take(kind, rows), take(kind, rows), take("<u4", rows)
+    return np.cumsum(steps, dtype=np.uint64), np.repeat(first, lengths), np.cumsum(u_steps, dtype=kind), w, n
 
 
 def _combined(kinds: int, u: np.ndarray, v: np.ndarray, w: np.ndarray, n: np.ndarray | None = None):
@@ -266,16 +277,16 @@ class Table:
     """Distinct 64-bit keys in order, each with a row of numbers.
 
     A key's first bits are its bucket and the next KEPT_BITS are stored, so a key that is absent is taken for a stored
-    one once in 2 ** KEPT_BITS / BUCKET_KEYS times, 7e-9, whatever the size. Rows of numbers are stored once each, and
-    a key has the place of its row."""
+    one once in 2 ** KEPT_BITS / BUCKET_KEYS times, 7e-9, whatever the size. Rows of numbers are stored once each. A
+    bit for each key tells whether it has another row than the commonest; those that have follow as row numbers."""
 
-    def __init__(self, buckets: np.ndarray, kept: np.ndarray, code: np.ndarray, rows: np.ndarray):
+    def __init__(self, rows: np.ndarray, other: np.ndarray, rank: np.ndarray, buckets: np.ndarray, kept: np.ndarray, code: np.ndarray):
         self.bits = (len(buckets) - 1).bit_length() - 1
-        self.buckets, self.kept, self.code, self.rows = buckets, kept, code, rows
+        self.rows, self.other, self.rank, self.buckets, self.kept, self.code = rows, other, rank, buckets, kept, code
 
     @staticmethod
     def to_bytes(keys: np.ndarray, values: np.ndarray) -> tuple[bytes, list[int]]:
-        """The bytes, a multiple of eight, and what ``from_bytes`` has to know: keys, distinct rows, columns."""
+        """The bytes, a multiple of eight, and what ``from_bytes`` has to know: keys, rows, columns, row numbers."""
         order = np.argsort(keys)
         keys, values = keys[order], values[order]
         bits = _bucket_bits(len(keys))
@@ -283,19 +294,28 @@ class Table:
         buckets = np.searchsorted(spot, np.arange((1 << bits) + 1)).astype("<u4")
         mark = values[:, 0].astype(np.uint64) if values.shape[1] == 1 else mix(*values.T.astype(np.uint64))
         _, first, code = np.unique(mark, return_index=True, return_inverse=True)
-        columns = [values[first].astype("<i8"), buckets, kept.astype("<u4"), code.astype(_code_kind(len(first)))]
-        out = b"".join(c.tobytes() for c in columns)
-        return out + bytes(-len(out) % 8), [len(keys), len(first), values.shape[1]]
+        if len(first):  # the commonest row is number 0
+            common = np.argmax(np.bincount(code))
+            to = np.arange(len(first))
+            to[[0, common]] = common, 0
+            first, code = first[to], to[code]
+        other = np.packbits(code != 0, bitorder="little")
+        other = np.r_[other, np.zeros(-len(other) % 8, dtype=np.uint8)].view("<u8")
+        rank = np.cumsum(np.r_[0, np.bitwise_count(other)])[:-1].astype("<u4")
+        code = code[code != 0].astype(_code_kind(len(first)))
+        out = b"".join(c.tobytes() for c in (values[first].astype("<i8"), other, rank, buckets, kept.astype("<u4"), code))
+        return out + bytes(-len(out) % 8), [len(keys), len(first), values.shape[1], len(code)]
 
     @staticmethod
-    def from_bytes(data: np.ndarray, at: int, n: int, rows: int, columns: int) -> tuple[Table, int]:
+    def from_bytes(data: np.ndarray, at: int, n: int, rows: int, columns: int, codes: int) -> tuple[Table, int]:
         """A table in mapped bytes, and where it ends."""
-        parts = []
-        for kind, size in (("<i8", rows * columns), ("<u4", (1 << _bucket_bits(n)) + 1), ("<u4", n), (_code_kind(rows), n)):
+        parts, words = [], -(-n // 64)
+        sizes = (("<i8", rows * columns), ("<u8", words), ("<u4", words), ("<u4", (1 << _bucket_bits(n)) + 1), ("<u4", n), (_code_kind(rows), codes))
+        for kind, size in sizes:
             end = at + size * np.dtype(kind).itemsize
             parts.append(data[at:end].view(kind))
             at = end
-        return Table(*parts[1:], parts[0].reshape(rows, columns)), at + -at % 8
+        return Table(parts[0].reshape(rows, columns), *parts[1:]), at + -at % 8
 
     @staticmethod
     def _cut(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -315,7 +335,13 @@ class Table:
             high = np.where(under, high, middle)
         hit = np.flatnonzero(low < end)
         hit = hit[self.kept[low[hit]] == kept[hit]]
-        return hit, self.rows[self.code[low[hit]]]
+        at = low[hit]
+        word, bit = self.other[at >> 6], (at & 63).astype(np.uint64)
+        coded = np.flatnonzero((word >> bit) & np.uint64(1))
+        before = np.bitwise_count(word[coded] & ((np.uint64(1) << bit[coded]) - np.uint64(1)))
+        code = np.zeros(len(hit), dtype=np.int64)
+        code[coded] = self.code[self.rank[at[coded] >> 6].astype(np.int64) + before]
+        return hit, self.rows[code]
 
 
 FOUND = "kind int, a long, b long, key long, n long, x long, y long, z long, path string, sizes array<long>, facts array<long>"
@@ -514,8 +540,8 @@ class Scorer:
     @staticmethod
     def _tables(path: str, sizes: list[int]) -> list[Table]:
         data, at, out = _mapped(path), 0, []
-        for i in range(0, len(sizes), 3):
-            t, at = Table.from_bytes(data, at, *sizes[i : i + 3])
+        for i in range(0, len(sizes), 4):
+            t, at = Table.from_bytes(data, at, *sizes[i : i + 4])
             out.append(t)
         return out
 
