@@ -12,18 +12,16 @@ need over their parts are a second, small aggregation. Which words are dealt so
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
-from urllib.parse import urlparse
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from studyloom.llm import arrays
 from studyloom.llm.common import crc_mod, small_batches, table
 from studyloom.storage import new_path, staged
 
@@ -187,7 +185,9 @@ def _unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarr
 def _combined(kinds: int, u: np.ndarray, v: np.ndarray, w: np.ndarray, n: np.ndarray | None = None):
     """v, u, w, n of the distinct rows of ids below ``kinds``, sorted by v, u, w."""
     if kinds <= 1 << ID_BITS:
-        key = (v << 2 * ID_BITS) | (u << ID_BITS) | w
+        key = v << 2 * ID_BITS
+        key |= u << ID_BITS
+        key |= w
         if n is None:
             key.sort()
         else:
@@ -211,15 +211,14 @@ def pack_trigrams(docs: DataFrame, deal: Deal) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(deal)  # parts words and pairs at most
 
     def blobs(held: list[np.ndarray]) -> Iterator[pd.DataFrame]:
-        padded = np.concatenate([np.r_[START, START, x] for x in held])
-        last = np.cumsum([len(x) + 2 for x in held])
-        inside = np.ones(len(padded), dtype=bool)
-        inside[last - np.array([len(x) + 2 for x in held])] = inside[last - np.array([len(x) + 1 for x in held])] = False
-        spots = np.flatnonzero(inside)
-        vocabulary, ids = np.unique(padded, return_inverse=True)
-        for i in range(0, len(spots), COMBINED):
-            at = spots[i : i + COMBINED]
-            v, u, w, n = _combined(len(vocabulary), ids[at - 2], ids[at - 1], ids[at])
+        vocabulary, ids = np.unique(np.concatenate([np.r_[START, START, x] for x in held]), return_inverse=True)
+        held.clear()
+        start, rows = np.searchsorted(vocabulary, START), len(ids) - 2
+        for i in range(0, rows, COMBINED):
+            end = min(i + COMBINED, rows)
+            v, u, w, n = _combined(len(vocabulary), ids[i:end], ids[i + 1 : end + 1], ids[i + 2 : end + 2])
+            inside = w != start  # the others reach over from one text to the next
+            v, u, w, n = v[inside], u[inside], w[inside], n[inside]
             part = shared.value.part(vocabulary[u], vocabulary[v], vocabulary[w])
             order = np.argsort(part.astype(np.uint16) if shared.value.parts <= 1 << 16 else part, kind="stable")
             first = _runs(part[order])
@@ -234,37 +233,14 @@ def pack_trigrams(docs: DataFrame, deal: Deal) -> DataFrame:
                 held.append(tokens(text))
                 size += len(held[-1])
                 if size >= COMBINED:
-                    yield from blobs(held)
-                    held, size = [], 0
+                    yield from blobs(held)  # empties it
+                    size = 0
         if held:
             yield from blobs(held)
 
     return docs.select("text").mapInPandas(counted, "part long, blob binary")
 
 
-def _open(path: str, mode: str):
-    """A file of the shared folder, whose store pyarrow opens (a local path, hdfs, s3, gs)."""
-    from pyarrow import fs
-
-    store, name = fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
-    if mode == "w":
-        store.create_dir(os.path.dirname(name), recursive=True)
-        return store.open_output_stream(name)
-    return store.open_input_file(name)
-
-
-def _mapped(path: str) -> np.ndarray:
-    """The shared file itself where it is a local one; else an unnamed local copy, which goes with the worker."""
-    url = urlparse(path)
-    if url.scheme in ("", "file"):
-        return np.memmap(url.path, dtype=np.uint8, mode="r")
-    with _open(path, "r") as f, tempfile.TemporaryFile() as copy:
-        while block := f.read(1 << 24):
-            copy.write(block)
-        copy.flush()
-        return np.memmap(copy, dtype=np.uint8, mode="r")
-
-
 def _bucket_bits(n: int) -> int:
     return max(0, min(KEPT_BITS, (n // BUCKET_KEYS).bit_length() - 1))
 
@@ -362,14 +338,8 @@ def _classes(counts: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
 
 
 def _write(path: str, tables: list[tuple[np.ndarray, np.ndarray]]) -> tuple[str, list[int]]:
-    """A file of tables, under a name of its own: only names that finished tasks hand on are ever read."""
-    name, sizes = f"{path}/{uuid.uuid4().hex}", []
-    with _open(name, "w") as f:
-        for keys, values in tables:
-            data, size = Table.to_bytes(keys, values)
-            f.write(data)
-            sizes += size
-    return name, sizes
+    parts = [Table.to_bytes(*t) for t in tables]
+    return arrays.write(path, [data for data, _ in parts]), [n for _, size in parts for n in size]
 
 
 def _part_writer(deal, path: str):
@@ -539,7 +509,7 @@ class Scorer:
 
     @staticmethod
     def _tables(path: str, sizes: list[int]) -> list[Table]:
-        data, at, out = _mapped(path), 0, []
+        data, at, out = arrays.mapped(path), 0, []
         for i in range(0, len(sizes), 4):
             t, at = Table.from_bytes(data, at, *sizes[i : i + 4])
             out.append(t)
