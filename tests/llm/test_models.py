@@ -110,6 +110,67 @@ def test_langid_blocks_and_forgetting(spark, monkeypatch):
         assert (got is None) == (w is None) and (w is None or abs(got - w).max() < 1e-9)
 
 
+def plain_entropies(docs, texts):
+    """Interpolated Kneser-Ney over dictionaries, a model per language, contexts within a word."""
+    letters, order = re.compile(r"[^\W\d_]+"), langid.ORDER
+    langs = sorted({lang for _, lang in docs})
+    models = {}
+    for lang in langs:
+        counts = {order: Counter()}
+        for text, of in docs:
+            for word in letters.findall(text.lower()) if of == lang else ():
+                padded = "\x02" * (order - 1) + word + "\x03"
+                counts[order].update(padded[i : i + order] for i in range(len(word) + 1))
+        for o in range(order - 1, 0, -1):
+            counts[o] = Counter(g[1:] for g in counts[o + 1])
+        models[lang] = {}
+        for o, c in counts.items():
+            n1, n2 = (sum(x == k for x in c.values()) for k in (1, 2))
+            d = min(n1 / (n1 + 2 * n2) if n1 else 0.5, 0.95)
+            total, kinds = Counter(), Counter()
+            for g, x in c.items():
+                total[g[:-1]] += x
+                kinds[g[:-1]] += 1
+            models[lang][o] = c, d, total, kinds
+    unseen = 1 / (len(set().union(*[m[1][0] for m in models.values()])) + 1)
+
+    def p(m, gram):
+        if not gram:
+            return unseen
+        c, d, total, kinds = m[len(gram)]
+        lower, t = p(m, gram[1:]), total[gram[:-1]]
+        return max(c[gram] - d, 0) / t + d * kinds[gram[:-1]] / t * lower if t else lower
+
+    out = []
+    for text in texts:
+        words = ["\x02" * (order - 1) + w + "\x03" for w in letters.findall(text.lower())]
+        grams = [w[i : i + order] for w in words for i in range(len(w) - order + 1)]
+        out.append([-sum(math.log(p(models[lang], g)) for g in grams) / len(grams) for lang in langs])
+    return out
+
+
+@pytest.mark.parametrize("file_rows", [1 << 20, 8])
+def test_langid_equals_plain_models(spark, monkeypatch, file_rows):
+    """All grams count, however many files they fill."""
+    monkeypatch.setattr(langid, "FILE_ROWS", file_rows)
+    rows = [(i, text, lang) for i, text, lang, *_ in corpus(40)] + [(90, "zażółć gęślą jaźń, żółw", "pl"), (91, "zażółć gęślą jaźń, żółw", "pl"), (92, None, "pl"), (93, "x", None)]
+    models = langid.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert models.langs == ["de", "en", "pl"] and (len(models.files) > 20) == (file_rows == 8)
+    texts = ["the maps of rivers", "nicht ein zug", "żółta jaźń", "qqq", "x"]
+    want = plain_entropies([(t, g) for _, t, g in rows if t and g], texts)
+    got = langid.Scorer(models).entropies(texts)
+    assert all(abs(a - b).max() < 1e-4 for a, b in zip(got, want, strict=True))
+
+
+def test_langid_repeated_rows_and_clashing_columns(spark, documents):
+    rows = corpus(60)
+    schema = "doc_id long, text string, lang string, source string, n_chars long, lang_pred string, score string, held_out int, p int, word string"
+    folder = documents([(*r, "zz", "s", 1, 2, "w") for r in [*rows, rows[0], rows[0]]], schema)
+    got = langid.op7_langid(spark, folder).collect()
+    assert len(got) == 62 and len({(r.lang_pred, r.score) for r in got if r.doc_id == 0}) == 1
+    assert {r.lang_pred for r in got} == {"en", "de"}
+
+
 def test_langid_nothing_to_learn(spark, documents):
     assert langid.op7_langid(spark, documents([])).collect() == []
     got = langid.op7_langid(spark, documents([(1, "text", None, "a", 0), (2, None, "en", "a", 0)])).collect()
