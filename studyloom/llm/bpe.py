@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 
 from studyloom.llm.common import small_batches, table
 
-#: Characters of a leaf, tokens of a leaf of decoding.
-LEAF, DECODE_LEAF = 8192, 1 << 16
+#: Characters of a leaf, which the library encodes, and tokens of a leaf of decoding. Most texts are several of them.
+LEAF, DECODE_LEAF = 512, 256
 #: The characters with Unicode's White_Space property, the split pattern's \s. Fixed values.
 BLANKS = frozenset(map(chr, [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 
@@ -144,5 +144,8 @@ def digests(coded_docs: DataFrame) -> DataFrame:
 
 
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and digests of every document's ids and of what they decode to. Null texts are empty, and empty texts
+    have no ids; a null id stays null; repeated rows get equal rows; extra columns do not matter; an empty table gives
+    an empty result."""
     small_batches(spark)
     return digests(coded(table(spark, sf_dir, "documents"), *production()))

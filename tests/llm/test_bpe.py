@@ -42,6 +42,25 @@ def test_query(spark, documents, awkward, library):
     assert sorted(map(tuple, got), key=key) == sorted(want, key=key)
 
 
+def test_most_texts_are_joined_from_halves(spark, library, monkeypatch):
+    texts = [r.text or "" for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()]
+    coder = bpe.Coder(*bpe.production())
+    joined, decoded = set(), set()
+    plain_join, plain_decode = bpe.Coder._join, bpe.Coder.decode
+    monkeypatch.setattr(bpe.Coder, "_join", lambda self, text, *a: joined.add(text) or plain_join(self, text, *a))
+    monkeypatch.setattr(bpe.Coder, "decode", lambda self, ids: decoded.add(len(ids)) or plain_decode(self, ids))
+    for t in texts:
+        ids = coder.encode(t)
+        assert ids.tolist() == library.encode_ordinary(t) and coder.decode(ids) == t.encode()
+    assert len(joined) * 2 > len(set(texts)) and any(0 < n <= bpe.DECODE_LEAF for n in decoded)
+
+
+def test_clashing_columns(spark, documents):
+    schema = "doc_id long, text string, ids string, decoded int, n_tokens string"
+    got = bpe.op8_bpe(spark, documents([(1, "some text", "x", 2, "y")], schema)).collect()
+    assert [(r.doc_id, r.n_tokens) for r in got] == [(1, 2)]
+
+
 def test_empty_table(spark, documents):
     assert bpe.op8_bpe(spark, documents([])).collect() == []
     assert bpe.coder(*bpe.production()).decode(np.array([], dtype=np.int64)) == b""
