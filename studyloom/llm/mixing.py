@@ -6,9 +6,9 @@ in the order of finish times are the mix, cut where the total budget is spent. A
 its target, so each prefix of the mix has the target proportions.
 
 Nothing gathers a source in one task. The queue positions are a two-level prefix sum: rows are dealt to buckets by
-source and shuffle-hash range, a window runs inside a bucket, and bucket totals carry the offsets. The global cut
-is found by narrowing: a histogram of finish times over fixed ranges, then one inside the range that holds the
-budget, until that range is short enough to sort.
+source and shuffle-hash range, a window runs inside a bucket, and bucket totals carry the offsets. The mix is range-
+sorted by finish time; the totals of its ranges tell in which one the budget ends, and a running sum inside that range
+where.
 """
 
 from __future__ import annotations
@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 from studyloom.llm.common import WORD, table
 from studyloom.storage import staged
 
-#: Mean rows of a bucket of the shuffled queues; ranges of one histogram; rows that the last sort may take.
-BUCKET_ROWS, RANGES, SORT_ROWS = 256, 4096, 5000
+#: Mean rows of a bucket of the shuffled queues, and how many buckets a source may have, whose totals one task sums;
+#: mean copies of a range of the sorted mix.
+BUCKET_ROWS, MAX_BUCKETS, RANGE_ROWS = 256, 1 << 20, 1 << 18
 
 
 def shuffle_key(doc_id: Column) -> Column:
@@ -55,7 +56,7 @@ def queued(docs: DataFrame, weights: tuple[int, ...], share: tuple[int, int], re
     row in the shuffled queue. Also the total of all sizes. Ties of the hash are broken by id and size."""
     docs = staged(docs.select("doc_id", "source", "size"), "mix-sizes")
     n, total = docs.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
-    buckets = max(1, n // BUCKET_ROWS)
+    buckets = min(MAX_BUCKETS, max(1, n // BUCKET_ROWS))
     key = shuffle_key(F.col("doc_id"))
     d = docs.withColumn("key", key).withColumn(
         "bucket", F.shiftright(F.conv(F.substring("key", 1, 8), 16, 10).cast("long") * buckets, 32)
@@ -87,29 +88,18 @@ def find_cut(queue: DataFrame, budget: int, repeats: int) -> tuple[float, int, i
     """(finish time, source rank, tokens left for it) of the copy in which the budget ends; None: all is taken."""
     copies = queue.select("srank", "size", F.explode(F.array(*[finish(c) for c in range(repeats)])).alias("v"))
     copies = copies.where(F.col("v").isNotNull())
-    rows, low, high, total = copies.agg(F.count(F.lit(1)), F.min("v"), F.max("v"), F.sum("size")).first()
+    rows, total = copies.agg(F.count(F.lit(1)), F.sum("size")).first()
     if not rows or total <= budget:
         return None
-    spent = 0
-    while rows > SORT_ROWS and low < high:
-        spot = F.least(F.floor((F.col("v") - low) / (high - low) * RANGES), F.lit(RANGES - 1))
-        inside = copies.where(F.col("v").between(low, high))
-        found = inside.groupBy(spot.alias("spot")).agg(
-            F.sum("size").alias("held"), F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high")
-        )
-        for r in sorted(found.collect(), key=lambda r: r.spot):  # RANGES rows at most
-            if spent + r.held >= budget:
-                rows, low, high = r.n, r.low, r.high
-                break
-            spent += r.held
+    ranges = -(-rows // RANGE_ROWS)
+    line = copies.repartitionByRange(ranges, "v", "srank").sortWithinPartitions("v", "srank")
+    line = staged(line.withColumn("range", F.spark_partition_id()), "mix-line")
+    earlier = W.orderBy("range").rowsBetween(W.unboundedPreceding, -1)
+    held = line.groupBy("range").agg(F.sum("size").alias("held")).withColumn("spent", F.coalesce(F.sum("held").over(earlier), F.lit(0)))
+    range_, spent = held.where((F.col("spent") < budget) & (F.col("spent") + F.col("held") >= budget)).select("range", "spent").first()
     so_far = F.sum("size").over(W.orderBy("v", "srank").rowsBetween(W.unboundedPreceding, 0))
-    last = (
-        copies.where(F.col("v").between(low, high))
-        .withColumn("end", so_far + spent)
-        .where(F.col("end") >= budget)
-        .orderBy("v", "srank")
-        .first()
-    )
+    inside = line.where(F.col("range") == range_).withColumn("end", so_far + spent)
+    last = inside.where(F.col("end") >= budget).orderBy("v", "srank").first()
     return last.v, last.srank, budget - (last.end - last.size)
 
 
@@ -144,22 +134,25 @@ def word_count(text: Column) -> Column:
 
 
 def mixed(docs: DataFrame, text: str = "text", **how) -> DataFrame:
-    """docs with each row once for every copy of it that begins within the mix: none, one or more. Rows with one id,
-    source and size stand for each other: the copies that the mix takes of them are dealt out in the order of size
-    and text hash, so what is kept is the same in every run."""
-    sized = docs.withColumn("_size", word_count(F.col(text))).withColumn("_key", F.xxhash64("doc_id", "source", "_size"))
+    """docs with each row once for every copy of it that begins within the mix, all its columns as they are, whatever
+    their names. Rows with one id, source and size stand for each other: the copies that the mix takes of them are
+    dealt out in the order of the text's hash, so what is kept is the same in every run. Rows without words (null and
+    empty texts among them) go; null ids and sources are values like others; no documents give no documents."""
     repeats = how.get("repeats", 2)
-    taken = mix(docs.select("doc_id", "source", word_count(F.col(text)).alias("size")), **how).where("copies > 0")
-    taken = taken.groupBy(F.xxhash64("doc_id", "source", "size").alias("_key")).agg(
-        *[F.sum((F.col("copies") >= c).cast("int")).alias(f"_rows{c}") for c in range(1, repeats + 1)]
-    )
-    sized = sized.withColumn("_at", F.row_number().over(W.partitionBy("_key").orderBy(F.xxhash64(text))))
-    copies = sum(((F.col("_at") <= F.col(f"_rows{c}")).cast("int") for c in range(1, repeats + 1)), F.lit(0))
-    taken = sized.join(taken, "_key").withColumn("_copies", copies).where("_copies > 0")
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    rows = docs.select(F.struct("*").alias("doc"), "doc_id", "source", word_count(F.col(text)).alias("size"), F.xxhash64(text).alias("hash"))
+    taken = mix(rows.select("doc_id", "source", "size"), **how).where("copies > 0")
+    key = F.xxhash64("doc_id", "source", "size").alias("key")
+    taken = taken.groupBy(key).agg(*[F.sum((F.col("copies") >= c).cast("int")).alias(f"rows{c}") for c in range(1, repeats + 1)])
+    rows = rows.select("doc", "hash", key).withColumn("at", F.row_number().over(W.partitionBy("key").orderBy("hash")))
+    copies = sum(((F.col("at") <= F.col(f"rows{c}")).cast("int") for c in range(1, repeats + 1)), F.lit(0))
+    rows = rows.join(taken, "key").withColumn("copies", copies).where("copies > 0")
+    return rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("doc.*")
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with what the mix takes of it. A null text has size 0, of which nothing is taken; a null source is
+    a source; null ids and repeated rows queue like others; extra columns do not matter; an empty table gives an empty
+    result."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", word_count(F.col("text")).alias("size"))
     return mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 

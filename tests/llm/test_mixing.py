@@ -36,12 +36,12 @@ def test_targets_and_limits(spark, documents):
     assert abs(taken[1] / taken[2] - 0.5) < 0.02
 
 
-def test_narrowing_equals_sorting(spark, documents, monkeypatch):
+def test_many_ranges_equal_one(spark, documents, monkeypatch):
     rows = [(i, "w " * (i % 23), "en", "ab"[i % 2], 0) for i in range(500)]
     want = sorted(run(spark, documents, rows))
-    monkeypatch.setattr(mixing, "SORT_ROWS", 3)
-    monkeypatch.setattr(mixing, "RANGES", 4)
+    monkeypatch.setattr(mixing, "RANGE_ROWS", 30)
     monkeypatch.setattr(mixing, "BUCKET_ROWS", 7)
+    monkeypatch.setattr(mixing, "MAX_BUCKETS", 9)
     assert sorted(run(spark, documents, rows)) == want
 
 
@@ -58,8 +58,11 @@ def test_nothing_to_mix(spark, documents, rows):
 
 
 def test_copies_as_rows(spark, documents, awkward):
-    docs = spark.createDataFrame(awkward, "doc_id long, text string, lang string, source string, n_chars long").selectExpr("*", "1 AS size", "'x' AS copies", "2 AS cum")
+    docs = spark.createDataFrame(awkward, "doc_id long, text string, lang string, source string, n_chars long").selectExpr("*", "doc_id AS size", "doc_id AS copies", "doc_id AS cum", "doc_id AS _key", "doc_id AS _size", "doc_id AS key", "doc_id AS doc", "doc_id AS at", "doc_id AS rows1")
     got = mixing.mixed(docs)
     assert got.columns == docs.columns
-    n = Counter(r.doc_id for r in got.collect())
+    rows = got.collect()
+    assert all(set(r[5:]) == {r.doc_id} for r in rows)
+    assert {r[:5] for r in rows} <= set(awkward)
+    n = Counter(r.doc_id for r in rows)
     assert n and max(n.values()) <= 6 and 1 not in n
