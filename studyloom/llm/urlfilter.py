@@ -3,7 +3,7 @@
 Level 1 of the cascade holds the listed keys. Level 2 holds the unlisted keys of the universe that level 1 lets
 through, level 3 the listed ones that level 2 lets through, and so on until a level lets nothing wrong through. The
 first level that a key fails decides, so membership is exact for every key of the universe, and no row of the
-judged table is joined with or shuffled for the list.
+judged table is joined with or shuffled for the list. The production query's keys are pages, host and path.
 """
 
 from __future__ import annotations
@@ -19,11 +19,10 @@ from studyloom.storage import staged
 
 #: Bits of one page of a level, as ``bitmap_construct_agg`` makes them.
 PAGE_BITS = 32768
-#: Share of unlisted keys that the first level lets through, and of the later levels.
-FIRST_RATE, LATER_RATE = 1 / 16, 1 / 2
-#: All levels together may not exceed this; a longer list takes the semi-join instead.
-MAX_BYTES = 1 << 20
-MAX_LEVELS = 64
+#: Share of unlisted keys that a later level lets through; that of the first level follows from the keys.
+LATER_RATE = 1 / 2
+#: Bytes of filters that a pass over the judged rows carries. A longer list takes a pass for each such share of keys.
+MAX_BYTES = 1 << 23
 
 #: Labels of a host that put it on the list of the production query. Fixed values.
 LISTED_LABELS = ("casino-win", "cheap-pills", "spam-farm")
@@ -77,24 +76,53 @@ def _level(keys: DataFrame, n: int, rate: float, seed: int) -> Level:
     return Level(bytes(whole[: -(-size // 8)]), size, level.hashes, seed)
 
 
-def cascade(universe: DataFrame) -> list[Level] | None:
-    """universe(key, listed), keys distinct and not null -> levels, or None if they would exceed MAX_BYTES."""
-    universe = staged(universe, "url-universe")
+def first_rate(listed: int, others: int) -> float:
+    """The share that keeps the whole cascade shortest: about the listed keys over the others, times root two."""
+    return min(LATER_RATE, math.sqrt(2) * listed / max(1, others))
+
+
+def bits_of(n: int, rate: float) -> float:
+    return n * math.log2(1 / rate) / math.log(2) if n else 0.0
+
+
+def passes_needed(listed: int, others: int) -> int:
+    """Passes over the judged rows, each with the filters of its own share of the keys. Behind the first level, each
+    two levels together halve the keys that are left of both kinds."""
+    rate = first_rate(listed, others)
+    later = 2 * bits_of(round(others * rate), LATER_RATE) + bits_of(listed, LATER_RATE)
+    return max(1, math.ceil((bits_of(listed, rate) + later) / 8 / MAX_BYTES))
+
+
+def cascade(universe: DataFrame) -> list[Level]:
+    """universe(key, listed), keys distinct and not null -> the levels, until one lets nothing wrong through."""
+    counts = {r.listed: r["count"] for r in universe.groupBy("listed").count().collect()}
     levels: list[Level] = []
-    inside = universe.where("listed")
-    while n := inside.count():
-        rate = FIRST_RATE if not levels else LATER_RATE
-        held = sum(len(x.bits) for x in levels)
-        if held + n * math.log2(1 / rate) / math.log(2) / 8 > MAX_BYTES or len(levels) == MAX_LEVELS:
-            return None
+    inside, n, rate = universe.where("listed"), counts.get(True, 0), first_rate(counts.get(True, 0), counts.get(False, 0))
+    while n:
         levels.append(_level(inside, n, rate, len(levels)))
         even = len(levels) % 2 == 0
         inside = universe.where(F.col("listed") if even else ~F.col("listed"))
         for level in levels:
             inside = inside.where(level.passes(F.col("key")))
+        n, rate = inside.count(), LATER_RATE
     return levels
 
 
+def marked(rows: DataFrame, universe: DataFrame) -> DataFrame:
+    """rows(key, ...), all keys of the universe(key, listed) -> rows with ``listed``, by the cascade."""
+    universe = staged(universe, "url-universe")
+    counts = {r.listed: r["count"] for r in universe.groupBy("listed").count().collect()}
+    n = passes_needed(counts.get(True, 0), counts.get(False, 0))
+    if n == 1:
+        return rows.withColumn("listed", member(cascade(universe), F.col("key")))
+    out = None
+    for i in range(n):  # the driver holds the filters of one pass
+        mine = F.pmod(F.xxhash64("key", F.lit("pass")), F.lit(n)) == i
+        done = staged(rows.where(mine).withColumn("listed", member(cascade(universe.where(mine)), F.col("key"))), "url-judged")
+        out = done if out is None else out.union(done)
+    return out
+
+
 def member(levels: list[Level], key: Column) -> Column:
     """Whether a key of the universe is listed: decided by the first level that it fails."""
     out = F.lit(len(levels) % 2 == 1)
@@ -112,35 +140,41 @@ def rule_of(host: Column, path: Column, rules) -> tuple[Column, Column]:
     return name, verdict
 
 
-def judge(pages: DataFrame, listed: DataFrame, rules=RULES) -> DataFrame:
-    """pages(page_id, url), listed(key): hosts -> page_id, host, path, rule, verdict, listed.
+def host_key() -> Column:
+    return F.col("host")
+
+
+def page_key() -> Column:
+    """Host and path: no host has a slash, so neither part can be taken for the other."""
+    return F.concat("host", "path")
+
+
+def judge(pages: DataFrame, listed: DataFrame, rules=RULES, key=host_key) -> DataFrame:
+    """pages(page_id, url), listed(key) -> page_id, host, path, rule, verdict, listed.
 
-    A rule decides where one fits; else the host's membership does. Null urls and those without ``://`` have an empty
-    host and path, which may be listed like any other. Repeated pages are each judged; null keys are ignored; an
-    empty list allows all that no rule blocks. Beyond MAX_BYTES of filters a semi-join gives the same membership."""
-    pages = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
+    A rule decides where one fits; else whether the page's key is listed. Null urls and those without ``://`` have an
+    empty host and path, which may be listed like any other. Repeated pages are each judged; null keys of the list are
+    ignored; an empty list allows all that no rule blocks; extra columns do not matter; an empty table gives an empty
+    result."""
+    pages = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path")).withColumn("key", key())
     listed = listed.where(F.col("key").isNotNull()).select("key", F.lit(True).alias("listed"))
-    universe = pages.select(F.col("host").alias("key"), F.lit(False).alias("listed")).union(listed)
-    levels = cascade(universe.groupBy("key").agg(F.max("listed").alias("listed")))
-    if levels is None:
-        marked = pages.join(listed.distinct(), pages.host == listed.key, "left").drop("key")
-        marked = marked.withColumn("listed", F.coalesce("listed", F.lit(False)))
-    else:
-        marked = pages.withColumn("listed", member(levels, F.col("host")))
+    universe = pages.select("key", F.lit(False).alias("listed")).union(listed).groupBy("key").agg(F.max("listed").alias("listed"))
+    found = marked(pages, universe)
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     rest = F.when(F.col("listed"), F.lit("block")).otherwise(F.lit("allow"))
-    return marked.select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, rest).alias("verdict"), "listed")
+    return found.select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, rest).alias("verdict"), "listed")
 
 
-def listed_hosts(pages: DataFrame, labels=LISTED_LABELS) -> DataFrame:
-    """The corpus's hosts that have one of these labels: the list of the production query."""
-    host = host_of(F.col("url"))
-    return pages.where(F.arrays_overlap(F.split(host, r"\."), F.array(*[F.lit(x) for x in labels]))).select(host.alias("key")).distinct()
+def listed_pages(pages: DataFrame, labels=LISTED_LABELS) -> DataFrame:
+    """The corpus's pages, as keys, on hosts that have one of these labels: the list of the production query."""
+    urls = pages.select(host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
+    return urls.where(F.arrays_overlap(F.split("host", r"\."), F.array(*[F.lit(x) for x in labels]))).select(page_key().alias("key")).distinct()
 
 
 def op4_urlfilter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "pages")
-    return judge(pages, listed_hosts(pages)).drop("listed")
+    """Every page's verdict: of a rule, else by the list of pages. Nulls, repeated rows and empty tables as in ``judge``."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return judge(pages, listed_pages(pages), key=page_key).drop("listed")
 
 
 SQL = r"""
