@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from studyloom.llm.common import small_batches, table
 from studyloom.operators.components import connected_components
-from studyloom.storage import staged
+from studyloom.storage import discard, staged
 
 BITS, SEED = 64, 42
 #: Fingerprints of a tree at most (two tiles), rows of a batch of shards on average, queries searched at once.
@@ -219,10 +219,13 @@ def keep_one(docs: DataFrame) -> DataFrame:
     are those of five-word shingles shared at 0.8 or more (``overlap``), not those of the fingerprints above.
 
     Rows are chosen, not ids: of rows that repeat an id with different texts each stays or goes with its own group,
-    and of near copies without an id one stays only if no copy has one."""
+    and of near copies without an id one stays only if no copy has one. Null and empty texts are one group; all columns
+    stay as they are, whatever their names; no documents give no documents."""
     from studyloom.llm import overlap
 
     rows = overlap.sketched(docs)
     best = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "n_chars", "kind", "row")).alias("best")
-    kept = overlap.with_components(rows).groupBy("component").agg(best).select("best.row")
-    return rows.join(kept, "row").select("doc.*")
+    kept = staged(overlap.with_components(rows).groupBy("component").agg(best).select("best.row"), "overlap-kept")
+    out = staged(rows.join(overlap.small(kept), "row").select("doc.*"), "overlap-out")
+    discard(rows)
+    return out
