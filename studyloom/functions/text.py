@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 #: Separator of joined lists in reports, and the split pattern that reads them back. Fixed values.
 JOINER, JOINED = "、", "[、|]"
 #: Names that stand for no name. Fixed values.
-PLACEHOLDERS = ("anonymous", "noname", "patient", "test", "unknown", "无名氏", "未知", "匿名")
+PLACEHOLDERS = ("anonymized", "anonymous", "noname", "patient", "test", "unknown", "无名氏", "未知", "匿名")
 #: Words of folder names that are no person's name. Fixed values.
 GENERIC_WORDS = ("影像", "术前", "术后", "术中", "患者", "资料", "数据", "检查")
 #: Placeholders of an absent instance identifier. Fixed values.
@@ -38,7 +38,8 @@ INITIAL_STARTS = (
 
 @F.pandas_udf(T.StringType())
 def pinyin_initials(text: pd.Series) -> pd.Series:
-    """Pinyin initials of the common Chinese characters, which their standard code is ordered by; others have none."""
+    """Pinyin initials of the common Chinese characters, which their standard code is ordered by. A name with another
+    Chinese character has none at all, for the rest would match other people's; what is not Chinese is passed over."""
     starts = [s for _, s in INITIAL_STARTS]
 
     def one(c: str) -> str:
@@ -46,7 +47,11 @@ def pinyin_initials(text: pd.Series) -> pd.Series:
         k = bisect_right(starts, int.from_bytes(code, "big")) - 1 if len(code) == 2 else -1
         return INITIAL_STARTS[k][0] if k >= 0 else ""
 
-    return text.map(lambda x: "" if x is None else "".join(map(one, x)))
+    def whole(name: str | None) -> str:
+        found = [one(c) for c in name or "" if "\u3400" <= c <= "\u9fff"]
+        return "".join(found) if all(found) else ""
+
+    return text.map(whole)
 
 
 @F.pandas_udf(T.StringType())

@@ -60,9 +60,13 @@ def by_code(elements: Column, code: Column, deleted: list[str]) -> Column:
 
 
 def shift_and_scrub(elements: Column, subject: Column, salt: str, originals: Column, code: Column) -> Column:
-    """Dates move by the subject's own shift; every original text of the identity becomes the code."""
+    """Dates move by the subject's own shift; every original text of the identity, whatever its case, becomes the code,
+    longer ones first."""
     days = dates.shift_days(subject, salt)
-    scrub = lambda v: F.aggregate(originals, v, lambda acc, x: F.when(x == "", acc).otherwise(F.replace(acc, x, code)))
+    longest = F.array_sort(originals, lambda x, y: F.coalesce(F.length(y), F.lit(0)) - F.coalesce(F.length(x), F.lit(0)))
+    quoted = lambda x: F.concat(F.lit("(?iu)"), F.regexp_replace(x, r"([^\p{L}\p{N}\s])", r"\\$1"))
+    plain = F.regexp_replace(code, r"([\\$])", r"\\$1")
+    scrub = lambda v: F.aggregate(longest, v, lambda acc, x: F.when(F.coalesce(x, F.lit("")) == "", acc).otherwise(F.regexp_replace(acc, quoted(x), plain)))
     value = lambda e: F.when(e["vr"].isin(*DATE_VRS), dates.shifted(e["value"], days)).when(e["vr"].isin(*TEXT_VRS), scrub(e["value"])).otherwise(e["value"])
     return F.transform(elements, lambda e: _with_value(e, value(e)))
 

@@ -41,7 +41,8 @@ def profiles(nh: DataFrame) -> DataFrame:
 
 
 def relation(left: str = "l", right: str = "r") -> Column:
-    """struct<relation, evidence, conflicts> of two profiles of one name. Only a birth date that differs, with sex and
+    """struct<relation, evidence, conflicts> of two profiles of one name. What either profile holds against itself counts
+    as a conflict of the pair, so an id that several people share is merged with none. Only a birth date that differs, with sex and
     institution in agreement, asks for a review; other conflicts stand; two pieces of evidence confirm."""
     a, b = (lambda c: F.col(f"{left}.{c}")), (lambda c: F.col(f"{right}.{c}"))
     births = a("birth_date").isNotNull() & b("birth_date").isNotNull()
@@ -56,8 +57,11 @@ def relation(left: str = "l", right: str = "r") -> Column:
             F.when(years & near, "age"),
         )
     )
+    within = lambda kind: F.when(a("internal_conflicts").contains(kind) | b("internal_conflicts").contains(kind), kind)
     conflicts = F.array_compact(
         F.array(
+            within("multiple_birth_dates"),
+            within("multiple_sexes"),
             F.when(births & (a("birth_date") != b("birth_date")), "birth_date"),
             F.when(sexes & (a("sex") != b("sex")), "sex"),
             F.when(years & ~near, "age"),
@@ -71,6 +75,8 @@ def relation(left: str = "l", right: str = "r") -> Column:
 def pairs(people: DataFrame) -> DataFrame:
     """left_id, right_id, relation, evidence, conflicts for each pair of profiles with one name key."""
     named = people.where("name_key <> ''")
+    if "internal_conflicts" not in people.columns:  # profiles that tell of none
+        named = named.withColumn("internal_conflicts", F.lit(""))
     both = named.alias("l").join(named.alias("r"), (F.col("l.name_key") == F.col("r.name_key")) & (F.col("l.patient_id") < F.col("r.patient_id")))
     return both.select(F.col("l.patient_id").alias("left_id"), F.col("r.patient_id").alias("right_id"), F.col("l.name_key").alias("name_key"), relation().alias("x")).select(
         "left_id", "right_id", "name_key", "x.*"

@@ -93,13 +93,13 @@ def report_exceptions(report: DataFrame) -> DataFrame:
 
 def resolve_centers(folders: DataFrame, centers: DataFrame) -> DataFrame:
     """folders(folder, names), centers(center_key, names) -> folder, center_key, basis. Exact key; else the only
-    center whose key holds the folder's or is held by it (two characters at least); else the center with the most
+    center whose key holds the folder's (two characters at least), not the other way round; else the center with the most
     names in common, two at least and more than any other.
 
     Centers are a dimension of a study, so that the substring step compares keys, not rows."""
     f = folders.withColumn("folder_key", text.center_key(F.col("folder")))
     exact = f.join(centers.select("center_key"), f.folder_key == F.col("center_key"), "left").select("folder", "folder_key", "names", F.col("center_key").alias("exact"))
-    held = (F.length("folder_key") >= 2) & (F.col("center_key").contains(F.col("folder_key")) | F.col("folder_key").contains(F.col("center_key")))
+    held = (F.length("folder_key") >= 2) & F.col("center_key").contains(F.col("folder_key"))
     part = exact.where("exact IS NULL").select("folder", "folder_key").join(F.broadcast(centers.select("center_key")), held)  # a row per center
     part = part.groupBy("folder").agg(F.count(F.lit(1)).alias("parts"), F.min("center_key").alias("part"))
     shared = f.select("folder", F.explode("names").alias("name")).join(centers.select("center_key", F.explode("names").alias("name")), "name")

@@ -32,7 +32,9 @@ PAIRS = (
 p0 AS (SELECT l.patient_id AS left_id, r.patient_id AS right_id, l.name_key,
  concat_ws(',', CASE WHEN l.birth_date = r.birth_date THEN 'birth_date' END, CASE WHEN l.sex <> '' AND l.sex = r.sex THEN 'sex' END,
   CASE WHEN list_has_any(l.institutions, r.institutions) THEN 'institution' END, CASE WHEN abs(l.birth_year - r.birth_year) <= 1.25 THEN 'age' END) AS evidence,
- concat_ws(',', CASE WHEN l.birth_date <> r.birth_date THEN 'birth_date' END, CASE WHEN l.sex <> '' AND r.sex <> '' AND l.sex <> r.sex THEN 'sex' END,
+ concat_ws(',', CASE WHEN contains(l.internal_conflicts, 'multiple_birth_dates') OR contains(r.internal_conflicts, 'multiple_birth_dates') THEN 'multiple_birth_dates' END,
+  CASE WHEN contains(l.internal_conflicts, 'multiple_sexes') OR contains(r.internal_conflicts, 'multiple_sexes') THEN 'multiple_sexes' END,
+  CASE WHEN l.birth_date <> r.birth_date THEN 'birth_date' END, CASE WHEN l.sex <> '' AND r.sex <> '' AND l.sex <> r.sex THEN 'sex' END,
   CASE WHEN abs(l.birth_year - r.birth_year) > 1.25 THEN 'age' END) AS conflicts
  FROM prof l JOIN prof r ON l.name_key = r.name_key AND l.patient_id < r.patient_id WHERE l.name_key <> ''),
 prs AS (SELECT left_id, right_id, name_key, CASE WHEN conflicts = 'birth_date' AND evidence LIKE '%sex%' AND evidence LIKE '%institution%' THEN 'review_group'

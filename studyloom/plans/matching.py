@@ -100,7 +100,7 @@ c AS (SELECT ck, list_sort(list(DISTINCT nk)) AS names FROM r GROUP BY 1),
 f AS (SELECT CASE n_nationkey % 3 WHEN 0 THEN 'Center_' || n_nationkey WHEN 1 THEN 'Site-' || n_nationkey ELSE 'Imaging (CENTER ' || n_nationkey || ')' END AS folder,
  CASE n_nationkey % 3 WHEN 0 THEN 'center' || n_nationkey WHEN 1 THEN 'site' || n_nationkey ELSE 'imagingcenter' || n_nationkey END AS fk, c.names[1:3] AS names
  FROM nation LEFT JOIN c ON c.ck = 'center' || n_nationkey),
-p AS (SELECT folder, count(*) AS parts, min(ck) AS part FROM f JOIN c ON contains(ck, fk) OR contains(fk, ck) GROUP BY 1),
+p AS (SELECT folder, count(*) AS parts, min(ck) AS part FROM f JOIN c ON contains(ck, fk) GROUP BY 1),
 s AS (SELECT folder, ck, count(DISTINCT nk) AS n FROM (SELECT folder, unnest(names) AS nk FROM f) x JOIN r USING (nk) GROUP BY 1, 2),
 b AS (SELECT folder, max(n) AS top, max(ck) FILTER (k = 1) AS best, count(*) FILTER (k = 1) AS ties FROM (SELECT *, rank() OVER (PARTITION BY folder ORDER BY n DESC) AS k FROM s) GROUP BY 1)
 SELECT folder, CASE WHEN e.ck IS NOT NULL THEN e.ck WHEN parts = 1 THEN part WHEN top >= 2 AND ties = 1 THEN best END AS center_key,

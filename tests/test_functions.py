@@ -51,7 +51,7 @@ def test_initials(spark):
 
 
 def test_pinyin(spark):
-    assert values(spark, lambda c: text.pinyin_initials(c), ["王长平", "Aé啊", "", None]) == ["WCP", "A", "", ""]
+    assert values(spark, lambda c: text.pinyin_initials(c), ["王长平", "Aé啊", "", None, "王龘平", "龘"]) == ["WCP", "A", "", "", "", ""]
     d = spark.createDataFrame([("王长平", "WANG CHANGPING"), ("王长平", "WANG PINGCHANG")], "n string, h string")
     assert [r[0] for r in d.select(text.chinese_matches_header(F.col("n"), F.col("h"))).collect()] == [True, False]
 
@@ -91,3 +91,18 @@ def test_domain(spark):
     assert [r[0] for r in d.select(domain.display_type(F.col("m"), F.col("t"))).collect()] == ["XA（含3D_DSA断层）、CT、OT", "CT、MR", "其他/未知"]
     assert values(spark, domain.uid_reasons, ["1.2.3", "1.02", "", "1..2", "1." + "2" * 70]) == [[], ["leading_zero"], ["missing"], ["format"], ["length"]]
     assert values(spark, domain.path_unsafe, ["a", "a/b", "..", "x. ", "y" * 241]) == [False, True, True, True, True]
+
+
+def test_identity_goes_whatever_its_case(spark):
+    from studyloom.operators import deident
+
+    e = "named_struct('path', '', 'tag', '00081030', 'keyword', 'StudyDescription', 'vr', 'LO', 'value', "
+    d = spark.sql(f"SELECT array({e}'of SMITH JOHN, smith (a.b) and SMITH (A.B), axb Müller MÜLLER'), {e}CAST(NULL AS STRING))) AS elements, 'p' AS id")
+    out = deident.shift_and_scrub(F.col("elements"), F.col("id"), "salt", F.array(F.lit("Smith"), F.lit("smith (a.b)"), F.lit("a.b"), F.lit("Smith John"), F.lit(""), F.lit(None), F.lit("müller")), F.lit(r"C$1\2"))
+    row = d.select(out.alias("x")).first().x
+    c = r"C$1\2"
+    assert row[0].value == f"of {c}, {c} and {c}, axb {c} {c}" and row[1].value is None
+
+
+def test_placeholder_names(spark):
+    assert values(spark, text.name_key, ["Anonymized", "ANONYMOUS", "Ann Onym"]) == ["", "", "annonym"]

@@ -128,3 +128,18 @@ def test_verification_finds_what_is_left(spark):
     kept, counts = deident.remove_identity(F.col("a"), ["clinic a"])
     r = d.select(kept.alias("k"), counts.alias("n")).first()
     assert [x.keyword for x in r.k] == ["PatientID"] and r.n.PatientName == 1
+
+
+def test_ids_that_contradict_themselves_are_merged_with_none(spark):
+    from studyloom.operators import identity
+
+    schema = "patient_id string, name_key string, birth_date date, sex string, birth_year double, institutions array<string>, internal_conflicts string"
+    same = ("ann", None, "F", None, ["x"])
+    people = spark.createDataFrame([("a", *same, ""), ("b", *same, ""), ("c", *same, "multiple_birth_dates"), ("d", *same, "multiple_birth_dates,multiple_sexes")], schema)
+    found = {(r.left_id, r.right_id): (r.relation, r.conflicts) for r in identity.pairs(people).collect()}
+    assert found["a", "b"] == ("confirmed", "")
+    assert found["a", "c"] == ("conflict", "multiple_birth_dates")
+    assert found["c", "d"] == ("conflict", "multiple_birth_dates,multiple_sexes")
+    related = identity.pairs(people)
+    groups = {r.patient_id: r.group_id for r in identity.groups(people, related).collect()}
+    assert groups == {"a": "a", "b": "a", "c": "c", "d": "d"}
