@@ -6,9 +6,7 @@ reader prunes columns and pushes filters into it.
 
 from __future__ import annotations
 
-import gc
 import tempfile
-import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,16 +39,6 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Lets Spark remove the shuffle files of finished jobs now: it does so as the driver's garbage is collected, which
-    a driver with room in its heap may put off until the next shuffle needs the disk. Twice, because listeners hold
-    the last query a little longer than its caller."""
-    for _ in range(2):
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(1)
-
-
 def discard(df: DataFrame) -> None:
     """Removes a staged table that nothing will read again."""
     spark = df.sparkSession
