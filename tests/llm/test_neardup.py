@@ -135,3 +135,16 @@ def test_stage_chooses_rows_and_not_ids(spark, documents):
     rows = [(1, a, "en", "s", 1), (2, a, "en", "s", 1), (2, b, "en", "s", 1), (None, a, "en", "s", 1), (None, "no id", "en", "s", 1), (None, "No ID", "en", "s", 2)]
     kept = N.keep_one(spark.read.parquet(f"{documents(rows)}/documents.parquet")).collect()
     assert {(r.doc_id, r.text) for r in kept} == {(1, a), (2, b), (None, "no id")} and len(kept) == 3
+
+
+def test_parities_rule_out_no_sets_alike():
+    from studyloom.llm import overlap
+
+    random = np.random.default_rng(7)
+    for size in (1, 5, 146, 3000):
+        for gone in (0, size // 20, size // 9, size // 4):
+            x = np.unique(random.integers(0, 1 << 64, size, dtype=np.uint64))
+            y = np.unique(np.r_[x[gone:], random.integers(0, 1 << 64, gone, dtype=np.uint64)])
+            bits = int(np.bitwise_count(overlap.parities(x) ^ overlap.parities(y)).sum())
+            assert bits <= len(np.setxor1d(x, y))
+            assert not overlap.alike(x, y) or bits * 9 <= len(x) + len(y)
