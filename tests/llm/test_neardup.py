@@ -145,6 +145,6 @@ def test_parities_rule_out_no_sets_alike():
         for gone in (0, size // 20, size // 9, size // 4):
             x = np.unique(random.integers(0, 1 << 64, size, dtype=np.uint64))
             y = np.unique(np.r_[x[gone:], random.integers(0, 1 << 64, gone, dtype=np.uint64)])
-            bits = int(np.bitwise_count(overlap.parities(x) ^ overlap.parities(y)).sum())
+            bits = int(np.bitwise_count((overlap.parities(x) ^ overlap.parities(y)).view(np.uint64)).sum())
             assert bits <= len(np.setxor1d(x, y))
             assert not overlap.alike(x, y) or bits * 9 <= len(x) + len(y)
