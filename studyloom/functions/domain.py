@@ -18,6 +18,16 @@ def modality(raw: Column) -> Column:
     return F.when(up == "MRI", "MR").otherwise(up)
 
 
+def image_type(values: Column) -> Column:
+    """A multi-valued image type in its list form, ['A', 'B']; a value with a single quote only stands in double ones.
+    Null is empty, no values are []."""
+    slashed = lambda v: F.replace(v, F.lit("\\"), F.lit("\\\\"))
+    double = lambda v: v.contains("'") & ~v.contains('"')
+    single = lambda v: F.concat(F.lit("'"), F.replace(slashed(v), F.lit("'"), F.lit("\\'")), F.lit("'"))
+    quoted = F.transform(values, lambda v: F.when(double(v), F.concat(F.lit('"'), slashed(v), F.lit('"'))).otherwise(single(v)))
+    return F.coalesce(F.concat(F.lit("["), F.array_join(quoted, ", "), F.lit("]")), F.lit(""))
+
+
 def sex(raw: Column, other: bool = False) -> Column:
     up = F.upper(F.trim(raw))
     return F.when(up.isin("M", "F", *(["O"] if other else [])), up).otherwise("")

@@ -84,17 +84,17 @@ def pairs(people: DataFrame) -> DataFrame:
 
 
 def _merge_block(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Merges of one name's ids, in the order of the pairs: reviewed groups always, confirmed pairs unless the two
-    groups as they then are hold a conflict."""
+    """Merges of one block's ids: first those of earlier groups, then in the order of the pairs reviewed groups always,
+    and confirmed pairs unless the two groups as they then are hold a conflict."""
     group = {p: p for p in {*pdf.left_id, *pdf.right_id}}
     members = {p: {p} for p in group}
     foes: dict[str, set[str]] = {p: set() for p in group}
     for a, b in pdf.loc[pdf.relation == "conflict", ["left_id", "right_id"]].itertuples(index=False):
         foes[a].add(b)
         foes[b].add(a)
-    for a, b, kind in pdf.sort_values(["left_id", "right_id"])[["left_id", "right_id", "relation"]].itertuples(index=False):
+    for a, b, kind in pdf.assign(later=pdf.relation != "prior").sort_values(["later", "left_id", "right_id"])[["left_id", "right_id", "relation"]].itertuples(index=False):
         x, y = group[a], group[b]
-        if x == y or kind not in ("confirmed", "review_group") or (kind == "confirmed" and any(foes[m] & members[y] for m in members[x])):
+        if x == y or kind not in ("prior", "confirmed", "review_group") or (kind == "confirmed" and any(foes[m] & members[y] for m in members[x])):
             continue
         x, y = min(x, y), max(x, y)
         for m in members.pop(y):
@@ -103,10 +103,16 @@ def _merge_block(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(sorted(group.items()), columns=["patient_id", "group_id"])
 
 
-def groups(people: DataFrame, related: DataFrame) -> DataFrame:
+def groups(people: DataFrame, related: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """patient_id, group_id: the least id of its person. Merges depend on their order, so a block of ids that merges
-    could connect is decided in one place; a block holds ids of one name only."""
-    linking = related.where("relation IN ('confirmed', 'review_group')")
+    could connect is decided in one place. existing(patient_id, group_key) are the groups of earlier runs: their ids are
+    one person before any pair is looked at, whatever this run says of them."""
+    related = related.select("left_id", "right_id", "relation")
+    if existing is not None:
+        first = existing.groupBy("group_key").agg(F.min("patient_id").alias("left_id"))
+        prior = existing.join(first, "group_key").where("left_id < patient_id").select("left_id", F.col("patient_id").alias("right_id"), F.lit("prior").alias("relation"))
+        related = related.union(prior)
+    linking = related.where("relation IN ('prior', 'confirmed', 'review_group')")
     blocks = connected_components(linking.select(F.col("left_id").alias("a"), F.col("right_id").alias("b")))
     l, r = blocks.alias("l"), blocks.alias("r")
     inside = related.where("relation <> 'possible'").join(l, F.col("left_id") == F.col("l.node")).join(r, F.col("right_id") == F.col("r.node"))
@@ -158,10 +164,20 @@ def routes(keyed: DataFrame, related: DataFrame) -> DataFrame:
     return d.select("patient_id", "group_id", "group_key", folder.alias("folder"), status.alias("match_status"))
 
 
-def review_rows(related: DataFrame) -> DataFrame:
-    """Pairs that a person must look at, and why."""
+def review_rows(related: DataFrame, grouped: DataFrame | None = None, drifts: DataFrame | None = None) -> DataFrame:
+    """Pairs that a person must look at, and why. With grouped(patient_id, group_id), confirmed pairs that a conflict of
+    their groups kept apart are told as ``mapping_conflict``. drifts(patient_id, drift) are ids that differ from earlier
+    runs: a row each, of the id with itself, where the drift isn't empty."""
     status = F.when(F.col("relation") == "review_group", "grouped_needs_review").when(F.col("relation") == "possible", "needs_review").when(F.col("relation") == "conflict", "conflict").otherwise("auto_resolved")
-    return related.select("left_id", "right_id", status.alias("status"), F.when(F.col("conflicts") != "", F.col("conflicts")).otherwise(F.col("evidence")).alias("basis"))
+    if grouped is not None:
+        side = lambda c: grouped.select(F.col("patient_id").alias(f"{c}_id"), F.col("group_id").alias(f"_{c}"))
+        related = related.join(side("left"), "left_id", "left").join(side("right"), "right_id", "left")
+        status = F.when((F.col("relation") == "confirmed") & (F.col("_left") != F.col("_right")), "mapping_conflict").otherwise(status)
+    rows = related.select("left_id", "right_id", status.alias("status"), F.when(F.col("conflicts") != "", F.col("conflicts")).otherwise(F.col("evidence")).alias("basis"))
+    if drifts is None:
+        return rows
+    drifted = drifts.where("drift <> ''").select(F.col("patient_id").alias("left_id"), F.col("patient_id").alias("right_id"), F.lit("mapping_drift").alias("status"), F.col("drift").alias("basis"))
+    return rows.unionByName(drifted)
 
 
 def dominant_ids(nh: DataFrame) -> DataFrame:
@@ -189,27 +205,43 @@ def set_profiles(nh: DataFrame, grain: str) -> DataFrame:
 
 
 def subject_gate(nh: DataFrame, subject: str = "patient_id") -> DataFrame:
-    """Whether all Studies of a subject are one person: ``conflict`` if any two differ in name, birth date or sex,
-    ``insufficient`` if any lacks a name or has less than two facts, else ``confirmed``.
+    """Whether all Studies of a subject are one person: ``conflict`` if a Study has two names, birth dates or sexes or
+    two Studies differ in one; ``insufficient`` if a Study lacks a name, or a birth date, sex and birth year, or if two
+    Studies share less than two facts (name, birth date, sex, a birth year, an institution); else ``confirmed``.
 
-    Two Studies differ in a set of facts exactly if the subject's Studies have no value of it in common pair by pair;
-    with at most one value per Study that is two distinct values, so no pair of Studies is formed."""
+    Where nothing conflicts, Studies that have a birth date or a sex have the same one, so a subject whose Studies all
+    have one needs no pairs. For the others, pairs are formed of what Studies have, not of the Studies."""
     names = ("name_key", "birth_date", "sex")
     some = {c: F.when(F.col(c).cast("string") != "", F.col(c)) for c in names}
+    year = F.floor(dates.birth_year(F.col("suffix_age"), F.col("exam_date"))).cast("int")
     s = nh.where(F.col(subject) != "").groupBy(subject, "study_uid").agg(
-        *[F.min(some[c]).alias(c) for c in names], *[(F.min(some[c]) != F.max(some[c])).alias(f"_{c}") for c in names]
-    )
-    facts = sum((F.col(c).isNotNull().cast("int") for c in names), F.lit(0))
+        *[F.min(some[c]).alias(c) for c in names], *[(F.min(some[c]) != F.max(some[c])).alias(f"_{c}") for c in names],
+        F.array_sort(F.collect_set(year)).alias("years"), F.array_sort(F.collect_set(F.when(F.col("institution_key") != "", F.col("institution_key")))).alias("institutions"),
+    )
     split = F.coalesce("_name_key", F.lit(False)) | F.coalesce("_birth_date", F.lit(False)) | F.coalesce("_sex", F.lit(False))
+    bare = F.col("birth_date").isNull() & F.col("sex").isNull() & (F.size("years") == 0)
     g = s.groupBy(subject).agg(
         F.count(F.lit(1)).alias("studies"),
-        *[(F.min(c) != F.max(c)).alias(f"n_{c}") for c in names],
+        *[F.coalesce(F.min(c) != F.max(c), F.lit(False)).alias(f"n_{c}") for c in names],
         F.bool_or(split).alias("split"),
-        F.bool_or((facts < 2) | F.col("name_key").isNull()).alias("thin"),
+        F.bool_or(bare | F.col("name_key").isNull()).alias("thin"),
+        (F.bool_and(F.col("birth_date").isNotNull()) | F.bool_and(F.col("sex").isNotNull())).alias("shared"),
     )
+    apart = F.col("n_name_key") | F.col("n_birth_date") | F.col("n_sex") | F.col("split")
+    open_ = g.where(~(apart | F.col("thin") | F.col("shared"))).select(subject)
+    has = F.struct(F.col("birth_date").isNotNull().alias("birth"), F.col("sex").isNotNull().alias("sex"), "years", "institutions")
+    kinds = s.join(open_, subject).select(subject, has.alias("has")).distinct()
+    l, r = kinds.alias("l"), kinds.alias("r")
+    common_ = (
+        (F.col("l.has.birth") & F.col("r.has.birth")) | (F.col("l.has.sex") & F.col("r.has.sex"))
+        | F.arrays_overlap("l.has.years", "r.has.years") | F.arrays_overlap("l.has.institutions", "r.has.institutions")
+    )
+    lone = l.join(r, (F.col(f"l.{subject}") == F.col(f"r.{subject}")) & (F.col("l.has") < F.col("r.has")) & ~common_)
+    lone = lone.select(F.col(f"l.{subject}").alias(subject)).distinct().withColumn("lone", F.lit(True))
     conflicts = F.array_compact(F.array(*[F.when(F.col(f"n_{c}"), c) for c in names], F.when(F.col("split"), "within_study")))
-    status = F.when(F.size(conflicts) > 0, "conflict").when(F.col("thin"), "insufficient").otherwise("confirmed")
-    return g.select(subject, "studies", status.alias("decision"), F.array_join(conflicts, ",").alias("conflicts"))
+    thin = F.col("thin") | F.coalesce("lone", F.lit(False))
+    status = F.when(F.size(conflicts) > 0, "conflict").when(thin, "insufficient").otherwise("confirmed")
+    return g.join(lone, subject, "left").select(subject, "studies", status.alias("decision"), F.array_join(conflicts, ",").alias("conflicts"))
 
 
 def package_gate(profiles_: DataFrame, subject: str) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from studyloom.functions import text
 from studyloom.operators.components import connected_components
+from studyloom.storage import staged
 
 TOLERANCE = 1.25
 
@@ -100,39 +101,108 @@ def _relation(a, b) -> str:
 
 
 def _assign_block(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Folders of one block in order: each takes the only code whose members confirm it, else opens a new one."""
-    seen, out = [], []
+    """Folders of one block in order, after those of earlier runs: each keeps the code it has, else takes the only one whose
+    members confirm it, else opens a new one."""
     pdf = pdf.astype(object).where(pdf.notna(), None)
-    for row in pdf.sort_values("folder").itertuples(index=False):
-        found: dict[str, set[str]] = {"confirmed": set(), "possible": set()}
+    old = pdf[pdf.code.notna()].sort_values(["code", "folder"])
+    seen = [(row, row.code) for row in old.itertuples(index=False)]
+    kept = {(row.folder, row.name_key, row.patient_id): row.code for row in reversed([r for r, _ in seen])}
+    fresh, out = set(), []
+    for row in pdf[pdf.code.isna()].sort_values("folder").itertuples(index=False):
+        if (code := kept.get((row.folder, row.name_key, row.patient_id))) is not None:
+            out.append((row.folder, None, code, "existing_mapping"))
+            continue
+        found: dict[str, set] = {"confirmed": set(), "possible": set()}
         for other, code in seen:
             found.get(_relation(row, other), set()).add(code)
         if len(found["confirmed"]) == 1:
             code, status = found["confirmed"].pop(), "confirmed"
         else:
-            code, status = row.folder, "needs_review" if found["confirmed"] or found["possible"] else "new_identity"
+            code, status = (row.folder,), "needs_review" if found["confirmed"] or found["possible"] else "new_identity"
+            fresh.add(code)
         seen.append((row, code))
-        out.append((row.folder, code, status))
-    return pd.DataFrame(out, columns=["folder", "opened_by", "status"])
+        out.append((row.folder, *((code[0], None) if code in fresh else (None, code)), status))
+    return pd.DataFrame(out, columns=["folder", "opened_by", "known", "status"])
 
 
-def assign_codes(folders: DataFrame) -> DataFrame:
+def numbered(rows: DataFrame, order: str) -> DataFrame:
+    """rows with ``number``, from 1 in the given order (a column without equal values): counts of ranges and places in them."""
+    ranged = staged(rows.repartitionByRange(order).withColumn("_part", F.spark_partition_id()), "numbered")
+    before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    starts = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")).select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    place = F.row_number().over(W.partitionBy("_part").orderBy(order))
+    return ranged.withColumn("_at", place).join(starts, "_part").withColumn("number", F.col("_at") + F.col("_start")).drop("_part", "_at", "_start")
+
+
+def _highest(codes: DataFrame | None, column: str, letters: str) -> int:
+    """The greatest number of codes made of these letters, in either case, and digits; 0 without any."""
+    if codes is None:
+        return 0
+    return codes.agg(F.max(F.regexp_extract(column, f"(?i)^{letters}([0-9]+)$", 1).try_cast("long"))).first()[0] or 0
+
+
+def _code(letters: str, number: Column) -> Column:
+    """Letters and at least six digits."""
+    digits = number.cast("string")
+    return F.concat(F.lit(letters), F.when(F.length(digits) < 6, F.lpad(digits, 6, "0")).otherwise(digits))
+
+
+def assign_codes(folders: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """folders(folder, patient_id, name_key, birth_date string, sex, birth_year) -> folder, code, status.
 
     Which code a folder takes depends on those before it that share its name or id, however indirectly: such a block
-    is decided in one place. Codes are then numbered by the folders that opened them, by prefix counts."""
+    is decided in one place. existing has the same columns and code, of earlier runs: a folder with its name and id keeps
+    its code. New codes go on after the highest, numbered by the folders that opened them."""
+    facts = ["folder", "patient_id", "name_key", "birth_date", "sex", "birth_year"]
+    d = folders.select(*facts, F.lit(None).cast("string").alias("code"))
+    if existing is not None:
+        d = d.union(existing.select(*facts, "code"))
     keys = F.array_compact(F.array(F.when(F.col("patient_id") != "", F.concat(F.lit("i:"), "patient_id")), F.when(F.col("name_key") != "", F.concat(F.lit("n:"), "name_key"))))
-    edges = folders.select(F.concat(F.lit("f:"), "folder").alias("a"), F.explode(keys).alias("b"))
+    edges = d.select(F.concat(F.lit("f:"), "folder").alias("a"), F.explode(keys).alias("b"))
     blocks = connected_components(edges).where("node LIKE 'f:%'").select(F.substring("node", 3, 1 << 20).alias("folder"), F.col("component").alias("block"))
-    d = folders.join(blocks, "folder", "left").withColumn("block", F.coalesce("block", F.concat(F.lit("f:"), "folder")))
-    found = d.groupBy("block").applyInPandas(lambda pdf: _assign_block(pdf), "folder string, opened_by string, status string")
-    opened = found.where("folder = opened_by").select(F.col("folder").alias("opened_by"), F.substring("folder", 1, 4).alias("prefix"))
-    before = W.orderBy("prefix").rowsBetween(W.unboundedPreceding, -1)
-    offsets = opened.groupBy("prefix").agg(F.count(F.lit(1)).alias("held")).withColumn("before", F.coalesce(F.sum("held").over(before), F.lit(0)))
-    opened = opened.withColumn("at", F.row_number().over(W.partitionBy("prefix").orderBy("opened_by"))).join(offsets, "prefix")
-    number = (F.col("at") + F.col("before")).cast("string")
-    code = F.concat(F.lit("E"), F.when(F.length(number) < 6, F.lpad(number, 6, "0")).otherwise(number))
-    return found.join(opened.select("opened_by", code.alias("code")), "opened_by").select("folder", "code", "status")
+    d = d.join(blocks, "folder", "left").withColumn("block", F.coalesce("block", F.concat(F.lit("f:"), "folder")))
+    found = staged(d.groupBy("block").applyInPandas(lambda pdf: _assign_block(pdf), "folder string, opened_by string, known string, status string"), "assigned")
+    opened = numbered(found.where("folder = opened_by").select("opened_by").distinct(), "opened_by")
+    opened = opened.select("opened_by", _code("E", F.col("number") + F.lit(_highest(existing, "code", "E"))).alias("code"))
+    return found.join(opened, "opened_by", "left").select("folder", F.coalesce("known", "code").alias("code"), "status")
+
+
+def subject_key(subject: Column, patient_id: Column, issuer: Column, name: Column, birth: Column, source: Column) -> Column:
+    """What a file's person is known by: the folder of its subject, else the id with its issuer, else name and birth date,
+    else where the file is from. The words before the bar are fixed values."""
+    up = lambda c: F.upper(text.clean(c))
+    key = lambda kind, *cs: F.concat_ws("|", F.lit(kind), *cs)
+    some = lambda c: F.coalesce(c, F.lit("")) != ""
+    return (
+        F.when(some(subject), key("SOURCE_SUBJECT", up(subject))).when(some(patient_id), key("PID", up(issuer), up(patient_id)))
+        .when(some(name) | some(birth), key("DEMOGRAPHIC", up(name), text.clean(birth))).otherwise(key("SOURCE", up(source)))
+    )
+
+
+def anonymous_ids(files: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+    """files(path, key, legacy) -> key, anonymous_id, in the order of paths: a key that existing(key, anonymous_id) knows
+    keeps its id; a new one takes the id that its first file's legacy key has by then, from the file before it with that
+    legacy key or from existing; else it opens a new one, after the highest.
+
+    So each key follows at most one other, and ids are those of the roots of these trees. Rows of one legacy key are sorted
+    in one task, which spills; only paths and keys are in them. Repeated rows count once; of one path, the lesser key is first."""
+    before = F.lag("key").over(W.partitionBy("legacy").orderBy("path", "key"))
+    first = files.select("path", "key", "legacy").distinct().withColumn("parent", before)
+    first = first.groupBy("key").agg(F.min(F.struct("path", "legacy", "parent")).alias("f")).select("key", "f.*")
+    known = files.sparkSession.createDataFrame([], "key string, anonymous_id string") if existing is None else existing.select("key", "anonymous_id")
+    own = known.withColumnRenamed("anonymous_id", "own")
+    by_legacy = known.select(F.col("key").alias("legacy"), F.col("anonymous_id").alias("inherited"))
+    first = first.join(own, "key", "left").join(by_legacy, "legacy", "left")
+    # a key of earlier runs follows none; a key without a file before it takes what its legacy key had
+    first = first.withColumn("parent", F.when(F.col("own").isNull(), F.col("parent")))
+    first = staged(first.withColumn("known", F.coalesce("own", F.when(F.col("parent").isNull(), F.col("inherited")))), "anonymous-keys")
+    trees = connected_components(first.where("parent IS NOT NULL").select(F.col("key").alias("a"), F.col("parent").alias("b")))
+    placed = first.join(trees, F.col("key") == F.col("node"), "left").withColumn("tree", F.coalesce("component", "key")).select("key", "tree", "path", "parent", "known")
+    roots = staged(placed.where("parent IS NULL").select("tree", "path", "known"), "anonymous-roots")
+    opened = numbered(roots.where("known IS NULL").select("tree", F.struct("path", "tree").alias("at")), "at")
+    opened = opened.select("tree", _code("ANON", F.col("number") + F.lit(_highest(existing, "anonymous_id", "ANON"))).alias("anonymous_id"))
+    ids = opened.union(roots.where("known IS NOT NULL").select("tree", "known"))
+    return placed.join(ids, "tree").select("key", "anonymous_id")
 
 
 def ids_per_code(mapping: DataFrame) -> DataFrame:

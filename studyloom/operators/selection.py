@@ -6,12 +6,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from studyloom.functions import dates
+from studyloom.functions import dates, text
 
 SIX, TWELVE, CANDIDATE, PENDING = "6M", "12M", "12M_CANDIDATE", "PENDING"
 #: Months at which the classes begin, the last month of a regular twelve-month visit, its centre, and how far apart
 #: the periods of one Study may be. Fixed values.
 SIX_FROM, TWELVE_FROM, TWELVE_TO, CENTRE, SPREAD = 3.0, 9.0, 15.0, 12.0, 0.05
+#: Periods whose rows become rules, and identifiers that stand for none. Fixed values.
+BEFORE_SURGERY, DURING_SURGERY = "术前", "术中"
+NO_UID = ("NA", "N/A", "NONE", "NULL")
 
 
 def visit_class(months: Column) -> Column:
@@ -34,6 +37,16 @@ def classify(tokens: DataFrame, keys: list[str]) -> DataFrame:
     return g.select(*keys, visit.alias("visit"), F.when(visit != PENDING, F.col("months")).alias("months"))
 
 
+def period_rules(rows: DataFrame) -> DataFrame:
+    """rows(period, series_uid, sop_uid, ...) -> the rows of the two surgical periods, with selector_field and selector_uid:
+    a Series before surgery, an instance during it. An identifier that stands for none, or a null one, is empty."""
+    d = rows.withColumn("period", text.clean(text.half_width(F.col("period")))).where(F.col("period").isin(BEFORE_SURGERY, DURING_SURGERY))
+    before = F.col("period") == BEFORE_SURGERY
+    uid = text.clean(text.half_width(F.when(before, F.col("series_uid")).otherwise(F.col("sop_uid"))))
+    field = F.when(before, "SeriesInstanceUID").otherwise("SOPInstanceUID")
+    return d.withColumns({"selector_field": field, "selector_uid": F.when(F.upper(uid).isin(*NO_UID), "").otherwise(uid)})
+
+
 def nearest_visit(studies: DataFrame, patient: list[str]) -> DataFrame:
     """studies(patient, study_uid, visit, months) with status: of a patient's twelve-month visits the nearest to
     twelve is selected; two that are equally near are all pending; six-month visits are selected as they are."""

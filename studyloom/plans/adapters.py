@@ -81,7 +81,9 @@ def oracle(sql: str, *views: str) -> str:
             need.append(v)
     head = ",\n".join(f"{v} AS ({texts[v].format(**plain) if v in ('hdr', 'registry') else texts[v]})" for v in need)
     body = sql.strip()
-    return f"WITH {head}{',' + body[4:] if body.upper().startswith('WITH') else ' ' + body}"
+    loops = body.upper().startswith("WITH RECURSIVE")
+    start = "WITH RECURSIVE" if loops else "WITH"
+    return f"{start} {head}{',' + body[len(start):] if body.upper().startswith('WITH') else ' ' + body}"
 
 
 #: DuckDB's form of ``studyloom.operators.headers.normalised``: what the operators below start from.

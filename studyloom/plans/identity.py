@@ -83,11 +83,15 @@ def e03_subject_gate(spark, sf):
 
 
 E03 = """WITH s AS (SELECT patient_id, study_uid, min(nullif(name_key, '')) AS nk, min(birth_date) AS bd, min(nullif(sex, '')) AS sx,
-count(DISTINCT nullif(name_key, '')) AS a, count(DISTINCT birth_date) AS b, count(DISTINCT nullif(sex, '')) AS c FROM nh WHERE patient_id <> '' GROUP BY 1, 2),
+count(DISTINCT nullif(name_key, '')) AS a, count(DISTINCT birth_date) AS b, count(DISTINCT nullif(sex, '')) AS c,
+coalesce(list(DISTINCT year(exam_date) - 56) FILTER (suffix_age <> '' AND exam_date IS NOT NULL), []) AS ys,
+coalesce(list(DISTINCT institution_key) FILTER (institution_key <> ''), []) AS ins FROM nh WHERE patient_id <> '' GROUP BY 1, 2),
+pr AS (SELECT l.patient_id, bool_or(coalesce(CAST(l.nk = r.nk AS INT), 0) + coalesce(CAST(l.bd = r.bd AS INT), 0) + coalesce(CAST(l.sx = r.sx AS INT), 0)
+ + CAST(list_has_any(l.ys, r.ys) AS INT) + CAST(list_has_any(l.ins, r.ins) AS INT) < 2) AS lone FROM s l JOIN s r ON l.patient_id = r.patient_id AND l.study_uid < r.study_uid GROUP BY 1),
 g AS (SELECT patient_id, count(*) AS studies, concat_ws(',', CASE WHEN count(DISTINCT nk) > 1 THEN 'name_key' END, CASE WHEN count(DISTINCT bd) > 1 THEN 'birth_date' END,
 CASE WHEN count(DISTINCT sx) > 1 THEN 'sex' END, CASE WHEN bool_or(a > 1 OR b > 1 OR c > 1) THEN 'within_study' END) AS conflicts,
-bool_or(nk IS NULL OR (CASE WHEN nk IS NULL THEN 0 ELSE 1 END + CASE WHEN bd IS NULL THEN 0 ELSE 1 END + CASE WHEN sx IS NULL THEN 0 ELSE 1 END) < 2) AS thin FROM s GROUP BY 1)
-SELECT patient_id, studies, CASE WHEN conflicts <> '' THEN 'conflict' WHEN thin THEN 'insufficient' ELSE 'confirmed' END AS decision, conflicts FROM g"""
+bool_or(nk IS NULL OR (bd IS NULL AND sx IS NULL AND len(ys) = 0)) AS thin FROM s GROUP BY 1)
+SELECT patient_id, studies, CASE WHEN conflicts <> '' THEN 'conflict' WHEN thin OR coalesce(lone, false) THEN 'insufficient' ELSE 'confirmed' END AS decision, conflicts FROM g LEFT JOIN pr USING (patient_id)"""
 
 
 def e04_package_gate(spark, sf):

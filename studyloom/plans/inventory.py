@@ -172,15 +172,26 @@ SELECT p_partkey, CASE WHEN len(kk) > 0 THEN array_to_string(kk, '+') ELSE 'REVI
 regexp_replace(regexp_replace(trim(name || ' /:? . '), '[<>:"/\\|?*]', '_', 'g'), '[. ]+$', '') AS folder,
 CASE WHEN p_partkey <= 0 THEN NULL WHEN length(CAST(p_partkey AS VARCHAR)) < 3 THEN lpad(CAST(p_partkey AS VARCHAR), 3, '0') ELSE CAST(p_partkey AS VARCHAR) END AS code FROM u"""
 
+
+
+def n43_image_type_lists(spark, sf):
+    h = hdr(spark, sf).where("slice_thickness_raw <> ''")
+    words = F.split("series_description", " ")
+    return h.groupBy(domain.image_type(words).alias("image_type")).agg(F.count(F.lit(1)).alias("files"))
+
+
+N43 = """SELECT '[' || array_to_string(list_transform(string_split(series_description, ' '), lambda w: '''' || w || ''''), ', ') || ']' AS image_type, count(*) AS files
+FROM hdr WHERE slice_thickness_raw <> '' GROUP BY 1"""
+
 QUERIES = {
     "n_header_keys": n_header_keys, "f02_quarantine": f02_quarantine, "f03_uid_reasons": f03_uid_reasons, "a01_patient_inventory": a01_patient_inventory,
     "a02_modal_values": a02_modal_values, "a03_series_summary": a03_series_summary, "a04_study_summary": a04_study_summary, "a05_study_warnings": a05_study_warnings,
     "a13_unique_equipment": a13_unique_equipment, "a16_series_ledger": a16_series_ledger, "a17_status_rollup": a17_status_rollup, "a18_repeated_sops": a18_repeated_sops,
-    "a21_first_seen_join": a21_first_seen_join, "o01_study_order": o01_study_order, "n22_image_types": n22_image_types,
+    "a21_first_seen_join": a21_first_seen_join, "o01_study_order": o01_study_order, "n22_image_types": n22_image_types, "n43_image_type_lists": n43_image_type_lists,
 }
 ORACLE_SQL = {
     "n_header_keys": oracle(N_HEADER_KEYS, "nh"), "f02_quarantine": oracle(F02, "hdr"), "f03_uid_reasons": oracle(F03, "hdr"), "a01_patient_inventory": oracle(A01, "nh"),
     "a02_modal_values": oracle(A02, "nh"), "a03_series_summary": oracle(A03, "nh"), "a04_study_summary": oracle(A04, "nh"), "a05_study_warnings": oracle(A05, "nh"),
     "a13_unique_equipment": oracle(A13, "hdr"), "a16_series_ledger": oracle(A16, "hdr"), "a17_status_rollup": oracle(A17, "hdr"), "a18_repeated_sops": oracle(A18, "hdr"),
-    "a21_first_seen_join": oracle(A21, "hdr"), "o01_study_order": oracle(O01, "nh"), "n22_image_types": N22,
+    "a21_first_seen_join": oracle(A21, "hdr"), "o01_study_order": oracle(O01, "nh"), "n22_image_types": N22, "n43_image_type_lists": oracle(N43, "hdr"),
 }

@@ -69,6 +69,24 @@ def e14_assigned_codes(spark, sf):
     return R.assign_codes(_folders(spark, sf))
 
 
+def e15_anonymous_ids(spark, sf):
+    nh = H.normalised(hdr(spark, sf))
+    order = F.split_part("relative_path", F.lit("/"), F.lit(2)).cast("long")
+    subject = F.when(order % 3 == 0, "").otherwise(F.concat(F.lit(" folder "), (order % 50).cast("string")))
+    key = lambda s: R.subject_key(s, F.col("patient_id"), F.lit(""), F.col("patient_name"), F.col("birth_date_raw"), F.col("source_subject"))
+    return R.anonymous_ids(nh.select(F.col("relative_path").alias("path"), key(subject).alias("key"), key(F.lit("")).alias("legacy")))
+
+
+E15 = """WITH RECURSIVE f0 AS (SELECT relative_path AS path, CAST(split_part(relative_path, '/', 2) AS BIGINT) AS o,
+ CASE WHEN patient_id <> '' THEN 'PID||' || upper(patient_id) ELSE 'DEMOGRAPHIC|' || upper(patient_name) || '|' || birth_date_raw END AS legacy FROM nh),
+fk AS (SELECT DISTINCT path, legacy, CASE WHEN o % 3 = 0 THEN legacy ELSE 'SOURCE_SUBJECT|FOLDER ' || (o % 50) END AS key FROM f0),
+fl AS (SELECT *, lag(key) OVER (PARTITION BY legacy ORDER BY path, key) AS parent, row_number() OVER (PARTITION BY key ORDER BY path, legacy) AS nth FROM fk),
+ff AS (SELECT key, path, parent FROM fl WHERE nth = 1),
+rt AS (SELECT key, row_number() OVER (ORDER BY path, key) AS n FROM ff WHERE parent IS NULL),
+tr AS (SELECT key, n FROM rt UNION ALL SELECT ff.key, tr.n FROM tr JOIN ff ON ff.parent = tr.key)
+SELECT key, 'ANON' || lpad(CAST(n AS VARCHAR), 6, '0') AS anonymous_id FROM tr"""
+
+
 def a20_ids_per_name(spark, sf):
     p = I.profiles(H.normalised(hdr(spark, sf)))
     return R.ids_per_code(p.select(F.col("name_key").alias("code"), "patient_id"))
@@ -130,10 +148,10 @@ def j11_routed_files(spark, sf):
 J11 = "SELECT relative_path, patient_id, CASE WHEN patient_id = '' THEN '_identity_review' ELSE patient_id || '_x' END AS folder FROM nh"
 
 QUERIES = {
-    "e05_strong_matches": e05_strong_matches, "e06_reroutes": e06_reroutes, "e11_history_drift": e11_history_drift, "e14_assigned_codes": e14_assigned_codes, "a20_ids_per_name": a20_ids_per_name,
+    "e05_strong_matches": e05_strong_matches, "e06_reroutes": e06_reroutes, "e11_history_drift": e11_history_drift, "e14_assigned_codes": e14_assigned_codes, "e15_anonymous_ids": e15_anonymous_ids, "a20_ids_per_name": a20_ids_per_name,
     "a19_merged_profiles": a19_merged_profiles, "j07_ledger_conflicts": j07_ledger_conflicts, "o03_audit_order": o03_audit_order, "t06_rename_faults": t06_rename_faults, "j11_routed_files": j11_routed_files,
 }
 ORACLE_SQL = {
-    "e05_strong_matches": oracle(E05, "nh"), "e06_reroutes": oracle(E06, "nh"), "e11_history_drift": oracle(E11, "nh"), "a20_ids_per_name": oracle(A20, "nh"), "a19_merged_profiles": oracle(A19, "nh"),
+    "e05_strong_matches": oracle(E05, "nh"), "e06_reroutes": oracle(E06, "nh"), "e11_history_drift": oracle(E11, "nh"), "e15_anonymous_ids": oracle(E15, "nh"), "a20_ids_per_name": oracle(A20, "nh"), "a19_merged_profiles": oracle(A19, "nh"),
     "j07_ledger_conflicts": oracle(J07, "registry"), "o03_audit_order": O03, "t06_rename_faults": T06, "j11_routed_files": oracle(J11, "nh"),
 }

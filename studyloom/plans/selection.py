@@ -38,6 +38,19 @@ def a12_visit_class(spark, sf):
 A12 = f"WITH {TOKENS} SELECT * FROM vv"
 
 
+def f06_period_rules(spark, sf):
+    h = hdr(spark, sf)
+    period = F.when(F.col("modality_raw") == "CT", " 术前").when(F.col("modality_raw") == "XA", "术中").otherwise("术后")
+    sop = F.when(F.col("payload") == "pix0", " n/a").otherwise(F.col("sop_uid"))
+    rules = S.period_rules(h.select("relative_path", period.alias("period"), "series_uid", sop.alias("sop_uid")))
+    return rules.select("relative_path", "period", "selector_field", "selector_uid")
+
+
+F06 = """SELECT relative_path, CASE modality_raw WHEN 'CT' THEN '术前' ELSE '术中' END AS period,
+CASE modality_raw WHEN 'CT' THEN 'SeriesInstanceUID' ELSE 'SOPInstanceUID' END AS selector_field,
+CASE WHEN modality_raw = 'CT' THEN series_uid WHEN payload = 'pix0' THEN '' ELSE sop_uid END AS selector_uid FROM hdr WHERE modality_raw IN ('CT', 'XA')"""
+
+
 def w02_nearest_visit(spark, sf):
     return S.nearest_visit(_visits(spark, sf), ["patient_id"])
 
@@ -95,9 +108,9 @@ SELECT row, code, period, code || sep || period AS folder, concat_ws(',', CASE W
 
 QUERIES = {
     "a12_visit_class": a12_visit_class, "w02_nearest_visit": w02_nearest_visit, "w03_selected_veto": w03_selected_veto, "w04_differing_plans": w04_differing_plans,
-    "w06_first_keeps": w06_first_keeps, "v04_plan_faults": v04_plan_faults,
+    "w06_first_keeps": w06_first_keeps, "f06_period_rules": f06_period_rules, "v04_plan_faults": v04_plan_faults,
 }
 ORACLE_SQL = {
     "a12_visit_class": oracle(A12, "nh"), "w02_nearest_visit": oracle(W02, "nh"), "w03_selected_veto": oracle(W03, "nh"), "w04_differing_plans": oracle(W04, "hdr"),
-    "w06_first_keeps": oracle(W06, "hdr"), "v04_plan_faults": oracle(V04, "registry"),
+    "w06_first_keeps": oracle(W06, "hdr"), "f06_period_rules": oracle(F06, "hdr"), "v04_plan_faults": oracle(V04, "registry"),
 }

@@ -1,5 +1,6 @@
 """Row-level cases of operators that queries over the given tables do not reach."""
 
+import datetime
 import random
 
 import pytest
@@ -143,3 +144,50 @@ def test_ids_that_contradict_themselves_are_merged_with_none(spark):
     related = identity.pairs(people)
     groups = {r.patient_id: r.group_id for r in identity.groups(people, related).collect()}
     assert groups == {"a": "a", "b": "a", "c": "c", "d": "d"}
+
+
+def test_earlier_groups_stay_together(spark):
+    from studyloom.operators import identity
+
+    people = spark.createDataFrame([(p, "n") for p in "abcde"], "patient_id string, name_key string")
+    pairs = spark.createDataFrame(
+        [("a", "b", "conflict", "", "sex"), ("b", "c", "confirmed", "x,y", ""), ("a", "c", "possible", "x", ""), ("a", "d", "conflict", "", "sex"), ("b", "d", "confirmed", "x,y", "")],
+        "left_id string, right_id string, relation string, evidence string, conflicts string",
+    )
+    old = spark.createDataFrame([("a", "G000001"), ("b", "G000001"), ("gone", "G000002"), ("e", "G000002")], "patient_id string, group_key string")
+    grouped = identity.groups(people, pairs, old)
+    assert {r.patient_id: r.group_id for r in grouped.collect()} == {"a": "a", "b": "a", "c": "a", "d": "d", "e": "e"}
+    drifts = spark.createDataFrame([("c", "sex"), ("d", "")], "patient_id string, drift string")
+    got = {(r.left_id, r.right_id): (r.status, r.basis) for r in identity.review_rows(pairs, grouped, drifts).collect()}
+    assert got["b", "d"] == ("mapping_conflict", "x,y") and got["b", "c"] == ("auto_resolved", "x,y")
+    assert got["c", "c"] == ("mapping_drift", "sex") and ("d", "d") not in got
+
+
+def test_subject_gate_wants_two_facts_in_common(spark):
+    from studyloom.operators import identity
+
+    rows, day = [], datetime.date(2020, 1, 1)
+    add = lambda who, study, name="n", born=None, sex="", age="", place="": rows.append((who, study, name, born, sex, age, day, place))
+    add("place", "1", sex="M", place="x"), add("place", "2", age="050Y", place="x")
+    add("none", "1", sex="M", place="x"), add("none", "2", age="050Y", place="y")
+    add("age", "1", sex="M", age="050Y"), add("age", "2", age="050Y")
+    add("bare", "1", place="x"), add("bare", "2", place="x")
+    add("sex", "1", sex="M"), add("sex", "2", sex="F")
+    add("one", "1", sex="M")
+    add("nameless", "1", name="", sex="M")
+    schema = "patient_id string, study_uid string, name_key string, birth_date date, sex string, suffix_age string, exam_date date, institution_key string"
+    got = {r.patient_id: r.decision for r in identity.subject_gate(spark.createDataFrame(rows, schema)).collect()}
+    assert got == {"place": "confirmed", "none": "insufficient", "age": "confirmed", "bare": "insufficient", "sex": "conflict", "one": "confirmed", "nameless": "insufficient"}
+
+
+def test_image_type_lists_and_period_rules(spark):
+    from studyloom.functions import domain
+    from studyloom.operators import selection
+
+    values = [["A", "B C"], ["it's"], ['it\'s "x"', "a\\b"], [], None]
+    d = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v array<string>")
+    got = [r.t for r in d.orderBy("i").select(domain.image_type(F.col("v")).alias("t")).collect()]
+    assert got == [str(v) if v is not None else "" for v in values]
+    rows = [("术前 ", "1.2", "1.2.3"), ("术中", "1.2", " N/A"), ("术中", None, None), ("术后", "1", "2"), (None, "1", "2")]
+    got = selection.period_rules(spark.createDataFrame(rows, "period string, series_uid string, sop_uid string")).collect()
+    assert sorted((r.period, r.selector_field, r.selector_uid) for r in got) == sorted([("术前", "SeriesInstanceUID", "1.2"), ("术中", "SOPInstanceUID", ""), ("术中", "SOPInstanceUID", "")])

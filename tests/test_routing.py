@@ -46,3 +46,47 @@ def test_publish_status(spark):
 def test_unused_confirmations(spark):
     d = spark.createDataFrame([("s1",), ("s2",)], "study_uid string")
     assert [r.study_uid for r in R.unused(d, d.where("study_uid = 's1'"), "study_uid").collect()] == ["s2"]
+
+
+FOLDER = "folder string, patient_id string, name_key string, birth_date string, sex string, birth_year double"
+
+
+def test_codes_of_earlier_runs_are_kept(spark):
+    old = spark.createDataFrame([("f1", "1", "li", "1950", "M", None, "E000007"), ("x", "8", "wu", "1960", "F", None, "e000009"), ("y", "9", "wu", "1960", "F", None, "E000003")], f"{FOLDER}, code string")
+    rows = [
+        ("f1", "1", "li", None, "", None), ("f2", "2", "li", "1950", "M", None), ("f3", "3", "li", "1951", "M", None), ("f4", "4", "wu", "1960", "F", None), ("a", "", "", None, "", None),
+        ("f5", "3", "li", None, "", None),
+    ]
+    got = {r.folder: (r.code, r.status) for r in R.assign_codes(spark.createDataFrame(rows, FOLDER), old).collect()}
+    assert got["f1"] == ("E000007", "existing_mapping") and got["f2"] == ("E000007", "confirmed")
+    assert got["a"] == ("E000010", "new_identity") and got["f3"] == ("E000011", "new_identity")  # differs from li in the birth date
+    assert got["f4"] == ("E000012", "needs_review")  # two codes confirm it
+    assert got["f5"] == ("E000011", "confirmed")
+    again = old.where("false")
+    assert R.assign_codes(spark.createDataFrame([], FOLDER), again).count() == 0
+
+
+def _ids_one_by_one(rows, existing):
+    ids, last = dict(existing), max([int(v[4:]) for v in dict(existing).values()], default=0)
+    for _, key, legacy in sorted(set(rows), key=lambda r: (r[0], r[1])):
+        if key not in ids:
+            if legacy not in ids:
+                last += 1
+                ids[legacy] = f"ANON{last:06d}"
+            ids[key] = ids[legacy]
+        ids[legacy] = ids[key]
+    return {k: ids[k] for _, k, _ in rows}
+
+
+def test_anonymous_ids_follow_the_order_of_files(spark):
+    import random
+
+    for seed in range(4):
+        rnd = random.Random(seed)
+        rows = [(f"p{rnd.randrange(400):03d}", "", f"L{rnd.randrange(12)}") for _ in range(60)]
+        rows = list({p: (p, f"S{rnd.randrange(15)}", legacy) for p, _, legacy in rows}.values())
+        existing = [("S3", "ANON000004"), ("L2", "ANON000002")] if seed % 2 else []
+        known = spark.createDataFrame(existing, "key string, anonymous_id string") if existing else None
+        got = {r.key: r.anonymous_id for r in R.anonymous_ids(spark.createDataFrame(rows + rows[:5], "path string, key string, legacy string"), known).collect()}
+        assert got == _ids_one_by_one(rows, existing)
+    assert R.anonymous_ids(spark.createDataFrame([], "path string, key string, legacy string")).count() == 0
