@@ -154,12 +154,13 @@ SELECT id, status, CASE WHEN status = 'matched' THEN sc END AS screening FROM j"
 
 
 def j12_unmatched_subjects(spark, sf):
-    nh = H.normalised(hdr(spark, sf)).select(text.bare_name(F.col("patient_name")).alias("name_key"))
+    """Subjects of whom no file of several frames shows one of the four contents."""
+    nh = H.normalised(hdr(spark, sf)).where("frames > 1 AND payload = 'pix0'").select(text.bare_name(F.col("patient_name")).alias("name_key"))
     return M.unmatched(_registry(spark, sf)[0], nh, ["name_key"]).select("source_order", "name_key")
 
 
 J12 = """SELECT min(source_order) AS source_order, lower(replace(patient_name, ' ', '')) AS name_key FROM registry r
-WHERE NOT EXISTS (SELECT 1 FROM nh WHERE lower(replace(nh.patient_name, ' ', '')) = lower(replace(r.patient_name, ' ', ''))) GROUP BY center_name, patient_name, hospital_number, surgery_date, screening_number"""
+WHERE NOT EXISTS (SELECT 1 FROM nh WHERE frames > 1 AND payload = 'pix0' AND lower(replace(nh.patient_name, ' ', '')) = lower(replace(r.patient_name, ' ', ''))) GROUP BY center_name, patient_name, hospital_number, surgery_date, screening_number"""
 
 def j06_manual_exceptions(spark, sf):
     r = _registry(spark, sf)[0]

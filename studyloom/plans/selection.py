@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from studyloom.operators import headers as H
 from studyloom.operators import selection as S
 from studyloom.plans.adapters import hdr, oracle, registry
+from studyloom.sources import sinks
+from studyloom.storage import new_path
 
 
 def _tokens(spark, sf):
@@ -66,6 +68,35 @@ vs AS (SELECT patient_id, study_uid, visit, months, CASE WHEN visit = '6M' THEN
 W02 = f"WITH {W02C} SELECT * FROM vs"
 
 
+def k09_selection_tables(spark, sf):
+    """The report of a selection, read back by table and visit."""
+    d = S.nearest_visit(_visits(spark, sf), ["patient_id"])
+    done = F.col("status").isin("selected", "matched")
+    tables = {"main": d.where(done), "detail": d, "exceptions": d.where(F.col("status").isin("tied", "pending"))}
+    root = new_path(spark, "selection-report")
+    sinks.write_tables(tables, root, {"detail": "visit"})
+    read = [t.select(F.lit(name).alias("report"), "visit", "status") for name, t in sinks.read_tables(spark, root, list(tables)).items()]
+    return read[0].union(read[1]).union(read[2]).groupBy("report", "visit", "status").agg(F.count(F.lit(1)).alias("studies"))
+
+
+K09 = f"""WITH {W02C}, u AS (SELECT 'main' AS report, visit, status FROM vs WHERE status IN ('selected', 'matched') UNION ALL SELECT 'detail', visit, status FROM vs
+UNION ALL SELECT 'exceptions', visit, status FROM vs WHERE status IN ('tied', 'pending')) SELECT report, visit, status, count(*) AS studies FROM u GROUP BY ALL"""
+
+
+def k08_sheet_names(spark, sf):
+    """Names of centers with their subjects' digits, as long and as alike as sheets can't have them."""
+    r = registry(spark, sf)
+    k = F.col("source_order") % 40
+    mark = F.when(k % 2 == 0, F.concat(F.lit("[a] "), k.cast("string"))).otherwise(F.concat(F.lit("?A: "), k.cast("string")))
+    return sinks.sheet_names(r.select(F.concat("center_name", F.lit(" of the northern district "), mark).alias("name")))
+
+
+K08 = """WITH n AS (SELECT DISTINCT center_name || ' of the northern district ' || CASE WHEN source_order % 2 = 0 THEN '[a] ' ELSE '?A: ' END || CAST(source_order % 40 AS VARCHAR) AS name FROM registry),
+b AS (SELECT name, substr(trim(regexp_replace(name, '[][\\/*?:]', '_', 'g'), ' '''), 1, 31) AS base FROM n),
+o AS (SELECT *, row_number() OVER (PARTITION BY lower(base) ORDER BY name) AS k FROM b)
+SELECT name, CASE WHEN k = 1 THEN base ELSE substr(base, 1, 30 - length(CAST(k AS VARCHAR))) || '_' || k END AS sheet FROM o"""
+
+
 def w03_selected_veto(spark, sf):
     """Several ids of one number group are one person here; two selected visits of a group veto each other."""
     d = S.nearest_visit(_visits(spark, sf), ["patient_id"]).withColumn("person", F.substring("patient_id", 1, 6))
@@ -108,9 +139,9 @@ SELECT row, code, period, code || sep || period AS folder, concat_ws(',', CASE W
 
 QUERIES = {
     "a12_visit_class": a12_visit_class, "w02_nearest_visit": w02_nearest_visit, "w03_selected_veto": w03_selected_veto, "w04_differing_plans": w04_differing_plans,
-    "w06_first_keeps": w06_first_keeps, "f06_period_rules": f06_period_rules, "v04_plan_faults": v04_plan_faults,
+    "w06_first_keeps": w06_first_keeps, "f06_period_rules": f06_period_rules, "k08_sheet_names": k08_sheet_names, "k09_selection_tables": k09_selection_tables, "v04_plan_faults": v04_plan_faults,
 }
 ORACLE_SQL = {
     "a12_visit_class": oracle(A12, "nh"), "w02_nearest_visit": oracle(W02, "nh"), "w03_selected_veto": oracle(W03, "nh"), "w04_differing_plans": oracle(W04, "hdr"),
-    "w06_first_keeps": oracle(W06, "hdr"), "f06_period_rules": oracle(F06, "hdr"), "v04_plan_faults": oracle(V04, "registry"),
+    "w06_first_keeps": oracle(W06, "hdr"), "f06_period_rules": oracle(F06, "hdr"), "k08_sheet_names": oracle(K08, "registry"), "k09_selection_tables": oracle(K09, "nh"), "v04_plan_faults": oracle(V04, "registry"),
 }

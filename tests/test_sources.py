@@ -123,3 +123,20 @@ def test_sinks(spark, tmp_path):
     for v in ("000", "001"):
         sinks.publish(d.where(F.col("a") <= int(v) + 1), str(tmp_path / "state"), v)
     assert sinks.current(spark, str(tmp_path / "state")).count() == 2
+
+
+def test_sheet_names_are_unique_whatever_their_case(spark):
+    names = ["a", "A", "a_2", "x/y", "x:y", "n" * 40, "N" * 35 + "?", "'", None, " '' "]
+    got = {r.name: r.sheet for r in sinks.sheet_names(spark.createDataFrame([(n,) for n in names], "name string")).collect()}
+    assert len(got) == len(names) and len({s.casefold() for s in got.values()}) == len(got) and all(0 < len(s) <= 31 for s in got.values())
+    assert got["A"] == "A" and got["a"] == "a_2" and got["a_2"] == "a_2_2"  # in the order of names
+    assert got["x/y"] == "x_y" and got["x:y"] == "x_y_2" and got["N" * 35 + "?"] == "N" * 31 and got["n" * 40] == "n" * 29 + "_2"
+    assert {got[""], got["'"], got[" '' "]} == {"中心", "中心_2", "中心_3"}
+
+
+def test_report_tables_are_read_back(spark, tmp_path):
+    rows = spark.createDataFrame([("x", 1), ("y", 2), ("x", 3)], "center string, n int")
+    sinks.write_tables({"rows": rows, "faults": rows.where("false")}, str(tmp_path / "r"), {"rows": "center"})
+    back = sinks.read_tables(spark, str(tmp_path / "r"), ["rows", "faults"])
+    assert sorted((r.center, r.n) for r in back["rows"].collect()) == [("x", 1), ("x", 3), ("y", 2)] and back["faults"].count() == 0
+    assert {p.name for p in (tmp_path / "r" / "rows").iterdir() if p.is_dir()} == {"center=x", "center=y"}
