@@ -91,22 +91,39 @@ def spaced_name(raw: Column) -> Column:
     return F.trim(F.regexp_replace(flat, r"^[ ,;._-]+|[ ,;._-]+$", ""))
 
 
-def parse_name(raw: Column) -> Column:
-    """struct<name, sex, age>: a trailing ``M-56Y`` or ``56Y M`` is split off, the age as three digits and Y."""
-    flat = spaced_name(raw)
-    part = lambda i: F.regexp_extract(flat, _SUFFIX, i)
-    years = F.concat(part(3), part(4))
-    held = years != ""
+def name_parts(raw: Column) -> Column:
+    """What ``named`` reads: a name, then the four places of a suffix where there is one. One pattern runs, once."""
+    return F.split(F.regexp_replace(spaced_name(raw), _SUFFIX, "$1\x01$2\x01$3\x01$4\x01$5"), "\x01")
+
+
+def named(parts: Column) -> Column:
+    """struct<name, sex, age> of ``name_parts``. Where many columns come of it, make the parts a column of their own first,
+    so that they are found once."""
+    held = F.size(parts) == 5
+    either = lambda i, j: F.concat(parts[i], parts[j])
     return F.struct(
-        F.when(held, F.trim(part(1))).otherwise(flat).alias("name"),
-        F.upper(F.concat(part(2), part(5))).alias("sex"),
-        F.when(held, F.concat(F.lpad(years, 3, "0"), F.lit("Y"))).otherwise("").alias("age"),
+        F.when(held, F.trim(parts[0])).otherwise(parts[0]).alias("name"),
+        F.when(held, F.upper(either(1, 4))).otherwise("").alias("sex"),
+        F.when(held, F.concat(F.lpad(either(2, 3), 3, "0"), F.lit("Y"))).otherwise("").alias("age"),
     )
 
 
+def parse_name(raw: Column) -> Column:
+    """struct<name, sex, age>: a trailing ``M-56Y`` or ``56Y M`` is split off, the age as three digits and Y."""
+    return F.transform(F.array(name_parts(raw)), named)[0]
+
+
 def name_key(name: Column) -> Column:
     """Letters and digits in lower case; empty for a placeholder name."""
-    key = F.regexp_replace(F.lower(half_width(clean(name))), r"[^\p{L}\p{N}]", "")
+    return no_placeholder(letters(name))
+
+
+def letters(name: Column) -> Column:
+    """Letters and digits in lower case."""
+    return F.regexp_replace(F.lower(half_width(clean(name))), r"[^\p{L}\p{N}]", "")
+
+
+def no_placeholder(key: Column) -> Column:
     return F.when(key.isin(*PLACEHOLDERS), "").otherwise(key)
 
 

@@ -12,18 +12,21 @@ RULE_VERSION = "1"
 
 def normalised(hdr: DataFrame) -> DataFrame:
     """hdr with the columns that all operators use: ids, name and its key, dates, sex, modality, institution key."""
-    name = text.parse_name(F.col("patient_name_raw"))
-    return hdr.select(
-        "*",
+    # columns that several others come of are projections of their own, which the optimizer does not copy into them
+    d = hdr.select("*", text.name_parts(F.col("patient_name_raw")).alias("_parts"), dates.valid_date(F.col("study_date_raw")).alias("study_date"), dates.valid_date(F.col("acquisition_date_raw")).alias("acquisition_date"))
+    d = d.select("*", text.named(F.col("_parts")).alias("_name"))
+    d = d.select("*", text.letters(F.col("_name.name")).alias("_letters"))
+    return d.select(
+        *hdr.columns,
         text.patient_id(F.col("patient_id_raw")).alias("patient_id"),
-        name["name"].alias("patient_name"),
-        name["sex"].alias("suffix_sex"),
-        name["age"].alias("suffix_age"),
-        text.name_key(name["name"]).alias("name_key"),
+        F.col("_name.name").alias("patient_name"),
+        F.col("_name.sex").alias("suffix_sex"),
+        F.col("_name.age").alias("suffix_age"),
+        text.no_placeholder(F.col("_letters")).alias("name_key"),
         dates.valid_date(F.col("birth_date_raw")).alias("birth_date"),
-        dates.first_date(F.col("study_date_raw"), F.col("acquisition_date_raw")).alias("exam_date"),
-        dates.valid_date(F.col("study_date_raw")).alias("study_date"),
-        dates.valid_date(F.col("acquisition_date_raw")).alias("acquisition_date"),
+        F.coalesce("study_date", "acquisition_date").alias("exam_date"),
+        "study_date",
+        "acquisition_date",
         domain.sex(F.col("sex_raw")).alias("sex"),
         domain.modality(F.col("modality_raw")).alias("modality"),
         text.institution_key(F.col("institution_raw")).alias("institution_key"),
