@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from studyloom.llm import bpe, langid, lm, mixing, mpeg, neardup, pii, simhash, toxicity, urlfilter
+from studyloom.llm import bpe, langid, lm, merkle, mixing, mpeg, neardup, pii, simhash, toxicity, urlfilter
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -15,9 +15,11 @@ QUERIES = {
     "op8_bpe": bpe.op8_bpe,
     "op9_lm": lm.op9_lm,
     "op10_neardup": neardup.op10_neardup,
+    "op11_merkle": merkle.op11_merkle,
 }
 
 ORACLE_SQL = {
     "op1_mixing": mixing.SQL,
     "op4_urlfilter": urlfilter.SQL,
+    "op11_merkle": merkle.SQL,
 }
