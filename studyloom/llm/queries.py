@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from studyloom.llm import bpe, langid, lm, merkle, mixing, mpeg, neardup, pii, simhash, toxicity, urlfilter
+from studyloom.llm import bpe, langid, linededup, lm, merkle, mixing, mpeg, neardup, pii, simhash, toxicity, urlfilter
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -16,10 +16,12 @@ QUERIES = {
     "op9_lm": lm.op9_lm,
     "op10_neardup": neardup.op10_neardup,
     "op11_merkle": merkle.op11_merkle,
+    "op12_linededup": linededup.op12_linededup,
 }
 
 ORACLE_SQL = {
     "op1_mixing": mixing.SQL,
     "op4_urlfilter": urlfilter.SQL,
     "op11_merkle": merkle.SQL,
+    "op12_linededup": linededup.SQL,
 }
