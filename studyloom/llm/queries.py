@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from studyloom.llm import bpe, langid, linededup, lm, merkle, mixing, mpeg, neardup, pii, simhash, toxicity, urlfilter
+from studyloom.llm import bpe, langid, linededup, lm, merkle, mixing, mpeg, neardup, pii, search, simhash, toxicity, urlfilter
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_neardup": neardup.op10_neardup,
     "op11_merkle": merkle.op11_merkle,
     "op12_linededup": linededup.op12_linededup,
+    "op13_search": search.op13_search,
 }
 
 ORACLE_SQL = {
@@ -24,4 +25,5 @@ ORACLE_SQL = {
     "op4_urlfilter": urlfilter.SQL,
     "op11_merkle": merkle.SQL,
     "op12_linededup": linededup.SQL,
+    "op13_search": search.SQL,
 }
