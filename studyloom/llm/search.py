@@ -84,7 +84,7 @@ def partners(items: list[np.ndarray], terms: int) -> list[np.ndarray]:
     for asked in items:
         for t in asked:
             out[t].append(asked)
-    return [np.unique(np.concatenate(x)) for x in out]
+    return [np.unique(np.concatenate([np.zeros(0, np.int64), *x])) for x in out]
 
 
 class Block(NamedTuple):
