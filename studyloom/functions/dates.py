@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -76,15 +73,28 @@ def shifted(raw: Column, days: Column) -> Column:
     return F.coalesce(F.date_format(F.date_add(valid_date(raw), days), "yyyyMMdd"), raw)
 
 
-def remap_uid(uid: Column, salt: str) -> Column:
-    """``2.25.`` and 128 bits of a hash as a decimal: 39 digits, beyond Spark's decimals, hence Python."""
+def shifted_time(raw: Column, days: Column) -> Column:
+    """As ``shifted``; digits of a time of day behind the date stay with it."""
+    return F.when(raw.rlike("^[0-9]{9}"), F.concat(shifted(F.left(raw, F.lit(8)), days), F.substring(raw, 9, 64))).otherwise(shifted(raw, days))
 
-    @F.pandas_udf("string")
-    def remapped(uids: pd.Series) -> pd.Series:
-        one = lambda u: f"2.25.{int(hashlib.sha256(f'{salt}|UID|{u}'.encode()).hexdigest()[:32], 16)}"
-        return uids.map(lambda u: one(u) if u else u)
 
-    return remapped(uid)
+def remap_uid(uid: Column, salt: str) -> Column:
+    """``2.25.`` and 128 bits of a hash as a decimal. Its 39 digits are beyond Spark's decimals, so quotient and remainder by 10^19 come of
+    a long division of its four 32-bit limbs. An empty or null identifier stays."""
+    digits, wide = F.sha2(F.concat(F.lit(f"{salt}|UID|"), uid).cast("binary"), 256), "decimal(38,0)"
+    limbs = F.array(*[F.conv(F.substring(digits, 8 * k + 1, 8), 16, 10).cast(wide) for k in range(4)])
+    base, part = F.lit(1 << 32).cast(wide), F.lit(str(10**19)).cast(wide)
+
+    def step(acc: Column, limb: Column) -> Column:
+        here = acc["r"] * base + limb
+        rest = (here % part).cast(wide)
+        return F.struct((acc["q"] * base + ((here - rest) / part).cast(wide)).cast(wide).alias("q"), rest.alias("r"))
+
+    zero = F.lit(0).cast(wide)
+    text = lambda x: F.concat(
+        F.lit("2.25."), F.when(x["q"] == 0, x["r"].cast("string")).otherwise(F.concat(x["q"].cast("string"), F.lpad(x["r"].cast("string"), 19, "0")))
+    )
+    return F.when(uid == "", uid).when(uid.isNotNull(), F.aggregate(limbs, F.struct(zero.alias("q"), zero.alias("r")), step, text))
 
 
 def without_fraction(time: Column) -> Column:

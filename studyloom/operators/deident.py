@@ -5,35 +5,90 @@ An element of a nested item has its sequence's place in its path, so one pass ov
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from studyloom.functions import dates, text
 
 ELEMENT = "struct<path:string,tag:string,keyword:string,vr:string,value:string>"
-#: Keywords that always go, that are emptied, and times whose fractions go. Fixed values.
+#: Keywords that always go where identity is removed. Fixed values.
 REMOVED = ("PatientName", "PatientBirthDate", "InstitutionName")
-EMPTIED = ("AccessionNumber", "ReferringPhysicianName")
-TIMES = ("AcquisitionTime", "ContentTime", "SeriesTime", "StudyTime")
-PROTECTED = ("PatientID", "SOPInstanceUID", "SeriesInstanceUID", "StudyInstanceUID")
 TEXT_VRS = ("LO", "LT", "PN", "SH", "ST", "UC", "UT")
 DATE_VRS = ("DA", "DT")
 
+#: Where a code stands for the name: tags that go besides the caller's list, that are emptied, times whose fractions go, and those that
+#: stay whatever a list says. Fixed values.
+EXTRA_DELETED = ("00182042", "00620021", "20300020", "70051063", "70051067", "70051068", "70051069", "7005106C", "7005106D")
+CLEARED = ("00080081", "00081040")
+TIMES = ("00080030", "00080031", "00080032", "00080033")
+KEPT = ("00100020", "00080080", "00080060")
+
+#: Where identity is replaced: keywords that are emptied, sequences that go with all they hold, keywords that go, that stay, and
+#: identifiers that are not remapped. Fixed values.
+EMPTIED = (
+    "PatientBirthDate", "PatientBirthTime", "PatientSex", "PatientAge", "PatientSize", "PatientWeight", "PatientAddress", "PatientTelephoneNumbers",
+    "PatientMotherBirthName", "MilitaryRank", "BranchOfService", "MedicalRecordLocator", "OtherPatientIDs", "OtherPatientNames", "EthnicGroup",
+    "Occupation", "AdditionalPatientHistory", "PatientComments", "AdmissionID", "IssuerOfAdmissionID", "AccessionNumber", "StudyID",
+    "InstitutionAddress", "InstitutionalDepartmentName", "ReferringPhysicianName", "ReferringPhysicianAddress", "ReferringPhysicianTelephoneNumbers",
+    "PerformingPhysicianName", "NameOfPhysiciansReadingStudy", "OperatorsName", "PhysicianOfRecord", "DeviceSerialNumber", "StationName",
+    "ProtocolName", "StudyDescription", "SeriesDescription", "ContentDescription", "AcquisitionComments", "ReasonForStudy", "DerivationDescription",
+    "RequestingPhysician", "RequestingService", "RequestedProcedureDescription", "ScheduledPerformingPhysicianName",
+    "ScheduledProcedureStepDescription", "PerformedProcedureStepDescription", "ContentCreatorName", "ImageComments", "StudyComments",
+    "IssuerOfPatientID",
+)
+EMPTIED_SEQUENCES = ("00101002", "00080082", "00081049")
+DELETED = ("TargetUID", "TrackingUID", "TextString")
+PRESERVED = ("PatientID", "InstitutionName")
+NOT_REMAPPED = ("SOPClassUID", "ReferencedSOPClassUID", "TransferSyntaxUID", "ImplementationClassUID", "CodingSchemeUID", "ContextGroupExtensionCreatorUID")
+METHOD = "Name replaced; PatientID retained; private removed; UID/date map"
+
+
+def tag_list(text: str) -> list[str]:
+    """Tags of a text that lists them as ``(gggg,eeee)``, in the form that elements have."""
+    return [f"{g}{e}".upper() for g, e in re.findall(r"\(([0-9A-Fa-f]{4}),\s*([0-9A-Fa-f]{4})\)", text)]
+
+
+def named(e: Column, aliases: list[str]) -> Column:
+    """Whether a text element names a center; aliases of one letter name none."""
+    return e["vr"].isin(*TEXT_VRS) & text_contains(e["value"], [a for a in aliases if len(a) > 1])
+
 
 def remove_identity(elements: Column, aliases: list[str]) -> tuple[Column, Column]:
     """The elements without REMOVED ones and without texts that name a center (PatientID stays), and a struct of how
-    many went for which reason."""
-    named = lambda e: e["vr"].isin(*TEXT_VRS) & (e["keyword"] != "PatientID") & text_contains(e["value"], aliases)
-    gone = lambda e: e["keyword"].isin(*REMOVED)
-    kept = F.filter(elements, lambda e: ~gone(e) & ~named(e))
-    counts = F.struct(
-        *[_count(elements, k).alias(k) for k in REMOVED], F.size(F.filter(elements, lambda e: ~gone(e) & named(e))).alias("aliases")
+    many went for which reason and where a center's name was retained."""
+    why = F.transform(
+        elements,
+        lambda e: F.when(e["keyword"].isin(*REMOVED), e["keyword"])
+        .when(named(e, aliases), F.when(e["keyword"] == "PatientID", F.concat(F.lit("@"), e["path"], F.lit("/"), e["tag"])).otherwise("aliases"))
+        .otherwise(""),
     )
-    return kept, counts
+    gone = (*REMOVED, "aliases")
+    kept = F.filter(elements, lambda e: ~e["keyword"].isin(*REMOVED) & ((e["keyword"] == "PatientID") | ~named(e, aliases)))
+    retained = F.transform(F.filter(why, lambda x: x.startswith("@")), lambda x: F.substring(x, 2, 1 << 20))
+    start = F.struct(*[F.lit(0).alias(k) for k in gone])
+    # counted in one fold over the reasons instead of a walk for each
+    counts = F.aggregate(why, start, lambda acc, x: F.struct(*[(acc[k] + F.when(x == k, 1).otherwise(0)).alias(k) for k in gone]))
+    return kept, F.struct(*[counts[k].alias(k) for k in gone], retained.alias("retained"))
+
+
+def without_identity(df: DataFrame, column: str, aliases: list[str], kept: str = "kept", counts: str = "counts") -> DataFrame:
+    """df with what ``remove_identity`` leaves of a column and what it tells. The reasons are a projection of their own."""
+    left, told = remove_identity(F.col(column), aliases)
+    return df.select("*", left.alias(kept), told.alias(counts))
+
+
+def private(tag: Column) -> Column:
+    """Whether a tag's group number is odd."""
+    return F.substring(tag, 4, 1).isin(*"13579bdfBDF")
 
 
-def _count(elements: Column, keyword: str) -> Column:
-    return F.size(F.filter(elements, lambda e: e["keyword"] == keyword))
+def inside(e: Column, tags: list[str] | tuple[str, ...], also: Callable[[Column], Column] | None = None) -> Column:
+    """Whether an element stands in a sequence with one of these tags, however deep."""
+    around = F.regexp_extract_all(e["path"], F.lit("/([0-9A-Fa-f]{8})"), F.lit(1))
+    return F.exists(around, lambda x: F.upper(x).isin(*tags) | (also(x) if also else F.lit(False)))
 
 
 def text_contains(value: Column, words: list[str]) -> Column:
@@ -48,41 +103,78 @@ def _with_value(e: Column, value: Column) -> Column:
 
 
 def by_code(elements: Column, code: Column, deleted: list[str]) -> Column:
-    """Listed and private tags go, EMPTIED values are emptied, the name becomes the code, times lose fractions;
-    PROTECTED ones stay whatever the list says. A private tag has an odd group number."""
-    private = lambda e: F.conv(F.substring(e["tag"], 1, 4), 16, 10).cast("int") % 2 == 1
-    kept = F.filter(elements, lambda e: e["keyword"].isin(*PROTECTED) | ~(private(e) | e["keyword"].isin(*deleted)))
+    """A code stands for the name on every level; tags of ``deleted`` and EXTRA_DELETED go, sequences with all they hold; CLEARED values
+    are emptied, TIMES lose fractions. KEPT tags stay whatever the list says, if no sequence that goes holds them."""
+    gone = tuple(dict.fromkeys((*(t.upper() for t in deleted), *EXTRA_DELETED)))
+    going = [t for t in gone if t not in KEPT]
+    tag = lambda e: F.upper(e["tag"])
+    kept = F.filter(elements, lambda e: ~tag(e).isin(*going) & ~inside(e, going))
     value = lambda e: (
-        F.when(e["keyword"] == "PatientName", code).when(e["keyword"].isin(*EMPTIED), "")
-        .when(e["keyword"].isin(*TIMES), dates.without_fraction(e["value"])).otherwise(e["value"])
+        F.when(tag(e) == "00100010", code).when(tag(e).isin(*CLEARED), "").when(tag(e).isin(*TIMES), dates.without_fraction(e["value"])).otherwise(e["value"])
     )
     return F.transform(kept, lambda e: _with_value(e, value(e)))
 
 
-def shift_and_scrub(elements: Column, subject: Column, salt: str, originals: Column, code: Column) -> Column:
-    """Dates move by the subject's own shift; every original text of the identity, whatever its case, becomes the code,
-    longer ones first."""
-    days = dates.shift_days(subject, salt)
+def remapped_keyword(keyword: Column) -> Column:
+    """Whether identifiers of this keyword name an instance, and so get a new value."""
+    ends = keyword.endswith("InstanceUID") | keyword.endswith("FrameOfReferenceUID") | keyword.isin("DimensionOrganizationUID", "TrackingUID")
+    return ends & ~keyword.isin(*NOT_REMAPPED)
+
+
+def replace_identity(elements: Column, subject: Column, salt: str, originals: Column, code: Column) -> Column:
+    """Everything that tells who someone is goes or is replaced, on every level: private tags and DELETED ones go, sequences with all
+    they hold; EMPTIED values are emptied; the name becomes the code; identifiers of instances, dates and texts are replaced,
+    each the same way wherever it stands. The root tells so, and the file information names the new instance."""
+    kept = F.filter(
+        elements,
+        lambda e: ~private(e["tag"]) & ~F.upper(e["tag"]).isin(*EMPTIED_SEQUENCES) & ~(e["keyword"].isin(*DELETED)) & ~inside(e, EMPTIED_SEQUENCES, private),
+    )
+    days, words = dates.shift_days(subject, salt), _scrubber(originals, code)
+    uids = lambda v: F.array_join(F.transform(F.split(v, r"\\"), lambda u: F.when(u == "", u).otherwise(dates.remap_uid(u, salt))), "\\")
+    value = lambda e: (
+        F.when(e["keyword"].isin(*PRESERVED), e["value"]).when(e["keyword"].isin(*EMPTIED), "").when(e["keyword"] == "PatientName", code)
+        .when((e["vr"] == "UI") & (remapped_keyword(e["keyword"]) | (e["tag"] == "00020003")), uids(e["value"]))
+        .when(e["vr"].isin(*DATE_VRS), dates.shifted_time(e["value"], days)).when(e["vr"].isin(*TEXT_VRS), words(e["value"])).otherwise(e["value"])
+    )
+    told = ("00120062", "00120063")
+    out = F.filter(F.transform(kept, lambda e: _with_value(e, value(e))), lambda e: ~((e["path"] == "root") & e["tag"].isin(*told)))
+    new = lambda tag, keyword, vr, v: F.struct(F.lit("root").alias("path"), F.lit(tag).alias("tag"), F.lit(keyword).alias("keyword"), F.lit(vr).alias("vr"), v.alias("value"))
+    marks = F.array(new(told[0], "PatientIdentityRemoved", "CS", F.lit("YES")), new(told[1], "DeidentificationMethod", "LO", F.lit(METHOD)))
+    named_ = F.exists(out, lambda e: (e["path"] == "root") & (e["keyword"] == "PatientName"))
+    return F.concat(out, F.when(named_, F.array().cast(f"array<{ELEMENT}>")).otherwise(F.array(new("00100010", "PatientName", "PN", code))), marks)
+
+
+def _scrubber(originals: Column, code: Column) -> Callable[[Column], Column]:
+    """Puts the code for every original text, whatever its case, longer ones first."""
     longest = F.array_sort(originals, lambda x, y: F.coalesce(F.length(y), F.lit(0)) - F.coalesce(F.length(x), F.lit(0)))
     quoted = lambda x: F.concat(F.lit("(?iu)"), F.regexp_replace(x, r"([^\p{L}\p{N}\s])", r"\\$1"))
     plain = F.regexp_replace(code, r"([\\$])", r"\\$1")
-    scrub = lambda v: F.aggregate(longest, v, lambda acc, x: F.when(F.coalesce(x, F.lit("")) == "", acc).otherwise(F.regexp_replace(acc, quoted(x), plain)))
-    value = lambda e: F.when(e["vr"].isin(*DATE_VRS), dates.shifted(e["value"], days)).when(e["vr"].isin(*TEXT_VRS), scrub(e["value"])).otherwise(e["value"])
+    return lambda v: F.aggregate(longest, v, lambda acc, x: F.when(F.coalesce(x, F.lit("")) == "", acc).otherwise(F.regexp_replace(acc, quoted(x), plain)))
+
+
+def shift_and_scrub(elements: Column, subject: Column, salt: str, originals: Column, code: Column) -> Column:
+    """Dates move by the subject's own shift; every original text of the identity, whatever its case, becomes the code,
+    longer ones first."""
+    days, scrub = dates.shift_days(subject, salt), _scrubber(originals, code)
+    value = lambda e: F.when(e["vr"].isin(*DATE_VRS), dates.shifted_time(e["value"], days)).when(e["vr"].isin(*TEXT_VRS), scrub(e["value"])).otherwise(e["value"])
     return F.transform(elements, lambda e: _with_value(e, value(e)))
 
 
 def snapshot(elements: Column) -> Column:
-    """What must not change: the patient id, dates and times but for the birth date, and all identifiers."""
+    """What must not change, in its order: the patient id, dates and times but for the birth date, and all identifiers."""
     held = lambda e: (e["keyword"] == "PatientID") | (e["vr"].isin("DA", "DT", "TM") & (e["keyword"] != "PatientBirthDate")) | (e["vr"] == "UI")
-    return F.array_sort(F.transform(F.filter(elements, held), lambda e: F.concat_ws("=", e["path"], e["tag"], e["value"])))
+    return F.transform(F.filter(elements, held), lambda e: F.struct(e["path"], e["tag"], e["value"]))
 
 
-def verify(df: DataFrame, before: str, after: str, aliases: list[str]) -> DataFrame:
-    """df with ``problems``: protected values that changed, identity left behind, a center still named."""
+def verify(df: DataFrame, before: str, after: str, aliases: list[str], pixels: tuple[str, str] | None = None) -> DataFrame:
+    """df with ``problems``: protected values that changed, identity left behind, a center still named, and with the columns of
+    two digests, pixels that changed."""
     left = F.exists(after, lambda e: e["keyword"].isin(*REMOVED))
-    named = F.exists(after, lambda e: e["vr"].isin(*TEXT_VRS) & (e["keyword"] != "PatientID") & text_contains(e["value"], aliases))
-    why = F.array_compact(F.array(F.when(snapshot(F.col(before)) != snapshot(F.col(after)), "changed"), F.when(left, "identity_left"), F.when(named, "center_named")))
-    return df.withColumn("problems", F.array_join(why, ","))
+    center = F.exists(after, lambda e: (e["keyword"] != "PatientID") & named(e, aliases))
+    why = [F.when(snapshot(F.col(before)) != snapshot(F.col(after)), "changed"), F.when(left, "identity_left"), F.when(center, "center_named")]
+    if pixels:
+        why.append(F.when(~F.col(pixels[0]).eqNullSafe(F.col(pixels[1])), "pixels_changed"))
+    return df.withColumn("problems", F.array_join(F.array_compact(F.array(*why)), ","))
 
 
 def remap_uids(df: DataFrame, columns: list[str], salt: str) -> DataFrame:

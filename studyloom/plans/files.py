@@ -172,10 +172,8 @@ def _elements(spark, sf):
 
 
 def t02_remove_identity(spark, sf):
-    d = _elements(spark, sf)
-    kept, counts = X.remove_identity(F.col("elements"), ["inst 3"])
-    d = d.select("relative_path", F.col("elements").alias("before"), kept.alias("after"), counts.alias("n"))
-    return X.verify(d, "before", "after", ["inst 3"]).select("relative_path", F.size("after").alias("kept"), *[F.col(f"n.{k}").alias(f"n_{k.lower()}") for k in (*X.REMOVED, "aliases")], "problems")
+    d = X.without_identity(_elements(spark, sf).select("relative_path", "elements"), "elements", ["inst 3"])
+    return X.verify(d, "elements", "kept", ["inst 3"]).select("relative_path", F.size("kept").alias("kept"), *[F.col(f"counts.{k}").alias(f"n_{k.lower()}") for k in (*X.REMOVED, "aliases")], "problems")
 
 
 T02 = """SELECT relative_path, 13 - 4 - CASE WHEN contains(institution_raw, 'INST 3') THEN 1 ELSE 0 END AS kept, 2 AS n_patientname, 1 AS n_patientbirthdate, 1 AS n_institutionname,
@@ -184,13 +182,13 @@ CASE WHEN contains(institution_raw, 'INST 3') THEN 1 ELSE 0 END AS n_aliases, ''
 
 def t03_code_name(spark, sf):
     d = _elements(spark, sf).withColumn("code", F.concat(F.lit("E"), F.right("patient_id", F.lit(6))))
-    out = X.by_code(F.col("elements"), F.col("code"), ["InstitutionName", "SeriesDescription", "PatientID"])
+    out = X.by_code(F.col("elements"), F.col("code"), X.tag_list("(0008,0080) (0008,103e) (0010,0020) (0008,0050)"))
     text_of = F.array_join(F.transform(out, lambda e: F.concat_ws("=", F.concat(e["path"], F.lit("/"), e["tag"]), e["value"])), ";")
     return d.select("relative_path", text_of.alias("elements"))
 
 
-T03 = """SELECT relative_path, 'root/00100010=E' || right(patient_id, 6) || ';root/00100020=' || patient_id_raw || ';root/00100030=' || birth_date_raw || ';root/00080020=' || study_date_raw || ';root/00080030=101530;root/00080050=;root/0020000D=' || study_uid
-|| ';root/00080018=' || sop_uid || ';root/00081140[0]/00100010=E' || right(patient_id, 6) || ';root/00081140[0]/00081030=of ' || patient_name AS elements FROM nh WHERE sop_uid <> ''"""
+T03 = """SELECT relative_path, 'root/00100010=E' || right(patient_id, 6) || ';root/00100020=' || patient_id_raw || ';root/00100030=' || birth_date_raw || ';root/00080080=' || institution_raw || ';root/00080020=' || study_date_raw || ';root/00080030=101530;root/0020000D=' || study_uid
+|| ';root/00080018=' || sop_uid || ';root/70051010=private;root/00081140[0]/00100010=E' || right(patient_id, 6) || ';root/00081140[0]/00081030=of ' || patient_name AS elements FROM nh WHERE sop_uid <> ''"""
 
 
 def t04_shift_and_scrub(spark, sf):
@@ -205,6 +203,21 @@ d AS (SELECT *, CAST(CASE WHEN k % 2 = 1 THEN k % 3651 ELSE -(k % 3651) END AS I
 SELECT relative_path, patient_id, days, CASE WHEN study_date IS NULL THEN study_date_raw ELSE strftime(study_date + days, '%Y%m%d') END AS study_date, 'of CODE' AS study_description FROM d"""
 
 
+def t04_replace_identity(spark, sf):
+    d = _elements(spark, sf)
+    out = X.replace_identity(F.col("elements"), F.col("patient_id"), "salt", F.array("patient_name", "patient_id"), F.lit("CODE"))
+    text_of = F.array_join(F.transform(out, lambda e: F.concat_ws("=", F.concat(e["path"], F.lit("/"), e["tag"]), e["value"])), ";")
+    return d.select("relative_path", text_of.alias("elements"))
+
+
+T04R = """WITH h AS (SELECT *, CAST('0x' || substr(sha256('salt|DATE|' || patient_id), 1, 8) AS BIGINT) AS k FROM nh WHERE sop_uid <> ''),
+d AS (SELECT *, CAST(CASE WHEN k % 2 = 1 THEN k % 3651 ELSE -(k % 3651) END AS INTEGER) AS days FROM h)
+SELECT relative_path, 'root/00100010=CODE;root/00100020=' || patient_id_raw || ';root/00100030=;root/00080080=' || institution_raw || ';root/0008103E=;root/00080020='
+|| CASE WHEN study_date IS NULL THEN study_date_raw ELSE strftime(study_date + days, '%Y%m%d') END || ';root/00080030=101530.250;root/00080050=;root/0020000D=2.25.'
+|| CAST(CAST('0x' || substr(sha256('salt|UID|' || study_uid), 1, 32) AS UHUGEINT) AS VARCHAR) || ';root/00080018=2.25.' || CAST(CAST('0x' || substr(sha256('salt|UID|' || sop_uid), 1, 32) AS UHUGEINT) AS VARCHAR)
+|| ';root/00081140[0]/00100010=CODE;root/00081140[0]/00081030=;root/00120062=YES;root/00120063=Name replaced; PatientID retained; private removed; UID/date map' AS elements FROM d"""
+
+
 def n37_remap_uids(spark, sf):
     return X.remap_uids(hdr(spark, sf).select("relative_path", "study_uid", "sop_uid"), ["study_uid", "sop_uid"], "salt")
 
@@ -223,10 +236,10 @@ K06 = """SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN ''' =' || p_name WHEN
 QUERIES = {
     "d01_duplicate_documents": d01_duplicate_documents, "d02_copy_status": d02_copy_status, "v06_run_status": v06_run_status, "j08_rule_files": j08_rule_files, "f05_rule_status": f05_rule_status,
     "w07_group_veto": w07_group_veto, "j10_located_studies": j10_located_studies, "m01_study_upsert": m01_study_upsert, "m03_scan_cache": m03_scan_cache, "m04_resume": m04_resume,
-    "t02_remove_identity": t02_remove_identity, "t03_code_name": t03_code_name, "t04_shift_and_scrub": t04_shift_and_scrub, "n37_remap_uids": n37_remap_uids, "k06_csv_guard": k06_csv_guard,
+    "t02_remove_identity": t02_remove_identity, "t03_code_name": t03_code_name, "t04_shift_and_scrub": t04_shift_and_scrub, "t04_replace_identity": t04_replace_identity, "n37_remap_uids": n37_remap_uids, "k06_csv_guard": k06_csv_guard,
 }
 ORACLE_SQL = {
     "d01_duplicate_documents": D01, "d02_copy_status": oracle(D02, "nh"), "v06_run_status": oracle(V06, "nh"), "j08_rule_files": oracle(J08, "hdr"), "f05_rule_status": oracle(F05, "hdr"),
     "w07_group_veto": oracle(W07, "hdr"), "j10_located_studies": oracle(J10, "hdr"), "m01_study_upsert": oracle(M01, "nh"), "m03_scan_cache": M03, "m04_resume": M04,
-    "t02_remove_identity": oracle(T02, "hdr"), "t03_code_name": oracle(T03, "nh"), "t04_shift_and_scrub": oracle(T04, "nh"), "n37_remap_uids": oracle(N37, "hdr"), "k06_csv_guard": K06,
+    "t02_remove_identity": oracle(T02, "hdr"), "t03_code_name": oracle(T03, "nh"), "t04_shift_and_scrub": oracle(T04, "nh"), "t04_replace_identity": oracle(T04R, "nh"), "n37_remap_uids": oracle(N37, "hdr"), "k06_csv_guard": K06,
 }
