@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 from studyloom.llm.common import lower_ascii, table
 from studyloom.storage import staged
 
-#: Bits of a fingerprint; terms of one partial count (weights of 2 keep below a counter's 16 bits).
-BITS, CHUNK = 128, 32000
+#: Bits of a fingerprint; terms of one partial count: with weights of 2 a counter stays below 2^15, so that the topmost of a
+#: signed long does not overflow either.
+BITS, CHUNK = 128, 16000
 #: Characters from which on a pair of words counts double.
 LONG_PAIR = 8
 #: Documents of a bin of the id order on average, and how many bins there may be: their table is broadcast.
@@ -164,7 +165,9 @@ def edited(text: Column, following: Column) -> Column:
 
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every text and of its edited text, likenesses, and for every fiftieth id the number of
-    documents within 3 bits. Empty texts have fingerprint zero; a lone document is its own next one."""
+    documents within 3 bits. Null, empty and wordless texts have fingerprint zero; a lone document is its own next one;
+    null ids come after all others; rows of one id stand in the order of their texts, each a document; extra columns do not
+    matter; an empty table gives an empty result; texts of any length count in chunks whose counters can't overflow."""
     rows = with_next(table(spark, sf_dir, "documents"))
     both = rows.select(
         "bin", "rn", "next_bin", "next_rn", "doc_id", F.length("text").alias("n_chars"),

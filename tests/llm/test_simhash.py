@@ -1,6 +1,8 @@
 import hashlib
+from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from studyloom.llm import simhash as S
 
@@ -53,6 +55,27 @@ def test_counts_beyond_a_chunk(spark, monkeypatch):
     assert S.fingerprints(d, ["k"]).first() == want
 
 
+def test_counts_beyond_a_counter(spark, documents):
+    """More than 32,767 votes for a bit, from one word, one line, and words of a power law."""
+    assert spark.conf.get("spark.sql.ansi.enabled") == "true"
+    law = " ".join(f"frequent{int(1 / (((i * 7919) % 60000 + 1) / 60000)) % 500}" for i in range(60000))
+    texts = ["spam " * 40000, "one line of five longerwords " * 8000, law]
+    rows = [(i, t, "en", "s", 0) for i, t in enumerate(texts)]
+    got = {r.doc_id: r for r in check(spark, documents(rows), rows)}
+    for i, t in enumerate(texts):
+        votes, weights = [0] * S.BITS, 0
+        words = t.split()
+        pairs = spark.createDataFrame([(a, b) for a, b in set(zip(words, words[1:]))], "a string, b string")
+        hashes = {(r.a, r.b): (r.h0, r.h1) for r in pairs.select("a", "b", F.xxhash64("a", "b").alias("h0"), F.xxhash64("b", F.lit(1), "a").alias("h1")).collect()}
+        for (a, b), n in Counter(zip(words, words[1:])).items():
+            w = n * (2 if len(a) + len(b) >= S.LONG_PAIR else 1)
+            weights += w
+            bits = (hashes[a, b][0] & (1 << 64) - 1) << 64 | hashes[a, b][1] & (1 << 64) - 1
+            for k in range(S.BITS):
+                votes[k] += w * (bits >> k & 1)
+        assert int(got[i].fingerprint, 16) == sum(1 << k for k in range(S.BITS) if votes[k] * 2 > weights)
+
+
 @pytest.mark.parametrize("radius", [1, 2, 3, 5])
 def test_blocks_cover_all_bits(spark, radius):
     d = spark.sql("SELECT -1L AS hi, -1L AS lo")
