@@ -53,6 +53,12 @@ def age_years(age: Column) -> Column:
     return F.when(unit == "Y", n).when(unit == "M", n / 12).when(unit == "W", n / 52.18).when(unit == "D", n / 365.25)
 
 
+def age_text(raw: Column) -> Column:
+    """An age in the form that ``age_years`` reads, or the empty string."""
+    up = F.upper(F.trim(raw))
+    return F.when(up.rlike("^[0-9]{1,3}[DWMY]$"), up).otherwise("")
+
+
 def birth_year(age: Column, study: Column) -> Column:
     return F.year(study) - age_years(age)
 

@@ -22,6 +22,7 @@ def normalised(hdr: DataFrame) -> DataFrame:
         F.col("_name.name").alias("patient_name"),
         F.col("_name.sex").alias("suffix_sex"),
         F.col("_name.age").alias("suffix_age"),
+        *([dates.age_text(F.col("patient_age_raw")).alias("age")] if "patient_age_raw" in hdr.columns else []),
         text.no_placeholder(F.col("_letters")).alias("name_key"),
         dates.valid_date(F.col("birth_date_raw")).alias("birth_date"),
         F.coalesce("study_date", "acquisition_date").alias("exam_date"),

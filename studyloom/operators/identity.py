@@ -1,7 +1,7 @@
 """Resolving patient identity: profiles per patient id, blocked pair relations, groups, routes and audits.
 
-Pairs are formed only inside a block of one name key, never across all patients. A block's pairs are real candidates
-for one person; identity within a block is decided on profiles, of which there is one per patient id.
+What files say of a patient id is counted in a table that adds up over runs; a profile is read off it. Pairs are formed only inside a
+block of one name key, never across all patients. A block's pairs are real candidates for one person.
 """
 
 from __future__ import annotations
@@ -11,45 +11,114 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from studyloom.functions import dates
+from studyloom.functions import dates, domain, text
 from studyloom.operators.components import connected_components
-from studyloom.operators.headers import common
+from studyloom.operators.order import code, highest, numbered
 
 #: Years by which an estimated birth year may differ.
 TOLERANCE = 1.25
 
 
-def profiles(nh: DataFrame) -> DataFrame:
-    """A row per patient id: modal name key, birth date and sex, median birth year by age, institutions, Studies,
-    files, and conflicts within the id (several birth dates, several sexes)."""
-    year = dates.birth_year(F.col("suffix_age"), F.col("exam_date"))
-    sex = F.when(F.col("sex") != "", F.col("sex"))
-    # one pass and one shuffle: modes instead of counts joined back, least and greatest instead of distinct counts
-    base = nh.where("patient_id <> ''").groupBy("patient_id").agg(
-        F.coalesce(common("name_key"), F.lit("")).alias("name_key"),
-        common("birth_date").alias("birth_date"),
-        F.coalesce(common("sex"), F.lit("")).alias("sex"),
-        F.percentile(year, 0.5).alias("birth_year"),
-        F.array_sort(F.collect_set("institution_key")).alias("institutions"),
-        F.count_distinct("study_uid").alias("studies"),
-        F.count(F.lit(1)).alias("files"),
-        (F.min("birth_date") != F.max("birth_date")).alias("_births"),
-        (F.min(sex) != F.max(sex)).alias("_sexes"),
+#: What is counted of a patient id. The names are in the order in which they are trusted.
+NAMES = ("trusted_name", "subject_name", "header_name")
+
+
+def evidence(nh: DataFrame) -> DataFrame:
+    """patient_id, kind, value, n: how many files say what of a patient id. Such tables of several runs add up (``add_evidence``).
+
+    Kinds: the names that its own folders (``folder_name``, if there) and its headers give, raw header names, birth dates, sexes,
+    institutions, birth years by age, source folders, Studies, files, and contradictions inside one header. Headers that agree are
+    counted before they are unfolded into kinds."""
+    has = lambda c: c in nh.columns
+    age = F.when(F.col("age") != "", F.col("age")).otherwise(F.col("suffix_age")) if has("age") else F.col("suffix_age")
+    conflicts = F.array().cast("array<string>")
+    if has("age"):
+        conflicts = domain.suffix_conflicts(F.col("sex"), F.col("suffix_sex"), dates.age_years(F.col("age")), dates.age_years(F.col("suffix_age")))
+    said = {
+        "trusted_name": F.col("folder_name") if has("folder_name") else F.lit(""), "header_name": F.col("patient_name"), "raw_name": F.col("patient_name_raw"),
+        "birth_date": F.col("birth_date").cast("string"), "sex": F.col("sex"), "institution": F.col("institution_key"),
+        "birth_year": dates.birth_year(age, F.col("exam_date")).cast("string"), "source": F.col("source_subject"), "study": F.col("study_uid"),
+    }
+    rows = nh.where("patient_id <> ''").select("patient_id", *[v.alias(k) for k, v in said.items()], conflicts.alias("conflicts"))
+    rows = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("n"))
+    pair = lambda kind, value: F.struct(F.lit(kind).alias("kind"), value.alias("value"))
+    told = F.concat(F.array(pair("file", F.lit("-")), *[pair(k, F.col(k)) for k in said]), F.transform("conflicts", lambda c: pair("conflict", c)))
+    rows = rows.select("patient_id", F.explode(told).alias("t"), "n").select("patient_id", "t.*", "n").where("value <> ''")
+    return rows.groupBy("patient_id", "kind", "value").agg(F.sum("n").alias("n"))
+
+
+def add_evidence(*tables: DataFrame) -> DataFrame:
+    """The evidence of several scans as one: counts add up in any order and grouping."""
+    d = tables[0]
+    for t in tables[1:]:
+        d = d.unionByName(t)
+    return d.groupBy("patient_id", "kind", "value").agg(F.sum("n").alias("n"))
+
+
+def subject_names(counted: DataFrame, named: DataFrame) -> DataFrame:
+    """Further evidence from source folders that are named after a person: named(source, name). The name goes to the ids of the folder
+    whose header name fits its initials; to the only id of the folder if that has no header name; else to none."""
+    held = counted.where("kind = 'source'").select("patient_id", F.col("value").alias("source")).join(named.where("name <> ''"), "source")
+    header = counted.where("kind = 'header_name'").groupBy("patient_id").agg(_commonest(F.lit(True)).alias("header"))
+    ids = F.count(F.lit(1)).over(W.partitionBy("source"))
+    d = held.withColumn("ids", ids).join(header, "patient_id", "left").withColumn("fits", text.chinese_matches_header(F.col("name"), F.coalesce("header", F.lit(""))))
+    d = d.where(F.col("fits") | ((F.col("ids") == 1) & F.col("header").isNull()))
+    return d.groupBy("patient_id", F.lit("subject_name").alias("kind"), F.col("name").alias("value")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _commonest(when: Column) -> Column:
+    """An aggregate over evidence: the value with most files, the least of equals."""
+    return F.min(F.when(when, F.struct((-F.col("n")).alias("n"), "value")))["value"]
+
+
+def profiles_of(counted: DataFrame) -> DataFrame:
+    """A row per patient id from its evidence: the name by the most trusted source that has one, commonest values, median birth year,
+    institutions, sources, Studies, files, and what the id holds against itself: several birth dates or sexes, ages apart, ages that
+    contradict the birth date, headers that contradict their own name."""
+    kind = lambda k: F.col("kind") == k
+    year = F.when(kind("birth_year"), F.col("value").try_cast("double"))
+    g = counted.groupBy("patient_id").agg(
+        *[_commonest(kind(k)).alias(f"_{k}") for k in (*NAMES, "raw_name", "birth_date", "sex")],
+        *[F.count(F.when(kind(k), 1)).alias(f"n_{k}") for k in ("birth_date", "sex", "study")],
+        F.percentile(year, 0.5, F.col("n")).alias("birth_year"),
+        (F.max(year) - F.min(year)).alias("_span"),
+        *[F.array_sort(F.collect_list(F.when(kind(k), F.col("value")))).alias(c) for k, c in (("institution", "institutions"), ("source", "sources"), ("conflict", "_own"))],
+        F.sum(F.when(kind("file"), F.col("n"))).alias("files"),
     )
-    conflicts = F.array_compact(F.array(F.when(F.col("_births"), "multiple_birth_dates"), F.when(F.col("_sexes"), "multiple_sexes")))
-    return base.withColumn("internal_conflicts", F.array_join(conflicts, ",")).drop("_births", "_sexes")
+    name = F.coalesce(*[F.col(f"_{k}") for k in NAMES], F.lit(""))
+    birth = F.col("_birth_date").cast("date")
+    found = F.array_compact(
+        F.array(
+            F.when(F.col("_span") > TOLERANCE, "age"),
+            F.when(F.abs(F.year(birth) - F.col("birth_year")) > TOLERANCE, "age_vs_birth_date"),
+            F.when(F.col("n_birth_date") > 1, "birth_date"),
+            F.when(F.col("n_sex") > 1, "sex"),
+        )
+    )
+    key = lambda c: text.name_key(c)
+    return g.select(
+        "patient_id", name.alias("canonical_name"), key(name).alias("name_key"), F.coalesce("_header_name", F.lit("")).alias("header_name"),
+        key(F.coalesce("_header_name", F.lit(""))).alias("header_key"), F.coalesce("_raw_name", F.lit("")).alias("raw_name"), birth.alias("birth_date"),
+        F.coalesce("_sex", F.lit("")).alias("sex"), "birth_year", "institutions", "sources", F.col("n_study").alias("studies"), "files",
+        F.array_join(F.array_sort(F.array_distinct(F.concat(found, "_own"))), ",").alias("internal_conflicts"),
+    )
+
+
+def profiles(nh: DataFrame) -> DataFrame:
+    """A row per patient id of one scan (see ``profiles_of``)."""
+    return profiles_of(evidence(nh))
 
 
 def relation(left: str = "l", right: str = "r") -> Column:
     """struct<relation, evidence, conflicts> of two profiles of one name. What either profile holds against itself counts
-    as a conflict of the pair, so an id that several people share is merged with none. Only a birth date that differs, with sex and
-    institution in agreement, asks for a review; other conflicts stand; two pieces of evidence confirm."""
+    as a conflict of the pair, so an id that several people share is confirmed with none. Only differing birth dates, of the pair or inside
+    an id, with sex and institution in agreement, ask for a review; other conflicts stand; two pieces of evidence confirm."""
     a, b = (lambda c: F.col(f"{left}.{c}")), (lambda c: F.col(f"{right}.{c}"))
     births = a("birth_date").isNotNull() & b("birth_date").isNotNull()
     sexes = (a("sex") != "") & (b("sex") != "")
     years = a("birth_year").isNotNull() & b("birth_year").isNotNull()
     near = F.abs(a("birth_year") - b("birth_year")) <= TOLERANCE
-    evidence = F.array_compact(
+    evidence_ = F.array_compact(
         F.array(
             F.when(births & (a("birth_date") == b("birth_date")), "birth_date"),
             F.when(sexes & (a("sex") == b("sex")), "sex"),
@@ -57,50 +126,108 @@ def relation(left: str = "l", right: str = "r") -> Column:
             F.when(years & near, "age"),
         )
     )
-    within = lambda kind: F.when(a("internal_conflicts").contains(kind) | b("internal_conflicts").contains(kind), kind)
-    conflicts = F.array_compact(
+    own = F.filter(F.concat(F.split(a("internal_conflicts"), ","), F.split(b("internal_conflicts"), ",")), lambda c: c != "")
+    pair = F.array_compact(
         F.array(
-            within("multiple_birth_dates"),
-            within("multiple_sexes"),
             F.when(births & (a("birth_date") != b("birth_date")), "birth_date"),
             F.when(sexes & (a("sex") != b("sex")), "sex"),
             F.when(years & ~near, "age"),
         )
     )
-    review = (conflicts == F.array(F.lit("birth_date"))) & F.array_contains(evidence, "sex") & F.array_contains(evidence, "institution")
-    name = F.when(review, "review_group").when(F.size(conflicts) > 0, "conflict").when(F.size(evidence) >= 2, "confirmed").otherwise("possible")
-    return F.struct(name.alias("relation"), F.array_join(evidence, ",").alias("evidence"), F.array_join(conflicts, ",").alias("conflicts"))
+    conflicts = F.array_sort(F.array_distinct(F.concat(own, pair)))
+    review = (conflicts == F.array(F.lit("birth_date"))) & F.array_contains(evidence_, "sex") & F.array_contains(evidence_, "institution")
+    name = F.when(review, "review_group").when(F.size(conflicts) > 0, "conflict").when(F.size(evidence_) >= 2, "confirmed").otherwise("possible")
+    return F.struct(name.alias("relation"), F.array_join(evidence_, ",").alias("evidence"), F.array_join(conflicts, ",").alias("conflicts"))
+
+
+#: Profiles of one key that a task pairs with the others at once; larger blocks are split.
+BLOCK_ROWS = 2048
+
+
+def blocked(rows: DataFrame, key: str, order: str) -> DataFrame:
+    """Pairs (l, r) of rows with one key, each once, l before r in the order. Every key's rows are dealt to as many shares as its size
+    asks for, and each share meets all rows of the key, so that a common name is no single task."""
+    size = rows.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("_shares")).where("_shares > 1")
+    d = rows.join(size, key, "left").withColumn("_shares", F.coalesce("_shares", F.lit(1)))
+    one = d.withColumn("_share", F.pmod(F.xxhash64(order), F.col("_shares").cast("long")).cast("int")).alias("l")
+    all_ = d.withColumn("_share", F.explode(F.sequence(F.lit(0), F.col("_shares") - 1))).alias("r")
+    return one.join(all_, (F.col(f"l.{key}") == F.col(f"r.{key}")) & (F.col("l._share") == F.col("r._share")) & (F.col(f"l.{order}") < F.col(f"r.{order}")))
 
 
 def pairs(people: DataFrame) -> DataFrame:
-    """left_id, right_id, relation, evidence, conflicts for each pair of profiles with one name key."""
-    named = people.where("name_key <> ''")
+    """left_id, right_id, name_key, basis, relation, evidence, conflicts for each pair of profiles with one canonical name, or else
+    with one header name (``basis`` says which): two blocked joins in one, of which the first that finds a pair keeps it."""
     if "internal_conflicts" not in people.columns:  # profiles that tell of none
-        named = named.withColumn("internal_conflicts", F.lit(""))
-    both = named.alias("l").join(named.alias("r"), (F.col("l.name_key") == F.col("r.name_key")) & (F.col("l.patient_id") < F.col("r.patient_id")))
-    return both.select(F.col("l.patient_id").alias("left_id"), F.col("r.patient_id").alias("right_id"), F.col("l.name_key").alias("name_key"), relation().alias("x")).select(
-        "left_id", "right_id", "name_key", "x.*"
+        people = people.withColumn("internal_conflicts", F.lit(""))
+    if "header_key" not in people.columns:
+        people = people.withColumn("header_key", F.lit(""))
+    keys = F.array(F.struct(F.lit("canonical_name").alias("basis"), F.col("name_key").alias("key")), F.struct(F.lit("header_patient_name").alias("basis"), F.col("header_key").alias("key")))
+    facts = ["patient_id", "name_key", "birth_date", "sex", "birth_year", "institutions", "internal_conflicts"]
+    rows = people.select(*facts, F.explode(keys).alias("k")).where("k.key <> ''")
+    rows = rows.select(*facts, "k.*", F.concat(F.substring("k.basis", 1, 1), F.lit(":"), "k.key").alias("block"))
+    both = blocked(rows, "block", "patient_id")
+    both = both.where((F.col("l.basis") == "canonical_name") | (F.col("l.name_key") != F.col("r.name_key")) | (F.col("l.name_key") == ""))
+    return both.select(F.col("l.patient_id").alias("left_id"), F.col("r.patient_id").alias("right_id"), F.col("l.key").alias("name_key"), F.col("l.basis").alias("basis"), relation().alias("x")).select(
+        "left_id", "right_id", "name_key", "basis", "x.*"
     )
 
 
+class Groups:
+    """Merged ids, each group with the groups it has a conflict with: a veto is a look-up. The smaller group and the smaller set of
+    conflicts move, so that n ids take n log n moves."""
+
+    def __init__(self) -> None:
+        self.group: dict[str, str] = {}
+        self.members: dict[str, list[str]] = {}
+        self.foes: dict[str, set[str]] = {}
+        self.least: dict[str, str] = {}
+
+    def of(self, p: str) -> str:
+        if p not in self.group:
+            self.group[p], self.members[p], self.foes[p], self.least[p] = p, [p], set(), p
+        return self.group[p]
+
+    def conflict(self, a: str, b: str) -> None:
+        x, y = self.of(a), self.of(b)
+        if x != y:
+            self.foes[x].add(y)
+            self.foes[y].add(x)
+
+    def apart(self, a: str, b: str) -> bool:
+        return self.of(b) in self.foes[self.of(a)]
+
+    def merge(self, a: str, b: str) -> None:
+        x, y = self.of(a), self.of(b)
+        if x == y:
+            return
+        if len(self.members[x]) + len(self.foes[x]) < len(self.members[y]) + len(self.foes[y]):
+            x, y = y, x
+        for p in self.members[y]:
+            self.group[p] = x
+        self.members[x] += self.members.pop(y)
+        for f in self.foes.pop(y):
+            self.foes[f].discard(y)
+            if f != x:
+                self.foes[f].add(x)
+                self.foes[x].add(f)
+        self.least[x] = min(self.least[x], self.least.pop(y))
+
+
 def _merge_block(pdf: pd.DataFrame) -> pd.DataFrame:
     """Merges of one block's ids: first those of earlier groups, then in the order of the pairs reviewed groups always,
     and confirmed pairs unless the two groups as they then are hold a conflict."""
-    group = {p: p for p in {*pdf.left_id, *pdf.right_id}}
-    members = {p: {p} for p in group}
-    foes: dict[str, set[str]] = {p: set() for p in group}
-    for a, b in pdf.loc[pdf.relation == "conflict", ["left_id", "right_id"]].itertuples(index=False):
-        foes[a].add(b)
-        foes[b].add(a)
-    for a, b, kind in pdf.assign(later=pdf.relation != "prior").sort_values(["later", "left_id", "right_id"])[["left_id", "right_id", "relation"]].itertuples(index=False):
-        x, y = group[a], group[b]
-        if x == y or kind not in ("prior", "confirmed", "review_group") or (kind == "confirmed" and any(foes[m] & members[y] for m in members[x])):
-            continue
-        x, y = min(x, y), max(x, y)
-        for m in members.pop(y):
-            group[m] = x
-            members[x].add(m)
-    return pd.DataFrame(sorted(group.items()), columns=["patient_id", "group_id"])
+    g = Groups()
+    rows = list(pdf.sort_values(["left_id", "right_id"])[["left_id", "right_id", "relation"]].itertuples(index=False, name=None))
+    for a, b, kind in rows:
+        if kind == "conflict":
+            g.conflict(a, b)
+    for a, b, kind in rows:
+        if kind == "prior":
+            g.merge(a, b)
+    for a, b, kind in rows:
+        if kind == "review_group" or (kind == "confirmed" and not g.apart(a, b)):
+            g.merge(a, b)
+    return pd.DataFrame(sorted((p, g.least[x]) for p, x in g.group.items()), columns=["patient_id", "group_id"])
 
 
 def groups(people: DataFrame, related: DataFrame, existing: DataFrame | None = None) -> DataFrame:
@@ -123,24 +250,17 @@ def groups(people: DataFrame, related: DataFrame, existing: DataFrame | None = N
 
 def group_keys(grouped: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """grouped(patient_id, group_id) with group_key: the least key that one of the group's ids has already, else
-    ``G`` and six digits from one beyond the highest, in the order of least ids.
-
-    Numbers are prefix sums over hash-free ranges of the ids: groups are counted by an eight-character prefix first."""
+    ``G`` and six digits from one beyond the highest, in the order of least ids."""
     g = grouped.groupBy("group_id").agg(F.count(F.lit(1)).alias("ids"))
+    last = 0
     if existing is not None:
         known = grouped.join(existing, "patient_id").groupBy("group_id").agg(F.min("group_key").alias("known"))
         g = g.join(known, "group_id", "left")
+        last = highest(existing, "group_key", "G")
     else:
         g = g.withColumn("known", F.lit(None).cast("string"))
-    fresh = g.where("known IS NULL").withColumn("prefix", F.substring("group_id", 1, 5))
-    before = W.orderBy("prefix").rowsBetween(W.unboundedPreceding, -1)
-    offsets = fresh.groupBy("prefix").agg(F.count(F.lit(1)).alias("held")).withColumn("before", F.coalesce(F.sum("held").over(before), F.lit(0)))
-    last = 0
-    if existing is not None:
-        last = existing.agg(F.max(F.substring("group_key", 2, 12).cast("long"))).first()[0] or 0
-    fresh = fresh.withColumn("at", F.row_number().over(W.partitionBy("prefix").orderBy("group_id"))).join(offsets, "prefix")
-    number = (F.col("at") + F.col("before") + F.lit(last)).cast("string")
-    fresh = fresh.select("group_id", "ids", F.concat(F.lit("G"), F.when(F.length(number) < 6, F.lpad(number, 6, "0")).otherwise(number)).alias("group_key"), F.lit(False).alias("old"))
+    fresh = numbered(g.where("known IS NULL"), "group_id")
+    fresh = fresh.select("group_id", "ids", code("G", F.col("number") + F.lit(last)).alias("group_key"), F.lit(False).alias("old"))
     old = g.where("known IS NOT NULL").select("group_id", "ids", F.col("known").alias("group_key"), F.lit(True).alias("old"))
     return grouped.join(fresh.union(old), "group_id")
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from studyloom.functions import text
 from studyloom.operators.components import connected_components
+from studyloom.operators.order import code, highest, numbered
 from studyloom.storage import staged
 
 TOLERANCE = 1.25
@@ -86,85 +87,112 @@ def merge_history(mapped: DataFrame, observed: DataFrame) -> DataFrame:
     )
 
 
-def _relation(a, b) -> str:
-    """Relation of two folder profiles: same name and id confirm; one of them asks for two facts without conflict."""
-    name, ident = bool(a.name_key) and a.name_key == b.name_key, bool(a.patient_id) and a.patient_id == b.patient_id
-    if name and ident:
-        return "confirmed"
-    if not (name or ident):
-        return "unrelated"
-    pairs = [(x, y) for x, y in ((a.birth_date, b.birth_date), (a.sex, b.sex)) if x and y]
-    years = a.birth_year is not None and b.birth_year is not None
-    agree = sum(x == y for x, y in pairs) + (years and abs(a.birth_year - b.birth_year) <= TOLERANCE)
-    differ = sum(x != y for x, y in pairs) + (years and abs(a.birth_year - b.birth_year) > TOLERANCE)
-    return "conflict" if differ else "confirmed" if agree >= 2 else "possible"
-
-
-def _assign_block(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Folders of one block in order, after those of earlier runs: each keeps the code it has, else takes the only one whose
-    members confirm it, else opens a new one."""
-    pdf = pdf.astype(object).where(pdf.notna(), None)
-    old = pdf[pdf.code.notna()].sort_values(["code", "folder"])
-    seen = [(row, row.code) for row in old.itertuples(index=False)]
-    kept = {(row.folder, row.name_key, row.patient_id): row.code for row in reversed([r for r, _ in seen])}
-    fresh, out = set(), []
-    for row in pdf[pdf.code.isna()].sort_values("folder").itertuples(index=False):
-        if (code := kept.get((row.folder, row.name_key, row.patient_id))) is not None:
-            out.append((row.folder, None, code, "existing_mapping"))
-            continue
-        found: dict[str, set] = {"confirmed": set(), "possible": set()}
-        for other, code in seen:
-            found.get(_relation(row, other), set()).add(code)
-        if len(found["confirmed"]) == 1:
-            code, status = found["confirmed"].pop(), "confirmed"
+class Known:
+    """Profiles that have a code already, by name and by id. A look-up meets only those that share one of them and whose birth date and sex
+    don't contradict, and of these each set of facts once, however many profiles have it."""
+
+    def __init__(self) -> None:
+        self.both: dict[tuple, set] = {}
+        self.by: dict[tuple, dict[tuple, dict[tuple, dict[object, set]]]] = {}
+
+    def add(self, row, code: object) -> None:
+        if row.name_key and row.patient_id:
+            self.both.setdefault((row.name_key, row.patient_id), set()).add(code)
+        facts = (row.birth_year, row.age, row.study_date)
+        for key, other in ((("n", row.name_key), row.patient_id), (("i", row.patient_id), row.name_key)):
+            if key[1]:
+                bucket = self.by.setdefault(key, {}).setdefault((row.birth_date, row.sex), {})
+                bucket.setdefault(facts, {}).setdefault(code, set()).add(other)
+
+    def related(self, row) -> tuple[set, set, set]:
+        """Codes whose profiles are the same by name and id; that facts confirm; that may be the same."""
+        same = self.both.get((row.name_key, row.patient_id), set()) if row.name_key and row.patient_id else set()
+        confirmed, possible = set(), set()
+        for key, other in ((("n", row.name_key), row.patient_id), (("i", row.patient_id), row.name_key)):
+            for bucket, agree in self._compatible(self.by.get(key, {}) if key[1] else {}, row):
+                for facts, codes in bucket.items():
+                    by_age = _ages(row, *facts)
+                    if by_age is None:
+                        continue
+                    found = confirmed if agree + by_age >= 2 else possible
+                    found.update(c for c, others in codes.items() if c not in found and (not other or others != {other}))
+        return set(same), confirmed, possible
+
+    @staticmethod
+    def _compatible(buckets: dict, row):
+        """Buckets without a contradiction, and in how many facts each agrees."""
+        if not row.birth_date:
+            keys = [k for k in buckets if not (row.sex and k[1] and k[1] != row.sex)]
         else:
-            code, status = (row.folder,), "needs_review" if found["confirmed"] or found["possible"] else "new_identity"
-            fresh.add(code)
-        seen.append((row, code))
-        out.append((row.folder, *((code[0], None) if code in fresh else (None, code)), status))
-    return pd.DataFrame(out, columns=["folder", "opened_by", "known", "status"])
-
-
-def numbered(rows: DataFrame, order: str) -> DataFrame:
-    """rows with ``number``, from 1 in the given order (a column without equal values): counts of ranges and places in them."""
-    ranged = staged(rows.repartitionByRange(order).withColumn("_part", F.spark_partition_id()), "numbered")
-    before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
-    starts = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")).select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    place = F.row_number().over(W.partitionBy("_part").orderBy(order))
-    return ranged.withColumn("_at", place).join(starts, "_part").withColumn("number", F.col("_at") + F.col("_start")).drop("_part", "_at", "_start")
+            keys = [k for b in (row.birth_date, None) for x in ((row.sex, None) if row.sex else {x for _, x in buckets}) if (k := (b, x)) in buckets]
+        for birth, sex in dict.fromkeys(keys):
+            yield buckets[birth, sex], int(bool(birth) and birth == row.birth_date) + int(bool(sex) and sex == row.sex)
 
 
-def _highest(codes: DataFrame | None, column: str, letters: str) -> int:
-    """The greatest number of codes made of these letters, in either case, and digits; 0 without any."""
-    if codes is None:
-        return 0
-    return codes.agg(F.max(F.regexp_extract(column, f"(?i)^{letters}([0-9]+)$", 1).try_cast("long"))).first()[0] or 0
+def _ages(row, year, age, study_date) -> int | None:
+    """1 if ages agree, 0 if there is nothing to compare, None if they contradict: by estimated birth years, or where one lacks, by
+    equal ages at one Study date."""
+    if row.birth_year is not None and year is not None:
+        return 1 if abs(row.birth_year - year) <= TOLERANCE else None
+    if row.age and age and row.study_date == study_date:
+        return 1 if row.age == age else None
+    return 0
 
 
-def _code(letters: str, number: Column) -> Column:
-    """Letters and at least six digits."""
-    digits = number.cast("string")
-    return F.concat(F.lit(letters), F.when(F.length(digits) < 6, F.lpad(digits, 6, "0")).otherwise(digits))
-
-
-def assign_codes(folders: DataFrame, existing: DataFrame | None = None) -> DataFrame:
-    """folders(folder, patient_id, name_key, birth_date string, sex, birth_year) -> folder, code, status.
-
-    Which code a folder takes depends on those before it that share its name or id, however indirectly: such a block
-    is decided in one place. existing has the same columns and code, of earlier runs: a folder with its name and id keeps
-    its code. New codes go on after the highest, numbered by the folders that opened them."""
-    facts = ["folder", "patient_id", "name_key", "birth_date", "sex", "birth_year"]
-    d = folders.select(*facts, F.lit(None).cast("string").alias("code"))
+def _assign_block(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Profiles of one block in order, after those of earlier runs: each keeps the code it has, else takes the only one that
+    confirms it, else opens a new one."""
+    pdf = pdf.astype(object).where(pdf.notna(), None)
+    for c in ("birth_date", "sex", "age"):
+        pdf[c] = pdf[c].where(pdf[c] != "", None)
+    known, kept, out = Known(), {}, []
+    for row in pdf[pdf.code.notna()].sort_values(["code", "folder"]).itertuples(index=False):
+        known.add(row, row.code)
+        kept.setdefault((row.folder, row.name_key, row.patient_id), row.code)
+    for row in pdf[pdf.code.isna()].sort_values(["folder", "name_key", "patient_id"]).itertuples(index=False):
+        triple = (row.folder, row.name_key, row.patient_id)
+        if triple in kept:
+            code, status = kept[triple], "existing_mapping"
+        else:
+            same, confirmed, possible = known.related(row)
+            if len(same | confirmed) == 1:
+                code, status = (same | confirmed).pop(), "demographic_confirmed" if confirmed else "exact_confirmed"
+            else:
+                code, status = triple, "needs_review" if same or confirmed or possible else "new_identity"
+            known.add(row, code)
+            kept[triple] = code
+        out.append((*triple, *((None, None, None, code) if isinstance(code, str) else (*code, None)), status))
+    return pd.DataFrame(out, columns=["folder", "name_key", "patient_id", "f", "n", "i", "known", "status"])
+
+
+def assign_codes(profiles: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+    """profiles(folder, patient_id, name_key, birth_date string, sex, birth_year, and if known age, study_date), one row for each name
+    and id of a folder -> folder, name_key, patient_id, code, status.
+
+    Which code a profile takes depends on those before it (by folder, name and id) that share its name or id, however indirectly: such a
+    block is decided in one place, with an index of what has a code by then. existing has the same columns and code, of earlier runs: a
+    folder's name and id keep their code. New codes go on after the highest, numbered in the order of the profiles that opened them."""
+    key, facts = ["folder", "name_key", "patient_id"], ["birth_date", "sex", "birth_year", "age", "study_date"]
+
+    def whole(d: DataFrame, code: Column) -> DataFrame:
+        for c in ("age", "study_date"):
+            d = d if c in d.columns else d.withColumn(c, F.lit(None).cast("string"))
+        return d.select(*[F.coalesce(c, F.lit("")).alias(c) for c in key], *facts, code.alias("code"))
+
+    d = whole(profiles, F.lit(None).cast("string"))
     if existing is not None:
-        d = d.union(existing.select(*facts, "code"))
+        d = d.union(whole(existing, F.col("code")))
+    d = d.withColumn("row", F.concat_ws("\x01", F.lit("f"), *key))
     keys = F.array_compact(F.array(F.when(F.col("patient_id") != "", F.concat(F.lit("i:"), "patient_id")), F.when(F.col("name_key") != "", F.concat(F.lit("n:"), "name_key"))))
-    edges = d.select(F.concat(F.lit("f:"), "folder").alias("a"), F.explode(keys).alias("b"))
-    blocks = connected_components(edges).where("node LIKE 'f:%'").select(F.substring("node", 3, 1 << 20).alias("folder"), F.col("component").alias("block"))
-    d = d.join(blocks, "folder", "left").withColumn("block", F.coalesce("block", F.concat(F.lit("f:"), "folder")))
-    found = staged(d.groupBy("block").applyInPandas(lambda pdf: _assign_block(pdf), "folder string, opened_by string, known string, status string"), "assigned")
-    opened = numbered(found.where("folder = opened_by").select("opened_by").distinct(), "opened_by")
-    opened = opened.select("opened_by", _code("E", F.col("number") + F.lit(_highest(existing, "code", "E"))).alias("code"))
-    return found.join(opened, "opened_by", "left").select("folder", F.coalesce("known", "code").alias("code"), "status")
+    edges = d.select(F.col("row").alias("a"), F.explode(keys).alias("b"))
+    blocks = connected_components(edges).where("node LIKE 'f\x01%'").select(F.col("node").alias("row"), F.col("component").alias("block"))
+    d = d.join(blocks, "row", "left").withColumn("block", F.coalesce("block", "row")).drop("row")
+    schema = "folder string, name_key string, patient_id string, f string, n string, i string, known string, status string"
+    found = staged(d.groupBy("block").applyInPandas(lambda pdf: _assign_block(pdf), schema), "assigned")
+    by = F.struct("f", "n", "i").alias("by")
+    opened = numbered(found.where("f IS NOT NULL").select(by).distinct(), "by")
+    opened = opened.select("by", code("E", F.col("number") + F.lit(highest(existing, "code", "E"))).alias("code"))
+    return found.withColumn("by", by).join(opened, "by", "left").select(*key, F.coalesce("known", "code").alias("code"), "status")
 
 
 def subject_key(subject: Column, patient_id: Column, issuer: Column, name: Column, birth: Column, source: Column) -> Column:
@@ -200,7 +228,7 @@ def anonymous_ids(files: DataFrame, existing: DataFrame | None = None) -> DataFr
     placed = first.join(trees, F.col("key") == F.col("node"), "left").withColumn("tree", F.coalesce("component", "key")).select("key", "tree", "path", "parent", "known")
     roots = staged(placed.where("parent IS NULL").select("tree", "path", "known"), "anonymous-roots")
     opened = numbered(roots.where("known IS NULL").select("tree", F.struct("path", "tree").alias("at")), "at")
-    opened = opened.select("tree", _code("ANON", F.col("number") + F.lit(_highest(existing, "anonymous_id", "ANON"))).alias("anonymous_id"))
+    opened = opened.select("tree", code("ANON", F.col("number") + F.lit(highest(existing, "anonymous_id", "ANON"))).alias("anonymous_id"))
     ids = opened.union(roots.where("known IS NOT NULL").select("tree", "known"))
     return placed.join(ids, "tree").select("key", "anonymous_id")
 

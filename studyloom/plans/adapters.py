@@ -31,6 +31,9 @@ SELECT 'src' || CAST(o_custkey % 7 AS STRING) || '/' || CAST(l_orderkey AS STRIN
        CASE WHEN p_type = 'LARGE' THEN '3D MIP RECON' WHEN p_type = 'SMALL' THEN 'cbct' ELSE 'DSA ' || p_name END AS series_description,
        CASE WHEN l_discount > 0.045 THEN '0.5' ELSE '' END AS slice_thickness_raw,
        CASE WHEN l_quantity >= 41 THEN CAST(CAST(l_quantity AS INT) AS STRING) ELSE '' END AS number_of_frames_raw,
+       CASE WHEN o_custkey % 4 <> 1 THEN '' WHEN o_custkey % 29 = 0 THEN CASE WHEN l_linenumber % 2 = 0 THEN '005Y' ELSE '070Y' END
+            ELSE LPAD(CAST(CAST(SUBSTR(CAST(CAST(o_orderdate AS DATE) AS STRING), 1, 4) AS INT) - 1940 - (o_custkey - o_custkey % 3) % 50 AS STRING), 3, '0') || 'Y' END AS patient_age_raw,
+       CASE WHEN o_custkey % 6 = 0 AND l_linenumber % 3 = 0 THEN 'PERSON ' || CAST(o_custkey - o_custkey % 12 AS STRING) ELSE '' END AS folder_name,
        'pix' || CAST(l_partkey % 4 AS STRING) AS payload,
        CAST(floor(l_extendedprice) AS BIGINT) AS file_size
 FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey JOIN {part} ON l_partkey = p_partkey
@@ -92,7 +95,7 @@ NORMAL = {
 SELECT *, regexp_replace(trim(patient_id_raw), '^(.+?)![0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$', '\1') AS patient_id,
   regexp_replace(regexp_replace(trim(regexp_replace(patient_name_raw, '[\^ ]+', ' ', 'g')), '[ ,;._-]+$', ''), ' M-56Y$', '') AS patient_name,
   CASE WHEN patient_name_raw LIKE '% M-56Y%' THEN 'M' ELSE '' END AS suffix_sex,
-  CASE WHEN patient_name_raw LIKE '% M-56Y%' THEN '056Y' ELSE '' END AS suffix_age,
+  CASE WHEN patient_name_raw LIKE '% M-56Y%' THEN '056Y' ELSE '' END AS suffix_age, patient_age_raw AS age,
   lower(regexp_replace(regexp_replace(trim(regexp_replace(patient_name_raw, '[\^ ]+', ' ', 'g')), ' M-56Y$', ''), '[^A-Za-z0-9]', '', 'g')) AS name_key,
   CAST(try_strptime(CASE WHEN birth_date_raw = '' THEN NULL ELSE birth_date_raw END, '%Y%m%d') AS DATE) AS birth_date,
   coalesce(CAST(try_strptime(study_date_raw, '%Y%m%d') AS DATE), CAST(try_strptime(acquisition_date_raw, '%Y%m%d') AS DATE)) AS exam_date,

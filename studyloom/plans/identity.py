@@ -15,39 +15,54 @@ def _nh(spark, sf):
     return H.normalised(hdr(spark, sf))
 
 
-PROFILES = """
-pm AS (SELECT * FROM nh WHERE patient_id <> ''),
-nk AS (SELECT patient_id, first(v ORDER BY n DESC, v) AS v FROM (SELECT patient_id, name_key AS v, count(*) AS n FROM pm WHERE name_key <> '' GROUP BY ALL) GROUP BY 1),
-bd AS (SELECT patient_id, first(v ORDER BY n DESC, v) AS v FROM (SELECT patient_id, birth_date AS v, count(*) AS n FROM pm WHERE birth_date IS NOT NULL GROUP BY ALL) GROUP BY 1),
-sx AS (SELECT patient_id, first(v ORDER BY n DESC, v) AS v FROM (SELECT patient_id, sex AS v, count(*) AS n FROM pm WHERE sex <> '' GROUP BY ALL) GROUP BY 1),
-b0 AS (SELECT patient_id, count(*) AS files, count(DISTINCT study_uid) AS studies, list_sort(list(DISTINCT institution_key)) AS institutions,
- median(CASE WHEN suffix_age <> '' THEN CAST(year(exam_date) - 56 AS DOUBLE) END) AS birth_year, count(DISTINCT birth_date) AS births,
- count(DISTINCT CASE WHEN sex <> '' THEN sex END) AS sexes FROM pm GROUP BY 1),
-prof AS (SELECT b0.patient_id, coalesce(nk.v, '') AS name_key, bd.v AS birth_date, coalesce(sx.v, '') AS sex, birth_year, institutions, studies, files,
- concat_ws(',', CASE WHEN births > 1 THEN 'multiple_birth_dates' END, CASE WHEN sexes > 1 THEN 'multiple_sexes' END) AS internal_conflicts
- FROM b0 LEFT JOIN nk USING (patient_id) LEFT JOIN bd USING (patient_id) LEFT JOIN sx USING (patient_id))"""
+# counted over values of one kind at a time: the commonest, the least of equals
+_MODE = """{0} AS (SELECT patient_id, first(v ORDER BY n DESC, v) AS v, count(*) AS k FROM (SELECT patient_id, {1} AS v, count(*) AS n FROM pm WHERE {1} <> '' GROUP BY ALL) GROUP BY 1)"""
+_KEY = "lower(regexp_replace({0}, '[^A-Za-z0-9]', '', 'g'))"
+PROFILES = f"""
+pm AS (SELECT *, CAST(birth_date AS VARCHAR) AS bd_text, year(exam_date) - CAST(substr(CASE WHEN age <> '' THEN age ELSE suffix_age END, 1, 3) AS DOUBLE) AS by_age,
+ age <> '' AND suffix_age <> '' AND abs(CAST(substr(age, 1, 3) AS INT) - CAST(substr(suffix_age, 1, 3) AS INT)) > 1 AS age_apart, sex <> '' AND suffix_sex <> '' AND sex <> suffix_sex AS sex_apart
+ FROM (SELECT * REPLACE (nullif(age, '') AS age, nullif(suffix_age, '') AS suffix_age) FROM nh) WHERE patient_id <> ''),
+{_MODE.format("tn", "folder_name")}, {_MODE.format("hn", "patient_name")}, {_MODE.format("rn", "patient_name_raw")}, {_MODE.format("bd", "bd_text")}, {_MODE.format("sx", "sex")},
+b0 AS (SELECT patient_id, count(*) AS files, count(DISTINCT study_uid) AS studies, list_sort(list(DISTINCT institution_key)) AS institutions, list_sort(list(DISTINCT source_subject)) AS sources,
+ median(by_age) AS birth_year, max(by_age) - min(by_age) AS span, bool_or(coalesce(age_apart, false)) AS age_apart, bool_or(coalesce(sex_apart, false)) AS sex_apart FROM pm GROUP BY 1),
+prof AS (SELECT b0.patient_id, coalesce(tn.v, hn.v, '') AS canonical_name, {_KEY.format("coalesce(tn.v, hn.v, '')")} AS name_key, coalesce(hn.v, '') AS header_name, {_KEY.format("coalesce(hn.v, '')")} AS header_key,
+ coalesce(rn.v, '') AS raw_name, CAST(bd.v AS DATE) AS birth_date, coalesce(sx.v, '') AS sex, birth_year, institutions, sources, studies, files,
+ concat_ws(',', CASE WHEN span > 1.25 THEN 'age' END, CASE WHEN abs(year(CAST(bd.v AS DATE)) - birth_year) > 1.25 THEN 'age_vs_birth_date' END, CASE WHEN bd.k > 1 THEN 'birth_date' END, CASE WHEN sx.k > 1 THEN 'sex' END,
+  CASE WHEN age_apart THEN 'suffix_age' END, CASE WHEN sex_apart THEN 'suffix_sex' END) AS internal_conflicts
+ FROM b0 LEFT JOIN tn USING (patient_id) LEFT JOIN hn USING (patient_id) LEFT JOIN rn USING (patient_id) LEFT JOIN bd USING (patient_id) LEFT JOIN sx USING (patient_id))"""
 PAIRS = (
     PROFILES
     + """,
-p0 AS (SELECT l.patient_id AS left_id, r.patient_id AS right_id, l.name_key,
+p1 AS (SELECT l.patient_id AS left_id, r.patient_id AS right_id, CASE WHEN l.name_key <> '' AND l.name_key = r.name_key THEN 'canonical_name' ELSE 'header_patient_name' END AS basis,
+ CASE WHEN l.name_key <> '' AND l.name_key = r.name_key THEN l.name_key ELSE l.header_key END AS name_key,
  concat_ws(',', CASE WHEN l.birth_date = r.birth_date THEN 'birth_date' END, CASE WHEN l.sex <> '' AND l.sex = r.sex THEN 'sex' END,
   CASE WHEN list_has_any(l.institutions, r.institutions) THEN 'institution' END, CASE WHEN abs(l.birth_year - r.birth_year) <= 1.25 THEN 'age' END) AS evidence,
- concat_ws(',', CASE WHEN contains(l.internal_conflicts, 'multiple_birth_dates') OR contains(r.internal_conflicts, 'multiple_birth_dates') THEN 'multiple_birth_dates' END,
-  CASE WHEN contains(l.internal_conflicts, 'multiple_sexes') OR contains(r.internal_conflicts, 'multiple_sexes') THEN 'multiple_sexes' END,
-  CASE WHEN l.birth_date <> r.birth_date THEN 'birth_date' END, CASE WHEN l.sex <> '' AND r.sex <> '' AND l.sex <> r.sex THEN 'sex' END,
-  CASE WHEN abs(l.birth_year - r.birth_year) > 1.25 THEN 'age' END) AS conflicts
- FROM prof l JOIN prof r ON l.name_key = r.name_key AND l.patient_id < r.patient_id WHERE l.name_key <> ''),
-prs AS (SELECT left_id, right_id, name_key, CASE WHEN conflicts = 'birth_date' AND evidence LIKE '%sex%' AND evidence LIKE '%institution%' THEN 'review_group'
+ list_filter([CASE WHEN l.birth_date <> r.birth_date THEN 'birth_date' END, CASE WHEN l.sex <> '' AND r.sex <> '' AND l.sex <> r.sex THEN 'sex' END, CASE WHEN abs(l.birth_year - r.birth_year) > 1.25 THEN 'age' END]
+  || string_split(l.internal_conflicts, ',') || string_split(r.internal_conflicts, ','), lambda x: x <> '') AS c
+ FROM prof l JOIN prof r ON l.patient_id < r.patient_id AND ((l.name_key <> '' AND l.name_key = r.name_key) OR (l.header_key <> '' AND l.header_key = r.header_key))),
+p0 AS (SELECT *, coalesce(array_to_string(list_sort(list_distinct(c)), ','), '') AS conflicts FROM p1),
+prs AS (SELECT left_id, right_id, name_key, basis, CASE WHEN conflicts = 'birth_date' AND evidence LIKE '%sex%' AND evidence LIKE '%institution%' THEN 'review_group'
  WHEN conflicts <> '' THEN 'conflict' WHEN evidence LIKE '%,%' THEN 'confirmed' ELSE 'possible' END AS relation, evidence, conflicts FROM p0)"""
 )
 
 
 def a07_identity_profiles(spark, sf):
     p = I.profiles(_nh(spark, sf))
-    return p.withColumns({"birth_date": F.col("birth_date").cast("string"), "institutions": F.array_join("institutions", ",")})
+    return p.withColumns({"birth_date": F.col("birth_date").cast("string"), "institutions": F.array_join("institutions", ","), "sources": F.array_join("sources", ",")})
 
 
-A07 = f"WITH {PROFILES} SELECT * REPLACE (CAST(birth_date AS VARCHAR) AS birth_date, array_to_string(institutions, ',') AS institutions) FROM prof"
+A07 = f"WITH {PROFILES} SELECT * REPLACE (CAST(birth_date AS VARCHAR) AS birth_date, array_to_string(institutions, ',') AS institutions, array_to_string(sources, ',') AS sources) FROM prof"
+
+
+def a06_identity_evidence(spark, sf):
+    nh = _nh(spark, sf)
+    return I.add_evidence(I.evidence(nh.where("file_size % 3 = 0")), I.evidence(nh.where("file_size % 3 = 1")), I.evidence(nh.where("file_size % 3 = 2")))
+
+
+A06 = f"""WITH {PROFILES}, kinds AS (SELECT patient_id, unnest([{{'kind': 'file', 'value': '-'}}, {{'kind': 'trusted_name', 'value': folder_name}}, {{'kind': 'header_name', 'value': patient_name}}, {{'kind': 'raw_name', 'value': patient_name_raw}},
+ {{'kind': 'birth_date', 'value': bd_text}}, {{'kind': 'sex', 'value': sex}}, {{'kind': 'institution', 'value': institution_key}}, {{'kind': 'birth_year', 'value': CAST(by_age AS VARCHAR)}}, {{'kind': 'source', 'value': source_subject}},
+ {{'kind': 'study', 'value': study_uid}}, {{'kind': 'conflict', 'value': CASE WHEN sex_apart THEN 'suffix_sex' END}}, {{'kind': 'conflict', 'value': CASE WHEN age_apart THEN 'suffix_age' END}}]) AS t FROM pm)
+SELECT patient_id, t.kind AS kind, t.value AS value, count(*) AS n FROM kinds WHERE t.value <> '' GROUP BY ALL"""
 
 
 def a08_dominant_patient(spark, sf):
@@ -155,11 +170,11 @@ l AS (SELECT center, max(number) AS last FROM k GROUP BY 1)
 SELECT center, screening, CASE WHEN coalesce(number, coalesce(last, 0) + pos) < 1000 THEN lpad(CAST(coalesce(number, coalesce(last, 0) + pos) AS VARCHAR), 3, '0') ELSE CAST(coalesce(number, coalesce(last, 0) + pos) AS VARCHAR) END AS code, number IS NULL AS is_new FROM d LEFT JOIN l USING (center)"""
 
 QUERIES = {
-    "a07_identity_profiles": a07_identity_profiles, "a08_dominant_patient": a08_dominant_patient, "a09_set_profiles": a09_set_profiles, "e01_identity_pairs": e01_identity_pairs,
+    "a06_identity_evidence": a06_identity_evidence, "a07_identity_profiles": a07_identity_profiles, "a08_dominant_patient": a08_dominant_patient, "a09_set_profiles": a09_set_profiles, "e01_identity_pairs": e01_identity_pairs,
     "e03_subject_gate": e03_subject_gate, "e04_package_gate": e04_package_gate, "e07_identity_groups": e07_identity_groups, "e10_identity_routes": e10_identity_routes,
     "e12_review_rows": e12_review_rows, "e13_source_audit": e13_source_audit, "e16_code_ledger": e16_code_ledger,
 }
 ORACLE_SQL = {
-    "a07_identity_profiles": oracle(A07, "nh"), "a08_dominant_patient": oracle(A08, "nh"), "a09_set_profiles": oracle(A09, "nh"), "e01_identity_pairs": oracle(E01, "nh"),
+    "a06_identity_evidence": oracle(A06, "nh"), "a07_identity_profiles": oracle(A07, "nh"), "a08_dominant_patient": oracle(A08, "nh"), "a09_set_profiles": oracle(A09, "nh"), "e01_identity_pairs": oracle(E01, "nh"),
     "e03_subject_gate": oracle(E03, "nh"), "e04_package_gate": oracle(E04, "nh"), "e12_review_rows": oracle(E12, "nh"), "e16_code_ledger": oracle(E16, "registry"),
 }

@@ -61,12 +61,20 @@ CASE WHEN nullif(o.name_key, '') <> nullif(p.name_key, '') THEN 'name' END) AS d
 
 
 def _folders(spark, sf):
-    p = I.profiles(H.normalised(hdr(spark, sf)))
-    return p.select(F.concat(F.lit("F"), "patient_id").alias("folder"), "patient_id", "name_key", F.col("birth_date").cast("string").alias("birth_date"), "sex", "birth_year")
+    """A folder holds five customers' files; a profile is what a folder's files of one name and id say, of which the name may lack."""
+    nh = H.normalised(hdr(spark, sf)).where("patient_id <> ''")
+    name = F.when(F.col("file_size") % 3 == 0, "").otherwise(F.col("name_key"))
+    folder = F.concat(F.lit("F"), F.floor(F.substring("patient_id", 2, 6).cast("int") / 5).cast("string"))
+    p = I.set_profiles(nh.withColumn("person", F.concat_ws("|", folder, name, "patient_id")), "person")
+    at = lambda k: F.split_part("person", F.lit("|"), F.lit(k))
+    one = lambda c: F.when(F.size(c) == 1, F.col(c)[0])
+    return p.select(at(1).alias("folder"), at(3).alias("patient_id"), at(2).alias("name_key"), one("birth_dates").alias("birth_date"), one("sexes").alias("sex"), F.lit(None).cast("double").alias("birth_year"))
 
 
 def e14_assigned_codes(spark, sf):
-    return R.assign_codes(_folders(spark, sf))
+    p = staged(_folders(spark, sf), "folders")
+    earlier = p.where(F.pmod(F.xxhash64("folder"), F.lit(4)) == 0).withColumn("code", F.concat(F.lit("E9"), F.lpad(F.pmod(F.xxhash64("patient_id"), F.lit(100)).cast("string"), 5, "0")))
+    return R.assign_codes(p, earlier)
 
 
 def e15_anonymous_ids(spark, sf):

@@ -22,7 +22,7 @@ def test_codes_follow_confirmed_folders(spark):
     ]
     d = spark.createDataFrame(rows, "folder string, patient_id string, name_key string, birth_date string, sex string, birth_year double")
     got = {r.folder: (r.code, r.status) for r in R.assign_codes(d).collect()}
-    assert got["f1"] == ("E000001", "new_identity") and got["f2"] == ("E000001", "confirmed") and got["f3"] == ("E000001", "confirmed")
+    assert got["f1"] == ("E000001", "new_identity") and got["f2"] == ("E000001", "exact_confirmed") and got["f3"] == ("E000001", "demographic_confirmed")
     assert got["f4"][1] == "needs_review" and got["f5"][1] == "needs_review" and got["f6"][1] == "new_identity"
     assert len({got[f][0] for f in ("f1", "f4", "f5", "f6")}) == 4
 
@@ -58,10 +58,10 @@ def test_codes_of_earlier_runs_are_kept(spark):
         ("f5", "3", "li", None, "", None),
     ]
     got = {r.folder: (r.code, r.status) for r in R.assign_codes(spark.createDataFrame(rows, FOLDER), old).collect()}
-    assert got["f1"] == ("E000007", "existing_mapping") and got["f2"] == ("E000007", "confirmed")
+    assert got["f1"] == ("E000007", "existing_mapping") and got["f2"] == ("E000007", "demographic_confirmed")
     assert got["a"] == ("E000010", "new_identity") and got["f3"] == ("E000011", "new_identity")  # differs from li in the birth date
     assert got["f4"] == ("E000012", "needs_review")  # two codes confirm it
-    assert got["f5"] == ("E000011", "confirmed")
+    assert got["f5"] == ("E000011", "exact_confirmed")
     again = old.where("false")
     assert R.assign_codes(spark.createDataFrame([], FOLDER), again).count() == 0
 
