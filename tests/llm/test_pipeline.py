@@ -63,3 +63,10 @@ def test_empty_table(spark, documents):
     folder = documents([])
     documents([], "doc_id long, quality int, toxic int", "labels")
     assert corpus_pipeline.run(spark, folder).collect() == []
+
+
+def test_labels_of_one_kind_drop_nothing(spark, documents):
+    folder = documents([(i, f"some text {i} idiot", "en", "s", 0) for i in range(10)])
+    documents([(i, 1, 1) for i in range(10)], "doc_id long, quality int, toxic int", "labels")
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    assert corpus_pipeline.drop_toxic(spark, docs, folder).count() == 10
