@@ -316,11 +316,13 @@ def source_audit(nh: DataFrame, grouped: DataFrame) -> DataFrame:
 
 
 def set_profiles(nh: DataFrame, grain: str) -> DataFrame:
-    """A row per value of the grain with the sets of what its files say."""
+    """A row per value of the grain with the sets of what its files say; birth years are those that ages and exam dates give."""
+    age = F.when(F.col("age") != "", F.col("age")).otherwise(F.col("suffix_age")) if "age" in nh.columns else F.col("suffix_age")
+    year = F.floor(dates.birth_year(age, F.col("exam_date"))).cast("int")
     some = lambda c: F.array_sort(F.collect_set(F.when(F.col(c) != "", F.col(c))))
     return nh.groupBy(grain).agg(
         some("patient_id").alias("patient_ids"), some("name_key").alias("names"), F.array_sort(F.collect_set(F.col("birth_date").cast("string"))).alias("birth_dates"),
-        some("sex").alias("sexes"), some("institution_key").alias("institutions"), F.count(F.lit(1)).alias("files"),
+        some("sex").alias("sexes"), F.array_sort(F.collect_set(year)).alias("birth_years"), some("institution_key").alias("institutions"), F.count(F.lit(1)).alias("files"),
     )
 
 

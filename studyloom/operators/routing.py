@@ -12,10 +12,12 @@ from pyspark.sql import functions as F
 
 from studyloom.functions import text
 from studyloom.operators.components import connected_components
+from studyloom.operators.identity import TOLERANCE, blocked
 from studyloom.operators.order import code, highest, numbered
 from studyloom.storage import staged
 
-TOLERANCE = 1.25
+#: Sets of a profile that demographic comparison looks at, and what evidence calls them.
+DEMOGRAPHICS = {"birth_dates": "birth_date", "sexes": "sex", "birth_years": "birth_year"}
 
 
 def _meets(a: Column, b: Column) -> Column:
@@ -26,45 +28,86 @@ def _apart(a: Column, b: Column) -> Column:
     return (F.size(a) > 0) & (F.size(b) > 0) & ~F.arrays_overlap(a, b)
 
 
+def _years_meet(a: Column, b: Column) -> Column:
+    """Whether any two birth years differ by a year at most."""
+    return F.exists(a, lambda x: F.exists(b, lambda y: F.abs(x - y) <= 1))
+
+
+def _with_years(profiles: DataFrame) -> DataFrame:
+    return profiles if "birth_years" in profiles.columns else profiles.withColumn("birth_years", F.array().cast("array<int>"))
+
+
+def demographic(left: str = "l", right: str = "r") -> tuple[dict[str, Column], Column]:
+    """Whether each of DEMOGRAPHICS agrees, and in how many two profiles that both have values contradict each other."""
+    side = lambda c: (F.col(f"{left}.{c}"), F.col(f"{right}.{c}"))
+    meets = {c: (_years_meet if c == "birth_years" else _meets)(*side(c)) for c in DEMOGRAPHICS}
+    both = lambda c: (F.size(side(c)[0]) > 0) & (F.size(side(c)[1]) > 0)
+    return meets, sum(((both(c) & ~m).cast("int") for c, m in meets.items()), F.lit(0))
+
+
 def strong_matches(profiles: DataFrame) -> DataFrame:
     """(subject, key, to_subject, evidence) for profiles of other subjects that share a name, have no demographic
-    conflict, and share an id or two demographic facts."""
-    named = profiles.withColumn("name", F.explode("names"))
-    l, r = named.alias("l"), named.alias("r")
-    both = l.join(r, (F.col("l.name") == F.col("r.name")) & (F.col("l.subject") != F.col("r.subject")))
+    conflict, and share an id or two demographic facts. A common name is dealt to several tasks."""
+    named = _with_years(profiles).withColumn("name", F.explode("names")).withColumn("at", F.concat_ws("\x01", "subject", "key"))
+    both = blocked(named, "name", "at")
     side = lambda c: (F.col(f"l.{c}"), F.col(f"r.{c}"))
-    facts = sum((_meets(*side(c)).cast("int") for c in ("birth_dates", "sexes")), F.lit(0))
-    conflict = _apart(*side("birth_dates")) | _apart(*side("sexes"))
+    meets, conflicts = demographic()
     ids = _meets(*side("ids"))
-    evidence = F.array_join(F.array_compact(F.array(F.lit("name"), F.when(ids, "id"), F.when(_meets(*side("birth_dates")), "birth_date"), F.when(_meets(*side("sexes")), "sex"))), "+")
-    found = both.where(~conflict & (ids | (facts >= 2)))
-    return found.select(F.col("l.subject").alias("subject"), F.col("l.key").alias("key"), F.col("r.subject").alias("to_subject"), evidence.alias("evidence")).distinct()
+    facts = sum((m.cast("int") for m in meets.values()), F.lit(0))
+    evidence = F.array_join(F.array_compact(F.array(F.lit("name"), F.when(ids, "id"), *[F.when(m, DEMOGRAPHICS[c]) for c, m in meets.items()])), "+")
+    found = both.where((F.col("l.subject") != F.col("r.subject")) & (conflicts == 0) & (ids | (facts >= 2)))
+    one = lambda a, b: F.struct(F.col(f"{a}.subject").alias("subject"), F.col(f"{a}.key").alias("key"), F.col(f"{b}.subject").alias("to_subject"), evidence.alias("evidence"))
+    return found.select(F.explode(F.array(one("l", "r"), one("r", "l"))).alias("m")).select("m.*").distinct()
+
 
+def peers(profiles: DataFrame) -> DataFrame:
+    """The conflict graph among each subject's profiles: (subject, key, peer, hard, mismatch, weak), both ways. hard: other names and a
+    demographic conflict, or one name and two; mismatch: other names; weak: not hard, and a name or two facts are not shared."""
+    both = blocked(_with_years(profiles), "subject", "key")
+    meets, conflicts = demographic()
+    names = (F.col("l.names"), F.col("r.names"))
+    differ, same = _apart(*names), _meets(*names)
+    hard = (differ & (conflicts >= 1)) | (same & (conflicts >= 2))
+    facts = sum((m.cast("int") for m in meets.values()), F.lit(0))
+    seen = both.select(F.col("l.subject").alias("subject"), F.col("l.key").alias("a"), F.col("r.key").alias("b"), hard.alias("hard"), differ.alias("mismatch"), (~hard & (~same | (facts < 2))).alias("weak"))
+    ends = F.explode(F.array(F.struct(F.col("a").alias("key"), F.col("b").alias("peer")), F.struct(F.col("b").alias("key"), F.col("a").alias("peer")))).alias("e")
+    return seen.select("subject", ends, "hard", "mismatch", "weak").select("subject", "e.*", "hard", "mismatch", "weak")
 
-def local_disagreement(profiles: DataFrame) -> DataFrame:
-    """(subject, key) of profiles whose names differ from those of another profile of their subject.
 
-    A profile's names meet all others' exactly if each other profile shares one with it; sharing is counted by an
-    equal name, so the pairs that differ are never formed."""
-    named = profiles.select("subject", "key", F.explode("names").alias("name"))
-    l, r = named.alias("l"), named.alias("r")
-    shared = l.join(r, (F.col("l.subject") == F.col("r.subject")) & (F.col("l.name") == F.col("r.name")))
-    shared = shared.groupBy(F.col("l.subject").alias("subject"), F.col("l.key").alias("key")).agg(F.count_distinct("r.key").alias("meets"))
-    with_name = named.select("subject", "key").distinct().groupBy("subject").agg(F.count(F.lit(1)).alias("peers"))
-    return shared.join(with_name, "subject").where("meets < peers").select("subject", "key")
+def _inner_conflicts() -> Column:
+    """In how many demographic facts a profile contradicts itself."""
+    several = lambda c: (F.size(c) > 1).cast("int")
+    return several("birth_dates") + several("sexes") + F.coalesce((F.array_max("birth_years") - F.array_min("birth_years") > 1).cast("int"), F.lit(0))
 
 
 def reroutes(profiles: DataFrame) -> DataFrame:
-    """(subject, key, target, action): a profile that disagrees with its own subject and matches exactly one other is
-    rerouted, unless none would be left to stand for the subject: then all of them wait for confirmation."""
-    other = strong_matches(profiles).groupBy("subject", "key").agg(F.count_distinct("to_subject").alias("n"), F.min("to_subject").alias("to_subject"))
-    odd = local_disagreement(profiles).withColumn("odd", F.lit(True))
-    d = profiles.select("subject", "key").join(other, ["subject", "key"], "left").join(odd, ["subject", "key"], "left")
-    d = d.withColumn("leaves", F.coalesce(F.col("odd") & (F.col("n") == 1), F.lit(False)))
-    all_ = d.groupBy("subject").agg(F.bool_and("leaves").alias("none_left"))
-    d = d.join(all_, "subject")
-    action = F.when(F.col("leaves") & F.col("none_left"), "unresolved").when(F.col("leaves"), "rerouted").when(F.col("odd"), "screening_default").otherwise("confirmed")
-    return d.select("subject", "key", F.when(action == "rerouted", F.col("to_subject")).otherwise(F.col("subject")).alias("target"), action.alias("action"))
+    """(subject, key, target, action) of the profiles that a run has to place; with a column ``is_new``, of those only.
+
+    A profile that a peer of its subject contradicts, or whose name none of a peer's is, and that strongly matches exactly one other
+    subject, is rerouted there, unless no profile would be left to stand for the subject: then none is. After that, a profile that
+    contradicts itself in two facts, or hard conflicts with a peer that stays, is held (``different_person_unresolved``, no target). The
+    others follow their subject, with a warning where evidence is thin or another subject resembles them."""
+    p = _with_years(profiles)
+    p = p if "is_new" in p.columns else p.withColumn("is_new", F.lit(True))
+    edges = staged(peers(p), "subject-peers")
+    near = edges.groupBy("subject", "key").agg(F.bool_or("hard").alias("hard"), F.bool_or("mismatch").alias("mismatch"))
+    other = strong_matches(p).groupBy("subject", "key").agg(F.count_distinct("to_subject").alias("n"), F.min("to_subject").alias("to_subject"))
+    thin = (F.size("ids") == 0) | (F.size("names") != 1) | (_inner_conflicts() == 1)
+    d = p.select("subject", "key", "is_new", thin.alias("thin"), (_inner_conflicts() >= 2).alias("inner"))
+    d = d.join(near, ["subject", "key"], "left").join(other, ["subject", "key"], "left")
+    no = lambda c: F.coalesce(F.col(c), F.lit(False))
+    d = d.withColumn("leaves", F.col("is_new") & F.coalesce(F.col("n") == 1, F.lit(False)) & (no("hard") | no("mismatch")))
+    weak = edges.groupBy("subject").agg(F.bool_or("weak").alias("weak"))
+    all_ = d.groupBy("subject").agg(F.bool_and("leaves").alias("none_left"), F.bool_or(no("hard") | F.col("inner")).alias("conflict"), F.bool_or("thin").alias("any_thin"))
+    d = staged(d.join(all_.join(weak, "subject", "left"), "subject").withColumn("leaves", F.col("leaves") & ~F.col("none_left")), "subject-plan")
+    stay = d.where("NOT leaves").select("subject", F.col("key").alias("peer"))
+    facing = edges.where("hard").join(stay, ["subject", "peer"]).select("subject", "key").distinct().withColumn("facing", F.lit(True))
+    d = d.where("is_new").join(facing, ["subject", "key"], "left")
+    held = ~F.col("leaves") & (F.col("inner") | no("facing"))
+    warned = (~F.col("conflict") & (F.col("any_thin") | no("weak"))) | (F.col("n").isNotNull() & ~no("hard"))
+    action = F.when(F.col("leaves"), "rerouted").when(held, "different_person_unresolved").when(warned, "screening_default_warning").otherwise("confirmed_same")
+    target = F.when(F.col("leaves"), F.col("to_subject")).when(~held, F.col("subject"))
+    return d.select("subject", "key", target.alias("target"), action.alias("action"))
 
 
 def merge_history(mapped: DataFrame, observed: DataFrame) -> DataFrame:
@@ -285,7 +328,7 @@ def merge_profiles(*collections: DataFrame) -> DataFrame:
     d = collections[0]
     for c in collections[1:]:
         d = d.unionByName(c)
-    sets = [F.array_sort(F.array_distinct(F.flatten(F.collect_set(c)))).alias(c) for c in ("ids", "names", "birth_dates", "sexes")]
+    sets = [F.array_sort(F.array_distinct(F.flatten(F.collect_set(c)))).alias(c) for c in ("ids", "names", *DEMOGRAPHICS) if c in d.columns]
     return d.groupBy("subject", "key").agg(*sets, F.sum("files").alias("files"))
 
 

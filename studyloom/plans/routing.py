@@ -15,18 +15,30 @@ from studyloom.storage import staged
 def _profiles(spark, sf, keep="true"):
     nh = H.normalised(hdr(spark, sf)).where("patient_id <> ''").where(keep)
     p = I.set_profiles(nh, "patient_id")
-    return p.select(F.substring("patient_id", 1, 6).alias("subject"), F.col("patient_id").alias("key"), F.array("patient_id").alias("ids"), "names", "birth_dates", "sexes", "files")
-
-
-SETS = """sp AS (SELECT substr(patient_id, 1, 6) AS subject, patient_id AS key, list_sort(list(DISTINCT name_key)) AS names, list(DISTINCT CAST(birth_date AS VARCHAR)) FILTER (birth_date IS NOT NULL) AS b,
- list(DISTINCT sex) FILTER (sex <> '') AS s, count(*) AS files FROM nh WHERE patient_id <> '' GROUP BY 1, 2),
+    return p.select(F.substring("patient_id", 1, 6).alias("subject"), F.col("patient_id").alias("key"), F.array("patient_id").alias("ids"), "names", "birth_dates", "sexes", "birth_years", "files")
+
+
+# whether two profiles l and r agree and disagree in birth dates, sexes and birth years
+_YEARS = "len(list_filter(l.y, lambda a: len(list_filter(r.y, lambda b: abs(a - b) <= 1)) > 0)) > 0"
+_AGREE = f"(CAST(list_has_any(l.b, r.b) AS INT) + CAST(list_has_any(l.s, r.s) AS INT) + CAST({_YEARS} AS INT))"
+_BOTH = lambda c: f"len(l.{c}) > 0 AND len(r.{c}) > 0"
+_DIFFER = f"(CAST({_BOTH('b')} AND NOT list_has_any(l.b, r.b) AS INT) + CAST({_BOTH('s')} AND NOT list_has_any(l.s, r.s) AS INT) + CAST({_BOTH('y')} AND NOT {_YEARS} AS INT))"
+_SAME = "list_has_any(l.names, r.names)"
+SETS = f"""sp AS (SELECT substr(patient_id, 1, 6) AS subject, patient_id AS key, list_sort(list(DISTINCT name_key)) AS names, coalesce(list(DISTINCT CAST(birth_date AS VARCHAR)) FILTER (birth_date IS NOT NULL), []) AS b,
+ coalesce(list(DISTINCT sex) FILTER (sex <> ''), []) AS s, coalesce(list(DISTINCT by_age) FILTER (by_age IS NOT NULL), []) AS y, count(*) AS files
+ FROM (SELECT *, year(exam_date) - CAST(substr(CASE WHEN age <> '' THEN age ELSE nullif(suffix_age, '') END, 1, 3) AS INT) AS by_age FROM (SELECT * REPLACE (nullif(age, '') AS age) FROM nh)) WHERE patient_id <> '' GROUP BY 1, 2),
 sn AS (SELECT *, unnest(names) AS name FROM sp),
-sm AS (SELECT DISTINCT l.subject, l.key, r.subject AS to_subject, 'name' || CASE WHEN list_has_any(l.b, r.b) THEN '+birth_date' ELSE '' END || CASE WHEN list_has_any(l.s, r.s) THEN '+sex' ELSE '' END AS evidence
- FROM sn l JOIN sn r ON l.name = r.name AND l.subject <> r.subject WHERE coalesce(list_has_any(l.b, r.b), false) AND coalesce(list_has_any(l.s, r.s), false)),
-ld AS (SELECT DISTINCT l.subject, l.key FROM sp l JOIN sp r ON l.subject = r.subject AND NOT list_has_any(l.names, r.names)),
-rr AS (SELECT sp.subject, sp.key, m.to_subject, ld.key IS NOT NULL AS odd, coalesce(ld.key IS NOT NULL AND m.n = 1, false) AS leaves FROM sp
- LEFT JOIN (SELECT subject, key, count(DISTINCT to_subject) AS n, min(to_subject) AS to_subject FROM sm GROUP BY 1, 2) m ON m.subject = sp.subject AND m.key = sp.key LEFT JOIN ld ON ld.subject = sp.subject AND ld.key = sp.key),
-ra AS (SELECT *, bool_and(leaves) OVER (PARTITION BY subject) AS nl FROM rr)"""
+sm AS (SELECT DISTINCT l.subject, l.key, r.subject AS to_subject, 'name' || CASE WHEN list_has_any(l.b, r.b) THEN '+birth_date' ELSE '' END || CASE WHEN list_has_any(l.s, r.s) THEN '+sex' ELSE '' END || CASE WHEN {_YEARS} THEN '+birth_year' ELSE '' END AS evidence
+ FROM sn l JOIN sn r ON l.name = r.name AND l.subject <> r.subject WHERE {_DIFFER} = 0 AND {_AGREE} >= 2),
+pe AS (SELECT l.subject, l.key, r.key AS peer, NOT {_SAME} AS mismatch, CASE WHEN {_SAME} THEN {_DIFFER} >= 2 ELSE {_DIFFER} >= 1 END AS hard, NOT {_SAME} OR {_AGREE} < 2 AS thin FROM sp l JOIN sp r ON l.subject = r.subject AND l.key <> r.key),
+pn AS (SELECT subject, key, bool_or(hard) AS hard, bool_or(mismatch) AS mismatch, bool_or(thin AND NOT hard) AS weak FROM pe GROUP BY 1, 2),
+iw AS (SELECT subject, key, len(names) <> 1 OR i = 1 AS thin, i >= 2 AS inner_ FROM (SELECT *, CAST(len(b) > 1 AS INT) + CAST(len(s) > 1 AS INT) + CAST(coalesce(list_max(y) - list_min(y) > 1, false) AS INT) AS i FROM sp)),
+r0 AS (SELECT iw.*, coalesce(hard, false) AS hard, coalesce(mismatch, false) AS mismatch, coalesce(weak, false) AS weak, n, to_subject, coalesce(n = 1, false) AND coalesce(hard OR mismatch, false) AS leaves FROM iw LEFT JOIN pn USING (subject, key)
+ LEFT JOIN (SELECT subject, key, count(DISTINCT to_subject) AS n, min(to_subject) AS to_subject FROM sm GROUP BY 1, 2) USING (subject, key)),
+r1 AS (SELECT *, bool_and(leaves) OVER w AS none_left, bool_or(hard OR inner_) OVER w AS conflict, bool_or(thin OR weak) OVER w AS doubt FROM r0 WINDOW w AS (PARTITION BY subject)),
+r2 AS (SELECT * REPLACE (leaves AND NOT none_left AS leaves) FROM r1),
+fa AS (SELECT DISTINCT pe.subject, pe.key FROM pe JOIN r2 ON r2.subject = pe.subject AND r2.key = pe.peer WHERE pe.hard AND NOT r2.leaves),
+r3 AS (SELECT r2.*, NOT leaves AND (inner_ OR fa.key IS NOT NULL) AS held FROM r2 LEFT JOIN fa ON fa.subject = r2.subject AND fa.key = r2.key)"""
 
 
 def e05_strong_matches(spark, sf):
@@ -38,8 +50,8 @@ def e06_reroutes(spark, sf):
 
 
 E05 = f"WITH {SETS} SELECT * FROM sm"
-E06 = f"""WITH {SETS} SELECT subject, key, CASE WHEN leaves AND NOT nl THEN to_subject ELSE subject END AS target,
-CASE WHEN leaves AND nl THEN 'unresolved' WHEN leaves THEN 'rerouted' WHEN odd THEN 'screening_default' ELSE 'confirmed' END AS action FROM ra"""
+E06 = f"""WITH {SETS} SELECT subject, key, CASE WHEN leaves THEN to_subject WHEN NOT held THEN subject END AS target,
+CASE WHEN leaves THEN 'rerouted' WHEN held THEN 'different_person_unresolved' WHEN (NOT conflict AND doubt) OR (n IS NOT NULL AND NOT hard) THEN 'screening_default_warning' ELSE 'confirmed_same' END AS action FROM r3"""
 
 
 def e11_history_drift(spark, sf):
@@ -105,10 +117,10 @@ A20 = f"WITH {PROFILES} SELECT name_key AS code, string_agg(patient_id, '|' ORDE
 
 def a19_merged_profiles(spark, sf):
     p = R.merge_profiles(_profiles(spark, sf, "file_size % 2 = 0"), _profiles(spark, sf, "file_size % 2 = 1"))
-    return p.select("subject", "key", "files", *[F.array_join(c, ",").alias(c) for c in ("ids", "names", "birth_dates", "sexes")])
+    return p.select("subject", "key", "files", *[F.array_join(F.col(c).cast("array<string>"), ",").alias(c) for c in ("ids", "names", "birth_dates", "sexes", "birth_years")])
 
 
-A19 = f"WITH {SETS} SELECT subject, key, files, key AS ids, array_to_string(names, ',') AS names, coalesce(array_to_string(list_sort(b), ','), '') AS birth_dates, coalesce(array_to_string(list_sort(s), ','), '') AS sexes FROM sp"
+A19 = f"WITH {SETS} SELECT subject, key, files, key AS ids, array_to_string(names, ',') AS names, coalesce(array_to_string(list_sort(b), ','), '') AS birth_dates, coalesce(array_to_string(list_sort(s), ','), '') AS sexes, array_to_string(list_sort(y), ',') AS birth_years FROM sp"
 
 
 def j07_ledger_conflicts(spark, sf):

@@ -12,8 +12,84 @@ def test_reroutes_keep_an_anchor(spark):
         ("D", "d1", ["5"], ["zhao"], ["1970"], ["M"]), ("E", "e1", ["6"], ["qian"], ["1980"], ["M"]),
     ]
     got = {r.key: (r.target, r.action) for r in R.reroutes(spark.createDataFrame(rows, SETS)).collect()}
-    assert got["a1"] == ("A", "screening_default") and got["a2"] == ("B", "rerouted") and got["b1"] == ("B", "confirmed")
-    assert got["c1"] == ("C", "unresolved") and got["c2"] == ("C", "unresolved")
+    assert got["a1"] == ("A", "confirmed_same") and got["a2"] == ("B", "rerouted") and got["b1"] == ("B", "screening_default_warning")
+    # nobody would be left to stand for C, so both stay and hold each other
+    assert got["c1"] == got["c2"] == (None, "different_person_unresolved")
+
+
+def _placed(rows):
+    """The same, one subject and one pair after the other."""
+    facts = ("birth_dates", "sexes", "birth_years")
+
+    def compared(a, b):
+        agree = differ = 0
+        for c in facts:
+            if a[c] and b[c]:
+                same = any(abs(x - y) <= 1 for x in a[c] for y in b[c]) if c == "birth_years" else bool(set(a[c]) & set(b[c]))
+                agree, differ = agree + same, differ + (not same)
+        return agree, differ, bool(set(a["names"]) & set(b["names"])), bool(a["names"] and b["names"] and not set(a["names"]) & set(b["names"]))
+
+    out = {}
+    for subject in {r["subject"] for r in rows}:
+        own = [r for r in rows if r["subject"] == subject]
+        hard, mismatch, doubt = {r["key"]: set() for r in own}, {r["key"]: set() for r in own}, False
+        inner = {r["key"]: sum((len(set(r["birth_dates"])) > 1, len(set(r["sexes"])) > 1, bool(r["birth_years"]) and max(r["birth_years"]) - min(r["birth_years"]) > 1)) for r in own}
+        for a in own:
+            doubt |= not a["ids"] or len(a["names"]) != 1 or inner[a["key"]] == 1
+            for b in own:
+                if a is b:
+                    continue
+                agree, differ, same, other = compared(a, b)
+                if (other and differ) or (same and differ >= 2):
+                    hard[a["key"]].add(b["key"])
+                elif not same or agree < 2:
+                    doubt = True
+                if other:
+                    mismatch[a["key"]].add(b["key"])
+        conflict = any(hard.values()) or any(v >= 2 for v in inner.values())
+        found = {}
+        for a in own:
+            found[a["key"]] = set()
+            for b in rows:
+                agree, differ, same, _ = compared(a, b)
+                if b["subject"] != subject and same and not differ and (set(a["ids"]) & set(b["ids"]) or agree >= 2):
+                    found[a["key"]].add(b["subject"])
+        go = {k: next(iter(t)) for k, t in found.items() if len(t) == 1 and (hard[k] or mismatch[k]) and next(r for r in own if r["key"] == k)["is_new"]}
+        if len(go) == len(own):
+            go = {}
+        for r in own:
+            k = r["key"]
+            if not r["is_new"]:
+                continue
+            if k in go:
+                out[subject, k] = (go[k], "rerouted")
+            elif inner[k] >= 2 or hard[k] - set(go):
+                out[subject, k] = (None, "different_person_unresolved")
+            elif (not conflict and doubt) or (found[k] and not hard[k]):
+                out[subject, k] = (subject, "screening_default_warning")
+            else:
+                out[subject, k] = (subject, "confirmed_same")
+    return out
+
+
+def test_random_profiles_are_placed_as_one_by_one(spark):
+    import random
+
+    seen = set()
+    for seed in range(5):
+        rnd = random.Random(seed)
+        some = lambda n, *xs: rnd.sample(xs, min(len(xs), rnd.choice(n)))  # noqa: E731, B023
+        rows = [
+            {"subject": f"S{rnd.randrange(12):02d}", "key": f"k{i:03d}", "ids": some((0, 1, 1), *[f"i{j}" for j in range(30)]), "names": some((0, 1, 1, 1, 2), *"abcde"), "birth_dates": some((0, 1, 1, 2), "d1", "d2"),
+             "sexes": some((0, 1, 1), "M", "F"), "birth_years": some((0, 1, 1, 2), 1950, 1951, 1960), "is_new": rnd.random() < 0.8}
+            for i in range(40)
+        ]
+        columns = list(rows[0])
+        d = spark.createDataFrame([tuple(r[c] for c in columns) for r in rows], SETS + ", birth_years array<int>, is_new boolean")
+        got = {(r.subject, r.key): (r.target, r.action) for r in R.reroutes(d).collect()}
+        assert got == _placed(rows)
+        seen |= {a for _, a in got.values()}
+    assert seen == {"rerouted", "different_person_unresolved", "screening_default_warning", "confirmed_same"}
 
 
 def test_codes_follow_confirmed_folders(spark):
