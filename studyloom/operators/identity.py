@@ -369,8 +369,7 @@ def subject_gate(nh: DataFrame, subject: str = "patient_id") -> DataFrame:
 def package_gate(profiles_: DataFrame, subject: str) -> DataFrame:
     """profiles_(subject, grain, names, birth_dates, sexes): a hard conflict between two of a subject's profiles is
     other names and a demographic conflict, or one name and two; otherwise the subject's number decides."""
-    l, r = profiles_.alias("l"), profiles_.alias("r")
-    both = l.join(r, (F.col(f"l.{subject}") == F.col(f"r.{subject}")) & (F.col("l.key") < F.col("r.key")))
+    both = blocked(profiles_, subject, "key")
     apart = lambda c: ((F.size(f"l.{c}") > 0) & (F.size(f"r.{c}") > 0) & ~F.arrays_overlap(f"l.{c}", f"r.{c}")).cast("int")
     demographic = apart("birth_dates") + apart("sexes")
     hard = ((apart("names") == 1) & (demographic >= 1)) | ((apart("names") == 0) & (demographic >= 2))

@@ -10,6 +10,8 @@ from studyloom.operators import files as P
 from studyloom.operators import headers as H
 from studyloom.operators import state as T
 from studyloom.plans.adapters import hdr, oracle, table
+from studyloom.sources import logs as L
+from studyloom.storage import new_path
 
 
 def _copies(spark, sf):
@@ -102,6 +104,21 @@ def _events(spark, sf):
     return table(spark, sf, "events").select(F.concat(F.lit("f"), F.col("event_id").cast("string")).alias("path"), (F.col("user_id") * 7 % 1000).alias("size"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("modified"), "event_id", "event_type")
 
 
+def s18_event_log(spark, sf):
+    """The last event of each user, read from a log that two runs have written."""
+    path, e = new_path(spark, "event-log"), table(spark, sf, "events")
+    last = lambda d: d.groupBy("user_id").agg(F.max_by(F.struct("event_id", "event_type"), "event_id").alias("e")).select("user_id", "e.*")
+    L.append_json(last(e.where("event_id % 2 = 0")), path)
+    L.append_json(last(e.where("event_id % 2 = 1 AND user_id % 3 <> 0")), path)
+    rows, _ = L.json_log(spark, path, "user_id long, event_id long, event_type string")
+    return L.last_rows(rows, ["user_id"]).drop("position")
+
+
+S18 = """WITH a AS (SELECT user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type FROM events WHERE event_id % 2 = 0 GROUP BY 1),
+b AS (SELECT user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type FROM events WHERE event_id % 2 = 1 AND user_id % 3 <> 0 GROUP BY 1)
+SELECT coalesce(b.user_id, a.user_id) AS user_id, coalesce(b.event_id, a.event_id) AS event_id, CASE WHEN b.user_id IS NULL THEN a.event_type ELSE b.event_type END AS event_type FROM a FULL JOIN b ON a.user_id = b.user_id"""
+
+
 def m03_scan_cache(spark, sf):
     e = _events(spark, sf)
     cache = e.where("event_id % 4 <> 0").select("path", F.when(F.col("event_id") % 9 == 0, F.col("size") + 1).otherwise(F.col("size")).alias("size"), "modified")
@@ -235,11 +252,11 @@ K06 = """SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN ''' =' || p_name WHEN
 
 QUERIES = {
     "d01_duplicate_documents": d01_duplicate_documents, "d02_copy_status": d02_copy_status, "v06_run_status": v06_run_status, "j08_rule_files": j08_rule_files, "f05_rule_status": f05_rule_status,
-    "w07_group_veto": w07_group_veto, "j10_located_studies": j10_located_studies, "m01_study_upsert": m01_study_upsert, "m03_scan_cache": m03_scan_cache, "m04_resume": m04_resume,
+    "w07_group_veto": w07_group_veto, "j10_located_studies": j10_located_studies, "m01_study_upsert": m01_study_upsert, "m03_scan_cache": m03_scan_cache, "s18_event_log": s18_event_log, "m04_resume": m04_resume,
     "t02_remove_identity": t02_remove_identity, "t03_code_name": t03_code_name, "t04_shift_and_scrub": t04_shift_and_scrub, "t04_replace_identity": t04_replace_identity, "n37_remap_uids": n37_remap_uids, "k06_csv_guard": k06_csv_guard,
 }
 ORACLE_SQL = {
     "d01_duplicate_documents": D01, "d02_copy_status": oracle(D02, "nh"), "v06_run_status": oracle(V06, "nh"), "j08_rule_files": oracle(J08, "hdr"), "f05_rule_status": oracle(F05, "hdr"),
-    "w07_group_veto": oracle(W07, "hdr"), "j10_located_studies": oracle(J10, "hdr"), "m01_study_upsert": oracle(M01, "nh"), "m03_scan_cache": M03, "m04_resume": M04,
+    "w07_group_veto": oracle(W07, "hdr"), "j10_located_studies": oracle(J10, "hdr"), "m01_study_upsert": oracle(M01, "nh"), "m03_scan_cache": M03, "s18_event_log": S18, "m04_resume": M04,
     "t02_remove_identity": oracle(T02, "hdr"), "t03_code_name": oracle(T03, "nh"), "t04_shift_and_scrub": oracle(T04, "nh"), "t04_replace_identity": oracle(T04R, "nh"), "n37_remap_uids": oracle(N37, "hdr"), "k06_csv_guard": K06,
 }

@@ -9,6 +9,7 @@ from studyloom.operators import files as P
 from studyloom.operators import headers as H
 from studyloom.operators import matching as M
 from studyloom.plans.adapters import hdr, oracle, registry, table
+from studyloom.sources import containers as C
 from studyloom.storage import staged
 
 
@@ -65,6 +66,37 @@ UNION ALL SELECT study_uid, series_uid, instance, 'several_imaging_dates' FROM r
 UNION ALL SELECT study_uid, series_uid, instance, 'missing_surgery_date' FROM rep WHERE match IN ('name', 'screening_number') AND surgery_date IS NULL"""
 
 
+BLOCK = ("中心名称", "姓名", "住院号", "手术日期")
+
+
+def _sheets(spark, sf):
+    """A sheet for each center: the subjects twice side by side, in some centers with a difference or a row less in the second block, and
+    the center's name in the first row only."""
+    from pyspark.sql import Window as W
+
+    r = registry(spark, sf).withColumn("nth", F.row_number().over(W.partitionBy("center_name").orderBy("source_order")))
+    k = F.split_part("center_name", F.lit(" "), F.lit(2)).cast("int")
+    once = [F.when(F.col("nth") == 1, F.col("center_name")).otherwise(""), F.col("patient_name"), F.col("hospital_number"), F.coalesce(F.col("surgery_date").cast("string"), F.lit(""))]
+    other = F.when((k % 7 == 3) & (F.col("nth") == 2), F.concat("hospital_number", F.lit("x"))).otherwise(F.col("hospital_number"))
+    gone = (k % 7 == 5) & (F.col("nth") == 3)
+    second = [F.when(gone, "").otherwise(c) for c in (once[0], once[1], other, once[3])]
+    body = r.select("center_name", (F.col("nth") + 1).alias("row"), F.array(F.col("source_order").cast("string"), *once, F.lit(""), *second).alias("cells"))
+    head = r.select("center_name").distinct().select("center_name", F.lit(1).alias("row"), F.array(*[F.lit(c) for c in ("#", *BLOCK, "", *BLOCK)]).alias("cells"))
+    return head.unionByName(body).select(F.lit("w").alias("workbook"), F.col("center_name").alias("sheet"), "row", "cells")
+
+
+def s15_repeated_blocks(spark, sf):
+    long = C.repeated_blocks(_sheets(spark, sf), list(BLOCK))
+    long = M.fill_down(long, BLOCK[0], ["workbook", "sheet", "block"], "__row__")
+    bad = C.differing_blocks(long, [*BLOCK]).select("sheet").distinct().withColumn("differs", F.lit(True))
+    d = long.where("block = 1").join(bad, "sheet", "left")
+    return d.select("sheet", F.col("__order__").alias("source_order"), F.col(BLOCK[0]).alias("center_name"), F.col(BLOCK[1]).alias("patient_name"), F.col(BLOCK[2]).alias("hospital_number"), F.coalesce("differs", F.lit(False)).alias("differs"))
+
+
+S15B = """WITH r AS (SELECT *, CAST(split_part(center_name, ' ', 2) AS INT) AS k, count(*) OVER (PARTITION BY center_name) AS n, row_number() OVER (PARTITION BY center_name ORDER BY source_order) AS nth FROM registry)
+SELECT center_name AS sheet, CAST(source_order AS INT) AS source_order, center_name, patient_name, hospital_number, coalesce((k % 7 = 3 AND n >= 2) OR (k % 7 = 5 AND n >= 3), false) AS differs FROM r"""
+
+
 def s15_registry_exceptions(spark, sf):
     return _registry(spark, sf)[1]
 
@@ -214,12 +246,14 @@ SELECT CASE WHEN k % 5 = 0 THEN 'source_file_missing' WHEN k % 7 = 0 THEN 'sourc
 CASE WHEN k % 5 = 0 OR k % 7 = 0 THEN '' ELSE concat_ws(',', CASE WHEN k % 11 = 0 THEN 'study_uid' END, CASE WHEN k % 13 = 0 THEN 'sop_uid' END) END AS differ, count(*) AS files FROM f GROUP BY ALL"""
 
 QUERIES = {
+    "s15_repeated_blocks": s15_repeated_blocks,
     "j06_manual_exceptions": j06_manual_exceptions, "f08_suffix_conflicts": f08_suffix_conflicts, "v03_verified_candidates": v03_verified_candidates,
     "a10_center_report": a10_center_report, "a10_report_exceptions": a10_report_exceptions, "s15_registry_exceptions": s15_registry_exceptions, "w01_fill_down": w01_fill_down,
     "j03_center_resolution": j03_center_resolution, "j04_enrolled_studies": j04_enrolled_studies, "j04_enrolled_exceptions": j04_enrolled_exceptions, "j05_exactly_one": j05_exactly_one,
     "j12_unmatched_subjects": j12_unmatched_subjects,
 }
 ORACLE_SQL = {
+    "s15_repeated_blocks": oracle(S15B, "registry"),
     "j06_manual_exceptions": oracle(J06, "nh", "registry"), "f08_suffix_conflicts": oracle(F08, "nh"), "v03_verified_candidates": oracle(V03, "hdr"),
     "a10_center_report": oracle(A10, "nh", "registry"), "a10_report_exceptions": oracle(A10X, "nh", "registry"), "s15_registry_exceptions": oracle(S15, "registry"), "w01_fill_down": oracle(W01, "registry"),
     "j03_center_resolution": oracle(J03, "registry"), "j04_enrolled_studies": oracle(J04, "nh"), "j04_enrolled_exceptions": oracle(J04X, "nh"), "j05_exactly_one": oracle(J05, "registry"),

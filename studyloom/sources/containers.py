@@ -12,6 +12,7 @@ from xml.etree import ElementTree
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from studyloom.functions import text
@@ -109,6 +110,43 @@ def as_table(rows: DataFrame, required: list[str], aliases: dict[str, str] | Non
     ])
     heads = rows.where(F.col("row") <= within).withColumn("at", where).where(~F.exists("at", lambda a: a.isNull()))
     heads = heads.groupBy("workbook", "sheet").agg(F.min(F.struct("row", "at")).alias("head"))
-    d = rows.join(F.broadcast(heads), ["workbook", "sheet"]).where(F.col("row") > F.col("head.row"))  # a row per sheet
+    d = rows.join(heads, ["workbook", "sheet"]).where(F.col("row") > F.col("head.row"))
     cells = [F.coalesce(F.get("cells", (F.col("head.at")[i] - 1).cast("int")), F.lit("")).alias(n) for i, n in enumerate(required)]
     return d.select("workbook", "sheet", F.col("row").alias("__row__"), *cells)
+
+
+def repeated_blocks(rows: DataFrame, required: list[str], optional: list[str] = [], order: str = "#") -> DataFrame:  # noqa: B006
+    """Wide sheets, whose header repeats its columns side by side, as long rows: workbook, sheet, block (from 1), __row__, __order__, and a
+    column for each required and optional header.
+
+    The header row of a sheet is its first row that has all required headers; it has as many blocks as the rarest of them has places,
+    and a block takes the n-th place of each. Rows of a block in which all cells are empty are none; the order is what the block's
+    ``order`` column says, else how far the row is below the header."""
+    keyed = F.transform("cells", lambda c: text.header_key(c))
+    places = lambda name: F.filter(F.transform(keyed, lambda c, i: F.when(c == text.header_key(F.lit(name)), i)), lambda i: i.isNotNull())
+    wanted = [*required, *optional, order]
+    heads = rows.select("workbook", "sheet", "row", F.array(*[places(n) for n in wanted]).alias("at"))
+    count = F.array_min(F.transform(F.slice("at", 1, len(required)), lambda a: F.size(a)))
+    heads = heads.withColumn("blocks", count).where("blocks > 0").groupBy("workbook", "sheet").agg(F.min(F.struct("row", "at", "blocks")).alias("head"))
+    d = rows.join(heads, ["workbook", "sheet"]).where(F.col("row") > F.col("head.row"))
+    d = d.select("workbook", "sheet", "row", "cells", "head", F.explode(F.sequence(F.lit(1), F.col("head.blocks"))).alias("block"))
+    cell = lambda k: F.trim(F.coalesce(F.get("cells", F.get(F.col("head.at")[k], F.col("block") - 1)), F.lit("")))
+    named = [cell(k).alias(n) for k, n in enumerate(wanted[:-1])]
+    at = F.coalesce(F.floor(cell(len(wanted) - 1).try_cast("double")).cast("int"), F.col("row") - F.col("head.row"))
+    d = d.select("workbook", "sheet", "block", F.col("row").alias("__row__"), at.alias("__order__"), *named)
+    return d.where(F.concat(*[F.col(f"`{n}`") for n in wanted[:-1]]) != "")
+
+
+def differing_blocks(long: DataFrame, columns: list[str]) -> DataFrame:
+    """(workbook, sheet, block) of blocks whose rows, in their order, are not those of the sheet's first block. Nothing of such a sheet is to be
+    used before someone has looked at it. Row k of all blocks meets in one group, so no block is compared as a whole."""
+    place = F.row_number().over(W.partitionBy("workbook", "sheet", "block").orderBy("__row__"))
+    sign = F.sha2(F.array_join(F.array(*[F.concat(F.length(F.col(f"`{c}`").cast("string")).cast("string"), F.lit(":"), F.col(f"`{c}`").cast("string")) for c in columns]), "|"), 256)
+    d = long.select("workbook", "sheet", "block", place.alias("place"), sign.alias("sign"))
+    g = d.groupBy("workbook", "sheet", "place").agg(F.max(F.when(F.col("block") == 1, F.col("sign"))).alias("first"), F.collect_list(F.struct("block", "sign")).alias("all"))
+    g = g.select("workbook", "sheet", "place", "first", F.explode("all").alias("b"))
+    other = g.where((F.col("b.block") > 1) & ~F.col("b.sign").eqNullSafe(F.col("first"))).select("workbook", "sheet", F.col("b.block").alias("block"))
+    size = long.groupBy("workbook", "sheet", "block").agg(F.count(F.lit(1)).alias("n"))
+    longest = size.where("block = 1").select("workbook", "sheet", F.col("n").alias("first_n"))
+    shorter = size.join(longest, ["workbook", "sheet"], "left").where("block > 1 AND NOT n <=> first_n").select("workbook", "sheet", "block")
+    return other.union(shorter).distinct()

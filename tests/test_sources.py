@@ -140,3 +140,22 @@ def test_report_tables_are_read_back(spark, tmp_path):
     back = sinks.read_tables(spark, str(tmp_path / "r"), ["rows", "faults"])
     assert sorted((r.center, r.n) for r in back["rows"].collect()) == [("x", 1), ("x", 3), ("y", 2)] and back["faults"].count() == 0
     assert {p.name for p in (tmp_path / "r" / "rows").iterdir() if p.is_dir()} == {"center=x", "center=y"}
+
+
+def test_repeated_blocks(spark):
+    head = ["#", "中心名称", "姓名", "", "#", "姓名", "中心名称", "备注"]
+    rows = [
+        ("same", 1, ["title"]), ("same", 2, head), ("same", 3, ["7", "A", "li", "", "7", "li", "A", "n"]), ("same", 4, ["", "", "wu", "", "x", "wu"]), ("same", 5, []),
+        ("other", 1, head), ("other", 2, ["1", "A", "li", "", "1", "li", "B"]),
+        ("less", 1, head), ("less", 2, ["1", "A", "li"]), ("one", 1, ["姓名", "中心名称"]), ("one", 2, ["li", "A"]), ("none", 1, ["姓名"]),
+    ]
+    d = spark.createDataFrame([("w", *r) for r in rows], "workbook string, sheet string, row int, cells array<string>")
+    long = containers.repeated_blocks(d, ["中心名称", "姓名"], ["备注"])
+    got = {(r.sheet, r.block, r["__row__"]): (r["__order__"], r.中心名称, r.姓名, r.备注) for r in long.collect()}
+    assert got["same", 1, 3] == (7, "A", "li", "n") and got["same", 2, 3] == (7, "A", "li", "") and got["same", 2, 4] == (2, "", "wu", "")
+    assert ("same", 1, 5) not in got and got["one", 1, 2] == (1, "A", "li", "") and not any(s == "none" for s, *_ in got)
+    bad = containers.differing_blocks(long, ["中心名称", "姓名"])
+    assert sorted((r.sheet, r.block) for r in bad.collect()) == [("other", 2)]
+    # a block without rows differs from one with rows only if it is told of at all
+    more = long.union(d.sparkSession.createDataFrame([("w", "same", 2, 9, 1, "", "zhao", "")], long.schema))
+    assert sorted((r.sheet, r.block) for r in containers.differing_blocks(more, ["中心名称", "姓名"]).collect()) == [("other", 2), ("same", 2)]
