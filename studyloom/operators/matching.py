@@ -33,18 +33,29 @@ def registry_rows(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _candidates(registry: DataFrame, key: str, prefix: str) -> DataFrame:
-    """Per key: how many different subjects it may mean, and the first of them."""
-    who = F.struct(F.col("hospital_number"), F.col("surgery_date"))
+    """Per key: how many different subjects it may mean, and the first of them. Subjects differ in hospital number, surgery date or, if the
+    registry has them, initials."""
+    who = [c for c in ("hospital_number", "surgery_date", "patient_initials") if c in registry.columns]
     g = registry.where(F.col(key) != "").groupBy(key)
-    return g.agg(F.count_distinct(who).alias(f"{prefix}_n"), F.min(F.struct("source_order", "hospital_number", "surgery_date")).alias(f"{prefix}_first"))
+    distinct = F.count_distinct(F.struct(*[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in who]))
+    return g.agg(distinct.alias(f"{prefix}_n"), F.min(F.struct("source_order", "hospital_number", "surgery_date")).alias(f"{prefix}_first"))
+
+
+def _spread(key: Column, rows: DataFrame) -> Column:
+    """A join key that is empty for many rows: these get one of a thousand keys that nothing has, by what is in the row."""
+    plain = [c for c, kind in rows.dtypes if not kind.startswith(("map", "array", "struct"))]
+    return F.when(F.coalesce(key, F.lit("")) == "", F.concat(F.lit("\x01"), F.pmod(F.xxhash64(*plain), F.lit(1000)).cast("string"))).otherwise(key)
 
 
 def match_registry(files: DataFrame, registry: DataFrame, name: str, screening: str) -> DataFrame:
     """files with hospital_number, surgery_date, source_order and match. By name; only where no subject has the name,
-    by screening number. A key that means several subjects matches none."""
-    by_name = _candidates(registry, "name_key", "name").withColumnRenamed("name_key", name)
-    by_number = _candidates(registry, "screening_key", "number").withColumnRenamed("screening_key", screening)
-    d = files.join(by_name, name, "left").join(by_number, screening, "left")
+    by screening number. A key that means several subjects matches none. Rows without a key, and those that the name has matched, do not
+    meet in the join by number."""
+    by_name = _candidates(registry, "name_key", "name").withColumnRenamed("name_key", "_name")
+    by_number = _candidates(registry, "screening_key", "number").withColumnRenamed("screening_key", "_number")
+    d = files.withColumn("_name", _spread(F.col(name), files)).join(by_name, "_name", "left")
+    open_ = F.when(F.col("name_n").isNull(), F.col(screening))
+    d = d.withColumn("_number", _spread(open_, files)).join(by_number, "_number", "left")
     match = (
         F.when(F.col("name_n") == 1, "name").when(F.col("name_n") > 1, "ambiguous_name").when(F.col("number_n") == 1, "screening_number")
         .when(F.col("number_n") > 1, "ambiguous_screening_number").otherwise("missing")
@@ -60,19 +71,30 @@ def stable(column: str, as_text: Column | None = None) -> Column:
     return F.when(F.min(some) == F.max(some), F.min(some)).otherwise(NA)
 
 
+#: Kinds of imaging date by rank, and of angles that a report shows where a group has one value.
+IMAGING_DATES = ("acquisition_date", "study_date", "series_date")
+ANGLES = ("primary_angle", "secondary_angle")
+
+
 def series_report(nh: DataFrame, registry: DataFrame) -> DataFrame:
-    """A row per Series of single frames, and one per instance of several frames: imaging date (the earliest of the
-    first kind of date that the group has), subject by registry, period to surgery, and instances."""
+    """A row per Series of single frames, and one per instance of several frames: imaging date (the earliest of the first of
+    IMAGING_DATES that the group has), subject by registry with the group's commonest name and screening number, period to surgery,
+    instances, and in how many ways its files disagree."""
     multi = F.coalesce(F.col("frames"), F.lit(1)) > 1
     d = nh.where("sop_uid <> '' AND study_uid <> '' AND series_uid <> ''").withColumn("instance", F.when(multi, F.col("sop_uid")).otherwise(""))
+    held = [c for c in IMAGING_DATES if c in nh.columns]
     kinds = lambda c: F.size(F.collect_set(c)).cast("long")  # noqa: E731  a handful in a group
+    several = F.coalesce(*[F.when(F.min(c).isNotNull(), kinds(c)) for c in held], F.lit(0).cast("long"))
     g = d.groupBy("study_uid", "series_uid", "instance").agg(
-        F.coalesce(F.min("acquisition_date"), F.min("study_date")).alias("imaging_date"),
-        F.when(F.min("acquisition_date").isNotNull(), kinds("acquisition_date")).otherwise(kinds("study_date")).alias("dates"),
-        stable("modality").alias("modality"), stable("series_description").alias("series_description"), F.count_distinct("sop_uid").alias("instances"),
-        F.max("frames").alias("frames"), F.min("screening").alias("screening"), common("patient_name").alias("patient_name"),
+        F.coalesce(*[F.min(c) for c in held]).alias("imaging_date"), F.coalesce(*[F.when(F.min(c).isNotNull(), F.lit(c)) for c in held]).alias("date_kind"), several.alias("dates"),
+        stable("modality").alias("modality"), stable("series_description").alias("series_description"), *[stable(c).alias(c) for c in ANGLES if c in nh.columns],
+        F.count_distinct("sop_uid").alias("instances"), F.count(F.lit(1)).alias("files"), F.max("frames").alias("frames"),
+        F.coalesce(common("screening"), F.lit("")).alias("screening"), common("patient_name").alias("patient_name"),
+        F.collect_set(F.when(F.col("patient_name") != "", F.col("patient_name"))).alias("_names"), F.size(F.collect_set(F.when(F.col("screening") != "", F.col("screening")))).alias("screenings"),
+        F.size(F.collect_set(F.when(F.col("patient_id") != "", F.col("patient_id")))).alias("ids"),
     )
     g = g.withColumn("name_key", text.bare_name(F.coalesce("patient_name", F.lit(""))))
+    g = g.withColumn("names", F.when(F.size("_names") <= 1, F.size("_names")).otherwise(F.size(F.array_distinct(F.transform("_names", text.bare_name))))).drop("_names")
     m = match_registry(g, registry, "name_key", "screening")
     period = F.coalesce(dates.period(F.col("imaging_date"), F.col("surgery_date")), F.lit(NA))
     return m.withColumn("period", period)
@@ -86,30 +108,55 @@ def report_exceptions(report: DataFrame) -> DataFrame:
             F.when(F.col("imaging_date").isNull(), "missing_imaging_date"),
             F.when(F.col("dates") > 1, "several_imaging_dates"),
             F.when(F.col("match").isin("name", "screening_number") & F.col("surgery_date").isNull(), "missing_surgery_date"),
+            F.when(F.col("names") > 1, "several_names"),
+            F.when(F.col("screenings") > 1, "several_screening_numbers"),
+            F.when(F.col("ids") > 1, "several_patient_ids"),
+            F.when(F.col("files") > F.col("instances"), "repeated_instances"),
         )
     )
     return report.select("study_uid", "series_uid", "instance", F.explode(why).alias("reason"))
 
 
-def resolve_centers(folders: DataFrame, centers: DataFrame) -> DataFrame:
-    """folders(folder, names), centers(center_key, names) -> folder, center_key, basis. Exact key; else the only
-    center whose key holds the folder's (two characters at least), not the other way round; else the center with the most
-    names in common, two at least and more than any other.
+def center_parts(centers: DataFrame, longest: int) -> DataFrame:
+    """center_key, part: every part of a key of two characters up to the longest that is asked for."""
+    start = F.sequence(F.lit(1), F.length("center_key") - 1)
+    some = centers.where(F.length("center_key") >= 2).select("center_key").distinct().select("center_key", F.explode(start).alias("at"))
+    ends = F.sequence(F.lit(2), F.least(F.length("center_key") - F.col("at") + 1, F.lit(longest)))
+    return some.select("center_key", F.explode(F.transform(ends, lambda n: F.substring(F.col("center_key"), F.col("at"), n))).alias("part")).distinct()
 
-    Centers are a dimension of a study, so that the substring step compares keys, not rows."""
+
+def resolve_centers(folders: DataFrame, centers: DataFrame, aliases: DataFrame | None = None) -> DataFrame:
+    """folders(folder, names), centers(center_key, names), aliases(folder, center) -> folder, center_key, basis. The center that an alias
+    names (``alias_unknown`` if there is none of that name: nothing else is tried); else the exact key; else the only center whose key
+    holds the folder's (two characters at least), not the other way round; else the only center at all; else the center with the most names in
+    common, two at least and more than any other.
+
+    The parts of the centers' keys are rows, so that each step is a join by equal keys."""
     f = folders.withColumn("folder_key", text.center_key(F.col("folder")))
-    exact = f.join(centers.select("center_key"), f.folder_key == F.col("center_key"), "left").select("folder", "folder_key", "names", F.col("center_key").alias("exact"))
-    held = (F.length("folder_key") >= 2) & F.col("center_key").contains(F.col("folder_key"))
-    part = exact.where("exact IS NULL").select("folder", "folder_key").join(F.broadcast(centers.select("center_key")), held)  # a row per center
+    if aliases is None:
+        f = f.withColumn("alias_key", F.lit(None).cast("string"))
+    else:
+        named = aliases.groupBy("folder").agg(F.min(text.center_key(F.col("center"))).alias("alias_key"))
+        f = f.join(named, "folder", "left")
+    keys = centers.select("center_key").distinct()
+    known = keys.select(F.col("center_key").alias("known"))
+    f = f.withColumn("wanted", F.coalesce("alias_key", "folder_key")).join(known, F.col("wanted") == F.col("known"), "left").drop("wanted")
+    only, total = keys.agg(F.min("center_key"), F.count(F.lit(1))).first()
+    longest = f.agg(F.max(F.length("folder_key"))).first()[0] or 0
+    part = f.where("known IS NULL AND alias_key IS NULL").select("folder", F.col("folder_key").alias("part")).join(center_parts(centers, max(2, longest)), "part")
     part = part.groupBy("folder").agg(F.count(F.lit(1)).alias("parts"), F.min("center_key").alias("part"))
     shared = f.select("folder", F.explode("names").alias("name")).join(centers.select("center_key", F.explode("names").alias("name")), "name")
     shared = shared.groupBy("folder", "center_key").agg(F.count_distinct("name").alias("n"))
     best = shared.groupBy("folder").agg(F.max(F.struct("n", "center_key")).alias("best"), F.max("n").alias("top"))
     ties = shared.join(best, "folder").where("n = top").groupBy("folder").agg(F.count(F.lit(1)).alias("ties"))
-    d = exact.join(part, "folder", "left").join(best, "folder", "left").join(ties, "folder", "left")
+    d = f.join(part, "folder", "left").join(best, "folder", "left").join(ties, "folder", "left")
+    alias = F.col("alias_key").isNotNull()
     overlap = (F.col("top") >= 2) & (F.col("ties") == 1)
-    basis = F.when(F.col("exact").isNotNull(), "exact").when(F.col("parts") == 1, "substring").when(overlap, "names").otherwise("unresolved")
-    key = F.when(basis == "exact", F.col("exact")).when(basis == "substring", F.col("part")).when(basis == "names", F.col("best.center_key"))
+    basis = (
+        F.when(alias & F.col("known").isNotNull(), "alias").when(alias, "alias_unknown").when(F.col("known").isNotNull(), "exact").when(F.col("parts") == 1, "substring")
+        .when(F.lit(total == 1), "only_center").when(overlap, "names").otherwise("unresolved")
+    )
+    key = F.when(basis.isin("alias", "exact"), F.col("known")).when(basis == "substring", F.col("part")).when(basis == "only_center", F.lit(only)).when(basis == "names", F.col("best.center_key"))
     return d.select("folder", key.alias("center_key"), basis.alias("basis"))
 
 

@@ -34,7 +34,8 @@ nm AS (SELECT study_uid, series_uid, instance, first(patient_name ORDER BY n DES
 g AS (SELECT study_uid, series_uid, instance, coalesce(min(acquisition_date), min(study_date)) AS imaging_date,
  CASE WHEN min(acquisition_date) IS NOT NULL THEN count(DISTINCT acquisition_date) ELSE count(DISTINCT study_date) END AS dates,
  CASE WHEN count(DISTINCT modality) = 1 THEN min(modality) ELSE 'NA' END AS modality, CASE WHEN count(DISTINCT series_description) = 1 THEN min(series_description) ELSE 'NA' END AS series_description,
- count(DISTINCT sop_uid) AS instances, max(frames) AS frames, min(screening) AS screening FROM d GROUP BY 1, 2, 3),
+ count(DISTINCT sop_uid) AS instances, count(*) AS files, max(frames) AS frames, coalesce(min(nullif(screening, '')), '') AS screening, count(DISTINCT nullif(screening, '')) AS screenings,
+ count(DISTINCT nullif(patient_id, '')) AS ids, count(DISTINCT nullif(lower(regexp_replace(patient_name, '[ ^]+', '', 'g')), '')) AS names FROM d GROUP BY 1, 2, 3),
 j AS (SELECT g.*, nm.patient_name, bn.n AS nn, bn.so AS nso, bs.n AS sn, bs.so AS sso FROM g JOIN nm USING (study_uid, series_uid, instance)
  LEFT JOIN bn ON bn.name_key = lower(regexp_replace(nm.patient_name, '[ ^]+', '', 'g')) LEFT JOIN bs ON bs.screening_number = g.screening),
 k AS (SELECT *, CASE WHEN nn = 1 THEN 'name' WHEN nn > 1 THEN 'ambiguous_name' WHEN sn = 1 THEN 'screening_number' WHEN sn > 1 THEN 'ambiguous_screening_number' ELSE 'missing' END AS match,
@@ -63,7 +64,9 @@ def a10_report_exceptions(spark, sf):
 A10X = f"""WITH {REPORT} SELECT study_uid, series_uid, instance, match AS reason FROM rep WHERE match IN ('missing', 'ambiguous_name', 'ambiguous_screening_number')
 UNION ALL SELECT study_uid, series_uid, instance, 'missing_imaging_date' FROM rep WHERE imaging_date IS NULL
 UNION ALL SELECT study_uid, series_uid, instance, 'several_imaging_dates' FROM rep WHERE dates > 1
-UNION ALL SELECT study_uid, series_uid, instance, 'missing_surgery_date' FROM rep WHERE match IN ('name', 'screening_number') AND surgery_date IS NULL"""
+UNION ALL SELECT study_uid, series_uid, instance, 'missing_surgery_date' FROM rep WHERE match IN ('name', 'screening_number') AND surgery_date IS NULL
+UNION ALL SELECT study_uid, series_uid, instance, 'several_names' FROM rep WHERE names > 1 UNION ALL SELECT study_uid, series_uid, instance, 'several_screening_numbers' FROM rep WHERE screenings > 1
+UNION ALL SELECT study_uid, series_uid, instance, 'several_patient_ids' FROM rep WHERE ids > 1 UNION ALL SELECT study_uid, series_uid, instance, 'repeated_instances' FROM rep WHERE files > instances"""
 
 
 BLOCK = ("中心名称", "姓名", "住院号", "手术日期")
@@ -124,20 +127,22 @@ def j03_center_resolution(spark, sf):
         F.concat(F.lit("Imaging (CENTER "), F.col("n_nationkey").cast("string"), F.lit(")"))
     )
     folders = f.select(form.alias("folder"), F.coalesce("names", F.array().cast("array<string>")).alias("names"))
-    return M.resolve_centers(folders, centers)
+    k = F.col("n_nationkey")
+    named = F.when(k % 10 == 9, "NOWHERE").otherwise(F.concat(F.lit("center-"), ((k + 1) % 25).cast("string")))
+    return M.resolve_centers(folders, centers, f.where(k % 5 == 4).select(form.alias("folder"), named.alias("center")))
 
 
 J03 = """WITH r AS (SELECT lower(replace(center_name, ' ', '')) AS ck, lower(replace(patient_name, ' ', '')) AS nk FROM registry),
 c AS (SELECT ck, list_sort(list(DISTINCT nk)) AS names FROM r GROUP BY 1),
 f AS (SELECT CASE n_nationkey % 3 WHEN 0 THEN 'Center_' || n_nationkey WHEN 1 THEN 'Site-' || n_nationkey ELSE 'Imaging (CENTER ' || n_nationkey || ')' END AS folder,
- CASE n_nationkey % 3 WHEN 0 THEN 'center' || n_nationkey WHEN 1 THEN 'site' || n_nationkey ELSE 'imagingcenter' || n_nationkey END AS fk, c.names[1:3] AS names
- FROM nation LEFT JOIN c ON c.ck = 'center' || n_nationkey),
+ CASE n_nationkey % 3 WHEN 0 THEN 'center' || n_nationkey WHEN 1 THEN 'site' || n_nationkey ELSE 'imagingcenter' || n_nationkey END AS fk, c.names[1:3] AS names,
+ CASE WHEN n_nationkey % 10 = 9 THEN 'nowhere' WHEN n_nationkey % 5 = 4 THEN 'center' || (n_nationkey + 1) % 25 END AS ak FROM nation LEFT JOIN c ON c.ck = 'center' || n_nationkey),
 p AS (SELECT folder, count(*) AS parts, min(ck) AS part FROM f JOIN c ON contains(ck, fk) GROUP BY 1),
 s AS (SELECT folder, ck, count(DISTINCT nk) AS n FROM (SELECT folder, unnest(names) AS nk FROM f) x JOIN r USING (nk) GROUP BY 1, 2),
 b AS (SELECT folder, max(n) AS top, max(ck) FILTER (k = 1) AS best, count(*) FILTER (k = 1) AS ties FROM (SELECT *, rank() OVER (PARTITION BY folder ORDER BY n DESC) AS k FROM s) GROUP BY 1)
-SELECT folder, CASE WHEN e.ck IS NOT NULL THEN e.ck WHEN parts = 1 THEN part WHEN top >= 2 AND ties = 1 THEN best END AS center_key,
-CASE WHEN e.ck IS NOT NULL THEN 'exact' WHEN parts = 1 THEN 'substring' WHEN top >= 2 AND ties = 1 THEN 'names' ELSE 'unresolved' END AS basis
-FROM f LEFT JOIN c e ON e.ck = f.fk LEFT JOIN p USING (folder) LEFT JOIN b USING (folder)"""
+SELECT folder, CASE WHEN e.ck IS NOT NULL THEN e.ck WHEN ak IS NOT NULL THEN NULL WHEN parts = 1 THEN part WHEN top >= 2 AND ties = 1 THEN best END AS center_key,
+CASE WHEN ak IS NOT NULL AND e.ck IS NOT NULL THEN 'alias' WHEN ak IS NOT NULL THEN 'alias_unknown' WHEN e.ck IS NOT NULL THEN 'exact' WHEN parts = 1 THEN 'substring' WHEN top >= 2 AND ties = 1 THEN 'names' ELSE 'unresolved' END AS basis
+FROM f LEFT JOIN c e ON e.ck = coalesce(f.ak, f.fk) LEFT JOIN p USING (folder) LEFT JOIN b USING (folder)"""
 
 
 def _enrolled(spark, sf):

@@ -191,3 +191,39 @@ def test_image_type_lists_and_period_rules(spark):
     rows = [("术前 ", "1.2", "1.2.3"), ("术中", "1.2", " N/A"), ("术中", None, None), ("术后", "1", "2"), (None, "1", "2")]
     got = selection.period_rules(spark.createDataFrame(rows, "period string, series_uid string, sop_uid string")).collect()
     assert sorted((r.period, r.selector_field, r.selector_uid) for r in got) == sorted([("术前", "SeriesInstanceUID", "1.2"), ("术中", "SOPInstanceUID", ""), ("术中", "SOPInstanceUID", "")])
+
+
+def test_centers_by_alias_part_only_one_and_names(spark):
+    centers = spark.createDataFrame([("northhospital", ["a", "b", "c"]), ("southhospital", ["d", "e"]), ("eastclinic", ["a", "b"])], "center_key string, names array<string>")
+    rows = [("North Hospital", []), ("south", []), ("hospital", ["d", "e"]), ("x", ["a", "b"]), ("y", ["a", "b", "c"]), ("Known", []), ("Unknown", ["d", "e"])]
+    folders = spark.createDataFrame(rows, "folder string, names array<string>")
+    aliases = spark.createDataFrame([("Known", "East Clinic"), ("Unknown", "no such center")], "folder string, center string")
+    got = {r.folder: (r.center_key, r.basis) for r in matching.resolve_centers(folders, centers, aliases).collect()}
+    assert got["North Hospital"] == ("northhospital", "exact") and got["south"] == ("southhospital", "substring")
+    assert got["hospital"] == ("southhospital", "names") and got["x"] == (None, "unresolved") and got["y"] == ("northhospital", "names")
+    assert got["Known"] == ("eastclinic", "alias") and got["Unknown"] == (None, "alias_unknown")
+    one = matching.resolve_centers(folders, centers.where("center_key = 'eastclinic'"))
+    assert {(r.center_key, r.basis) for r in one.collect()} == {("eastclinic", "only_center")}
+
+
+def test_report_tells_of_disagreeing_files(spark):
+    cols = "study_uid string, series_uid string, sop_uid string, frames int, acquisition_date date, study_date date, series_date date, modality string, series_description string, screening string, patient_name string, patient_id string, primary_angle string"
+    import datetime
+
+    day = datetime.date(2024, 1, 2)
+    rows = [
+        ("1", "1", "1", None, None, None, day, "XA", "d", "01-H001", "LI", "a", "10"), ("1", "1", "1", None, None, None, day, "XA", "d", "01-H002", "WU", "b", "10"), ("1", "1", "2", None, None, None, None, "XA", "d", "01-H002", "L I", "a", ""),
+        ("1", "2", "3", 8, None, day, None, "XA", "d", "", "", "", "10"), ("1", "2", "4", 8, day, None, None, "XA", "d", "", "", "", "20"),
+    ]
+    reg = spark.createDataFrame([(1, "li", "", "h", day, "x"), (2, "q", "01-H002", "g", day, "x"), (3, "q", "01-H002", "g", day, "y")], "source_order int, name_key string, screening_key string, hospital_number string, surgery_date date, patient_initials string")
+    report = matching.series_report(spark.createDataFrame(rows, cols), reg)
+    got = {(r.series_uid, r.instance): r for r in report.collect()}
+    first = got["1", ""]
+    assert (first.date_kind, first.screening, first.files, first.instances, first.primary_angle) == ("series_date", "01-H002", 3, 2, "10")
+    assert got["2", "3"].date_kind == "study_date" and len(got) == 3
+    why = {(r.series_uid, r.reason) for r in matching.report_exceptions(report).collect()}
+    assert why == {("1", "several_names"), ("1", "several_screening_numbers"), ("1", "several_patient_ids"), ("1", "repeated_instances"), ("2", "missing")}
+    assert first.match == "name" and first.hospital_number == "h"
+    # initials tell two subjects of one number apart
+    by_number = matching.match_registry(spark.createDataFrame([("zz", "01-H002")], "name string, number string"), reg, "name", "number")
+    assert by_number.first().match == "ambiguous_screening_number"
