@@ -177,23 +177,33 @@ def cjk_name(value: Column) -> Column:
     return F.when(run.isin(*GENERIC_WORDS), "").otherwise(run)
 
 
-def path_name(path: Column, patient: Column) -> Column:
-    """The best Chinese name among a path's components: early ones, ones with the patient's id and names of two to
-    six characters score more; the first of equals wins."""
-    parts = F.split(path, "/")
-    scored = F.transform(
-        parts,
-        lambda x, i: F.struct(
-            (
-                F.lit(80) - F.least(i, F.lit(40))
-                + F.when((patient != "") & x.contains(patient), 200).otherwise(0)
-                + F.when(F.length(cjk_name(x)).between(2, 6), 20).otherwise(0)
-            ).alias("score"),
-            (-i).alias("at"),
-            cjk_name(x).alias("name"),
-        ),
-    )
-    return F.coalesce(F.array_max(F.filter(scored, lambda s: s["name"] != ""))["name"], F.lit(""))
+def path_name(path: Column, patient: Column, root: Column | None = None, header: Column | None = None) -> Column:
+    """The best Chinese name among a path's components: early ones, ones with the patient's id (whatever its case) and names of two to
+    six characters score more; the first of equals wins. The source folder's own name, ``root``, is a candidate too, the last one, and
+    worth more than a component without the id. Where no candidate is, the header's name without carets."""
+    return _best_name(path, patient, root, 80, 200, False, header)
+
+
+def owned_name(path: Column, patient: Column, root: Column | None = None) -> Column:
+    """As ``path_name``, but only of components that hold the patient's id: the name that a folder gives to this id."""
+    return _best_name(path, patient, root, 100, 200, True, None)
+
+
+def _best_name(path: Column, patient: Column, root: Column | None, first: int, owned: int, needed: bool, header: Column | None) -> Column:
+    ident = F.lower(F.trim(patient))
+    holds = lambda x: (ident != "") & F.lower(x).contains(ident)
+
+    def candidate(x: Column, score: Column, at: Column) -> Column:
+        name = cjk_name(x)
+        score = score + F.when(holds(x), owned).otherwise(0) + F.when(F.length(name).between(2, 6), 20).otherwise(0)
+        return F.struct(score.alias("score"), at.alias("at"), name.alias("name"), holds(x).alias("held"))
+
+    scored = F.transform(F.split(path, "/"), lambda x, i: candidate(x, F.lit(first) - F.least(i, F.lit(40)), -i))
+    if root is not None:
+        scored = F.concat(scored, F.array(candidate(root, F.lit(110 if needed else 100), F.lit(-(1 << 20)))))
+    good = F.filter(scored, lambda s: (s["name"] != "") & (s["held"] if needed else F.lit(True)))
+    last = F.trim(F.replace(header, F.lit("^"), F.lit(" "))) if header is not None else F.lit("")
+    return F.coalesce(F.array_max(good)["name"], last, F.lit(""))
 
 
 def initials_match(name: Column, initials: Column) -> Column:
@@ -248,11 +258,18 @@ def natural_key(value: Column) -> Column:
     return F.array_join(keyed, "")
 
 
+#: Words for kinds of imaging where a source name has no token of one, in their order. Fixed values.
+TYPE_WORDS = (("灌注", "CTP"), ("血管", "CTA"), ("数字减影", "DSA"), ("减影血管", "DSA"), ("平扫", "CT"))
+
+
 def image_type(name: Column) -> Column:
-    """Kinds of imaging that a source name tells, in order and once each, joined by ``+``; ``REVIEW`` if none."""
-    found = F.regexp_extract_all(F.upper(half_width(clean(name))), F.lit("(NCCT|CTTP|CTP|CTA|DSA|CT)"), 1)
+    """Kinds of imaging that a source name tells, in order and once each, joined by ``+``; else those that its words mean, in the order of
+    TYPE_WORDS; ``REVIEW`` if none."""
+    plain = F.upper(half_width(clean(name)))
+    found = F.regexp_extract_all(plain, F.lit("(NCCT|CTTP|CTP|CTA|DSA|CT)"), 1)
     kinds = F.array_distinct(F.transform(found, lambda x: F.when(x == "NCCT", "CT").when(x == "CTTP", "CTP").otherwise(x)))
-    return F.when(F.size(kinds) > 0, F.array_join(kinds, "+")).otherwise("REVIEW")
+    words = F.array_distinct(F.array_compact(F.array(*[F.when(plain.contains(w), kind) for w, kind in TYPE_WORDS])))
+    return F.when(F.size(kinds) > 0, F.array_join(kinds, "+")).when(F.size(words) > 0, F.array_join(words, "+")).otherwise("REVIEW")
 
 
 def merge_joined(*texts: Column) -> Column:

@@ -110,23 +110,44 @@ def reroutes(profiles: DataFrame) -> DataFrame:
     return d.select("subject", "key", target.alias("target"), action.alias("action"))
 
 
+CHINESE = r"[\x{3400}-\x{4dbf}\x{4e00}-\x{9fff}]"
+
+
+def canonical_name(known: Column, seen: Column, seen_header: Column) -> Column:
+    """Which name an id goes on with. What is known stays, unless it is none, or the new one is Chinese and it is not, or it is a Chinese name
+    that the header's doesn't fit and the new one is not Chinese."""
+    chinese = lambda c: c.rlike(CHINESE)
+    none = (F.coalesce(known, F.lit("")) == "") | (known == "Unknown")
+    misfit = chinese(known) & ~text.chinese_matches_header(known, F.coalesce(seen_header, F.lit(""))) & ~F.coalesce(chinese(seen), F.lit(False))
+    replaced = none | (chinese(seen) & ~chinese(known)) | misfit
+    return F.when(seen.isNull(), known).when(replaced, seen).otherwise(known)
+
+
 def merge_history(mapped: DataFrame, observed: DataFrame) -> DataFrame:
     """Both (patient_id, name_key, birth_date, sex, birth_year) -> one row per id: history wins, gaps are filled, and
-    ``drift`` tells where a known value was seen to differ."""
+    ``drift`` tells where a known value was seen to differ. If both have canonical_name, header_name and header_key as well, so has the
+    result: names drift only where the header's names differ too, and a better name replaces the known one (``canonical_name``)."""
     m, o = mapped.alias("m"), observed.alias("o")
     d = m.join(o, F.col("m.patient_id") == F.col("o.patient_id"), "full_outer")
     side = lambda c: (F.col(f"m.{c}"), F.col(f"o.{c}"))
     some = lambda c: F.when(c.cast("string") != "", c)
     first = lambda c: F.coalesce(some(side(c)[0]), some(side(c)[1]))
     differ = lambda c: some(side(c)[0]) != some(side(c)[1])
+    whole = all({"canonical_name", "header_name", "header_key"} <= set(x.columns) for x in (mapped, observed))
+    name, more = differ("name_key"), []
+    if whole:
+        same_header = some(side("header_key")[0]) == side("header_key")[1]
+        name = name & ~F.coalesce(same_header, F.lit(False)) & (side("canonical_name")[1] != "Unknown")
+        kept = F.when(side("patient_id")[0].isNull(), side("canonical_name")[1]).otherwise(canonical_name(*side("canonical_name"), side("header_name")[1]))
+        latest = lambda c: F.coalesce(some(side(c)[1]), some(side(c)[0]), F.lit("")).alias(c)
+        more = [kept.alias("canonical_name"), latest("header_name"), latest("header_key")]
     drift = F.array_compact(
-        F.array(
-            F.when(differ("birth_date"), "birth_date"), F.when(differ("sex"), "sex"), F.when(F.abs(side("birth_year")[0] - side("birth_year")[1]) > TOLERANCE, "age"), F.when(differ("name_key"), "name")
-        )
+        F.array(F.when(differ("birth_date"), "birth_date"), F.when(differ("sex"), "sex"), F.when(F.abs(side("birth_year")[0] - side("birth_year")[1]) > TOLERANCE, "age"), F.when(name, "name"))
     )
+    key = text.name_key(kept) if whole else F.coalesce(first("name_key"), F.lit(""))
     return d.select(
-        F.coalesce(*side("patient_id")).alias("patient_id"), F.coalesce(first("name_key"), F.lit("")).alias("name_key"), first("birth_date").alias("birth_date"),
-        F.coalesce(first("sex"), F.lit("")).alias("sex"), F.coalesce(*side("birth_year")).alias("birth_year"), F.array_join(drift, ",").alias("drift"),
+        F.coalesce(*side("patient_id")).alias("patient_id"), key.alias("name_key"), first("birth_date").alias("birth_date"),
+        F.coalesce(first("sex"), F.lit("")).alias("sex"), F.coalesce(*side("birth_year")).alias("birth_year"), F.array_join(drift, ",").alias("drift"), *more,
     )
 
 

@@ -13,7 +13,7 @@ from itertools import chain
 from typing import NamedTuple
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from studyloom.sources.listing import sources
@@ -305,3 +305,26 @@ def headers(scanned: DataFrame) -> tuple[DataFrame, DataFrame]:
         c("SeriesDescription").alias("series_description"), c("SliceThickness").alias("slice_thickness_raw"), c("NumberOfFrames").alias("number_of_frames_raw"), c("size").alias("file_size"),
     )
     return hdr, scanned.where(~ok).select("path", F.when(c("error") != "", c("error")).otherwise("not_a_header").alias("reason"))
+
+
+def scan_counts(scanned: DataFrame, group: str | None = None) -> DataFrame:
+    """What a scan has met, over all or by a column: files, images, files that are none, and those of them that a reader failed on."""
+    hdr, rejected = headers(scanned)
+    d = hdr.select("relative_path", F.lit("image").alias("kind")).union(rejected.select("path", F.when(F.col("reason") == "not_a_header", "other").otherwise("error")))
+    if group:
+        d = d.join(scanned.select(F.col("path").alias("relative_path"), group), "relative_path").groupBy(group)
+    n = lambda k: F.count(F.when(F.col("kind") == k, 1)).alias(f"{k}s")
+    return (d if group else d.groupBy()).agg(F.count(F.lit(1)).alias("files"), n("image"), n("other"), n("error"))
+
+
+def headerless_problems(path: Column, folder: Column, study_uid: Column, series_uid: Column, sop_uid: Column) -> Column:
+    """Why a file without prefix may not be taken for the image that it says it is: its place has to be Study/Series/instance.dcm below the
+    Study's folder, with the identifiers that it holds. Empty where nothing speaks against it."""
+    below = F.regexp_replace(path, F.concat(F.lit("^"), F.regexp_replace(folder, r"([^A-Za-z0-9/])", r"\\$1"), F.lit("/")), "")
+    parts, name = F.split(below, "/"), F.substring_index(below, "/", -1)
+    inside = path.startswith(F.concat(folder, F.lit("/")))
+    why = F.array(
+        F.when(F.substring_index(folder, "/", -1) != study_uid, "study_folder"), F.when(F.get(parts, F.lit(0)) != series_uid, "series_folder"),
+        F.when(~F.lower(name).endswith(".dcm") | (F.regexp_replace(name, r"\.[^.]*$", "") != sop_uid), "file_name"),
+    )
+    return F.when(~inside, F.array(F.lit("outside_study"))).when(F.size(parts) != 2, F.array(F.lit("level"))).otherwise(F.array_compact(why))

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 #: Names and endings of files that are no images. Fixed values.
 SKIPPED_SUFFIXES = ("7z", "csv", "db", "doc", "docx", "ini", "json", "log", "pdf", "rar", "tar", "txt", "xls", "xlsx", "xml", "zip")
+#: Folders of a tool's own output that a scan of transferred files leaves out, and pictures, which are no headers. Fixed values.
+OWN_FOLDERS = (".dicom_v3_state", "_quarantine", "_identity_review", "logs", "outputs")
+PICTURES = ("jpeg", "jpg", "png")
 ARCHIVES = ("7z", "rar", "tar", "zip")
 
 
@@ -25,6 +28,14 @@ def suffix(path: Column) -> Column:
     return F.lower(F.regexp_extract(path, r"\.([A-Za-z0-9]+)$", 1))
 
 
+def transferred(files: DataFrame, root: str) -> DataFrame:
+    """Files of a center's folder that may be headers: none in a hidden folder or in one of OWN_FOLDERS, however deep, and no report or
+    picture. Folders above the root may have any name."""
+    folders = F.slice(F.split(relative(F.col("path"), root), "/"), 1, F.greatest(F.size(F.split(relative(F.col("path"), root), "/")) - 1, F.lit(0)))
+    own = F.exists(folders, lambda x: x.isin(*OWN_FOLDERS) | x.startswith("."))
+    return files.where(~own & ~suffix(F.col("path")).isin("csv", "json", "log", "xls", "xlsx", *PICTURES))
+
+
 def sources(files: DataFrame, exclude: str | None = None) -> DataFrame:
     """Files that may be images: none below ``exclude``, no hidden folder, no DICOMDIR, no other kind of file."""
     name = F.substring_index("path", "/", -1)

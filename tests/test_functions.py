@@ -106,3 +106,14 @@ def test_identity_goes_whatever_its_case(spark):
 
 def test_placeholder_names(spark):
     assert values(spark, text.name_key, ["Anonymized", "ANONYMOUS", "Ann Onym"]) == ["", "", "annonym"]
+
+
+def test_names_of_paths_and_roots(spark):
+    from studyloom.functions import text
+
+    rows = [("a/王明/P7_张三/x", "p7", "李四", "HE^ADER"), ("a/王明/x", "p7", "李四", ""), ("a/b", "p7", "no name", "WANG^LI "), ("a/王明", "", "李四五六七八九十", "")]
+    d = spark.createDataFrame(rows, "path string, id string, root string, header string")
+    got = d.select(text.path_name(d.path, d.id, d.root, d.header).alias("a"), text.owned_name(d.path, d.id, d.root).alias("b"), text.path_name(d.path, d.id).alias("c")).collect()
+    assert [tuple(r) for r in got] == [("张三", "张三", "张三"), ("李四", "", "王明"), ("WANG LI", "", ""), ("李四五六七八九十", "", "王明")]
+    kinds = spark.createDataFrame([("脑灌注 血管",), ("数字减影血管",), ("平扫CTA",), ("x",)], "n string")
+    assert [r[0] for r in kinds.select(text.image_type(kinds.n)).collect()] == ["CTP+CTA", "CTA+DSA", "CTA", "REVIEW"]

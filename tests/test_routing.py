@@ -166,3 +166,16 @@ def test_anonymous_ids_follow_the_order_of_files(spark):
         got = {r.key: r.anonymous_id for r in R.anonymous_ids(spark.createDataFrame(rows + rows[:5], "path string, key string, legacy string"), known).collect()}
         assert got == _ids_one_by_one(rows, existing)
     assert R.anonymous_ids(spark.createDataFrame([], "path string, key string, legacy string")).count() == 0
+
+
+def test_history_takes_a_better_name(spark):
+    schema = "patient_id string, canonical_name string, name_key string, header_name string, header_key string, birth_date string, sex string, birth_year double"
+    row = lambda i, name, header: (i, name, name.lower().replace(" ", ""), header, header.lower().replace(" ", ""), None, "M", None)
+    old = [row("1", "LI WEI", "LI WEI"), row("2", "陈苏", "CHEN SU"), row("3", "陈苏", "CHEN SU"), row("4", "Unknown", ""), row("5", "WANG MING", "WANG MING"), row("6", "ONLY OLD", "ONLY OLD")]
+    new = [row("1", "李伟", "LI WEI"), row("2", "CHEN S", "CHEN S"), row("3", "WU GANG", "WU GANG"), row("4", "ZHAO", "ZHAO"), row("5", "WANG M", "WANG M"), row("7", "NEW", "NEW")]
+    got = {r.patient_id: (r.canonical_name, r.drift) for r in R.merge_history(spark.createDataFrame(old, schema), spark.createDataFrame(new, schema)).collect()}
+    assert got["1"] == ("李伟", "")  # Chinese for Latin, and the header's name is the same
+    assert got["2"] == ("陈苏", "name")  # fits the initials
+    assert got["3"] == ("WU GANG", "name")  # doesn't
+    assert got["4"] == ("ZHAO", "name") and got["5"] == ("WANG MING", "name")
+    assert got["6"] == ("ONLY OLD", "") and got["7"] == ("NEW", "")

@@ -159,3 +159,20 @@ def test_repeated_blocks(spark):
     # a block without rows differs from one with rows only if it is told of at all
     more = long.union(d.sparkSession.createDataFrame([("w", "same", 2, 9, 1, "", "zhao", "")], long.schema))
     assert sorted((r.sheet, r.block) for r in containers.differing_blocks(more, ["中心名称", "姓名"]).collect()) == [("other", 2), ("same", 2)]
+
+
+def test_transferred_files_counts_and_headerless_places(spark, tmp_path):
+    for name in ("outputs/in/1.dcm", "outputs/in/logs/2.dcm", "outputs/in/a/_quarantine/3.dcm", "outputs/in/.x/4.dcm", "outputs/in/5.png", "outputs/in/a/6", "outputs/in/a/7.LOG", "outputs/in/a/8"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(b"not a header, only text" if name.endswith("8") else file())
+    root = str(tmp_path / "outputs" / "in")
+    kept = listing.transferred(listing.listing(spark, root), root)
+    assert sorted(r.path.rsplit("/", 1)[1] for r in kept.collect()) == ["1.dcm", "6", "8"]
+    scanned = imaging_header.read_headers(spark, root).join(kept.select("path"), "path")
+    assert tuple(imaging_header.scan_counts(scanned).first()) == (3, 2, 0, 1)
+    by = scanned.withColumn("folder", F.element_at(F.split("path", "/"), -2))
+    assert {r.folder: (r.files, r.images) for r in imaging_header.scan_counts(by, "folder").collect()} == {"in": (1, 1), "a": (2, 1)}
+    rows = [("/s/1.2/1.3/1.4.dcm", "1.2", "1.3", "1.4"), ("/s/1.2/1.3/1.4.DCM", "1.2", "1.3", "1.4"), ("/s/1.2/1.9/1.5.bin", "1.8", "1.3", "1.4"), ("/s/1.2/1.4.dcm", "1.2", "1.3", "1.4"), ("/t/1.4.dcm", "1.2", "1.3", "1.4")]
+    d = spark.createDataFrame(rows, "path string, study string, series string, sop string")
+    why = d.select(imaging_header.headerless_problems(d.path, F.lit("/s/1.2"), d.study, d.series, d.sop).alias("w")).collect()
+    assert [r.w for r in why] == [[], [], ["study_folder", "series_folder", "file_name"], ["level"], ["outside_study"]]
