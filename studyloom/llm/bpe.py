@@ -122,6 +122,19 @@ def decode(ids: Column, ranks_path: str, pattern: str) -> Column:
     return whole(ids)
 
 
+def round_trip(text: Column, ranks_path: str, pattern: str) -> Column:
+    """struct<ids, decoded>: a text's ids and the bytes that they stand for, by one worker. Nulls as in ``encode``."""
+
+    @F.pandas_udf("struct<ids:array<int>,decoded:binary>")
+    def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        c = coder(ranks_path, pattern)
+        for texts in batches:
+            ids = [c.encode(t).astype(np.int32) for t in texts]
+            yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "decoded": pd.Series([c.decode(x) for x in ids], dtype=object)})
+
+    return both(F.coalesce(text, F.lit("")))
+
+
 def production() -> tuple[str, str]:
     import public_tokenizers
 

@@ -204,6 +204,17 @@ def masked(text: Column, found: Column) -> Column:
     return mask(text, found)
 
 
+def masked_text(text: Column) -> Column:
+    """The text with every span that ``find`` tells replaced by its kind, by one worker; a null text stays null."""
+
+    @F.pandas_udf("string")
+    def mask(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series([t if t is None else _mask(t, [dict(zip(("kind", "start", "end", "base"), s, strict=True)) for s in find(t)]) for t in texts], dtype=object)
+
+    return mask(text)
+
+
 def _mask(text: str | None, found) -> str | None:
     if text is None or len(found) == 0:
         return text
