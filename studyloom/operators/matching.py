@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from studyloom.functions import dates, text
+from studyloom.functions import dates, domain, text
 from studyloom.operators.headers import common
 
 NA = "NA"
@@ -196,27 +196,43 @@ def unmatched(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     return left.join(right.select(*keys).distinct(), keys, "left_anti")
 
 
-def bind_manually(manual: DataFrame, registry: DataFrame, enrolled: DataFrame, sequence: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Confirmed bindings of Studies whose patients lack an id: manual(row, screening, name, study_uid, confirmed,
-    basis), registry(screening_key, name_key), enrolled(name_key) without id, sequence(study_uid, name_key, id).
+#: Answers that leave a row of a confirmation table aside. Fixed values.
+NO = ("否", "n", "no", "false", "0")
 
-    -> (row, screening, study_uid) and exceptions (row, reason). Each side must have exactly one partner, names must
-    agree, and a Study or a screening number that several rows bind differently vetoes all of them."""
-    m = manual.withColumn("name_key", text.bare_name(F.col("name")))
+
+def bind_manually(
+    manual: DataFrame, registry: DataFrame, enrolled: DataFrame, sequence: DataFrame, center_code: str | None = None, regular: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Confirmed bindings of Studies whose patients lack an id: manual(row, screening, name, study_uid, confirmation, basis),
+    registry(screening_key, name_key) of the center, enrolled(name_key) of rows without id, sequence(study_uid, name_key, id),
+    regular(screening, study_uid) of what ids have bound.
+
+    -> bound (row, screening, name_key, study_uid, basis), the first row of each screening number and Study, and exceptions
+    (row, reason). Rows that say no or nothing are neither. A row must be complete, of this center, have exactly one partner on each side whose
+    names agree, and touch nothing that ids have bound; a Study with several screening numbers, a number with several names and an enrolled
+    patient with several numbers veto all their rows."""
+    said = F.lower(F.trim(F.coalesce("confirmation", F.lit(""))))
+    m = manual.where((said != "") & ~said.isin(*NO)).withColumns({"name_key": text.bare_name(F.col("name")), "screening": text.screening_number(F.col("screening")), "yes": text.is_yes(F.col("confirmation"))})
     reg = registry.where("screening_key <> ''").groupBy(F.col("screening_key").alias("screening")).agg(F.count(F.lit(1)).alias("n_reg"), F.min("name_key").alias("reg_name"))
-    enr = enrolled.groupBy("name_key").agg(F.count(F.lit(1)).alias("n_enr"))
-    seq = sequence.groupBy("study_uid").agg(F.count_distinct("name_key").alias("n_seq"), F.min("name_key").alias("seq_name"), F.max(F.col("id") != "").alias("has_id"))
-    d = m.join(reg, "screening", "left").join(enr, "name_key", "left").join(seq, "study_uid", "left")
+    enr = enrolled.where("name_key <> ''").groupBy("name_key").agg(F.count(F.lit(1)).alias("n_enr"))
+    names, ids = F.when(F.col("name_key") != "", F.col("name_key")), F.when(F.col("id") != "", F.col("id"))
+    seq = sequence.where("study_uid <> ''").groupBy("study_uid").agg(F.count_distinct(names).alias("n_seq"), F.min(names).alias("seq_name"), F.count_distinct(ids).alias("n_ids"), F.lit(True).alias("in_seq"))
+    regular = regular if regular is not None else manual.sparkSession.createDataFrame([], "screening string, study_uid string")
+    taken = lambda c: regular.select(c).distinct().withColumn(f"taken_{c}", F.lit(True))
+    d = m.join(reg, "screening", "left").join(enr, "name_key", "left").join(seq, "study_uid", "left").join(taken("screening"), "screening", "left").join(taken("study_uid"), "study_uid", "left")
+    other = ~domain.screening_in_center(F.col("screening"), F.lit(center_code)) if center_code else F.lit(False)
+    lacks = (F.col("screening") == "") | (F.col("name_key") == "") | (F.coalesce("study_uid", F.lit("")) == "") | (F.trim(F.coalesce("basis", F.lit(""))) == "")
     alone = (
-        F.when(~F.col("confirmed"), "not_confirmed").when(F.col("basis") == "", "missing_basis").when(F.col("n_reg").isNull(), "screening_not_found").when(F.col("n_reg") > 1, "screening_not_unique")
-        .when(F.col("reg_name") != F.col("name_key"), "registry_name_mismatch").when(F.col("n_enr").isNull(), "enrolled_not_found").when(F.col("n_enr") > 1, "enrolled_not_unique")
-        .when(F.col("n_seq").isNull(), "study_not_found").when((F.col("n_seq") > 1) | (F.col("seq_name") != F.col("name_key")), "study_name_mismatch").when(F.col("has_id"), "study_has_id")
+        F.when(~F.col("yes"), "invalid_confirmation").when(lacks, "incomplete").when(other, "other_center").when(F.col("n_reg").isNull(), "screening_not_found").when(F.col("n_reg") > 1, "screening_not_unique")
+        .when((F.col("reg_name") != "") & (F.col("reg_name") != F.col("name_key")), "registry_name_mismatch").when(F.col("n_enr").isNull(), "enrolled_not_found").when(F.col("n_enr") > 1, "enrolled_not_unique")
+        .when(F.col("in_seq").isNull(), "study_not_found").when((F.col("n_seq") > 1) | (F.col("seq_name") != F.col("name_key")), "study_name_mismatch").when(F.col("n_ids") > 1, "study_id_conflict")
+        .when(F.col("taken_screening"), "screening_taken").when(F.col("taken_study_uid"), "study_taken")
     )
-    d = d.withColumn("reason", alone)
+    d = d.select("row", "screening", "name_key", "study_uid", "basis", alone.alias("reason"))
     able = d.where("reason IS NULL")
-    studies = able.groupBy("study_uid").agg(F.count_distinct("screening").alias("_screenings"))
-    people = able.groupBy("name_key").agg(F.count_distinct("screening").alias("_bound"))
-    d = d.join(studies, "study_uid", "left").join(people, "name_key", "left")
-    reason = F.coalesce("reason", F.when((F.col("_screenings") > 1) | (F.col("_bound") > 1), "conflicting_bindings"))
-    d = d.select("row", "screening", "study_uid", reason.alias("reason"))
-    return d.where("reason IS NULL").drop("reason"), d.where("reason IS NOT NULL").select("row", "reason")
+    several = lambda by, what, name: able.groupBy(by).agg(F.count_distinct(what).alias(name))
+    d = d.join(several("study_uid", "screening", "_study"), "study_uid", "left").join(several("screening", "name_key", "_number"), "screening", "left").join(several("name_key", "screening", "_person"), "name_key", "left")
+    torn = (F.col("_study") > 1) | (F.col("_number") > 1) | (F.col("_person") > 1)
+    d = d.select("row", "screening", "name_key", "study_uid", "basis", F.coalesce("reason", F.when(torn, "conflicting_bindings")).alias("reason"))
+    bound = d.where("reason IS NULL").groupBy("screening", "study_uid").agg(F.min(F.struct("row", "name_key", "basis")).alias("b"))
+    return bound.select("b.row", "screening", "b.name_key", "study_uid", "b.basis"), d.where("reason IS NOT NULL").select("row", "reason")

@@ -199,31 +199,50 @@ def j12_unmatched_subjects(spark, sf):
 J12 = """SELECT min(source_order) AS source_order, lower(replace(patient_name, ' ', '')) AS name_key FROM registry r
 WHERE NOT EXISTS (SELECT 1 FROM nh WHERE frames > 1 AND payload = 'pix0' AND lower(replace(nh.patient_name, ' ', '')) = lower(replace(r.patient_name, ' ', ''))) GROUP BY center_name, patient_name, hospital_number, surgery_date, screening_number"""
 
-def j06_manual_exceptions(spark, sf):
+def _manual(spark, sf):
     r = _registry(spark, sf)[0]
-    nh = H.normalised(hdr(spark, sf))
-    k = F.col("source_order")
-    raw = registry(spark, sf)
+    k, raw = F.col("source_order"), registry(spark, sf)
+    first = table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("source_order")).agg(F.concat(F.lit("1.2.826."), F.min("o_orderkey").cast("string")).alias("study_uid"))
+    raw = raw.join(first, "source_order", "left")
+    said = F.when(k % 22 == 0, "No").when(k % 34 == 0, "maybe").when(k % 38 == 0, "").otherwise("是")
     manual = raw.where(k % 2 == 0).select(
-        k.alias("row"), F.when(k % 10 == 0, "99-H999").otherwise(F.col("screening_number")).alias("screening"), F.when(k % 14 == 0, "OTHER").otherwise(F.col("patient_name")).alias("name"),
-        F.concat(F.lit("1.2.826."), (k * 3).cast("string")).alias("study_uid"), (k % 22 != 0).alias("confirmed"), F.when(k % 26 == 0, "").otherwise("seen").alias("basis"),
+        k.alias("row"), F.when(k % 50 == 0, "99-H999").otherwise(F.col("screening_number")).alias("screening"), F.when(k % 28 == 0, "OTHER").otherwise(F.col("patient_name")).alias("name"),
+        F.when(k % 46 == 0, "1.2.3").otherwise(F.col("study_uid")).alias("study_uid"), said.alias("confirmation"), F.when(k % 26 == 0, "").otherwise("seen").alias("basis"),
     )
-    enrolled = raw.where(k % 3 == 0).select(text.bare_name(F.col("patient_name")).alias("name_key"))
-    sequence = nh.select("study_uid", text.bare_name(F.col("patient_name")).alias("name_key"), F.col("patient_id").alias("id"))
-    return M.bind_manually(manual, r, enrolled, sequence)[1]
+    again = manual.where(F.col("row") % 12 == 4).withColumn("row", F.col("row") + 100000)
+    enrolled = raw.where((k % 3 == 0) & (k % 15 != 0)).select(text.bare_name(F.col("patient_name")).alias("name_key"))
+    enrolled = enrolled.union(enrolled.where("name_key LIKE '%7'"))
+    nh = H.normalised(hdr(spark, sf))
+    sequence = nh.select("study_uid", text.bare_name(F.col("patient_name")).alias("name_key"), F.when(F.col("file_size") % 400 == 0, "other").otherwise(F.col("patient_id")).alias("id"))
+    regular = raw.where(k % 20 == 16).select(F.when(k % 40 == 16, F.col("screening_number")).otherwise("-").alias("screening"), F.coalesce("study_uid", F.lit("-")).alias("study_uid"))
+    return M.bind_manually(manual.union(again), r, enrolled, sequence, None, regular)
+
+
+def j06_manual_exceptions(spark, sf):
+    return _manual(spark, sf)[1]
+
+
+def j06_manual_bindings(spark, sf):
+    return _manual(spark, sf)[0]
 
 
-J06 = """WITH m AS (SELECT source_order AS row, CASE WHEN source_order % 10 = 0 THEN '99-H999' ELSE screening_number END AS screening, CASE WHEN source_order % 14 = 0 THEN 'other' ELSE lower(replace(patient_name, ' ', '')) END AS nk,
- '1.2.826.' || source_order * 3 AS study_uid, source_order % 22 <> 0 AS confirmed, source_order % 26 <> 0 AS based FROM registry WHERE source_order % 2 = 0),
+MANUAL = """f0 AS (SELECT r.*, lower(replace(patient_name, ' ', '')) AS pk, s.study_uid FROM registry r LEFT JOIN (SELECT o_custkey, '1.2.826.' || min(o_orderkey) AS study_uid FROM orders GROUP BY 1) s ON o_custkey = source_order),
+m0 AS (SELECT source_order AS row, CASE WHEN source_order % 50 = 0 THEN '99-H999' ELSE screening_number END AS screening, CASE WHEN source_order % 28 = 0 THEN 'other' ELSE pk END AS nk,
+ CASE WHEN source_order % 46 = 0 THEN '1.2.3' ELSE study_uid END AS study_uid, source_order % 34 <> 0 AS yes, source_order % 26 <> 0 AS based FROM f0 WHERE source_order % 2 = 0 AND source_order % 22 <> 0 AND (source_order % 38 <> 0 OR source_order % 34 = 0)),
+m AS (SELECT * FROM m0 UNION ALL SELECT * REPLACE (row + 100000 AS row) FROM m0 WHERE row % 12 = 4),
 o AS (SELECT DISTINCT center_name, patient_name, hospital_number, surgery_date, screening_number FROM registry),
 g AS (SELECT screening_number AS screening, count(*) AS n, min(lower(replace(patient_name, ' ', ''))) AS nk FROM o GROUP BY 1),
-e AS (SELECT lower(replace(patient_name, ' ', '')) AS nk, count(*) AS n FROM registry WHERE source_order % 3 = 0 GROUP BY 1),
-q AS (SELECT study_uid, count(DISTINCT lower(replace(patient_name, ' ', ''))) AS n, min(lower(replace(patient_name, ' ', ''))) AS nk, bool_or(patient_id <> '') AS has_id FROM nh GROUP BY 1),
-a AS (SELECT m.*, CASE WHEN NOT confirmed THEN 'not_confirmed' WHEN NOT based THEN 'missing_basis' WHEN g.n IS NULL THEN 'screening_not_found' WHEN g.n > 1 THEN 'screening_not_unique' WHEN g.nk <> m.nk THEN 'registry_name_mismatch'
- WHEN e.n IS NULL THEN 'enrolled_not_found' WHEN e.n > 1 THEN 'enrolled_not_unique' WHEN q.n IS NULL THEN 'study_not_found' WHEN q.n > 1 OR q.nk <> m.nk THEN 'study_name_mismatch' WHEN q.has_id THEN 'study_has_id' END AS reason
- FROM m LEFT JOIN g USING (screening) LEFT JOIN e ON e.nk = m.nk LEFT JOIN q ON q.study_uid = m.study_uid)
-SELECT row, coalesce(reason, 'conflicting_bindings') AS reason FROM (SELECT *, count(DISTINCT CASE WHEN reason IS NULL THEN screening END) OVER (PARTITION BY study_uid) AS a, count(DISTINCT CASE WHEN reason IS NULL THEN screening END) OVER (PARTITION BY nk) AS b FROM a)
-WHERE reason IS NOT NULL OR a > 1 OR b > 1"""
+e0 AS (SELECT pk AS nk FROM f0 WHERE source_order % 3 = 0 AND source_order % 15 <> 0), e AS (SELECT nk, count(*) AS n FROM (SELECT nk FROM e0 UNION ALL SELECT nk FROM e0 WHERE nk LIKE '%7') GROUP BY 1),
+q AS (SELECT study_uid, count(DISTINCT lower(replace(patient_name, ' ', ''))) AS n, min(lower(replace(patient_name, ' ', ''))) AS nk, count(DISTINCT CASE WHEN file_size % 400 = 0 THEN 'other' ELSE nullif(patient_id, '') END) AS ids FROM nh GROUP BY 1),
+t AS (SELECT CASE WHEN source_order % 40 = 16 THEN screening_number ELSE '-' END AS ts, coalesce(study_uid, '-') AS tu FROM f0 WHERE source_order % 20 = 16),
+a AS (SELECT m.*, CASE WHEN NOT yes THEN 'invalid_confirmation' WHEN NOT based OR m.study_uid IS NULL THEN 'incomplete' WHEN g.n IS NULL THEN 'screening_not_found' WHEN g.n > 1 THEN 'screening_not_unique' WHEN g.nk <> m.nk THEN 'registry_name_mismatch'
+ WHEN e.n IS NULL THEN 'enrolled_not_found' WHEN e.n > 1 THEN 'enrolled_not_unique' WHEN q.n IS NULL THEN 'study_not_found' WHEN q.n > 1 OR q.nk <> m.nk THEN 'study_name_mismatch' WHEN ids > 1 THEN 'study_id_conflict'
+ WHEN m.screening IN (SELECT ts FROM t) THEN 'screening_taken' WHEN m.study_uid IN (SELECT tu FROM t) THEN 'study_taken' END AS reason
+ FROM m LEFT JOIN g USING (screening) LEFT JOIN e ON e.nk = m.nk LEFT JOIN q ON q.study_uid = m.study_uid),
+v AS (SELECT row, screening, nk, study_uid, coalesce(reason, CASE WHEN count(DISTINCT CASE WHEN reason IS NULL THEN screening END) OVER (PARTITION BY study_uid) > 1 OR count(DISTINCT CASE WHEN reason IS NULL THEN nk END) OVER (PARTITION BY screening) > 1
+ OR count(DISTINCT CASE WHEN reason IS NULL THEN screening END) OVER (PARTITION BY nk) > 1 THEN 'conflicting_bindings' END) AS reason FROM a)"""
+J06 = f"WITH {MANUAL} SELECT row, reason FROM v WHERE reason IS NOT NULL"
+J06B = f"WITH {MANUAL} SELECT min(row) AS row, screening, min(nk) AS name_key, study_uid, 'seen' AS basis FROM v WHERE reason IS NULL GROUP BY screening, study_uid"
 
 
 def f08_suffix_conflicts(spark, sf):
@@ -252,14 +271,14 @@ CASE WHEN k % 5 = 0 OR k % 7 = 0 THEN '' ELSE concat_ws(',', CASE WHEN k % 11 =
 
 QUERIES = {
     "s15_repeated_blocks": s15_repeated_blocks,
-    "j06_manual_exceptions": j06_manual_exceptions, "f08_suffix_conflicts": f08_suffix_conflicts, "v03_verified_candidates": v03_verified_candidates,
+    "j06_manual_exceptions": j06_manual_exceptions, "j06_manual_bindings": j06_manual_bindings, "f08_suffix_conflicts": f08_suffix_conflicts, "v03_verified_candidates": v03_verified_candidates,
     "a10_center_report": a10_center_report, "a10_report_exceptions": a10_report_exceptions, "s15_registry_exceptions": s15_registry_exceptions, "w01_fill_down": w01_fill_down,
     "j03_center_resolution": j03_center_resolution, "j04_enrolled_studies": j04_enrolled_studies, "j04_enrolled_exceptions": j04_enrolled_exceptions, "j05_exactly_one": j05_exactly_one,
     "j12_unmatched_subjects": j12_unmatched_subjects,
 }
 ORACLE_SQL = {
     "s15_repeated_blocks": oracle(S15B, "registry"),
-    "j06_manual_exceptions": oracle(J06, "nh", "registry"), "f08_suffix_conflicts": oracle(F08, "nh"), "v03_verified_candidates": oracle(V03, "hdr"),
+    "j06_manual_exceptions": oracle(J06, "nh", "registry"), "j06_manual_bindings": oracle(J06B, "nh", "registry"), "f08_suffix_conflicts": oracle(F08, "nh"), "v03_verified_candidates": oracle(V03, "hdr"),
     "a10_center_report": oracle(A10, "nh", "registry"), "a10_report_exceptions": oracle(A10X, "nh", "registry"), "s15_registry_exceptions": oracle(S15, "registry"), "w01_fill_down": oracle(W01, "registry"),
     "j03_center_resolution": oracle(J03, "registry"), "j04_enrolled_studies": oracle(J04, "nh"), "j04_enrolled_exceptions": oracle(J04X, "nh"), "j05_exactly_one": oracle(J05, "registry"),
     "j12_unmatched_subjects": oracle(J12, "nh", "registry"),
