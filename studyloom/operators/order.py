@@ -18,6 +18,21 @@ def numbered(rows: DataFrame, order: str) -> DataFrame:
     return ranged.withColumn("_at", place).join(starts, "_part").withColumn("number", F.col("_at") + F.col("_start")).drop("_part", "_at", "_start")
 
 
+def previous(rows: DataFrame, group: str, order: list[str], value: str, name: str) -> DataFrame:
+    """rows, without equal ones, with the value of the row before it in its group, in this order; null for a group's first row.
+
+    Rows are ranged by group and order, so that a group of any size spreads over ranges; a range's first row looks at the last rows
+    of the ranges before it, of which there is one each."""
+    by = [group, *order]
+    ranged = staged(rows.repartitionByRange(*by).withColumn("_part", F.spark_partition_id()), "previous")
+    inside = W.partitionBy("_part").orderBy(*by)
+    ends = ranged.groupBy("_part").agg(F.max_by(F.struct(group, value), F.struct(*by)).alias("_end"))
+    ends = ends.select("_part", F.lag("_end").over(W.orderBy("_part")).alias("_end"))
+    here = F.lag(F.struct(group, value)).over(inside)
+    d = ranged.withColumn("_before", here).join(ends, "_part", "left").withColumn("_before", F.coalesce("_before", "_end"))
+    return d.withColumn(name, F.when(F.col(f"_before.{group}") == F.col(group), F.col(f"_before.{value}"))).drop("_part", "_before", "_end")
+
+
 def highest(codes: DataFrame | None, column: str, letters: str) -> int:
     """The greatest number of codes made of these letters, in either case, and digits; 0 without any."""
     if codes is None:

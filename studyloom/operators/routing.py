@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from studyloom.functions import text
 from studyloom.operators.components import connected_components
 from studyloom.operators.identity import TOLERANCE, blocked
-from studyloom.operators.order import code, highest, numbered
+from studyloom.operators.order import code, highest, numbered, previous
 from studyloom.storage import staged
 
 #: Sets of a profile that demographic comparison looks at, and what evidence calls them.
@@ -276,10 +276,9 @@ def anonymous_ids(files: DataFrame, existing: DataFrame | None = None) -> DataFr
     keeps its id; a new one takes the id that its first file's legacy key has by then, from the file before it with that
     legacy key or from existing; else it opens a new one, after the highest.
 
-    So each key follows at most one other, and ids are those of the roots of these trees. Rows of one legacy key are sorted
-    in one task, which spills; only paths and keys are in them. Repeated rows count once; of one path, the lesser key is first."""
-    before = F.lag("key").over(W.partitionBy("legacy").orderBy("path", "key"))
-    first = files.select("path", "key", "legacy").distinct().withColumn("parent", before)
+    So each key follows at most one other, and ids are those of the roots of these trees. Rows of one legacy key, a shared id such as 0 for
+    instance, spread over ranges of paths. Repeated rows count once; of one path, the lesser key is first."""
+    first = previous(files.select("path", "key", "legacy").distinct(), "legacy", ["path", "key"], "key", "parent")
     first = first.groupBy("key").agg(F.min(F.struct("path", "legacy", "parent")).alias("f")).select("key", "f.*")
     known = files.sparkSession.createDataFrame([], "key string, anonymous_id string") if existing is None else existing.select("key", "anonymous_id")
     own = known.withColumnRenamed("anonymous_id", "own")

@@ -1,12 +1,11 @@
-"""Versioned state: upserts of the Study inventory and snapshots that readers never see half-written."""
+"""Versioned state: upserts of the Study inventory."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from studyloom.functions import text
-from studyloom.storage import new_path
 
 
 def _pick(prev: Column, cur: Column, merged: Column, replace: Column) -> Column:
@@ -36,14 +35,3 @@ def upsert_studies(previous: DataFrame, current: DataFrame) -> DataFrame:
         F.coalesce("c.rule_version", "p.rule_version").alias("rule_version"),
         F.when(F.col("p.study_uid").isNull(), "added").when(F.col("c.study_uid").isNull(), "kept").otherwise("merged").alias("action"),
     )
-
-
-def write_snapshot(df: DataFrame, name: str) -> str:
-    """A new snapshot of a state table under the shared folder; its path is what a pointer may switch to."""
-    path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return path
-
-
-def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)

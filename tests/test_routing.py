@@ -179,3 +179,22 @@ def test_history_takes_a_better_name(spark):
     assert got["3"] == ("WU GANG", "name")  # doesn't
     assert got["4"] == ("ZHAO", "name") and got["5"] == ("WANG MING", "name")
     assert got["6"] == ("ONLY OLD", "") and got["7"] == ("NEW", "")
+
+
+def test_the_row_before_in_a_group_of_many_ranges(spark):
+    import random
+
+    from studyloom.operators.order import previous
+
+    rnd = random.Random(2)
+    rows = [(rnd.choice(("hot", "hot", "hot", "a", "b", "z")), i, f"v{i}") for i in rnd.sample(range(1000), 300)]
+    d = spark.createDataFrame(rows, "g string, o int, v string").repartition(7)
+    spark.conf.set("spark.sql.shuffle.partitions", 9)
+    try:
+        got = {(r.g, r.o): r.before for r in previous(d, "g", ["o"], "v", "before").collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 4)
+    want, last = {}, {}
+    for g, o, v in sorted(rows):
+        want[g, o], last[g] = last.get(g), v
+    assert got == want
