@@ -13,6 +13,7 @@ need over their parts are a second, small aggregation. Which words are dealt so
 from __future__ import annotations
 
 import uuid
+from collections import OrderedDict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -501,18 +502,29 @@ def _left(stats: np.ndarray, d: tuple[float, float, float]) -> np.ndarray:
     return np.where(stats[:, 0] > 0, stats[:, 1:] @ np.array(d) / np.maximum(stats[:, 0], 1), 1.0)
 
 
+#: Files that a worker maps at a time, of however many parts the model has.
+MAX_OPEN = 128
+
+
 class Scorer:
+    """Looks texts up in the parts' tables. A part's file is mapped when a batch asks for it; the least recently used one goes where
+    MAX_OPEN are mapped already, so that descriptors and mappings do not grow with the model."""
+
     def __init__(self, model: Model):
         self.model = model
-        self.parts = {k: self._tables(*x) for k, x in model.parts.items()}
-        self.pair_files = {k: self._tables(*x)[0] for k, x in model.pair_files.items()}
-
-    @staticmethod
-    def _tables(path: str, sizes: list[int]) -> list[Table]:
+        self.mapped: OrderedDict[str, list[Table]] = OrderedDict()
+
+    def _tables(self, path: str, sizes: list[int]) -> list[Table]:
+        if path in self.mapped:
+            self.mapped.move_to_end(path)
+            return self.mapped[path]
+        while len(self.mapped) >= MAX_OPEN:
+            self.mapped.popitem(last=False)
         data, at, out = arrays.mapped(path), 0, []
         for i in range(0, len(sizes), 4):
             t, at = Table.from_bytes(data, at, *sizes[i : i + 4])
             out.append(t)
+        self.mapped[path] = out
         return out
 
     def _find(self, which: int, parts: np.ndarray, keys: np.ndarray, columns: int) -> np.ndarray:
@@ -522,8 +534,8 @@ class Scorer:
         first = _runs(parts[order])
         for a, b in zip(first, np.r_[first, len(order)][1:], strict=True):
             at = order[a:b]
-            if tables := self.parts.get(int(parts[at[0]])):
-                hit, rows = tables[which].find(keys[at])
+            if part := self.model.parts.get(int(parts[at[0]])):
+                hit, rows = self._tables(*part)[which].find(keys[at])
                 out[at[hit]] = rows
         return out
 
@@ -553,10 +565,11 @@ class Scorer:
         cold = np.flatnonzero(~hot)
         a[cold] = self._find(3, self._home(names[pv[cold]]), keys[cold], 1)
         files = names[pw].view(np.int64) % m.n_files
-        for k, t in self.pair_files.items():
+        for k, file in m.pair_files.items():
             at = np.flatnonzero(hot & (files == k))
-            hit, rows = t.find(keys[at])
-            a[at[hit]] = rows
+            if len(at):
+                hit, rows = self._tables(*file)[0].find(keys[at])
+                a[at[hit]] = rows
         total = follow[pv, 0]
         p2 = _discounted(a[:, 0], d2) / np.maximum(total, 1) + _left(follow, d2)[pv] * p1[pw]
         # what follows a pair (pv, pw), which is the context of the token after it

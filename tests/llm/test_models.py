@@ -282,3 +282,22 @@ def test_lm_empty(spark, documents):
     assert lm.op9_lm(spark, documents([])).collect() == []
     got = lm.op9_lm(spark, documents([(12, "held out only", "en", "a", 0)])).collect()
     assert len(got) == 1 and got[0].score <= 0
+
+
+def test_few_files_are_mapped_of_a_model_of_many_parts(spark, documents, monkeypatch):
+    monkeypatch.setattr(lm, "PART_TOKENS", 2)
+    monkeypatch.setattr(lm, "STRIDE", lm.WINDOW)
+    rnd = lm.np.random.default_rng(4)
+    texts = [" ".join(f"w{k}" for k in rnd.zipf(1.4, 60) % 3000) for _ in range(300)]
+    docs = spark.read.parquet(f"{documents([(i, t, 'en', 'a', 0) for i, t in enumerate(texts)])}/documents.parquet").select("text")
+    model = lm.learn(docs)
+    assert len(model.parts) > 1500
+    want = lm.Scorer(model)
+    monkeypatch.setattr(lm, "MAX_OPEN", 1 << 20)
+    want = want.score(texts[:40])
+    monkeypatch.setattr(lm, "MAX_OPEN", 16)
+    few = lm.Scorer(model)
+    held = lambda: sum("lm-arrays" in line for line in open("/proc/self/maps"))  # noqa: E731, SIM115
+    got = few.score(texts[:40])
+    assert len(few.mapped) == 16 and held() <= 40
+    assert got.equals(want)
