@@ -148,3 +148,17 @@ def test_parities_rule_out_no_sets_alike():
             bits = int(np.bitwise_count((overlap.parities(x) ^ overlap.parities(y)).view(np.uint64)).sum())
             assert bits <= len(np.setxor1d(x, y))
             assert not overlap.alike(x, y) or bits * 9 <= len(x) + len(y)
+
+
+def test_folded_parities_count_modulo_fewer_bins(spark):
+    from pyspark.sql import functions as F
+
+    from studyloom.llm import overlap
+
+    rnd = np.random.default_rng(9)
+    hashes = rnd.integers(0, 1 << 64, 300, dtype=np.uint64)
+    d = spark.createDataFrame([(overlap.parities(hashes).tolist(),)], "p array<long>")
+    got = np.array(d.select(*overlap._folded(F.col("p"))).first(), dtype=np.int64)
+    bins = overlap.PARITIES // overlap.FOLDED
+    want = np.packbits((np.bincount((hashes % np.uint64(bins)).astype(np.int64), minlength=bins) & 1).astype(np.uint8)).view(np.int64)
+    assert got.tolist() == want.tolist()
