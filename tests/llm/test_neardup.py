@@ -162,3 +162,25 @@ def test_folded_parities_count_modulo_fewer_bins(spark):
     bins = overlap.PARITIES // overlap.FOLDED
     want = np.packbits((np.bincount((hashes % np.uint64(bins)).astype(np.int64), minlength=bins) & 1).astype(np.uint8)).view(np.int64)
     assert got.tolist() == want.tolist()
+
+
+def test_rows_meet_once_by_shingle_and_large_components_not_at_all(spark, monkeypatch):
+    import itertools
+
+    from pyspark.sql import functions as F
+
+    from studyloom.llm import overlap
+
+    monkeypatch.setattr(overlap, "PART_MEETINGS", 50)
+    draw = random.Random(5)
+    rows = sorted({(draw.randrange(6), n, draw.choice([1, 1, 1, 2, n])) for n in range(100, 160) for _ in range(3)})
+    rows = list({(h, n): (h, n, label) for h, n, label in rows}.values())  # a node has one label to a shingle
+    rows += [(9, n, 1) for n in range(1000, 1400)] + [(9, 2000, 7), (9, 2001, 8)] + [(10, n, 3) for n in range(1000, 1300)]
+    rare = spark.createDataFrame(rows, "h long, node long, label long").cache()
+    got = sorted((r.h, *sorted((r.a, r.b))) for r in overlap._met(rare).select(F.col("l.h").alias("h"), F.col("l.node").alias("a"), F.col("r.node").alias("b")).collect())
+    want = sorted((x[0], *sorted((x[1], y[1]))) for x, y in itertools.combinations(rows, 2) if x[0] == y[0] and x[2] != y[2])
+    assert got == want
+    # what is looked at, before any condition: the two others meet the 402 rows, and the component of 300 meets nobody
+    one, all_ = (d.groupBy("h", "part").count() for d in overlap._sides(rare))
+    looked = {r.h: r.n for r in one.alias("l").join(all_.alias("r"), ["h", "part"]).groupBy("h").agg(F.sum(F.col("l.count") * F.col("r.count")).alias("n")).collect()}
+    assert looked[9] == 2 * 402 and 10 not in looked
