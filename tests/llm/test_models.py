@@ -6,6 +6,7 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from studyloom.llm import langid, lm, toxicity
@@ -162,6 +163,31 @@ def test_langid_equals_plain_models(spark, monkeypatch, file_rows):
     assert all(abs(a - b).max() < 1e-4 for a, b in zip(got, want, strict=True))
 
 
+def test_langid_calibrates_on_all_rows(spark, documents):
+    """Sharpness and limits are those of every row learned from, beyond any bound on their number."""
+    rnd = random.Random(3)
+    rows = [(i, " ".join(rnd.choice(WORDS["en" if i % 2 else "de"]) for _ in range(3)), "en" if i % 2 else "de") for i in range(2200)]
+    # the last ids are junk in one language: rare words that no small sample holds
+    rows += [(None, "".join(rnd.choice("qxzvjkw") for _ in range(12)), "de") for i in range(30)] + [(5000, "123", "en"), (5001, None, "de"), (5002, "der und", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    models = langid.learn(docs.repartition(7))
+    known = [(t, g) for _, t, g in rows if t and g and t != "123"]
+    found = langid.Scorer(models).entropies([t for t, _ in known])
+    own = [[e[k] for e, (_, g) in zip(found, known, strict=True) if g == lang] for k, lang in enumerate(models.langs)]
+    assert np.allclose(models.limits, [np.quantile(x, langid.KEPT) * 1.1 for x in own], rtol=1e-9)
+    gaps = np.array([e - e[models.langs.index(g)] for e, (_, g) in zip(found, known, strict=True)])
+    assert models.sharpness == min(langid.SHARP, key=lambda s: np.log(np.exp(np.minimum(-gaps * s, 50)).sum(axis=1)).sum())
+    # the query takes the same rows, but those held out
+    folder = documents([(i, t, g, "a", 0) for i, t, g in rows])
+    learned = [r for r in rows if zlib.crc32(("" if r[0] is None else str(r[0])).encode()) % 4 != 2]
+    models = langid.learn(spark.createDataFrame(learned, "doc_id long, text string, lang string"))
+    want = {r.text: r.p for r in docs.select("text", langid.identify(docs.text, models).alias("p")).collect()}
+    texts = {i: t for i, t, _ in rows}
+    got = langid.op7_langid(spark, folder).collect()
+    assert len(got) == len(rows)
+    assert all((r.lang_pred, r.rejected) == want[texts[r.doc_id]][::2] and abs(r.score - want[texts[r.doc_id]].score) < 1e-9 for r in got if r.doc_id is not None)
+
+
 def test_langid_repeated_rows_and_clashing_columns(spark, documents):
     rows = corpus(60)
     schema = "doc_id long, text string, lang string, source string, n_chars long, lang_pred string, score string, held_out int, p int, word string"
