@@ -51,7 +51,11 @@ def shingle_hashes(text: str, width: int) -> np.ndarray:
 
 def fingerprint(text: str, width: int = 3) -> int:
     """64-bit SimHash of the text's word shingles, repeats included, as an unsigned integer; no words: 0."""
-    hashes = shingle_hashes(text, width)
+    return simhash(shingle_hashes(text, width))
+
+
+def simhash(hashes: np.ndarray) -> int:
+    """The bits that more than half of the hashes have; of no hashes: 0."""
     if not len(hashes):
         return 0
     votes = np.zeros(BITS, dtype=np.int64)
@@ -123,6 +127,19 @@ class Forest:
                 node = self.child[np.repeat(low - np.cumsum(n) + n, n) + np.arange(len(query))]
             yield tuple(np.hstack(out))
 
+    def nearest(self, radius: int) -> np.ndarray:
+        """For each fingerprint the index of the nearest of those before it in its shard, within the radius, the first
+        of equally near ones; -1 without any."""
+        to, far = np.full(len(self.fp), -1), np.full(len(self.fp), radius + 1)
+        for a, b in self.links(radius):
+            d = np.bitwise_count(self.fp[a] ^ self.fp[b]).astype(np.int64)
+            order = np.lexsort((a, d, b))
+            b, first = np.unique(b[order], return_index=True)
+            a, d = a[order][first], d[order][first]
+            new = d < far[b]
+            to[b[new]], far[b[new]] = a[new], d[new]
+        return to
+
     def groups(self, radius: int) -> np.ndarray:
         """For each fingerprint the index of the least that a chain of links reaches. Links are folded into the
         groups as they are found, so they are never held together."""
@@ -216,7 +233,8 @@ def op10_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """One row of each group of near copies: that of the smallest id, null ids last, then the smallest n_chars. Groups
-    are those of five-word shingles shared at 0.8 or more (``overlap``), not those of the fingerprints above.
+    are those of five-word shingles shared at 0.8 or more (``overlap``): BK-trees are searched with fingerprints of five
+    words, what they link is decided exactly, and links that no tree has told are found by exact means.
 
     Rows are chosen, not ids: of rows that repeat an id with different texts each stays or goes with its own group,
     and of near copies without an id one stays only if no copy has one. Null and empty texts are one group; all columns

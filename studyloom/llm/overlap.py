@@ -1,13 +1,16 @@
 """Near copies for the pipeline: texts of which 0.8 or more of the five-word shingles are shared (Jaccard).
 
-Texts of one shingle set are one kind. MinHash finds the candidates: a kind goes to BANDS buckets, each the hash of
+Texts of one shingle set are one kind. As in operator 10, a kind has the SimHash of its shingles, and BK-trees over shards
+are searched within a radius. Sets at 0.8 are some ten of 64 bits apart, too wide for shards of equal bits; so the shards are
+buckets of MinHash: a kind goes to BANDS buckets, each the hash of
 ROWS minima, and two kinds at similarity s share one with probability 1 - (1 - s ** ROWS) ** BANDS, 0.99993 at 0.8.
-Every candidate is decided by the exact overlap of the two shingle sets, and links are joined to components.
+Every candidate is decided by the exact overlap of the two shingle sets, and links are joined to components. A tree
+gives each of its members the nearest of those before it; links that no tree has told are found below, exactly.
 
 Two sets have at most as many shingles in common as either has that any other candidate holds too. Those counts, one a set,
 rule out members whose own words alone keep them below 0.8 of every other of their bucket, before any comparison.
 
-A bucket then compares its members with one leader, that with the most company in all its buckets, twice over; then
+After the trees a bucket compares its members with one leader, that with the most company in all its buckets, twice over; then
 every two members that no chain of links has joined yet, whose counts and parities allow it, and that share one of their
 rarest shingles. Of two sets that share 0.8 or more, each set's rarest fifth and one more (in one order of all shingles) have a
 shingle in common, so that leaves out no link. A large group of near copies costs a comparison each and not one for each
@@ -26,13 +29,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from studyloom.llm.neardup import shingle_hashes
+from studyloom.llm.neardup import BATCH_ROWS, Forest, shingle_hashes, simhash
 from studyloom.operators.components import connected_components
 from studyloom.storage import discard, staged
 
 #: Words of a shingle; the least similarity is LEAST[0] / LEAST[1].
 WIDTH, LEAST = 5, (4, 5)
 BANDS, ROWS = 24, 5
+#: Bits within which trees are searched (five standard deviations beyond the mean at 0.8; of unlike sets one pair in thirty is
+#: as near); members of a tree on average at most, a larger bucket has several.
+RADIUS, TREE = 24, 1024
 #: Turns in which a bucket's members meet its leader only; pairs of a leader that one task gets on average, and meetings by a
 #: shingle that one task looks at.
 LEADS, PART_PAIRS, PART_MEETINGS = 2, 2000, 1 << 20
@@ -42,7 +48,7 @@ BROADCAST_ROWS = 2_000_000
 PARITIES, FOLDED = 4096, 8
 #: Shingles hashed at once by all functions.
 HASHED = 1 << 12
-SKETCH = T.StructType().add("kind", T.BinaryType()).add("size", T.IntegerType()).add("buckets", T.ArrayType(T.LongType()))
+SKETCH = T.StructType().add("kind", T.BinaryType()).add("size", T.IntegerType()).add("fp", T.LongType()).add("buckets", T.ArrayType(T.LongType()))
 _RANDOM = np.random.default_rng(42)
 _XORS = _RANDOM.integers(0, 1 << 64, (BANDS * ROWS, 1), dtype=np.uint64)
 _ODDS = _RANDOM.integers(0, 1 << 64, (BANDS * ROWS, 1), dtype=np.uint64) | np.uint64(1)
@@ -72,7 +78,8 @@ def _sketches(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     for texts in batches:
         sets = [shingles(t) for t in texts]
         kinds = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
-        yield pd.DataFrame({"kind": kinds, "size": [len(s) for s in sets], "buckets": [buckets(s) for s in sets]})
+        fps = np.fromiter(map(simhash, sets), dtype=np.uint64, count=len(sets)).view(np.int64)
+        yield pd.DataFrame({"kind": kinds, "size": [len(s) for s in sets], "fp": fps, "buckets": [buckets(s) for s in sets]})
 
 
 @F.pandas_udf(T.BinaryType())
@@ -112,7 +119,7 @@ def alike(x: np.ndarray, y: np.ndarray) -> bool:
 
 
 def sketched(docs: DataFrame) -> DataFrame:
-    """docs(text, ...) -> row, doc (all columns), kind, size, buckets; staged, so that a row keeps its number."""
+    """docs(text, ...) -> row, doc (all columns), kind, size, fp, buckets; staged, so that a row keeps its number."""
     found = docs.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("doc"), _sketches(F.coalesce("text", F.lit(""))).alias("s"))
     return staged(found.select("row", "doc", "s.*"), "overlap-docs")
 
@@ -132,6 +139,22 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return left.join(right, ["b", "part"]).where(_alike("a_set", "b_set")).select("a", "b")
 
 
+def _search(pdf: pd.DataFrame) -> pd.DataFrame:
+    pdf = pdf.sort_values("node")
+    node, fp = pdf["node"].to_numpy(), pdf["fp"].to_numpy().view(np.uint64)
+    to = Forest(pdf.groupby(["bucket", "part"], sort=False).ngroup().to_numpy(), fp).nearest(RADIUS)
+    return pd.DataFrame({"a": node[to >= 0], "b": node[to[to >= 0]]}).drop_duplicates()
+
+
+def _by_trees(members: DataFrame) -> DataFrame:
+    """members(bucket, node, fp, ...) -> pairs(a, b): each node with the nearest of the lesser nodes of its bucket, by a BK-tree for each
+    bucket, and for each part of a large one."""
+    held = members.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / TREE).alias("parts"))
+    rows = staged(members.join(held, "bucket").select("bucket", "node", "fp", F.pmod(F.xxhash64("node"), F.col("parts")).alias("part")), "overlap-trees")
+    batch = F.pmod(F.xxhash64("bucket", "part"), F.lit(max(1, rows.count() // BATCH_ROWS))).alias("batch")
+    return rows.groupBy(batch).applyInPandas(_search, "a long, b long").distinct()
+
+
 def _rarest(nodes: DataFrame, sets: DataFrame) -> DataFrame:
     """nodes(node) -> node, rare: the shingles that a set alike must have one of, less those of no other node."""
     own = sets.join(small(nodes), "node").select("node", F.explode(_hashes("set")).alias("h"))
@@ -222,7 +245,7 @@ def _by_rarest(nodes: DataFrame, sets: DataFrame) -> DataFrame:
 def with_components(rows: DataFrame) -> DataFrame:
     """rows of ``sketched`` -> row, doc_id, n_chars, kind, component: the least row that a chain of links reaches."""
     kinds = staged(rows.groupBy("kind").agg(F.min("row").alias("node")), "overlap-kinds")
-    own = rows.join(small(kinds.select(F.col("node").alias("row"))), "row").select(F.col("row").alias("node"), "size", F.explode("buckets").alias("bucket"))
+    own = rows.join(small(kinds.select(F.col("node").alias("row"))), "row").select(F.col("row").alias("node"), "size", "fp", F.explode("buckets").alias("bucket"))
     own = staged(own, "overlap-buckets")
     shared = own.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     members = staged(own.join(shared, "bucket"), "overlap-members")
@@ -231,16 +254,17 @@ def with_components(rows: DataFrame) -> DataFrame:
     sets = staged(rows.join(small(nodes.select(F.col("node").alias("row"))), "row").select(F.col("row").alias("node"), _sets(F.coalesce("doc.text", F.lit(""))).alias("set")), "overlap-sets")
     alone = staged(_held(sets), "overlap-held")
     held = F.col("size") - F.coalesce("alone", F.lit(0))
-    members = staged(_hopeful(members.drop("n").join(small(alone), "node", "left").select("bucket", "node", "size", held.alias("held"))), "overlap-hopeful")
+    members = staged(_hopeful(members.drop("n").join(small(alone), "node", "left").select("bucket", "node", "size", "fp", held.alias("held"))), "overlap-hopeful")
     members = _hopeful(members)  # once more, without those that have gone
     crowd = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     members = staged(members.join(crowd, "bucket"), "overlap-members")
+    links = staged(_verified(staged(_by_trees(members), "overlap-pairs"), sets), "overlap-links")
+    labels = staged(connected_components(links), "overlap-labels")
     company = staged(members.groupBy("node").agg(F.sum("n").alias("company")), "overlap-company")
     members = staged(members.join(small(company), "node").select("bucket", "node", "size", "held", "company"), "overlap-members")
 
-    labels = members.sparkSession.createDataFrame([], "node long, component long")
     labelled = lambda d, found: d.join(found, "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component")
-    rest, links = members, None
+    rest = members
     for turn in range(LEADS + 1):
         if turn < LEADS:
             rest = labelled(rest.select(*members.columns), labels)
@@ -257,7 +281,7 @@ def with_components(rows: DataFrame) -> DataFrame:
         if pairs.isEmpty():
             continue
         found = staged(_verified(pairs, sets), "overlap-links")
-        links = found if links is None else links.union(found)
+        links = links.union(found)
         labels = staged(connected_components(links), "overlap-labels")
         if turn < LEADS:
             # those that the leader has not gained, even by a chain, go on

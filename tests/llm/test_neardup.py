@@ -130,6 +130,39 @@ def test_stage_keeps_one_of_each_group_of_five_word_shingles(spark, documents, m
     assert kept == sorted(set(parent))
 
 
+def test_forest_tells_the_nearest_before(monkeypatch):
+    monkeypatch.setattr(N, "QUERIES", 16)
+    fps = near_cluster(200, 3, 20)
+    shard = [i % 3 for i in range(len(fps))]
+    got = N.Forest(np.array(shard), np.array(fps, dtype=np.uint64)).nearest(24)
+    for b, to in enumerate(got.tolist()):
+        near = [((fps[a] ^ fps[b]).bit_count(), a) for a in range(b) if shard[a] == shard[b] and (fps[a] ^ fps[b]).bit_count() <= 24]
+        assert to == (min(near)[1] if near else -1)
+
+
+def test_stage_links_by_trees_of_five_word_fingerprints(spark, documents, monkeypatch):
+    """Without leaders and rarest shingles the BK-trees alone join near copies, and what they link is decided by the exact overlap."""
+    from pyspark.sql import functions as F
+
+    from studyloom.llm import overlap
+
+    monkeypatch.setattr(overlap, "LEADS", 0)
+    monkeypatch.setattr(overlap, "_by_rarest", lambda nodes, sets: nodes.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0))
+    texts = edited_copies()
+    parent = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if parent[i] != parent[j] and jaccard(texts[i], texts[j]) >= 0.8:
+                a, b = sorted((parent[i], parent[j]))
+                parent = [a if p == b else p for p in parent]
+    folder = documents([(i, t, "en", "a", len(t)) for i, t in enumerate(texts)])
+    rows = overlap.sketched(spark.read.parquet(f"{folder}/documents.parquet"))
+    found = {r.doc_id: r for r in overlap.with_components(rows).collect()}
+    assert all(len({parent[i] for i in found if found[i].component == c}) == 1 for c in {r.component for r in found.values()})
+    joined, want = len(texts) - len({r.component for r in found.values()}), len(texts) - len(set(parent))
+    assert joined >= 0.9 * want
+
+
 def test_stage_chooses_rows_and_not_ids(spark, documents):
     a, b = (" ".join(f"{p}{i}" for i in range(30)) for p in "ab")
     rows = [(1, a, "en", "s", 1), (2, a, "en", "s", 1), (2, b, "en", "s", 1), (None, a, "en", "s", 1), (None, "no id", "en", "s", 1), (None, "No ID", "en", "s", 2)]
