@@ -7,11 +7,13 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from studyloom.functions import dates, text
+from studyloom.functions.local import once
 
 ELEMENT = "struct<path:string,tag:string,keyword:string,vr:string,value:string>"
 #: Keywords that always go where identity is removed. Fixed values.
@@ -85,10 +87,10 @@ def private(tag: Column) -> Column:
     return F.substring(tag, 4, 1).isin(*"13579bdfBDF")
 
 
-def inside(e: Column, tags: list[str] | tuple[str, ...], also: Callable[[Column], Column] | None = None) -> Column:
+def inside(e: Column, tags: list[str] | tuple[str, ...]) -> Column:
     """Whether an element stands in a sequence with one of these tags, however deep."""
     around = F.regexp_extract_all(e["path"], F.lit("/([0-9A-Fa-f]{8})"), F.lit(1))
-    return F.exists(around, lambda x: F.upper(x).isin(*tags) | (also(x) if also else F.lit(False)))
+    return F.exists(around, lambda x: F.upper(x).isin(*tags))
 
 
 def text_contains(value: Column, words: list[str]) -> Column:
@@ -121,27 +123,62 @@ def remapped_keyword(keyword: Column) -> Column:
     return ends & ~keyword.isin(*NOT_REMAPPED)
 
 
+#: Elements of the root by which a file tells that identity was replaced. Fixed values.
+TOLD = (("00120062", "PatientIdentityRemoved", "CS", "YES"), ("00120063", "DeidentificationMethod", "LO", METHOD))
+
+
+#: Where a path leads through an emptied sequence or a private one. A pattern, because a constant path is then judged when the plan is made.
+_INSIDE_GONE = f"(?i)/(?:{'|'.join(EMPTIED_SEQUENCES)}|[0-9a-f]{{3}}[13579bdf][0-9a-f]{{4}})"
+
+
+def _stays(e: Column) -> Column:
+    return ~private(e["tag"]) & ~F.upper(e["tag"]).isin(*EMPTIED_SEQUENCES) & ~(e["keyword"].isin(*DELETED)) & ~e["path"].rlike(_INSIDE_GONE) & ~((e["path"] == "root") & e["tag"].isin(*[t[0] for t in TOLD]))
+
+
+def _replaced(e: Column, days: Column, salt: str, originals: Column, code: Column, generated: bool) -> Column:
+    """An element that stays, with its new value."""
+    uid = lambda u: dates.remap_uid(u, salt, generated)
+    each = lambda v: F.array_join(F.transform(F.split(v, r"\\"), lambda u: dates.remap_uid(u, salt)), "\\")
+    uids = lambda v: F.coalesce(uid(F.when(~v.contains("\\"), v)), each(v))
+    value = (
+        F.when(e["keyword"].isin(*PRESERVED), e["value"]).when(e["keyword"].isin(*EMPTIED), "").when(e["keyword"] == "PatientName", code)
+        .when((e["vr"] == "UI") & (remapped_keyword(e["keyword"]) | (e["tag"] == "00020003")), uids(e["value"]))
+        .when(e["vr"].isin(*DATE_VRS), dates.shifted_time(e["value"], days)).when(e["vr"].isin(*TEXT_VRS), _scrubber(originals, code)(e["value"])).otherwise(e["value"])
+    )
+    return _with_value(e, value)
+
+
+def _root(tag: str, keyword: str, vr: str, value: Column) -> Column:
+    return F.struct(F.lit("root").alias("path"), F.lit(tag).alias("tag"), F.lit(keyword).alias("keyword"), F.lit(vr).alias("vr"), value.alias("value"))
+
+
+def _root_name(e: Column) -> Column:
+    return (e["path"] == "root") & (e["keyword"] == "PatientName")
+
+
 def replace_identity(elements: Column, subject: Column, salt: str, originals: Column, code: Column) -> Column:
     """Everything that tells who someone is goes or is replaced, on every level: private tags and DELETED ones go, sequences with all
     they hold; EMPTIED values are emptied; the name becomes the code; identifiers of instances, dates and texts are replaced,
     each the same way wherever it stands. The root tells so, and the file information names the new instance."""
-    kept = F.filter(
-        elements,
-        lambda e: ~private(e["tag"]) & ~F.upper(e["tag"]).isin(*EMPTIED_SEQUENCES) & ~(e["keyword"].isin(*DELETED)) & ~inside(e, EMPTIED_SEQUENCES, private),
+    # what stays and the days are found once for a row, not for each element and each mention
+    held = F.struct(F.filter(elements, _stays).alias("kept"), dates.shift_days(subject, salt).alias("days"))
+    name = F.array(_root("00100010", "PatientName", "PN", code))
+    marks = F.array(*[_root(*t[:3], F.lit(t[3])) for t in TOLD])
+    return once(
+        held,
+        lambda h: F.concat(
+            F.transform(h["kept"], lambda e: _replaced(e, h["days"], salt, originals, code, False)), F.when(F.exists(h["kept"], _root_name), F.array().cast(f"array<{ELEMENT}>")).otherwise(name), marks
+        ),
     )
-    days, words = dates.shift_days(subject, salt), _scrubber(originals, code)
-    uids = lambda v: F.array_join(F.transform(F.split(v, r"\\"), lambda u: F.when(u == "", u).otherwise(dates.remap_uid(u, salt))), "\\")
-    value = lambda e: (
-        F.when(e["keyword"].isin(*PRESERVED), e["value"]).when(e["keyword"].isin(*EMPTIED), "").when(e["keyword"] == "PatientName", code)
-        .when((e["vr"] == "UI") & (remapped_keyword(e["keyword"]) | (e["tag"] == "00020003")), uids(e["value"]))
-        .when(e["vr"].isin(*DATE_VRS), dates.shifted_time(e["value"], days)).when(e["vr"].isin(*TEXT_VRS), words(e["value"])).otherwise(e["value"])
-    )
-    told = ("00120062", "00120063")
-    out = F.filter(F.transform(kept, lambda e: _with_value(e, value(e))), lambda e: ~((e["path"] == "root") & e["tag"].isin(*told)))
-    new = lambda tag, keyword, vr, v: F.struct(F.lit("root").alias("path"), F.lit(tag).alias("tag"), F.lit(keyword).alias("keyword"), F.lit(vr).alias("vr"), v.alias("value"))
-    marks = F.array(new(told[0], "PatientIdentityRemoved", "CS", F.lit("YES")), new(told[1], "DeidentificationMethod", "LO", F.lit(METHOD)))
-    named_ = F.exists(out, lambda e: (e["path"] == "root") & (e["keyword"] == "PatientName"))
-    return F.concat(out, F.when(named_, F.array().cast(f"array<{ELEMENT}>")).otherwise(F.array(new("00100010", "PatientName", "PN", code))), marks)
+
+
+def replace_identity_of(elements: list[Column], subject: Column, salt: str, originals: Column, code: Column) -> list[Column]:
+    """As ``replace_identity``, for elements that are columns instead of one array: null in place of what goes. Outside lambdas all of it is
+    generated code, and what depends on a constant tag is decided when the plan is made."""
+    days = dates.shift_days(subject, salt, True)
+    out = [F.when(_stays(e), _replaced(e, days, salt, originals, code, True)) for e in elements]
+    named_ = reduce(lambda x, y: x | y, [F.coalesce(_stays(e) & _root_name(e), F.lit(False)) for e in elements], F.lit(False))
+    return [*out, F.when(~named_, _root("00100010", "PatientName", "PN", code)), *[_root(*t[:3], F.lit(t[3])) for t in TOLD]]
 
 
 def _scrubber(originals: Column, code: Column) -> Callable[[Column], Column]:
